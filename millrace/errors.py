@@ -26,3 +26,9 @@ class ValidationFailed(EtlError):
         super().__init__(message)
         self.violations = list(violations or [])
         self.outcome = outcome
+
+
+def first_line(exc: Exception) -> str:
+    """The telling part of a Spark error, whose text may go on for a page."""
+    lines = [line.strip() for line in str(exc).splitlines() if line.strip()]
+    return lines[0] if lines else type(exc).__name__

@@ -16,10 +16,11 @@ from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.errors import EtlError, LoadError
+from millrace.errors import EtlError, LoadError, first_line
 from millrace.lake import files
 from millrace.operators.dimension import (
-    CUSTOMERS, DimensionSpec, merge_counts, merge_type2, untouched_rows, upsert_counts, upsert_type1,
+    CUSTOMERS, DimensionSpec, keys_fit_broadcast, merge_counts, merge_type2, untouched_rows,
+    upsert_counts, upsert_type1,
 )
 from millrace.session import local_frame
 
@@ -73,8 +74,9 @@ def load_type1(dim: Dimension, batch: DataFrame, order_by: list[str], now: datet
     """Overwrite in place; loading the same batch again changes nothing."""
     seq = dim.latest_seq()
     current = dim.current(seq)
-    counts = upsert_counts(current, batch, dim.spec).first().asDict()
-    dim.write(seq + 1, upsert_type1(current, batch, dim.spec, order_by, now))
+    small = keys_fit_broadcast(batch, dim.spec)
+    counts = upsert_counts(current, batch, dim.spec, broadcast_keys=small).first().asDict()
+    dim.write(seq + 1, upsert_type1(current, batch, dim.spec, order_by, now, broadcast_keys=small))
     return counts
 
 
@@ -86,14 +88,16 @@ def load_type2(
     current = dim.current(seq)
     # The versions of the batch's keys are needed three times, so they are written down once.
     staged = f"{dim.folder}/staged/{SEQ}={seq + 1}"
-    merge_type2(current, batch, dim.spec, order_by, now, collapse=collapse).write.mode(
-        "overwrite"
-    ).parquet(staged)
+    small = keys_fit_broadcast(batch, dim.spec)
+    merge_type2(
+        current, batch, dim.spec, order_by, now, collapse=collapse, broadcast_keys=small
+    ).write.mode("overwrite").parquet(staged)
     versions = dim.spark.read.parquet(staged)
     counts = merge_counts(versions).first().asDict()
     fresh = versions.filter("is_current").select(*dim.spec.columns)
     closed = versions.filter("NOT is_current").select(*dim.spec.columns)
-    dim.write(seq + 1, untouched_rows(current, batch, dim.spec).unionByName(fresh), closed)
+    kept = untouched_rows(current, batch, dim.spec, broadcast_keys=small)
+    dim.write(seq + 1, kept.unionByName(fresh), closed)
     files.remove(dim.spark, staged)
     return counts
 
@@ -142,4 +146,4 @@ def load(
     except EtlError:
         raise
     except PySparkException as exc:
-        raise LoadError(f"target {name!r}: {str(exc).splitlines()[0]}") from exc
+        raise LoadError(f"target {name!r}: {first_line(exc)}") from exc

@@ -87,10 +87,30 @@ def incoming(batch: DataFrame, spec: DimensionSpec, keep: tuple[str, ...] = ())
     )
 
 
-def _known(current: DataFrame, keyed: DataFrame, spec: DimensionSpec) -> DataFrame:
-    """Current rows of the given keys. A small batch is broadcast here, so the dimension, which an
-    outer join would have to shuffle, stays where it is."""
-    return current.join(keyed.select(spec.key), spec.key, "left_semi")
+# Keys of a batch are broadcast up to this many bytes, as counted.
+BROADCAST_KEY_BYTES = 64 * 1024 * 1024
+
+
+def keys_fit_broadcast(batch: DataFrame, spec: DimensionSpec, limit: int = BROADCAST_KEY_BYTES) -> bool:
+    """Whether the distinct keys of a batch are small enough to broadcast; reads the key column.
+
+    Where they are, the dimension meets them without a shuffle. Spark only knows that by itself
+    if the whole batch is tiny.
+    """
+    per_row = F.coalesce(F.octet_length(spec.key), F.lit(0)) + 32
+    size = incoming(batch, spec).select(spec.key).distinct().agg(F.sum(per_row).alias("n")).first().n
+    return (size or 0) <= limit
+
+
+def _keys(keyed: DataFrame, spec: DimensionSpec, broadcast: bool) -> DataFrame:
+    keys = keyed.select(spec.key)
+    return F.broadcast(keys) if broadcast else keys
+
+
+def _known(current: DataFrame, keyed: DataFrame, spec: DimensionSpec, broadcast: bool = False) -> DataFrame:
+    """Current rows of the given keys. Unlike an outer join, this leaves the dimension in place
+    when the keys are broadcast."""
+    return current.join(_keys(keyed, spec, broadcast), spec.key, "left_semi")
 
 
 def last_per_key(rows: DataFrame, keys: list[str], order_by: list[str]) -> DataFrame:
@@ -99,28 +119,30 @@ def last_per_key(rows: DataFrame, keys: list[str], order_by: list[str]) -> DataF
 
 def upsert_type1(
     current: DataFrame, batch: DataFrame, spec: DimensionSpec, order_by: list[str],
-    now: datetime | Column,
+    now: datetime | Column, *, broadcast_keys: bool = False,
 ) -> DataFrame:
     """Current rows after overwriting known keys and adding new ones; the last row of a key wins.
 
     An overwritten row keeps its ``valid_from``. Both sides meet with at most one row per key.
     """
     latest = last_per_key(incoming(batch, spec, tuple(order_by)), [spec.key], order_by)
-    known = _known(current, latest, spec).select(spec.key, F.col("valid_from").alias("__since"))
+    known = _known(current, latest, spec, broadcast_keys).select(spec.key, F.col("valid_from").alias("__since"))
     loaded = latest.join(known, spec.key, "left").select(
         spec.key, *spec.attributes,
         F.coalesce(F.col("__since"), _instant(now)).alias("valid_from"),
         F.lit(None).cast("timestamp").alias("valid_to"),
         F.lit(True).alias("is_current"),
     )
-    untouched = current.join(latest.select(spec.key), spec.key, "left_anti")
+    untouched = current.join(_keys(latest, spec, broadcast_keys), spec.key, "left_anti")
     return untouched.select(*spec.columns).unionByName(loaded.select(*spec.columns))
 
 
-def upsert_counts(current: DataFrame, batch: DataFrame, spec: DimensionSpec) -> DataFrame:
+def upsert_counts(
+    current: DataFrame, batch: DataFrame, spec: DimensionSpec, *, broadcast_keys: bool = False
+) -> DataFrame:
     """(created, updated): first sight of a key creates it, every further row updates it."""
     per_key = incoming(batch, spec).groupBy(spec.key).agg(F.count(F.lit(1)).alias("n"))
-    known = _known(current, per_key, spec).select(spec.key, F.lit(True).alias("__known"))
+    known = _known(current, per_key, spec, broadcast_keys).select(spec.key, F.lit(True).alias("__known"))
     joined = per_key.join(known, spec.key, "left")
     created = F.count(F.when(F.col("__known").isNull(), 1))
     return joined.agg(
@@ -159,6 +181,7 @@ def version_chain(
 def merge_type2(
     current: DataFrame, batch: DataFrame, spec: DimensionSpec, order_by: list[str],
     now: datetime | Column, *, collapse: bool = False, hot_key_rows: int = HOT_KEY_ROWS,
+    broadcast_keys: bool = False,
 ) -> DataFrame:
     """Versions of every key the batch names, with ``is_seed`` for those that already existed.
 
@@ -170,7 +193,7 @@ def merge_type2(
     if collapse:
         arriving = last_per_key(arriving, [spec.key], order_by)
     keys = arriving.select(spec.key).distinct()
-    seeds = current.join(keys, spec.key, "left_semi").select(
+    seeds = _known(current, keys, spec, broadcast_keys).select(
         spec.key, *spec.attributes, "valid_from", F.lit(0).alias("__step")
     )
     steps = arriving.withColumns({"valid_from": _instant(now), "__step": F.lit(1)})
@@ -190,9 +213,11 @@ def merge_counts(versions: DataFrame) -> DataFrame:
     )
 
 
-def untouched_rows(current: DataFrame, batch: DataFrame, spec: DimensionSpec) -> DataFrame:
+def untouched_rows(
+    current: DataFrame, batch: DataFrame, spec: DimensionSpec, *, broadcast_keys: bool = False
+) -> DataFrame:
     keys = incoming(batch, spec).select(spec.key).distinct()
-    return current.join(keys, spec.key, "left_anti").select(*spec.columns)
+    return current.join(_keys(keys, spec, broadcast_keys), spec.key, "left_anti").select(*spec.columns)
 
 
 def current_rows(dimension: DataFrame, spec: DimensionSpec = CUSTOMERS) -> DataFrame:

@@ -35,6 +35,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from millrace.errors import first_line
 from millrace.functions.numbers import INTEGER_PATTERN, parse_number, score
 from millrace.functions.times import parse_time, whole_days
 from millrace.functions.types import is_floating, is_text, quoted
@@ -267,10 +268,11 @@ def _business_rule(batch: Batch, rule: dict, slot: str) -> Check:
     try:
         with _quiet_analysis():
             probe = batch.df.select(F.expr(expression)).schema
+            batch.df.agg(count_if(~F.coalesce(F.expr(expression), F.lit(False))))
         if len(probe) != 1 or not isinstance(probe[0].dataType, T.BooleanType):
             problem = "it does not yield true or false"
     except PySparkException as exc:
-        problem = str(exc).splitlines()[0]
+        problem = first_line(exc)
     if problem:
         return Check(
             label, "business_rule", severity, F.col(ROWS), _at_least_one(F.col(ROWS)),

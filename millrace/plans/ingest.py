@@ -24,7 +24,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.errors import EtlError, ExtractError, TransformError, ValidationFailed
+from millrace.errors import EtlError, ExtractError, TransformError, ValidationFailed, first_line
 from millrace.functions.types import measurable_columns, nan_to_null, quoted
 from millrace.lake import files, layers, targets
 from millrace.lake.state import State
@@ -146,7 +146,7 @@ class IngestRun:
         try:
             batch.write.mode("overwrite").parquet(self.bronze)
         except PySparkException as exc:
-            raise ExtractError(f"reading the source failed: {str(exc).splitlines()[0]}") from exc
+            raise ExtractError(f"reading the source failed: {first_line(exc)}") from exc
         found = delta.get
         result.rows_extracted = everything.get["rows"] if count_source else found["rows"]
         self.log(f"extracted {result.rows_extracted} row(s) from {source_type}")
@@ -205,7 +205,7 @@ class IngestRun:
                 self.silver
             )
         except PySparkException as exc:
-            raise TransformError(f"reshaping failed: {str(exc).splitlines()[0]}") from exc
+            raise TransformError(f"reshaping failed: {first_line(exc)}") from exc
         self.result.rows_loaded = loaded.get["rows"]
         visible = [c for c in reshaped.columns if c not in self.hidden]
         self.log(f"reshaped to {self.result.rows_loaded} row(s), {len(visible)} column(s)")

@@ -9,7 +9,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.errors import ExtractError
+from millrace.errors import ExtractError, first_line
 from millrace.functions.numbers import DECIMAL_PATTERN, INFINITY_PATTERN, INTEGER_PATTERN
 from millrace.functions.types import quoted
 from millrace.sources.registry import POSITION
@@ -43,7 +43,7 @@ def _header(spark: SparkSession, path: str, options: dict) -> list[str]:
     try:
         names = spark.read.options(header=True, escape='"', **options).csv(path).columns
     except AnalysisException as exc:
-        raise ExtractError(f"cannot open {path}: {str(exc).splitlines()[0]}") from exc
+        raise ExtractError(f"cannot open {path}: {first_line(exc)}") from exc
     if not names:
         raise ExtractError(f"nothing in {path}")
     return names

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.errors import EtlError, ExtractError
+from millrace.errors import EtlError, ExtractError, first_line
 
 # Hidden struct column with a row's place in its source, for operators that keep the first or the
 # last of several rows. Only readers of ordered files add it.
@@ -41,7 +41,7 @@ def extract(spark: SparkSession, source_type: str | None, config: dict) -> DataF
     except EtlError:
         raise
     except PySparkException as exc:
-        raise ExtractError(f"{source_type} source: {str(exc).splitlines()[0]}") from exc
+        raise ExtractError(f"{source_type} source: {first_line(exc)}") from exc
 
 
 def _install() -> None:
