@@ -12,6 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.lake import files
+from millrace.operators.ledger import run_current_state
+from millrace.operators.transform import last_per_key
 from millrace.session import local_frame
 
 CHECKS = (
@@ -85,10 +87,7 @@ class State:
 
     def latest(self, table: str, keys: list[str], order_by: str) -> DataFrame:
         """The newest row per key."""
-        frame = self.read(table)
-        others = [c for c in frame.columns if c not in keys]
-        newest = frame.groupBy(*keys).agg(F.max_by(F.struct(*others), order_by).alias("s"))
-        return newest.select(*keys, "s.*")
+        return last_per_key(self.read(table), keys, [order_by])
 
     # Present values that a run starts from; each is one row per pipeline or dataset.
 
@@ -101,13 +100,8 @@ class State:
         return mine.agg(F.max_by(F.struct("version", "columns"), "version").alias("s")).first().s
 
     def baseline(self, dataset: str) -> DataFrame:
-        mine = self.read("column_stats").filter(F.col("dataset") == dataset)
-        newest = mine.groupBy("dataset", "column").agg(
-            F.max_by(F.struct("count", "mean", "m2"), "recorded_at").alias("s")
-        )
-        return newest.select("dataset", "column", "s.*")
+        newest = self.latest("column_stats", ["dataset", "column"], "recorded_at")
+        return newest.filter(F.col("dataset") == dataset).select("dataset", "column", "count", "mean", "m2")
 
     def runs(self) -> DataFrame:
-        from millrace.operators.ledger import run_current_state
-
         return run_current_state(self.read("run_events"))

@@ -14,8 +14,9 @@ from pyspark.sql import functions as F
 
 from millrace.errors import LoadError
 from millrace.functions.types import quoted
+from millrace.operators.joins import BROADCAST_BYTES, key_bytes
 from millrace.operators.sequence import HOT_KEY_ROWS, along_key, pieces_needed
-from millrace.operators.transform import one_per_key
+from millrace.operators.transform import last_per_key
 
 VALIDITY = {"valid_from": "timestamp", "valid_to": "timestamp", "is_current": "boolean"}
 
@@ -87,19 +88,13 @@ def incoming(batch: DataFrame, spec: DimensionSpec, keep: tuple[str, ...] = ())
     )
 
 
-# Keys of a batch are broadcast up to this many bytes, as counted.
-BROADCAST_KEY_BYTES = 64 * 1024 * 1024
-
-
-def keys_fit_broadcast(batch: DataFrame, spec: DimensionSpec, limit: int = BROADCAST_KEY_BYTES) -> bool:
-    """Whether the distinct keys of a batch are small enough to broadcast; reads the key column.
+def keys_fit_broadcast(batch: DataFrame, spec: DimensionSpec, limit: int = BROADCAST_BYTES) -> bool:
+    """Whether the distinct keys of a batch are small enough to broadcast.
 
     Where they are, the dimension meets them without a shuffle. Spark only knows that by itself
     if the whole batch is tiny.
     """
-    per_row = F.coalesce(F.octet_length(spec.key), F.lit(0)) + 32
-    size = incoming(batch, spec).select(spec.key).distinct().agg(F.sum(per_row).alias("n")).first().n
-    return (size or 0) <= limit
+    return key_bytes(incoming(batch, spec).select(spec.key).distinct()) <= limit
 
 
 def _keys(keyed: DataFrame, spec: DimensionSpec, broadcast: bool) -> DataFrame:
@@ -113,10 +108,6 @@ def _known(current: DataFrame, keyed: DataFrame, spec: DimensionSpec, broadcast:
     return current.join(_keys(keyed, spec, broadcast), spec.key, "left_semi")
 
 
-def last_per_key(rows: DataFrame, keys: list[str], order_by: list[str]) -> DataFrame:
-    return one_per_key(rows, keys, [F.col(quoted(c)).desc() for c in order_by])
-
-
 def upsert_type1(
     current: DataFrame, batch: DataFrame, spec: DimensionSpec, order_by: list[str],
     now: datetime | Column, *, broadcast_keys: bool = False,
@@ -126,14 +117,16 @@ def upsert_type1(
     An overwritten row keeps its ``valid_from``. Both sides meet with at most one row per key.
     """
     latest = last_per_key(incoming(batch, spec, tuple(order_by)), [spec.key], order_by)
-    known = _known(current, latest, spec, broadcast_keys).select(spec.key, F.col("valid_from").alias("__since"))
+    # The key set is a plain distinct, the same for both joins, so the ranking runs only once.
+    keys = incoming(batch, spec).select(spec.key).distinct()
+    known = _known(current, keys, spec, broadcast_keys).select(spec.key, F.col("valid_from").alias("__since"))
     loaded = latest.join(known, spec.key, "left").select(
         spec.key, *spec.attributes,
         F.coalesce(F.col("__since"), _instant(now)).alias("valid_from"),
         F.lit(None).cast("timestamp").alias("valid_to"),
         F.lit(True).alias("is_current"),
     )
-    untouched = current.join(_keys(latest, spec, broadcast_keys), spec.key, "left_anti")
+    untouched = current.join(_keys(keys, spec, broadcast_keys), spec.key, "left_anti")
     return untouched.select(*spec.columns).unionByName(loaded.select(*spec.columns))
 
 
@@ -142,7 +135,8 @@ def upsert_counts(
 ) -> DataFrame:
     """(created, updated): first sight of a key creates it, every further row updates it."""
     per_key = incoming(batch, spec).groupBy(spec.key).agg(F.count(F.lit(1)).alias("n"))
-    known = _known(current, per_key, spec, broadcast_keys).select(spec.key, F.lit(True).alias("__known"))
+    keys = incoming(batch, spec).select(spec.key).distinct()
+    known = _known(current, keys, spec, broadcast_keys).select(spec.key, F.lit(True).alias("__known"))
     joined = per_key.join(known, spec.key, "left")
     created = F.count(F.when(F.col("__known").isNull(), 1))
     return joined.agg(
@@ -152,15 +146,14 @@ def upsert_counts(
 
 def version_chain(
     rows: DataFrame, keys: list[str], tracked: list[str], carried: list[str], order_by: list[str],
-    *, valid_from: str = "valid_from", hot_key_rows: int = HOT_KEY_ROWS,
+    *, valid_from: str = "valid_from", pieces: int = 0,
 ) -> DataFrame:
-    """Turn ordered observations into versions.
+    """Turn ordered observations into versions; ``pieces`` as found by ``pieces_needed``.
 
     A row that repeats the tracked values of the row before it vanishes. Every other row becomes a
     version valid until the next one; ``opens_key`` marks the first of its key. Values compare
     null-safe.
     """
-    pieces = pieces_needed(rows, keys, hot_key_rows)
     watched = F.struct(*[F.col(quoted(c)) for c in tracked])
     origin = {"__origin": F.struct(*[F.col(quoted(c)) for c in carried])} if carried else {}
     seen = along_key(rows, keys, order_by, pieces=pieces, previous={"__before": watched}, first=origin)
@@ -198,9 +191,10 @@ def merge_type2(
     )
     steps = arriving.withColumns({"valid_from": _instant(now), "__step": F.lit(1)})
     rows = seeds.unionByName(steps, allowMissingColumns=True)
+    # A key has at most one seed, so the batch alone tells how many rows a task would get.
     chain = version_chain(
         rows, [spec.key], list(spec.tracked), list(spec.carried), ["__step", *order_by],
-        hot_key_rows=hot_key_rows,
+        pieces=pieces_needed(arriving, [spec.key], None if collapse else hot_key_rows),
     )
     return chain.select(*spec.columns, "opens_key", (F.col("__step") == 0).alias("is_seed"))
 

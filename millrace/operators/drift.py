@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions.types import quoted
+from millrace.operators.transform import last_per_key
 from millrace.operators.sequence import HOT_KEY_ROWS, along_key, pieces_needed
 
 
@@ -56,7 +57,7 @@ def _without(names: Column, drop: Column) -> Column:
 
 def schema_drift(
     observed: DataFrame, keys: list[str], run_order: str, name: str,
-    rename_map: dict[str, str] | None = None, *, hot_key_rows: int = HOT_KEY_ROWS,
+    rename_map: dict[str, str] | None = None, *, hot_key_rows: int | None = HOT_KEY_ROWS,
 ) -> DataFrame:
     """Versions of every dataset from its whole history of observed column names.
 
@@ -104,9 +105,7 @@ def schema_drift(
 
 def latest_version(versions: DataFrame, keys: list[str]) -> DataFrame:
     """The newest version row of every dataset."""
-    others = [c for c in versions.columns if c not in keys]
-    newest = versions.groupBy(*keys).agg(F.max_by(F.struct(*others), "version").alias("v"))
-    return newest.select(*keys, "v.*")
+    return last_per_key(versions, keys, ["version"])
 
 
 def column_catalog(observed: DataFrame, keys: list[str], run_order: str) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions.types import quoted
 from millrace.operators.sequence import HOT_KEY_ROWS, along_key, pieces_needed
+from millrace.operators.transform import last_per_key
 
 # Run states.
 PENDING, RUNNING, RETRYING, SUCCEEDED, FAILED = (
@@ -25,12 +26,9 @@ DURATION_BOUNDS = (
 
 
 def run_current_state(events: DataFrame, run: str = "run_id", order_by: tuple[str, ...] = ("event_ts", "seq")) -> DataFrame:
-    """The latest event of every run; map tasks already keep one row per run."""
-    others = [c for c in events.columns if c != run]
-    newest = events.groupBy(run).agg(
-        F.max_by(F.struct(*others), F.struct(*order_by)).alias("s")
-    )
-    return newest.select(run, "s.*")
+    """The latest event of every run; map tasks already keep one row per run, and columns that
+    nobody asks for are not read."""
+    return last_per_key(events, [run], list(order_by))
 
 
 def _with_status(*statuses: str) -> Column:
@@ -94,7 +92,7 @@ def table_counts(tables: dict[str, DataFrame]) -> DataFrame:
 
 def score_trend(
     scorecards: DataFrame, pipeline: str, order_by: list[str], score: str = "overall_score", *,
-    hot_key_rows: int = HOT_KEY_ROWS,
+    hot_key_rows: int | None = HOT_KEY_ROWS,
 ) -> DataFrame:
     """``score_delta`` against the previous scorecard of the same pipeline."""
     pieces = pieces_needed(scorecards, [pipeline], hot_key_rows)

@@ -360,10 +360,11 @@ class RuleSet:
             checks.append(compiler(batch, rule, f"check_{position}") if compiler else _unknown(rule))
         return cls(batch, checks)
 
-    def row_aggregates(self) -> list[Column]:
-        """Everything one scan can answer, rule measures plus row and null-cell counts."""
-        nulls = _sum([count_if(self.batch.missing(c)) for c in self.batch.columns])
-        measures = {ROWS: F.count(F.lit(1)), "null_cells": nulls}
+    def row_aggregates(self, null_cells: bool = True) -> list[Column]:
+        """Everything one scan can answer: rule measures, rows and, for the scores, null cells."""
+        measures = {ROWS: F.count(F.lit(1))}
+        if null_cells:
+            measures["null_cells"] = _sum([count_if(self.batch.missing(c)) for c in self.batch.columns])
         for check in self.checks:
             measures.update(check.aggregates)
         return [column.cast("bigint").alias(name) for name, column in measures.items()]
@@ -375,11 +376,14 @@ class RuleSet:
             builders.update(check.side_counts)
         return {name: build() for name, build in builders.items()}
 
-    def measures(self, with_duplicate_rows: bool) -> DataFrame:
-        """All measures as one row, computed by a single lazy plan."""
-        fused = self.batch.df.agg(*self.row_aggregates())
+    def measures(self, for_scores: bool) -> DataFrame:
+        """All measures as one row, computed by a single lazy plan.
+
+        Without the scores only the columns named by rules are read.
+        """
+        fused = self.batch.df.agg(*self.row_aggregates(null_cells=for_scores))
         sides = self.side_counts()
-        if with_duplicate_rows and DUPLICATE_ROWS not in sides:
+        if for_scores and DUPLICATE_ROWS not in sides:
             sides[DUPLICATE_ROWS] = repeated_rows(self.batch.df, self.batch.hidden)
         if not sides:
             return fused
@@ -427,7 +431,7 @@ def rule_results(
 ) -> DataFrame:
     """(position, rule_type, passed, severity, violation_count, checked_count) per rule."""
     compiled = RuleSet.compile(df, rules, as_of, hidden)
-    return compiled.results(compiled.measures(with_duplicate_rows=False))
+    return compiled.results(compiled.measures(for_scores=False))
 
 
 def row_passes(df: DataFrame, rules: list[dict]) -> Column:

@@ -126,5 +126,5 @@ def scorecard(
 ) -> DataFrame:
     """The scores as a lazy one-row frame, rounded half-up to two places."""
     rules = RuleSet.compile(df, spec.get("rules", []), as_of, hidden)
-    scores = rules.scores(rules.measures(with_duplicate_rows=True))
+    scores = rules.scores(rules.measures(for_scores=True))
     return scores.select(*[F.round(c, 2).alias(c) for c in scores.columns])

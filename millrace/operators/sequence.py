@@ -25,11 +25,14 @@ def _columns(names: list[str]) -> list[Column]:
     return [F.col(quoted(n)) for n in names]
 
 
-def pieces_needed(df: DataFrame, keys: list[str], hot_key_rows: int = HOT_KEY_ROWS) -> int:
+def pieces_needed(df: DataFrame, keys: list[str], hot_key_rows: int | None = HOT_KEY_ROWS) -> int:
     """0 if every key fits one task, else the number of pieces to cut the table into.
 
-    Reads the key columns only and pre-aggregates before the shuffle.
+    Reads the key columns only and pre-aggregates before the shuffle. Callers whose keys are
+    bounded by construction (one row per day, say) pass None and save that job.
     """
+    if hot_key_rows is None:
+        return 0
     counted = df.groupBy(*_columns(keys)).count()
     size = counted.agg(F.max("count").alias("largest"), F.sum("count").alias("total")).first()
     if not size.largest or size.largest <= hot_key_rows:

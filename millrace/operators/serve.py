@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions.text import mask_email
 from millrace.functions.types import quoted
+from millrace.operators.joins import broadcast_if_small
 
 PAGE_SIZE = 25
 # Roles that read addresses unmasked.
@@ -44,7 +45,7 @@ def visible_to(df: DataFrame, memberships: DataFrame, member, scope: str, scope_
     own = memberships.filter(F.col("member") == F.lit(member)).select(
         F.col(quoted(scope_in_memberships)).alias(scope)
     ).distinct()
-    return df.join(own, scope, "left_semi")
+    return df.join(broadcast_if_small(own), scope, "left_semi")
 
 
 def masked(df: DataFrame, column: str = "email", role: str | None = None) -> DataFrame:

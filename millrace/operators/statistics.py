@@ -104,7 +104,7 @@ def judge_and_merge(moments: DataFrame, baseline: DataFrame, keys: list[str]) ->
 
 
 def backtest(
-    history: DataFrame, keys: list[str], order_by: list[str], *, hot_key_rows: int = HOT_KEY_ROWS
+    history: DataFrame, keys: list[str], order_by: list[str], *, hot_key_rows: int | None = HOT_KEY_ROWS
 ) -> DataFrame:
     """Judge every run of a whole history against all runs before it, in one job.
 

@@ -35,6 +35,11 @@ def one_per_key(df: DataFrame, keys: list[str], order_by: list) -> DataFrame:
     return df.withColumn("__rank", rank).filter(F.col("__rank") == 1).drop("__rank")
 
 
+def last_per_key(df: DataFrame, keys: list[str], order_by: list[str]) -> DataFrame:
+    """The last row of every key."""
+    return one_per_key(df, keys, [F.col(quoted(c)).desc() for c in order_by])
+
+
 def dedupe_keep_first(df: DataFrame, keys: list[str], order_by: list | None = None) -> DataFrame:
     """One row per key; any of them when no order is given."""
     _require(df, keys, "drop duplicates")

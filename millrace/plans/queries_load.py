@@ -11,6 +11,7 @@ from millrace.operators.dimension import (
     DimensionSpec, current_rows, merge_counts, merge_type2, untouched_rows, upsert_counts,
     upsert_type1, version_chain,
 )
+from millrace.operators.sequence import pieces_needed
 from millrace.plans.ingest import PipelineSpec, run_ingest
 from millrace.plans.inputs import DIRTY_CUSTOMER_SQL, dirty_customer, table
 from millrace.session import local_frame, scratch_path
@@ -124,7 +125,10 @@ def order_history(spark, folder):
     rows = order_batch(spark, folder).withColumns(
         {"external_id": F.col("o_custkey").cast("string"), "valid_from": F.col("o_orderdate").cast("timestamp")}
     )
-    chain = version_chain(rows, ["external_id"], list(BUYERS.tracked), list(BUYERS.carried), ORDER)
+    pieces = pieces_needed(rows, ["external_id"])
+    chain = version_chain(
+        rows, ["external_id"], list(BUYERS.tracked), list(BUYERS.carried), ORDER, pieces=pieces
+    )
     return comparable(chain.select(*PLAIN))
 
 

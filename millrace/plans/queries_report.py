@@ -51,7 +51,10 @@ def _observed(spark, folder):
 
 
 def _versions(spark, folder):
-    found = schema_drift(_observed(spark, folder), ["dataset"], "run", "name", RENAMES)
+    # A dataset has one row per day here, so no key can grow beyond a task.
+    found = schema_drift(
+        _observed(spark, folder), ["dataset"], "run", "name", RENAMES, hot_key_rows=None
+    )
     pairs = F.transform("renamed", lambda r: F.concat(r["from"], F.lit(">"), r["to"]))
     return found.select(
         "dataset", "run", "version", *[F.array_join(c, ",").alias(c) for c in ("names", "added", "removed")],
@@ -296,7 +299,8 @@ def trend(spark, folder):
     cards = table(spark, folder, "events").groupBy(
         F.col("user_id").alias("pipeline"), F.col("ts").cast("date").alias("day")
     ).agg(F.max("value").alias("score"))
-    return ledger.score_trend(cards, "pipeline", ["day"], "score")
+    # One row per day and pipeline, so no key can grow beyond a task.
+    return ledger.score_trend(cards, "pipeline", ["day"], "score", hot_key_rows=None)
 
 
 # --- serving --------------------------------------------------------------------------------------

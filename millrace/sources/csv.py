@@ -76,7 +76,7 @@ def read_csv(
     ).csv(path)
     cells = {n: F.when(~F.col(quoted(n)).isin(*NULL_TOKENS), F.col(quoted(n))) for n in names}
     if schema is None:
-        types = _infer(raw.select(*[c.alias(n) for n, c in cells.items()], F.col(SURPLUS)), names, path)
+        types = _infer(raw, names, path)
     else:
         from pyspark.sql.types import StructType
 
@@ -106,33 +106,45 @@ def _typed(name: str, dtype: str) -> Column:
     return F.trim(col).cast(dtype)
 
 
-def _infer(cells: DataFrame, names: list[str], path: str) -> dict[str, str]:
-    """Narrowest of bigint, double, boolean, string per column, over all rows."""
-    found = [F.count(F.col(SURPLUS)).alias("long_rows")]
-    for i, name in enumerate(names):
-        col = F.trim(F.col(quoted(name)))
-        whole = col.rlike(INTEGER_PATTERN) & col.try_cast("bigint").isNotNull()
-        number = whole | (
-            (col.rlike(DECIMAL_PATTERN) | col.rlike(INFINITY_PATTERN)) & ~col.rlike(INTEGER_PATTERN)
-        )
-        found += [
-            F.count(col).alias(f"cells_{i}"),
-            F.count(F.when(whole, 1)).alias(f"whole_{i}"),
-            F.count(F.when(number, 1)).alias(f"number_{i}"),
-            F.count(F.when(col.isin(*BOOLEAN_TOKENS), 1)).alias(f"boolean_{i}"),
-        ]
-    row = cells.agg(*found).first()
-    if row.long_rows:
-        raise ExtractError(f"{path} has {row.long_rows} row(s) with more fields than the header")
+# What a cell reads as, from the narrowest kind on.
+WHOLE, NUMBER, TRUTH, TEXT = 1, 2, 3, 4
+
+
+def _kind(cell: Column) -> Column:
+    # The patterns come first: a cast that fails raises and catches an exception per cell.
+    whole = cell.rlike(INTEGER_PATTERN)
+    decimal = cell.rlike(DECIMAL_PATTERN) | cell.rlike(INFINITY_PATTERN)
+    return (
+        F.when(whole & cell.try_cast("bigint").isNotNull(), WHOLE)
+        .when(decimal & ~whole, NUMBER)
+        .when(cell.isin(*BOOLEAN_TOKENS), TRUTH)
+        .otherwise(TEXT)
+    )
+
+
+def _infer(raw: DataFrame, names: list[str], path: str) -> dict[str, str]:
+    """Narrowest of bigint, double, boolean, string per column, over all rows.
+
+    Cells are looked at one per row, so the generated code stays small however wide the file is;
+    the counts per column are combined before the shuffle.
+    """
+    every = F.array(*[F.col(quoted(n)) for n in [*names, SURPLUS]])
+    cells = raw.select(F.posexplode(every).alias("at", "cell"))
+    present = cells.filter(~F.col("cell").isin(*NULL_TOKENS)).select("at", F.trim("cell").alias("cell"))
+    kinds = present.select("at", _kind(F.col("cell")).alias("kind"))
+    seen = {
+        r.at: r for r in kinds.groupBy("at").agg(
+            F.min("kind").alias("least"), F.max("kind").alias("most"), F.count("kind").alias("n")
+        ).collect()
+    }
+    if len(names) in seen:
+        raise ExtractError(f"{path} has {seen[len(names)].n} row(s) with more fields than the header")
     types = {}
     for i, name in enumerate(names):
-        cell_count = row[f"cells_{i}"]
-        if cell_count and row[f"whole_{i}"] == cell_count:
-            types[name] = "bigint"
-        elif row[f"number_{i}"] == cell_count:
+        if i not in seen or seen[i].most == NUMBER:
             types[name] = "double"
-        elif row[f"boolean_{i}"] == cell_count:
-            types[name] = "boolean"
+        elif seen[i].most == WHOLE:
+            types[name] = "bigint"
         else:
-            types[name] = "string"
+            types[name] = "boolean" if seen[i].least == seen[i].most == TRUTH else "string"
     return types
