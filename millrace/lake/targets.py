@@ -13,14 +13,14 @@ from dataclasses import dataclass
 from datetime import datetime
 
 from pyspark.errors import PySparkException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.errors import EtlError, LoadError, first_line
 from millrace.lake import files
 from millrace.operators.dimension import (
     CUSTOMERS, DimensionSpec, keys_fit_broadcast, merge_counts, merge_type2, untouched_rows,
-    upsert_counts, upsert_type1,
+    upsert_type1,
 )
 from millrace.session import local_frame
 
@@ -75,9 +75,13 @@ def load_type1(dim: Dimension, batch: DataFrame, order_by: list[str], now: datet
     seq = dim.latest_seq()
     current = dim.current(seq)
     small = keys_fit_broadcast(batch, dim.spec)
-    counts = upsert_counts(current, batch, dim.spec, broadcast_keys=small).first().asDict()
-    dim.write(seq + 1, upsert_type1(current, batch, dim.spec, order_by, now, broadcast_keys=small))
-    return counts
+    created = Observation()
+    merged = upsert_type1(
+        current, batch, dim.spec, order_by, now, broadcast_keys=small, created=created
+    )
+    dim.write(seq + 1, merged)
+    # Every row that did not create its key updated it, as in a row-by-row load.
+    return {"created": created.get["keys"], "updated": batch.count() - created.get["keys"]}
 
 
 def load_type2(

@@ -9,7 +9,7 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from millrace.errors import LoadError
@@ -110,17 +110,21 @@ def _known(current: DataFrame, keyed: DataFrame, spec: DimensionSpec, broadcast:
 
 def upsert_type1(
     current: DataFrame, batch: DataFrame, spec: DimensionSpec, order_by: list[str],
-    now: datetime | Column, *, broadcast_keys: bool = False,
+    now: datetime | Column, *, broadcast_keys: bool = False, created: Observation | None = None,
 ) -> DataFrame:
     """Current rows after overwriting known keys and adding new ones; the last row of a key wins.
 
     An overwritten row keeps its ``valid_from``. Both sides meet with at most one row per key.
+    ``created`` observes the number of new keys while the result is written.
     """
     latest = last_per_key(incoming(batch, spec, tuple(order_by)), [spec.key], order_by)
     # The key set is a plain distinct, the same for both joins, so the ranking runs only once.
     keys = incoming(batch, spec).select(spec.key).distinct()
     known = _known(current, keys, spec, broadcast_keys).select(spec.key, F.col("valid_from").alias("__since"))
-    loaded = latest.join(known, spec.key, "left").select(
+    matched = latest.join(known, spec.key, "left")
+    if created is not None:
+        matched = matched.observe(created, F.count(F.when(F.col("__since").isNull(), 1)).alias("keys"))
+    loaded = matched.select(
         spec.key, *spec.attributes,
         F.coalesce(F.col("__since"), _instant(now)).alias("valid_from"),
         F.lit(None).cast("timestamp").alias("valid_to"),

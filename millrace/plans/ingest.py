@@ -45,19 +45,23 @@ from millrace.sources import POSITION, extract
 UNFILTERED_SOURCES = ("file", "s3", "rest_api")
 
 
+DEFAULT_TARGET = "customers"
+
+
 @dataclass
 class PipelineSpec:
     """A configured pipeline.
 
     ``transform`` may hold ``clean`` besides the reshape steps. ``order_by`` names the columns of
     the reshaped batch that order its rows; CSV and paged sources know their row order themselves.
-    ``keep_raw`` also writes the new rows as they were before cleaning.
+    Without a ``target`` rows go to the default one. ``keep_raw`` also writes the new rows as they
+    were before cleaning.
     """
 
     name: str
     source: dict
     source_name: str = ""
-    target: str = "customers"
+    target: str | None = None
     validation: dict = field(default_factory=dict)
     transform: dict = field(default_factory=dict)
     incremental: dict | None = None
@@ -65,6 +69,11 @@ class PipelineSpec:
     count_source: bool | None = None
     keep_raw: bool = False
 
+    @property
+    def dataset(self) -> str:
+        """Name in the catalog and the layers: the target if one is named, else the pipeline."""
+        return self.target or self.name
+
     @property
     def renames(self) -> dict[str, str]:
         return self.transform.get("rename") or {}
@@ -102,10 +111,11 @@ class IngestRun:
         self.root = root.rstrip("/")
         self.spec = spec
         self.now = now
+        self.target = spec.target or DEFAULT_TARGET
         self.state = State(spark, self.root)
         self.result = RunResult(run_id, RUNNING)
-        self.bronze = layers.run_dir(self.root, "bronze", spec.target, run_id, now.date())
-        self.silver = layers.run_dir(self.root, "silver", spec.target, run_id, now.date())
+        self.bronze = layers.run_dir(self.root, "bronze", spec.dataset, run_id, now.date())
+        self.silver = layers.run_dir(self.root, "silver", spec.dataset, run_id, now.date())
         self.kind = None
         self.watermark = None
         self.hidden: tuple[str, ...] = ()
@@ -135,10 +145,10 @@ class IngestRun:
         batch = batch.observe(delta, F.count(F.lit(1)).alias("rows"), newest)
         if spec.keep_raw:
             layers.write_layer(
-                batch, self.root, "raw", spec.target, result.run_id, self.now.date()
+                batch, self.root, "raw", spec.dataset, result.run_id, self.now.date()
             )
             batch = self.spark.read.parquet(
-                layers.run_dir(self.root, "raw", spec.target, result.run_id, self.now.date())
+                layers.run_dir(self.root, "raw", spec.dataset, result.run_id, self.now.date())
             )
         clean_spec = spec.transform.get("clean")
         if clean_spec:
@@ -222,7 +232,7 @@ class IngestRun:
             # Without any stated order all columns together give a repeatable one.
             order = [c for c in batch.columns]
         self.result.load_result = targets.load(
-            self.spark, self.root, self.spec.target, batch, order, self.now
+            self.spark, self.root, self.target, batch, order, self.now
         )
         self.log(f"loaded: {self.result.load_result}")
 
@@ -232,7 +242,7 @@ class IngestRun:
         r = self.result
         r.status = status
         self.state.append("run_events", [{
-            "run_id": r.run_id, "pipeline": self.spec.name, "dataset": self.spec.target,
+            "run_id": r.run_id, "pipeline": self.spec.name, "dataset": self.spec.dataset,
             "status": status, "event_ts": datetime.now(timezone.utc), "started_at": self.now,
             "seq": {RUNNING: 1, RETRYING: 2}.get(status, 3),
             "finished_at": finished, "metrics": r.metrics() if status == SUCCEEDED else {},
@@ -250,7 +260,7 @@ class IngestRun:
 
     def record(self, batch: DataFrame, outcome: ValidationOutcome) -> None:
         """Scorecard, dataset, schema version, statistics, anomalies, lineage of a successful run."""
-        dataset, run_id, at = self.spec.target, self.result.run_id, datetime.now(timezone.utc)
+        dataset, run_id, at = self.spec.dataset, self.result.run_id, datetime.now(timezone.utc)
         columns = columns_of(batch, self.hidden)
         pending = [
             self.scorecard_rows(),
@@ -326,15 +336,21 @@ class IngestRun:
 
 
 def run_ingest(
-    spark: SparkSession, root: str, spec: PipelineSpec, run_id: str, now: datetime | None = None
+    spark: SparkSession, root: str, spec: PipelineSpec, run_id: str, now: datetime | None = None,
+    *, attempt: int = 1, attempts: int = 1,
 ) -> RunResult:
-    """Run a pipeline once. Always ends in a terminal ledger state; failures are raised again."""
+    """Run a pipeline once. Failures are raised again after they are on record.
+
+    An outside scheduler that repeats failed runs calls this with the same ``run_id`` and a rising
+    ``attempt``. Before the last attempt a failure leaves the run RETRYING; otherwise, and always
+    when a rule blocked the batch, it ends FAILED with a dead letter.
+    """
     now = now or datetime.now(timezone.utc)
     run = IngestRun(spark, root, spec, run_id, now)
     began = time.monotonic()
-    run.event(RUNNING)
+    run.event(RUNNING, retry_count=attempt - 1)
     try:
-        targets.get_target(spec.target)
+        targets.get_target(run.target)
         batch = run.stage_delta()
         outcome = run.check(batch)
         run.load(run.reshape(batch))
@@ -342,12 +358,15 @@ def run_ingest(
         run.result.duration_seconds = time.monotonic() - began
         # The watermark moves only after everything else is in place.
         run.record_watermark()
-        run.event(SUCCEEDED, datetime.now(timezone.utc))
+        run.event(SUCCEEDED, datetime.now(timezone.utc), retry_count=attempt - 1)
         return run.result
     except Exception as exc:
         run.result.error = str(exc)
         trace = tb.format_exc()
         blocked = isinstance(exc, ValidationFailed)
+        if attempt < attempts and not blocked:
+            run.event(RETRYING, trace=trace, retry_count=attempt)
+            raise
         run.state.append_all([
             *([run.scorecard_rows()] if blocked else []),
             ("dead_letters", [{
@@ -355,16 +374,20 @@ def run_ingest(
                 "created_at": datetime.now(timezone.utc),
             }]),
         ])
-        run.event(FAILED, datetime.now(timezone.utc), trace)
+        run.event(FAILED, datetime.now(timezone.utc), trace, retry_count=attempt - 1)
         raise
 
 
 def try_ingest(
-    spark: SparkSession, root: str, spec: PipelineSpec, run_id: str, now: datetime | None = None
+    spark: SparkSession, root: str, spec: PipelineSpec, run_id: str, now: datetime | None = None,
+    *, attempts: int = 1,
 ) -> RunResult:
-    """Like :func:`run_ingest`, but a typed failure comes back as a FAILED result."""
-    try:
-        return run_ingest(spark, root, spec, run_id, now)
-    except EtlError as exc:
-        outcome = exc.outcome if isinstance(exc, ValidationFailed) else None
-        return RunResult(run_id, FAILED, validation=outcome, error=str(exc))
+    """Up to ``attempts`` runs in a row; a typed failure comes back as a FAILED result."""
+    for attempt in range(1, attempts + 1):
+        try:
+            return run_ingest(spark, root, spec, run_id, now, attempt=attempt, attempts=attempts)
+        except ValidationFailed as exc:
+            return RunResult(run_id, FAILED, validation=exc.outcome, error=str(exc))
+        except EtlError as exc:
+            failed = RunResult(run_id, FAILED, error=str(exc))
+    return failed

@@ -251,7 +251,7 @@ def _ingest(spark, folder):
     landed = f"{root}/landed"
     dirty_customer(spark, folder).write.parquet(landed)
     spec = PipelineSpec(
-        "customers-daily", {"type": "parquet", "path": landed}, "crm", order_by=["customer_id"], **INGEST
+        "customers-daily", {"type": "parquet", "path": landed}, "crm", target="customers", order_by=["customer_id"], **INGEST
     )
     return root, run_ingest(spark, root, spec, "run-1", NOW)
 

@@ -13,6 +13,8 @@ def spark(tmp_path_factory):
         .config("spark.ui.enabled", "false")
         .config("spark.sql.shuffle.partitions", "4")
         .config("spark.driver.memory", "4g")
+        .config("spark.sql.codegen.wholeStage", "false")
+        .config("spark.sql.codegen.factoryMode", "NO_CODEGEN")
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.checkpoint.dir", str(shared))
         .config("spark.sql.warehouse.dir", str(shared / "warehouse"))

@@ -20,6 +20,7 @@ def csv(tmp_path, name, text):
 
 
 def file_spec(path, **kw):
+    kw.setdefault("target", "customers")
     return PipelineSpec(name=kw.pop("name", "p"), source={"type": "file", "path": path}, source_name="crm", **kw)
 
 
@@ -49,6 +50,15 @@ def test_clean_load_scores_and_layers(spark, lake, tmp_path):
     assert state.runs().first().metrics["rows_loaded"] == 2.0
 
 
+def test_dataset_without_target_is_named_after_the_pipeline(spark, lake, tmp_path):
+    spec = file_spec(csv(tmp_path, "a.csv", CUSTOMERS), target=None, keep_raw=True,
+                     transform={"clean": {"drop_rows_missing": ["email"]}})
+    run_ingest(spark, lake, spec, "r1", NOW)
+    assert State(spark, lake).read("datasets").first().name == "p"
+    assert layers.read_layer(spark, lake, "raw", "p").count() == 2
+    assert targets.open_dimension(spark, lake, "customers").current().count() == 2
+
+
 def test_run_twice_loads_once(spark, lake, tmp_path):
     spec = file_spec(csv(tmp_path, "a.csv", CUSTOMERS))
     run_ingest(spark, lake, spec, "r1", NOW)
@@ -156,10 +166,14 @@ def test_failures_end_in_a_terminal_state(spark, lake, tmp_path):
         run_ingest(spark, lake, file_spec(path, transform={"select": ["nope"]}), "r2", NOW)
     with pytest.raises(TransformError):
         run_ingest(spark, lake, file_spec(path, transform={"cast": {"email": "int"}}), "r3", NOW)
-    assert try_ingest(spark, lake, file_spec(str(tmp_path / "none.csv")), "r4", NOW).status == "FAILED"
+    assert try_ingest(spark, lake, file_spec(str(tmp_path / "none.csv")), "r4", NOW, attempts=2).status == "FAILED"
     with pytest.raises(LoadError):
         run_ingest(spark, lake, file_spec(csv(tmp_path, "b.csv", "customer_id,x\n1,2\n")), "r5", NOW)
-    assert {r.status for r in State(spark, lake).runs().collect()} == {"FAILED"}
+    state = State(spark, lake)
+    assert {r.status for r in state.runs().collect()} == {"FAILED"}
+    retried = state.read("run_events").filter("run_id = 'r4'").orderBy("event_ts").collect()
+    assert [(e.status, e.retry_count) for e in retried] == [("RUNNING", 0), ("RETRYING", 1), ("RUNNING", 1), ("FAILED", 1)]
+    assert state.read("dead_letters").filter("run_id = 'r4'").count() == 1
 
 
 def test_schema_drift_and_rename(spark, lake, tmp_path):
