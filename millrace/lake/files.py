@@ -23,6 +23,13 @@ def child_folders(spark: SparkSession, location: str) -> list[str]:
     return sorted(s.getPath().getName() for s in fs.listStatus(path) if s.isDirectory())
 
 
+def matches(spark: SparkSession, pattern: str) -> list[str]:
+    """Paths that fit a glob pattern."""
+    path, fs = _path(spark, pattern)
+    found = fs.globStatus(path)
+    return sorted(s.getPath().toString() for s in found) if found is not None else []
+
+
 def remove(spark: SparkSession, location: str) -> None:
     path, fs = _path(spark, location)
     fs.delete(path, True)

@@ -99,9 +99,14 @@ class State:
         mine = self.read("schema_versions").filter(F.col("dataset") == dataset)
         return mine.agg(F.max_by(F.struct("version", "columns"), "version").alias("s")).first().s
 
-    def baseline(self, dataset: str) -> DataFrame:
-        newest = self.latest("column_stats", ["dataset", "column"], "recorded_at")
-        return newest.filter(F.col("dataset") == dataset).select("dataset", "column", "count", "mean", "m2")
+    def baseline(self, dataset: str, before_run: str | None = None) -> DataFrame:
+        """Newest baseline per column. A run that is started again passes its id, so that what it
+        merged the first time is not counted twice."""
+        stats = self.read("column_stats").filter(F.col("dataset") == dataset)
+        if before_run is not None:
+            stats = stats.filter(F.col("run_id") != before_run)
+        newest = last_per_key(stats, ["dataset", "column"], ["recorded_at"])
+        return newest.select("dataset", "column", "count", "mean", "m2")
 
     def runs(self) -> DataFrame:
         return run_current_state(self.read("run_events"))

@@ -1,9 +1,10 @@
 """Gold targets as numbered snapshots.
 
-``<target>/current/snapshot_seq=N`` holds all current rows after load N,
+``<target>/current/snapshot_seq=N/run_id=R`` holds all current rows after load N, made by run R,
 ``<target>/closed/snapshot_seq=N`` only the versions load N closed. A load becomes visible when
 its ``current`` folder has the success marker, which Spark writes last, so readers see all of a
-load or nothing of it. History is appended, never rewritten.
+load or nothing of it, and a run that is started again can tell that its load is already there.
+History is appended, never rewritten. One load at a time may write to a target.
 """
 
 from __future__ import annotations
@@ -35,24 +36,25 @@ class Dimension:
     folder: str
     spec: DimensionSpec
 
+    def _complete(self, run_id: str = "*") -> dict[int, str]:
+        """Number and folder of every complete snapshot, or of those of one run."""
+        marks = files.matches(self.spark, f"{self.folder}/current/{SEQ}=*/run_id={run_id}/_SUCCESS")
+        folders = [m.removesuffix("/_SUCCESS") for m in marks]
+        return {int(f.rsplit(f"{SEQ}=", 1)[1].split("/", 1)[0]): f for f in folders}
+
     def latest_seq(self) -> int:
         """Number of the newest complete snapshot, 0 before the first load."""
-        current = f"{self.folder}/current"
-        numbers = sorted(
-            (int(name.split("=", 1)[1]) for name in files.child_folders(self.spark, current)
-             if name.startswith(f"{SEQ}=")),
-            reverse=True,
-        )
-        for n in numbers:
-            if files.exists(self.spark, f"{current}/{SEQ}={n}/_SUCCESS"):
-                return n
-        return 0
+        return max(self._complete(), default=0)
+
+    def has_load_of(self, run_id: str) -> bool:
+        return bool(self._complete(run_id))
 
     def current(self, seq: int | None = None) -> DataFrame:
-        seq = self.latest_seq() if seq is None else seq
+        complete = self._complete()
+        seq = max(complete, default=0) if seq is None else seq
         if not seq:
             return local_frame(self.spark, [], self.spec.schema)
-        return self.spark.read.schema(self.spec.schema).parquet(f"{self.folder}/current/{SEQ}={seq}")
+        return self.spark.read.schema(self.spec.schema).parquet(complete[seq])
 
     def history(self) -> DataFrame:
         """Every version: the closed ones of all complete loads and the current ones."""
@@ -64,13 +66,17 @@ class Dimension:
         older = self.spark.read.schema(f"{self.spec.schema}, {SEQ} bigint").parquet(closed)
         return older.filter(F.col(SEQ) <= seq).select(*self.spec.columns).unionByName(current)
 
-    def write(self, seq: int, current: DataFrame, closed: DataFrame | None = None) -> None:
+    def write(
+        self, seq: int, current: DataFrame, closed: DataFrame | None = None, run_id: str = "none"
+    ) -> None:
         if closed is not None:
             closed.write.mode("overwrite").parquet(f"{self.folder}/closed/{SEQ}={seq}")
-        current.write.mode("overwrite").parquet(f"{self.folder}/current/{SEQ}={seq}")
+        current.write.mode("overwrite").parquet(f"{self.folder}/current/{SEQ}={seq}/run_id={run_id}")
 
 
-def load_type1(dim: Dimension, batch: DataFrame, order_by: list[str], now: datetime) -> dict:
+def load_type1(
+    dim: Dimension, batch: DataFrame, order_by: list[str], now: datetime, run_id: str = "none"
+) -> dict:
     """Overwrite in place; loading the same batch again changes nothing."""
     seq = dim.latest_seq()
     current = dim.current(seq)
@@ -79,13 +85,14 @@ def load_type1(dim: Dimension, batch: DataFrame, order_by: list[str], now: datet
     merged = upsert_type1(
         current, batch, dim.spec, order_by, now, broadcast_keys=small, created=created
     )
-    dim.write(seq + 1, merged)
+    dim.write(seq + 1, merged, run_id=run_id)
     # Every row that did not create its key updated it, as in a row-by-row load.
     return {"created": created.get["keys"], "updated": batch.count() - created.get["keys"]}
 
 
 def load_type2(
-    dim: Dimension, batch: DataFrame, order_by: list[str], now: datetime, collapse: bool = False
+    dim: Dimension, batch: DataFrame, order_by: list[str], now: datetime, run_id: str = "none",
+    collapse: bool = False,
 ) -> dict:
     """Close changed versions, open new ones; a batch without changes leaves no trace."""
     seq = dim.latest_seq()
@@ -101,12 +108,12 @@ def load_type2(
     fresh = versions.filter("is_current").select(*dim.spec.columns)
     closed = versions.filter("NOT is_current").select(*dim.spec.columns)
     kept = untouched_rows(current, batch, dim.spec, broadcast_keys=small)
-    dim.write(seq + 1, kept.unionByName(fresh), closed)
+    dim.write(seq + 1, kept.unionByName(fresh), closed, run_id)
     files.remove(dim.spark, staged)
     return counts
 
 
-Loader = Callable[[Dimension, DataFrame, list, datetime], dict]
+Loader = Callable[[Dimension, DataFrame, list, datetime, str], dict]
 
 
 @dataclass(frozen=True)
@@ -141,12 +148,19 @@ def open_dimension(spark: SparkSession, root: str, name: str) -> Dimension:
 
 
 def load(
-    spark: SparkSession, root: str, name: str, batch: DataFrame, order_by: list[str], now: datetime
+    spark: SparkSession, root: str, name: str, batch: DataFrame, order_by: list[str], now: datetime,
+    run_id: str,
 ) -> dict:
-    """Load a batch into a target; whatever goes wrong surfaces as LoadError."""
+    """Load a run's batch into a target; whatever goes wrong surfaces as LoadError.
+
+    A run whose load is complete already (it failed later on and was started again) loads nothing.
+    """
     target = get_target(name)
     try:
-        return target.loader(open_dimension(spark, root, name), batch, order_by, now)
+        dim = open_dimension(spark, root, name)
+        if dim.has_load_of(run_id):
+            return {"created": 0, "updated": 0}
+        return target.loader(dim, batch, order_by, now, run_id)
     except EtlError:
         raise
     except PySparkException as exc:

@@ -294,7 +294,7 @@ def orphan_count(df: DataFrame, column: str, parent: DataFrame, parent_column: s
     """
     child = F.col(quoted(column))
     counted = df.filter(child.isNotNull()).groupBy(child.alias("__key")).count()
-    keys = parent.select(F.col(quoted(parent_column)).alias("__key"))
+    keys = parent.select(F.col(quoted(parent_column)).alias("__key")).distinct()
     return counted.join(keys, "__key", "left_anti").agg(
         F.coalesce(F.sum("count"), F.lit(0)).cast("bigint").alias("n")
     )

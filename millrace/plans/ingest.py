@@ -23,6 +23,7 @@ from datetime import datetime, timezone
 from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import MapType, VariantType
 
 from millrace.errors import EtlError, ExtractError, TransformError, ValidationFailed, first_line
 from millrace.functions.types import measurable_columns, nan_to_null, quoted
@@ -230,9 +231,10 @@ class IngestRun:
         order = list(self.spec.order_by) or [c for c in (POSITION,) if c in batch.columns]
         if not order:
             # Without any stated order all columns together give a repeatable one.
-            order = [c for c in batch.columns]
+            order = [f.name for f in batch.schema if not isinstance(f.dataType, (MapType, VariantType))]
         self.result.load_result = targets.load(
-            self.spark, self.root, self.target, batch, order, self.now
+            self.spark, self.root, self.target, batch, order, self.now,
+            self.result.run_id,
         )
         self.log(f"loaded: {self.result.load_result}")
 
@@ -316,7 +318,7 @@ class IngestRun:
         moments = local_frame(
             self.spark, rows, "dataset string, column string, count bigint, mean double, variance double"
         )
-        known = [row.asDict() for row in self.state.baseline(dataset).collect()]
+        known = [row.asDict() for row in self.state.baseline(dataset, run_id).collect()]
         baseline = local_frame(self.spark, known, STATS_SCHEMA)
         judged = [r.asDict() for r in judge_and_merge(moments, baseline, ["dataset", "column"]).collect()]
         unusual = [r for r in judged if r["is_anomaly"]]

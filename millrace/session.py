@@ -20,6 +20,9 @@ SESSION_SETTINGS = {
 }
 
 
+_LOCAL_ROOTS: dict[str, str] = {}
+
+
 def configure(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings to an existing session."""
     for name, value in SESSION_SETTINGS.items():
@@ -37,8 +40,10 @@ def shared_root(spark: SparkSession) -> str:
         CHECKPOINT_SETTING
     )
     if not root:
-        root = tempfile.mkdtemp(prefix="millrace-")
-        spark.conf.set(CHECKPOINT_SETTING, root)
+        application = spark.sparkContext.applicationId
+        if application not in _LOCAL_ROOTS:
+            _LOCAL_ROOTS[application] = tempfile.mkdtemp(prefix="millrace-")
+        root = _LOCAL_ROOTS[application]
     return root.rstrip("/")
 
 

@@ -7,6 +7,7 @@ import pytest
 from millrace.errors import LoadError, TransformError, ValidationFailed
 from millrace.lake import layers, targets
 from millrace.lake.state import State
+from millrace.operators.dimension import DimensionSpec
 from millrace.operators.lineage import lineage_graph
 from millrace.plans.ingest import PipelineSpec, run_ingest, try_ingest
 
@@ -75,7 +76,10 @@ def test_same_run_id_replaces_its_own_rows(spark, lake, tmp_path):
     run_ingest(spark, lake, spec, "r1", NOW)
     run_ingest(spark, lake, spec, "r1", NOW)
     assert layers.read_layer(spark, lake, "bronze", "customers").count() == 2
-    assert targets.open_dimension(spark, lake, "customers").current().count() == 2
+    dim = targets.open_dimension(spark, lake, "customers")
+    assert dim.current().count() == 2 and dim.latest_seq() == 1
+    counted = {b.column: b["count"] for b in State(spark, lake).baseline("customers").collect()}
+    assert counted == {"customer_id": 2}
 
 
 def test_blocked_run_loads_nothing(spark, lake, tmp_path):
@@ -136,7 +140,7 @@ def test_half_written_snapshot_is_invisible(spark, lake, tmp_path):
     spec = file_spec(csv(tmp_path, "a.csv", CUSTOMERS))
     run_ingest(spark, lake, spec, "r1", NOW)
     dim = targets.open_dimension(spark, lake, "customers")
-    partial = f"{dim.folder}/current/snapshot_seq=2"
+    partial = f"{dim.folder}/current/snapshot_seq=2/run_id=r2"
     dim.current().limit(1).write.option(
         "mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").parquet(partial)
     assert dim.latest_seq() == 1 and dim.current().count() == 2
@@ -222,3 +226,16 @@ def test_lineage_of_two_pipelines(spark, lake, tmp_path):
     graph = lineage_graph(edges.drop("recorded_at"), "customers")
     assert [n["layer"] for n in graph["nodes"]] == ["SOURCE", "SOURCE", "BRONZE", "SILVER", "GOLD"]
     assert len(graph["edges"]) == 6
+
+
+def test_custom_target(spark, lake, tmp_path):
+    """L3: a target is a loader and a table shape."""
+    spec = DimensionSpec(key="sku", source_key="id", tracked=("price",), carried=(), required=(), types={"price": "double"},
+                         defaults={}, column_order=())
+    targets.register_target("parts", targets.Target("parts", targets.load_type2, spec))
+    path = csv(tmp_path, "a.csv", "id,price\n1,1.5\n1,2.5\n2,3.0\n")
+    r = run_ingest(spark, lake, file_spec(path, target="parts"), "r1", NOW)
+    assert r.load_result == {"created": 2, "updated": 1}
+    dim = targets.open_dimension(spark, lake, "parts")
+    assert dim.current().count() == 2 and dim.history().count() == 3
+    assert {(x.sku, x.price) for x in dim.current().collect()} == {("1", 2.5), ("2", 3.0)}
