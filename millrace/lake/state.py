@@ -95,6 +95,9 @@ class State:
         mine = self.read("watermarks").filter(F.col("pipeline") == pipeline)
         return mine.agg(F.max_by(F.struct("value", "kind"), "recorded_at").alias("s")).first().s
 
+    def has_dataset(self, dataset: str) -> bool:
+        return not self.read("datasets").filter(F.col("name") == dataset).isEmpty()
+
     def schema_version(self, dataset: str):
         mine = self.read("schema_versions").filter(F.col("dataset") == dataset)
         return mine.agg(F.max_by(F.struct("version", "columns"), "version").alias("s")).first().s

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import asdict, dataclass, field
 from datetime import datetime
 
@@ -10,8 +11,8 @@ from pyspark.sql import functions as F
 
 from millrace.errors import ValidationFailed
 from millrace.operators.duplicates import repeated_rows
+from millrace.operators.rules import BLOCKING, DUPLICATE_ROWS, ROWS, WARNING, RuleSet
 from millrace.session import local_frame
-from millrace.operators.rules import BLOCKING, DUPLICATE_ROWS, WARNING, ROWS, RuleSet
 
 
 @dataclass
@@ -53,30 +54,37 @@ class ValidationOutcome:
         return [asdict(c) for c in self.checks]
 
 
+def _collect_counts(sides: dict[str, DataFrame]) -> dict[str, int]:
+    """All one-row counts by a single job."""
+    tall = None
+    for name, counted in sides.items():
+        part = counted.select(F.lit(name).alias("measure"), "n")
+        tall = part if tall is None else tall.unionByName(part)
+    return {} if tall is None else {row.measure: row.n for row in tall.collect()}
+
+
 def assess(
     df: DataFrame, spec: dict, as_of: datetime | None = None, hidden: tuple[str, ...] = (),
     extra: tuple[Column, ...] = (),
 ) -> ValidationOutcome:
     """Run every rule and score the batch.
 
-    One job answers all row-level rules and the caller's ``extra`` aggregates; a second one, if
-    any rule compares rows, runs those counts side by side. The whole-row comparison behind the
+    One job answers all row-level rules and the caller's ``extra`` aggregates; another one, if any
+    rule compares rows, runs those counts next to it. The whole-row comparison behind the
     consistency score is skipped when a ``unique`` column already proves that no row repeats.
     """
     rules = RuleSet.compile(df, spec.get("rules", []), as_of, hidden)
     fused = rules.row_aggregates()
-    first = df.agg(*fused, *extra).first()
+    sides = rules.side_counts()
+    sides.pop(DUPLICATE_ROWS, None)
+    with ThreadPoolExecutor(max_workers=2) as pool:
+        scanned = pool.submit(lambda: df.agg(*fused, *extra).first())
+        counted = pool.submit(_collect_counts, sides)
+    first = scanned.result()
     measures = dict(zip(first.__fields__[: len(fused)], first[: len(fused)]))
     extras = dict(zip(first.__fields__[len(fused):], first[len(fused):]))
 
-    sides = rules.side_counts()
-    sides.pop(DUPLICATE_ROWS, None)
-    if sides:
-        tall = None
-        for name, counted in sides.items():
-            part = counted.select(F.lit(name).alias("measure"), "n")
-            tall = part if tall is None else tall.unionByName(part)
-        measures.update({row.measure: row.n for row in tall.collect()})
+    measures.update(counted.result())
     proven = measures[ROWS] <= 1 or any(
         measures[name] == 0 for name in sides if name.startswith("repeats:")
     )

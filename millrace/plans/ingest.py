@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import time
 import traceback as tb
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
 
@@ -264,18 +265,22 @@ class IngestRun:
         """Scorecard, dataset, schema version, statistics, anomalies, lineage of a successful run."""
         dataset, run_id, at = self.spec.dataset, self.result.run_id, datetime.now(timezone.utc)
         columns = columns_of(batch, self.hidden)
-        pending = [
+        # Small jobs over state tables that do not depend on each other.
+        with ThreadPoolExecutor(max_workers=4) as pool:
+            schema = pool.submit(self.schema_rows, dataset, run_id, at, columns)
+            statistics = pool.submit(self.statistics_rows, dataset, run_id, at, outcome.extras)
+            lineage = pool.submit(self.lineage_rows, dataset, at)
+            known = pool.submit(self.state.has_dataset, dataset)
+        self.state.append_all([
             self.scorecard_rows(),
             ("column_sightings", [
                 {"dataset": dataset, **c, "run_id": run_id, "seen_at": at} for c in columns
             ]),
-            ("schema_versions", self.schema_rows(dataset, run_id, at, columns)),
-            *self.statistics_rows(dataset, run_id, at, outcome.extras),
-            ("lineage", self.lineage_rows(dataset, at)),
-        ]
-        if self.state.read("datasets").filter(F.col("name") == dataset).isEmpty():
-            pending.append(("datasets", [{"name": dataset, "created_at": at}]))
-        self.state.append_all(pending)
+            ("schema_versions", schema.result()),
+            *statistics.result(),
+            ("lineage", lineage.result()),
+            ("datasets", [] if known.result() else [{"name": dataset, "created_at": at}]),
+        ])
 
     def schema_rows(self, dataset: str, run_id: str, at: datetime, columns: list[dict]) -> list[dict]:
         row = {"dataset": dataset, "run_id": run_id, "columns": columns, "created_at": at}

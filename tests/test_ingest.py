@@ -239,3 +239,29 @@ def test_custom_target(spark, lake, tmp_path):
     dim = targets.open_dimension(spark, lake, "parts")
     assert dim.current().count() == 2 and dim.history().count() == 3
     assert {(x.sku, x.price) for x in dim.current().collect()} == {("1", 2.5), ("2", 3.0)}
+
+
+def test_killed_run_is_started_again(spark, lake, tmp_path, monkeypatch):
+    """I5: the driver dies after the load; the same run id brings every row exactly once."""
+    path = tmp_path / "big.csv"
+    with path.open("w") as f:
+        f.write("customer_id,first_name,last_name,email,signup_date,country\n")
+        f.writelines(f"chaos-{i % 15000},n{i},T,u{i}@x.com,2024-01-01,US\n" for i in range(20000))
+    spec = file_spec(str(path), target="customers_scd2")
+
+    def die(*args):
+        raise KeyboardInterrupt
+
+    with monkeypatch.context() as m:
+        m.setattr("millrace.plans.ingest.IngestRun.record", die)
+        with pytest.raises(KeyboardInterrupt):
+            run_ingest(spark, lake, spec, "r1", NOW)
+    state = State(spark, lake)
+    assert state.runs().first().status == "RUNNING"
+    r = run_ingest(spark, lake, spec, "r1", NOW)
+    dim = targets.open_dimension(spark, lake, "customers_scd2")
+    assert (r.status, r.rows_loaded, dim.latest_seq()) == ("SUCCEEDED", 20000, 1)
+    assert dim.current().count() == 15000 and dim.history().count() == 20000
+    last = dim.current().filter("external_id = 'chaos-7'").first()
+    assert last.first_name == "n15007"
+    assert state.runs().first().status == "SUCCEEDED"
