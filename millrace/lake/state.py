@@ -11,6 +11,7 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from millrace.functions.types import quoted
 from millrace.lake import files
 from millrace.operators.ledger import run_current_state
 from millrace.operators.transform import last_per_key
@@ -95,6 +96,13 @@ class State:
         mine = self.read("watermarks").filter(F.col("pipeline") == pipeline)
         return mine.agg(F.max_by(F.struct("value", "kind"), "recorded_at").alias("s")).first().s
 
+    def layer_schema(self, dataset: str) -> str:
+        """DDL of a bronze layer from the columns ever seen in it, so that reading the layer needs
+        no file footers."""
+        seen = self.latest("column_sightings", ["dataset", "name"], "seen_at")
+        columns = seen.filter(F.col("dataset") == dataset).orderBy("name").collect()
+        return ", ".join([f"{quoted(c.name)} {c.dtype}" for c in columns] + ["dt date", "run_id string"])
+
     def has_dataset(self, dataset: str) -> bool:
         return not self.read("datasets").filter(F.col("name") == dataset).isEmpty()
 

@@ -17,6 +17,7 @@ from millrace.plans.inputs import DIRTY_CUSTOMER_SQL, dirty_customer, table
 from millrace.session import local_frame, scratch_path
 from millrace.streaming.baseline import stream_baseline
 from millrace.streaming.poll import poll_files
+from millrace.streaming.rates import stream_rate
 
 QUERIES = {}
 
@@ -333,3 +334,31 @@ def streamed_baseline(spark, folder):
         "dataset", "column", "count", F.round("mean", 4).alias("mean"),
         F.round(F.sqrt(F.col("m2") / F.col("count")), 4).alias("stddev"),
     )
+
+
+@query(
+    "stream_rate_5m",
+    "SELECT event_type, window_end, round(CAST(sum(n) AS DOUBLE) / 300, 6) AS rate_per_second FROM ("
+    "SELECT event_type, minute + to_minutes(CAST(i AS BIGINT)) AS window_end, n FROM ("
+    "SELECT event_type, date_trunc('minute', ts) AS minute, count(*) AS n FROM events GROUP BY 1, 2),"
+    " range(1, 6) t(i)) GROUP BY 1, 2"
+    " HAVING window_end <= (SELECT date_trunc('millisecond', max(ts)) - INTERVAL 10 MINUTE FROM events)",
+)
+def streamed_rate(spark, folder):
+    """Sliding rates of a stream: every window that can no longer change, i.e. that ended ten
+    minutes before the newest event."""
+    root = scratch_path(spark, "rates")
+    schema = table(spark, folder, "events").schema
+    events = spark.readStream.schema(schema).parquet(f"{folder}/event[s].parquet").select(
+        F.col("ts").cast("timestamp").alias("ts"), "event_type"
+    )
+    rates = stream_rate(events, "ts", ["event_type"]).select(
+        "event_type", F.col("window_end").cast("timestamp_ntz").alias("window_end"),
+        F.round("rate_per_second", 6).alias("rate_per_second"),
+    )
+    query = (
+        rates.writeStream.format("parquet").option("checkpointLocation", f"{root}/checkpoint")
+        .option("path", f"{root}/out").outputMode("append").trigger(availableNow=True).start()
+    )
+    query.awaitTermination()
+    return spark.read.schema(rates.schema).parquet(f"{root}/out")

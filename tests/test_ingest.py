@@ -194,6 +194,13 @@ def test_schema_drift_and_rename(spark, lake, tmp_path):
     assert versions[1].added_columns == ["country"] and versions[1].removed_columns == []
     assert [tuple(x) for x in versions[2].renamed_columns] == [("cust_id", "customer_id")]
     assert versions[2].added_columns == [] and versions[2].removed_columns == []
+    # the catalog knows the layer's columns, so a reader need not open the files for them
+    known = State(spark, lake).layer_schema("customers")
+    by_catalog = layers.read_layer(spark, lake, "bronze", "customers", known)
+    merged = layers.read_layer(spark, lake, "bronze", "customers")
+    assert set(by_catalog.dtypes) == set(merged.dtypes) and by_catalog.count() == 4
+    names = sorted(merged.columns)
+    assert sorted(map(str, by_catalog.select(names).collect())) == sorted(map(str, merged.select(names).collect()))
 
 
 def test_anomaly_after_baseline(spark, lake, tmp_path):
