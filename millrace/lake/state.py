@@ -57,6 +57,15 @@ SCHEMAS = {
     ),
 }
 
+# Tables that a run reads for one pipeline or dataset lie in folders by it, so that it opens the
+# files of its own history only.
+FOLDERS = {
+    "watermarks": "pipeline",
+    "schema_versions": "dataset",
+    "column_sightings": "dataset",
+    "column_stats": "dataset",
+}
+
 
 class State:
     """The state tables below one root folder."""
@@ -73,7 +82,10 @@ class State:
             return
         # Keys that the table does not have are left out, missing ones become NULL.
         frame = local_frame(self.spark, rows, SCHEMAS[table])
-        frame.coalesce(1).write.mode("append").parquet(self.folder(table))
+        writer = frame.coalesce(1).write.mode("append")
+        if table in FOLDERS:
+            writer = writer.partitionBy(FOLDERS[table])
+        writer.parquet(self.folder(table))
 
     def append_all(self, pending: list[tuple[str, list[dict]]]) -> None:
         """Several tables at once; the jobs are tiny and run side by side."""

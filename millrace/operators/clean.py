@@ -128,21 +128,17 @@ def clean_stats(df: DataFrame, spec: dict, hidden: tuple[str, ...] = ()) -> Data
 
 
 def clean_observed(
-    df: DataFrame, spec: dict, observation: Observation, extra: tuple[Column, ...] = (),
-    hidden: tuple[str, ...] = (),
+    df: DataFrame, spec: dict, observation: Observation, hidden: tuple[str, ...] = ()
 ) -> DataFrame:
     """Like :func:`clean`, with the counters collected by whichever action consumes the rows."""
     columns = [c for c in df.columns if c not in hidden]
     repaired, flags = _repair(df, spec, flagged=True)
     keep = _kept(repaired, spec, columns)
-    aggregates = [
-        F.sum(F.col(a_flag)).alias(name) for name, a_flag in flags.items()
-    ]
+    aggregates = [F.sum(F.col(flag)).alias(counter) for counter, flag in flags.items()]
     counted = repaired.withColumn("__kept", keep).observe(
         observation,
         F.count(F.lit(1)).alias("rows_delta"),
         F.count(F.when(~F.col("__kept"), 1)).alias("rows_dropped"),
         *aggregates,
-        *extra,
     )
     return counted.filter(F.col("__kept")).drop("__kept", *flags.values())

@@ -5,6 +5,7 @@ from datetime import date, datetime
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
+from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from millrace.errors import ExtractError, LoadError
 from millrace.lake import layers, targets
@@ -106,6 +107,34 @@ def test_unknown_source_and_custom_source(spark):
     assert {"file", "postgres", "rest_api", "s3", "numbers"} <= set(source_types())
 
 
+def test_custom_format_as_a_source(spark):
+    """L4: a Python data source becomes a source type."""
+
+    class Squares(DataSource):
+        @classmethod
+        def name(cls):
+            return "squares"
+
+        def schema(self):
+            return "n int, square int"
+
+        def reader(self, schema):
+            upto = int(self.options["upto"])
+
+            class Reader(DataSourceReader):
+                def partitions(self):
+                    return [InputPartition(i) for i in range(upto)]
+
+                def read(self, partition):
+                    yield (partition.value, partition.value**2)
+
+            return Reader()
+
+    spark.dataSource.register(Squares)
+    register_source("squares", lambda spark, config: spark.read.format("squares").options(**config).load())
+    assert rows(extract(spark, "squares", {"upto": "3"})) == [(0, 0), (1, 1), (2, 4)]
+
+
 # paged JSON
 
 def pages(tmp_path, *texts):
