@@ -81,8 +81,10 @@ def incoming(batch: DataFrame, spec: DimensionSpec, keep: tuple[str, ...] = ())
             col = F.nullif(col.cast("string"), F.lit(""))
         return col.cast(dtype)
 
+    # Rows without a key share the empty one (blank cells are missing, so no real key is blank).
+    key = F.coalesce(F.col(quoted(spec.source_key)).cast("string"), F.lit(""))
     return batch.select(
-        F.col(quoted(spec.source_key)).cast("string").alias(spec.key),
+        key.alias(spec.key),
         *[attribute(a).alias(a) for a in spec.attributes],
         *[F.col(quoted(c)) for c in keep],
     )

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+from functools import reduce
 from urllib.parse import urlparse
 
 from pyspark.errors import AnalysisException
@@ -22,6 +23,7 @@ NULL_TOKENS = (
 # Texts that mean true or false.
 BOOLEAN_TOKENS = ("True", "TRUE", "true", "False", "FALSE", "false")
 SURPLUS = "_extra"
+OPEN_QUOTE = "_open"
 
 
 def resolve_path(path: str, base_dir: str | None) -> str:
@@ -49,11 +51,21 @@ def _header(spark: SparkSession, path: str, options: dict) -> list[str]:
     return names
 
 
-def _has_open_quotes(spark: SparkSession, path: str, options: dict) -> bool:
-    """Whether some line leaves a quote open, i.e. a cell holds a line break."""
+def _lines(spark: SparkSession, path: str, names: list[str], options: dict) -> DataFrame:
+    """Cells of every line taken by itself, and whether the line leaves a quote open."""
+    schema = ", ".join(f"{quoted(n)} string" for n in [*names, SURPLUS])
+    text = spark.read.options(**options).text(path)
     quotes = F.length("value") - F.length(F.replace(F.col("value"), F.lit('"'), F.lit("")))
-    lines = spark.read.options(**options).text(path)
-    return not lines.filter(quotes % 2 == 1).limit(1).isEmpty()
+    parsed = text.select(
+        F.from_csv("value", schema, {"escape": '"'}).alias("r"), (quotes % 2 == 1).alias("open")
+    )
+    is_header = reduce(
+        lambda a, b: a & b, [F.col(f"r.{quoted(n)}").eqNullSafe(F.lit(n)) for n in names]
+    )
+    return parsed.filter(~is_header).select(
+        *[F.col(f"r.{quoted(n)}").alias(n) for n in [*names, SURPLUS]],
+        F.when(F.col("open"), F.lit("open")).alias(OPEN_QUOTE),
+    )
 
 
 def read_csv(
@@ -62,21 +74,24 @@ def read_csv(
 ) -> DataFrame:
     """Typed rows plus the hidden position struct.
 
-    Without ``schema`` (a DDL string) one pass over the whole file finds the types and checks the
-    field counts. Short rows are padded with NULL, long rows are an error. Files whose cells hold
-    line breaks cannot be split; ``multi_line`` says so, and is looked up when it is not given.
+    One pass over the whole file finds the types, checks the field counts and looks for cells that
+    hold line breaks; such files cannot be split and are read once more as a whole. With ``schema``
+    (a DDL string) and ``multi_line`` given, there is no such pass. Short rows are padded with NULL,
+    long rows are an error.
     """
     options = options or {}
     names = _header(spark, path, options)
+    surveyed = None
     if multi_line is None:
-        multi_line = _has_open_quotes(spark, path, options)
+        surveyed = _survey(_lines(spark, path, names, options))
+        multi_line = OPEN_QUOTE in surveyed
     text_schema = ", ".join(f"{quoted(n)} string" for n in [*names, SURPLUS])
     raw = spark.read.schema(text_schema).options(
         header=True, escape='"', multiLine=multi_line, **options
     ).csv(path)
     cells = {n: F.when(~F.col(quoted(n)).isin(*NULL_TOKENS), F.col(quoted(n))) for n in names}
     if schema is None:
-        types = _infer(raw, names, path)
+        types = _infer(_survey(raw) if multi_line or surveyed is None else surveyed, names, path)
     else:
         from pyspark.sql.types import StructType
 
@@ -122,29 +137,34 @@ def _kind(cell: Column) -> Column:
     )
 
 
-def _infer(raw: DataFrame, names: list[str], path: str) -> dict[str, str]:
-    """Narrowest of bigint, double, boolean, string per column, over all rows.
+def _survey(cells: DataFrame) -> dict:
+    """Kinds found per column, over all rows; columns without any value are not in it.
 
     Cells are looked at one per row, so the generated code stays small however wide the file is;
     the counts per column are combined before the shuffle.
     """
-    every = F.array(*[F.col(quoted(n)) for n in [*names, SURPLUS]])
-    cells = raw.select(F.posexplode(every).alias("at", "cell"))
-    present = cells.filter(~F.col("cell").isin(*NULL_TOKENS)).select("at", F.trim("cell").alias("cell"))
+    names = cells.columns
+    every = F.array(*[F.col(quoted(n)) for n in names])
+    tall = cells.select(F.posexplode(every).alias("at", "cell"))
+    present = tall.filter(~F.col("cell").isin(*NULL_TOKENS)).select("at", F.trim("cell").alias("cell"))
     kinds = present.select("at", _kind(F.col("cell")).alias("kind"))
-    seen = {
-        r.at: r for r in kinds.groupBy("at").agg(
-            F.min("kind").alias("least"), F.max("kind").alias("most"), F.count("kind").alias("n")
-        ).collect()
-    }
-    if len(names) in seen:
-        raise ExtractError(f"{path} has {seen[len(names)].n} row(s) with more fields than the header")
+    found = kinds.groupBy("at").agg(
+        F.min("kind").alias("least"), F.max("kind").alias("most"), F.count("kind").alias("n")
+    )
+    return {names[r.at]: r for r in found.collect()}
+
+
+def _infer(seen: dict, names: list[str], path: str) -> dict[str, str]:
+    """Narrowest of bigint, double, boolean, string per column."""
+    if SURPLUS in seen:
+        raise ExtractError(f"{path} has {seen[SURPLUS].n} row(s) with more fields than the header")
     types = {}
-    for i, name in enumerate(names):
-        if i not in seen or seen[i].most == NUMBER:
+    for name in names:
+        kinds = seen.get(name)
+        if kinds is None or kinds.most == NUMBER:
             types[name] = "double"
-        elif seen[i].most == WHOLE:
+        elif kinds.most == WHOLE:
             types[name] = "bigint"
         else:
-            types[name] = "boolean" if seen[i].least == seen[i].most == TRUTH else "string"
+            types[name] = "boolean" if kinds.least == kinds.most == TRUTH else "string"
     return types

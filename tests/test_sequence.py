@@ -139,6 +139,17 @@ def test_type1(spark):
     assert row.valid_from == NOW and row.is_current
 
 
+def test_rows_without_a_key_load_once(spark):
+    batch = spark.createDataFrame([(None, "Ada", "a@x.com", 1), (None, "Ada B", "b@x.com", 2)],
+                                  "customer_id int, first_name string, email string, t int")
+    table = local_frame(spark, [], CUSTOMERS.schema)
+    for _ in range(2):
+        table = upsert_type1(table, batch, CUSTOMERS, ["t"], NOW)
+    assert [(r.external_id, r.first_name) for r in table.collect()] == [("", "Ada B")]
+    again = merge_type2(table, batch.filter("t = 2"), CUSTOMERS, ["t"], LATER)
+    assert tuple(merge_counts(again).first()) == (0, 0)
+
+
 def test_small_batches_leave_the_dimension_in_place(spark, tmp_path):
     """Neither join moves the big side when the batch is small."""
     path = str(tmp_path / "dim")
