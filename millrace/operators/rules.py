@@ -71,6 +71,10 @@ class Check:
     def passing(self) -> Column:
         return self.violations == 0 if self.passed is None else self.passed
 
+    def message(self) -> Column:
+        failed = F.replace(F.lit(self.failed_text), F.lit("{n}"), self.violations.cast("string"))
+        return F.when(self.passing(), F.lit(self.passed_text)).otherwise(failed)
+
 
 @dataclass
 class Batch:
@@ -404,6 +408,7 @@ class RuleSet:
                     F.lit(check.label).alias("rule_type"),
                     check.passing().alias("passed"),
                     F.lit(check.severity).alias("severity"),
+                    check.message().alias("message"),
                     check.violations.cast("bigint").alias("violation_count"),
                     check.checked.cast("bigint").alias("checked_count"),
                 )
@@ -429,7 +434,7 @@ class RuleSet:
 def rule_results(
     df: DataFrame, rules: list[dict], as_of: datetime | None = None, hidden: tuple[str, ...] = ()
 ) -> DataFrame:
-    """(position, rule_type, passed, severity, violation_count, checked_count) per rule."""
+    """(position, rule_type, passed, severity, message, violation_count, checked_count) per rule."""
     compiled = RuleSet.compile(df, rules, as_of, hidden)
     return compiled.results(compiled.measures(for_scores=False))
 

@@ -3,31 +3,24 @@
 from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import asdict, dataclass, field
+from dataclasses import dataclass, field
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from millrace.errors import ValidationFailed
+from millrace.functions.types import quoted
 from millrace.operators.duplicates import repeated_rows
 from millrace.operators.rules import BLOCKING, DUPLICATE_ROWS, ROWS, WARNING, RuleSet
 from millrace.session import local_frame
 
 
-@dataclass
-class CheckResult:
-    rule_type: str
-    passed: bool
-    severity: str
-    message: str
-    violation_count: int = 0
-    checked_count: int = 0
-
-
 @dataclass
 class ValidationOutcome:
-    checks: list[CheckResult] = field(default_factory=list)
+    """Scores of a batch and one row per rule, as ``rule_results`` returns them."""
+
+    checks: list[Row] = field(default_factory=list)
     completeness: float = 100.0
     consistency: float = 100.0
     accuracy: float = 100.0
@@ -51,7 +44,8 @@ class ValidationOutcome:
         return not self.blocking_violations
 
     def check_dicts(self) -> list[dict]:
-        return [asdict(c) for c in self.checks]
+        """The checks as the ledger stores them."""
+        return [{k: v for k, v in c.asDict().items() if k != "position"} for c in self.checks]
 
 
 def _collect_counts(sides: dict[str, DataFrame]) -> dict[str, int]:
@@ -91,20 +85,9 @@ def assess(
     measures[DUPLICATE_ROWS] = 0 if proven else repeated_rows(df, hidden).first().n
 
     # The measures are one row of numbers by now; Spark folds the closing expressions locally.
-    schema = ", ".join(f"`{name}` bigint" for name in measures)
+    schema = ", ".join(f"{quoted(name)} bigint" for name in measures)
     row = local_frame(df.sparkSession, [measures], schema)
-    checks = []
-    if rules.checks:
-        found = {r.position: r for r in rules.results(row).collect()}
-        for position, check in enumerate(rules.checks):
-            r = found[position]
-            text = check.passed_text if r.passed else check.failed_text
-            checks.append(
-                CheckResult(
-                    r.rule_type, r.passed, r.severity, text.replace("{n}", str(r.violation_count)),
-                    r.violation_count, r.checked_count,
-                )
-            )
+    checks = rules.results(row).orderBy("position").collect() if rules.checks else []
     marks = rules.scores(row).first().asDict()
     return ValidationOutcome(
         checks=checks, rows=measures[ROWS], extras=extras,

@@ -6,7 +6,8 @@ from datetime import datetime
 
 from pyspark.sql import functions as F
 
-from millrace.operators.rules import quarantine_split, rule_results
+from millrace.operators import rules
+from millrace.operators.rules import quarantine_split
 from millrace.operators.scorecard import scorecard
 from millrace.operators.statistics import backtest, column_moments, merge_baseline, z_scores
 from millrace.plans.inputs import DIRTY_CUSTOMER_SQL, dirty_customer, table
@@ -14,6 +15,11 @@ from millrace.plans.inputs import DIRTY_CUSTOMER_SQL, dirty_customer, table
 QUERIES = {}
 
 
+def rule_results(df, checks, as_of=None):
+    """The counts without their wording."""
+    return rules.rule_results(df, checks, as_of).drop("message")
+
+
 def query(name: str, sql: str | None = None):
     def keep(function):
         QUERIES[name] = (function, sql)

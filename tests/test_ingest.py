@@ -272,3 +272,27 @@ def test_killed_run_is_started_again(spark, lake, tmp_path, monkeypatch):
     last = dim.current().filter("external_id = 'chaos-7'").first()
     assert last.first_name == "n15007"
     assert state.runs().first().status == "SUCCEEDED"
+
+
+def test_initial_watermark_and_failure_before_it_moves(spark, lake, tmp_path, monkeypatch):
+    """D25: the watermark is the last thing a run writes."""
+    path = csv(tmp_path, "a.csv", "customer_id,email,updated_at\n1,a@x.com,2024-01-01\n2,b@x.com,2024-01-02\n")
+    spec = file_spec(path, incremental={"column": "updated_at", "initial_value": "2024-01-01"})
+
+    def refuse(*args):
+        raise LoadError("target is down")
+
+    with monkeypatch.context() as m:
+        m.setattr("millrace.lake.targets.load", refuse)
+        assert try_ingest(spark, lake, spec, "r1", NOW).error == "target is down"
+    state = State(spark, lake)
+    assert state.watermark("p") is None and state.read("schema_versions").count() == 0
+    r = run_ingest(spark, lake, spec, "r2", NOW)
+    assert (r.rows_extracted, r.rows_loaded, r.new_watermark) == (2, 1, "2024-01-02")
+    assert state.watermark("p").value == "2024-01-02"
+
+
+def test_two_targets_share_one_table(spark, lake):
+    """A11."""
+    a, b = (targets.open_dimension(spark, lake, n) for n in ("customers", "customers_scd2"))
+    assert a.folder == b.folder and a.current().columns == list(a.spec.columns)

@@ -220,3 +220,10 @@ def test_parse_number(spark):
     assert got == [5.0, None, None, None, inf, -inf, None, None, 1e5, 0.5, 5.0, 3.0, None, None]
     ts = frame(spark, "t timestamp", (datetime(2024, 1, 1),))
     assert ts.select(parse_number(F.col("t"), ts.schema["t"].dataType)).first()[0] is None
+
+
+def test_all_null_column_keeps_the_old_watermark(spark):
+    """D23."""
+    df = frame(spark, "t timestamp", (None,))
+    assert compute_watermark(df, "t") is None
+    assert advance_watermark(spark, "2024-01-01", None, df.schema["t"].dataType, "time") == "2024-01-01"

@@ -234,3 +234,10 @@ def test_schema_history(spark, hot_key_rows):
         ("d", 5, 4, [], ["country", "customer_id"], [], True),
         ("e", 1, 1, [], [], [], False),
     ]
+
+
+def test_numeric_keys_become_plain_text(spark):
+    """D35: 1 stays "1", also where another key is missing."""
+    batch = spark.createDataFrame([(1, "a@x.com", 1), (None, "b@x.com", 2)], "customer_id bigint, email string, t int")
+    table = upsert_type1(local_frame(spark, [], CUSTOMERS.schema), batch, CUSTOMERS, ["t"], NOW)
+    assert {r.external_id for r in table.collect()} == {"1", ""}
