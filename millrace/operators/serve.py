@@ -41,10 +41,14 @@ def page_after(df: DataFrame, order_by: list[str], last: tuple | None, size: int
 
 
 def visible_to(df: DataFrame, memberships: DataFrame, member, scope: str, scope_in_memberships: str = "scope") -> DataFrame:
-    """Rows of the scopes the reader belongs to; a semi-join never multiplies rows."""
+    """Rows of the scopes the reader belongs to.
+
+    A semi-join never multiplies rows, so the scopes need no ``distinct``; without it both sides
+    come straight from a shuffle, which is what lets Spark split a scope that holds too many rows.
+    """
     own = memberships.filter(F.col("member") == F.lit(member)).select(
         F.col(quoted(scope_in_memberships)).alias(scope)
-    ).distinct()
+    )
     return df.join(broadcast_if_small(own), scope, "left_semi")
 
 

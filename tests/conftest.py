@@ -16,7 +16,7 @@ def spark(tmp_path_factory):
         .config("spark.sql.codegen.wholeStage", "false")
         .config("spark.sql.codegen.factoryMode", "NO_CODEGEN")
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
-        .config("spark.checkpoint.dir", str(shared))
+        .config("spark.checkpoint.dir", str(shared))  # each test session keeps to its own folder
         .config("spark.sql.warehouse.dir", str(shared / "warehouse"))
         .getOrCreate()
     )

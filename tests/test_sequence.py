@@ -63,6 +63,15 @@ def test_along_key_equals_brute_force(spark, pieces):
     assert found == want
 
 
+def test_pieces_follow_a_struct_order(spark):
+    """The file position of CSV rows is a struct."""
+    df, _ = skewed(spark, n=200)
+    placed = df.withColumn("_pos", F.struct(F.lit("f").alias("file"), F.col("t").alias("row")))
+    args = dict(previous={"before": F.struct("t")}, following={"after": F.struct("t")})
+    cut, plain = (along_key(placed, ["k"], ["_pos"], pieces=p, **args) for p in (5, 0))
+    assert sorted(map(str, cut.collect())) == sorted(map(str, plain.collect()))
+
+
 def replay(current, batch, now):
     """Row-by-row Type-2 load."""
     table = [dict(r) for r in current]

@@ -356,3 +356,25 @@ def test_serving(spark):
     members = spark.createDataFrame([("ann", "c1"), ("ann", "c1"), ("bob", "c2")], "member string, scope string")
     assert visible_to(df, members, "ann", "country").count() == 20
     assert masked(df).first().email == "u***@x.com" and masked(df, role="ENGINEER").first().email == "user0@x.com"
+
+
+def test_hot_scope_is_split(spark, monkeypatch):
+    """A scope with a third of all rows does not end up in one task when the join has to shuffle."""
+    monkeypatch.setattr("millrace.operators.serve.broadcast_if_small", lambda keys: keys)
+    df = spark.range(0, 30000, 1, 8).selectExpr("CASE WHEN id % 3 = 0 THEN -1 ELSE id END AS scope", "sha2(cast(id AS string), 256) AS text")
+    members = spark.range(-1, 30000).selectExpr("'ann' AS member", "id AS scope")
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.shuffle.partitions": "32",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "10k",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10k",
+    }
+    before = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        out = visible_to(df, members, "ann", "scope").agg(F.count("text").alias("n"))
+        assert out.collect()[0].n == 30000
+        assert "skew=true" in out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
