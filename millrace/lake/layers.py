@@ -25,6 +25,16 @@ def run_dir(root: str, layer: str, dataset: str, run_id: str, partition_date: da
     return f"{layer_dir(root, layer, dataset)}/dt={partition_date.isoformat()}/run_id={run_id}"
 
 
+def discard_run(
+    spark: SparkSession, root: str, layer: str, dataset: str, run_id: str, keep: str | None = None
+) -> None:
+    """Remove what a run left in a layer on any day, except in the folder to keep."""
+    kept = keep and keep.rstrip("/").rsplit("/dt=", 1)[1]
+    for folder in files.matches(spark, f"{layer_dir(root, layer, dataset)}/dt=*/run_id={run_id}"):
+        if folder.rsplit("/dt=", 1)[1] != kept:
+            files.remove(spark, folder)
+
+
 def write_layer(
     df: DataFrame, root: str, layer: str, dataset: str, run_id: str, partition_date: date
 ) -> str:

@@ -28,7 +28,7 @@ from pyspark.sql.types import MapType, VariantType
 
 from millrace.errors import EtlError, ExtractError, TransformError, ValidationFailed, first_line
 from millrace.functions.types import measurable_columns, nan_to_null, quoted
-from millrace.lake import files, layers, targets
+from millrace.lake import layers, targets
 from millrace.lake.state import State
 from millrace.operators.clean import clean_observed
 from millrace.operators.drift import columns_of, diff_schema
@@ -121,6 +121,7 @@ class IngestRun:
         self.kind = None
         self.watermark = None
         self.hidden: tuple[str, ...] = ()
+        self.loaded = False
 
     def log(self, text: str) -> None:
         self.result.step_logs.append(text)
@@ -201,8 +202,6 @@ class IngestRun:
             batch, self.spec.validation, self.now, self.hidden, tuple(moment_aggregates(batch, visible))
         )
         self.result.validation = outcome
-        if not outcome.passed:
-            files.remove(self.spark, self.bronze)
         gate(outcome)
         self.log(f"validated: overall score {outcome.overall_score}")
         return outcome
@@ -237,8 +236,16 @@ class IngestRun:
             self.spark, self.root, self.target, batch, order, self.now,
             self.result.run_id,
         )
+        self.loaded = True
         self.log(f"loaded: {self.result.load_result}")
 
+    def discard_layers(self, older_days_only: bool = False) -> None:
+        """Take this run's rows out of the layers: what an earlier attempt left under another day,
+        or, after a failure, everything."""
+        for layer, folder in (("raw", None), ("bronze", self.bronze), ("silver", self.silver)):
+            keep = folder if older_days_only else None
+            layers.discard_run(self.spark, self.root, layer, self.spec.dataset, self.result.run_id, keep)
+
     # -- bookkeeping ----------------------------------------------------------------------------
 
     def event(self, status: str, finished: datetime | None = None, trace: str = "", retry_count: int = 0):
@@ -358,6 +365,7 @@ def run_ingest(
     run.event(RUNNING, retry_count=attempt - 1)
     try:
         targets.get_target(run.target)
+        run.discard_layers(older_days_only=True)
         batch = run.stage_delta()
         outcome = run.check(batch)
         run.load(run.reshape(batch))
@@ -370,6 +378,8 @@ def run_ingest(
     except Exception as exc:
         run.result.error = str(exc)
         trace = tb.format_exc()
+        if not run.loaded:
+            run.discard_layers()
         blocked = isinstance(exc, ValidationFailed)
         if attempt < attempts and not blocked:
             run.event(RETRYING, trace=trace, retry_count=attempt)

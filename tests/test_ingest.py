@@ -265,7 +265,9 @@ def test_killed_run_is_started_again(spark, lake, tmp_path, monkeypatch):
             run_ingest(spark, lake, spec, "r1", NOW)
     state = State(spark, lake)
     assert state.runs().first().status == "RUNNING"
-    r = run_ingest(spark, lake, spec, "r1", NOW)
+    r = run_ingest(spark, lake, spec, "r1", datetime(2024, 6, 2))
+    for layer in ("bronze", "silver"):  # the attempt of the day before left nothing behind
+        assert layers.read_layer(spark, lake, layer, "customers_scd2").count() == 20000
     dim = targets.open_dimension(spark, lake, "customers_scd2")
     assert (r.status, r.rows_loaded, dim.latest_seq()) == ("SUCCEEDED", 20000, 1)
     assert dim.current().count() == 15000 and dim.history().count() == 20000
@@ -287,6 +289,7 @@ def test_initial_watermark_and_failure_before_it_moves(spark, lake, tmp_path, mo
         assert try_ingest(spark, lake, spec, "r1", NOW).error == "target is down"
     state = State(spark, lake)
     assert state.watermark("p") is None and state.read("schema_versions").count() == 0
+    assert all(layers.read_layer(spark, lake, layer, "customers") is None for layer in ("bronze", "silver"))
     r = run_ingest(spark, lake, spec, "r2", NOW)
     assert (r.rows_extracted, r.rows_loaded, r.new_watermark) == (2, 1, "2024-01-02")
     assert state.watermark("p").value == "2024-01-02"
