@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -31,6 +34,24 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give the package to the executors' Python workers, unless they find it by PYTHONPATH."""
+    package = Path(__file__).resolve().parent
+    found = {os.path.realpath(p) for p in os.environ.get("PYTHONPATH", "").split(os.pathsep) if p}
+    application = spark.sparkContext.applicationId
+    if str(package.parent) in found or application in _SHIPPED:
+        return
+    archive = Path(tempfile.mkdtemp(prefix="millrace-")) / f"{package.name}.zip"
+    with zipfile.ZipFile(archive, "w") as out:
+        for file in sorted(package.rglob("*.py")):
+            out.write(file, file.relative_to(package.parent))
+    spark.sparkContext.addPyFile(str(archive))
+    _SHIPPED.add(application)
+
+
 def shared_root(spark: SparkSession) -> str:
     """Folder that every executor can reach, as named by the cluster.
 

@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import SparkSession
 
-from millrace.session import configure
+from millrace.session import configure, ship_package
 
 
 @pytest.fixture(scope="session")
@@ -21,6 +21,7 @@ def spark(tmp_path_factory):
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")
+    ship_package(session)
     yield configure(session)
     session.stop()
 
