@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from millrace.llm import quality_rules
+from millrace.llm import jaccard_join, quality_rules
 
 QUERIES = {
+    "op6_ngram_jaccard_join": (jaccard_join.query, None),
     "op9_quality_rules": (quality_rules.query, None),
 }
