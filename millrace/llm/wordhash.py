@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 
 # Bytes looked at together; a text longer than that is a piece of its own.
-PIECE_BYTES = 1 << 20
+PIECE_BYTES = 1 << 18
 
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
@@ -77,8 +77,12 @@ def pieces(texts: pa.Array, piece_bytes: int = PIECE_BYTES) -> Iterator[Piece]:
     """The texts (NULL: empty) in pieces of about ``piece_bytes``."""
     if isinstance(texts, pa.ChunkedArray):
         texts = texts.combine_chunks()
-    texts = texts.cast(pa.large_binary()).fill_null(b"")
-    offsets = np.frombuffer(texts.buffers()[1], dtype=np.int64)[texts.offset : texts.offset + len(texts) + 1]
+    if not len(texts):
+        return
+    if texts.null_count:
+        texts = texts.fill_null("")
+    width = np.int64 if pa.types.is_large_string(texts.type) else np.int32
+    offsets = np.frombuffer(texts.buffers()[1], dtype=width)[texts.offset : texts.offset + len(texts) + 1].astype(np.int64)
     data = np.frombuffer(texts.buffers()[2] or b"", dtype=np.uint8)
     at = 0
     while at < len(texts):
