@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from millrace.llm import jaccard_join, quality_rules
+from millrace.llm import jaccard_join, packing, quality_rules
 
 QUERIES = {
+    "op3_packing": (packing.query, None),
     "op6_ngram_jaccard_join": (jaccard_join.query, None),
     "op9_quality_rules": (quality_rules.query, None),
 }
