@@ -39,6 +39,7 @@ from pyspark.sql import functions as F
 from millrace.llm.components import contracted, relabelled
 from millrace.llm.staging import staged
 from millrace.llm.wordhash import mixed, pieces, windows, words
+from millrace.operators.joins import broadcast_if_small
 
 WIDTH = 5
 # What counts as frequent, and how many frequent shingles the order knows.
@@ -374,9 +375,19 @@ def near_groups(docs: DataFrame) -> DataFrame:
 
 
 def one_of_each_group(docs: DataFrame) -> DataFrame:
-    """The rows whose doc_id names their group, a doc_id once, with their columns; rows without id stay."""
-    groups = near_groups(docs).where("doc_id <> component_id").select("doc_id").distinct()
-    return docs.join(groups, "doc_id", "left_anti").select(*docs.columns)
+    """One row of each group, that with the group's smallest doc_id; rows without doc_id stay.
+
+    Rows that repeat a doc_id count as one document: one of them stays.
+    """
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    groups = staged(near_groups(docs), "groups").where("doc_id is not null").groupBy("doc_id").agg(
+        F.max(F.col("doc_id") != F.col("component_id")).alias("copy"), F.count("*").alias("rows")
+    )
+    gone = broadcast_if_small(groups.where("copy or rows > 1").select(F.col("doc_id").alias("_gone")))
+    again = broadcast_if_small(groups.where("not copy and rows > 1").select(F.col("doc_id").alias("_again")))
+    once = docs.join(gone, F.col("doc_id") == F.col("_gone"), "left_anti")
+    repeated = docs.join(again, F.col("doc_id") == F.col("_again"), "left_semi").dropDuplicates(["doc_id"])
+    return once.select(*columns).unionByName(repeated.select(*columns))
 
 
 def query(spark: SparkSession, folder: str) -> DataFrame:

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
-from millrace.llm import jaccard_join, packing, quality_rules
+import corpus_pipeline
+from millrace.llm import jaccard_join, language_id, mixing, packing, quality_rules
 
 QUERIES = {
     "op3_packing": (packing.query, None),
     "op6_ngram_jaccard_join": (jaccard_join.query, None),
+    "op7_mixing": (mixing.query, mixing.SQL),
+    "op8_language_id": (language_id.query, None),
     "op9_quality_rules": (quality_rules.query, None),
+    "pipeline": (corpus_pipeline.run, corpus_pipeline.ORACLE_SQL),
 }
