@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from millrace.llm import jaccard_join, language_id, mixing, packing, quality_rules
+from millrace.llm import jaccard_join, language_id, licenses, mixing, packing, quality_rules
 
 QUERIES = {
     "op3_packing": (packing.query, None),
+    "op5_license_scans": (licenses.query, None),
     "op6_ngram_jaccard_join": (jaccard_join.query, None),
     "op7_mixing": (mixing.query, mixing.SQL),
     "op8_language_id": (language_id.query, None),
