@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from millrace.llm import jaccard_join, language_id, licenses, mixing, packing, quality_rules
+from millrace.llm import jaccard_join, language_id, licenses, mixing, packing, quality_rules, url_filter
 
 QUERIES = {
     "op3_packing": (packing.query, None),
@@ -12,5 +12,6 @@ QUERIES = {
     "op7_mixing": (mixing.query, mixing.SQL),
     "op8_language_id": (language_id.query, None),
     "op9_quality_rules": (quality_rules.query, None),
+    "op10_url_filter": (url_filter.query, None),
     "pipeline": (corpus_pipeline.run, corpus_pipeline.ORACLE_SQL),
 }
