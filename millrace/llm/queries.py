@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from millrace.llm import jaccard_join, language_id, licenses, mixing, packing, quality_rules, url_filter
+from millrace.llm import html_text, jaccard_join, language_id, licenses, mixing, packing, quality_rules, url_filter
 
 QUERIES = {
+    "op1_html_extraction": (html_text.query, None),
     "op3_packing": (packing.query, None),
     "op5_license_scans": (licenses.query, None),
     "op6_ngram_jaccard_join": (jaccard_join.query, None),
