@@ -8,18 +8,20 @@ A document's set holds the hashes of its runs of ``WIDTH`` words (lower-cased A-
    either. These *postings* are the index lists. Shingles seen often come last in the order, so that
    passages common to many documents do not make long lists. (Frequent ones are found by counting
    every run of ``RUN_SHINGLES`` shingles; which of them are in the table changes the work only.)
-3. Each node of a list is compared with the list's leader and with its predecessor by size. Nodes
-   found to be alike become one component.
+3. Each node of a list meets the list's leader and its predecessor by size. A pair is dropped if
+   the places where it meets, or the parity bitmaps of its sets, prove that it has too little in
+   common (:func:`_may_link`); the rest are compared set against set, first each node with one partner,
+   then what is still apart. Nodes found to be alike become one component.
 4. Lists whose nodes are all in one component are done. In the others, nodes of different components
    meet, by size blocks: a posting's position says how large a partner may still be, so whole blocks
    of a list are skipped (:func:`_reachable_blocks`).
-5. A pair's overlap is first bounded from a highly similar set's: if x is close to h and the overlap
-   of h and y is known, that of x and y differs by at most what x and h do not share
+5. Such a pair's overlap is first bounded from a highly similar set's: if x is close to h and the
+   overlap of h and y is known, that of x and y differs by at most what x and h do not share
    (:func:`_derived`). Only pairs left open by the bounds are compared set against set.
 
-What crosses the network per document is a fifth of its set, and the sets of documents that share a
-rare shingle. Nothing grows with the square of a group: copies fall together, near copies are
-compared with leaders until they are one component.
+What crosses the network per document is a fifth of its set, its bitmap (an eighth of a byte per
+shingle), and the sets of documents that are in a pair the bounds leave. Nothing grows with the square of a
+group: copies fall together, near copies are compared with leaders until they are one component.
 
 Defined results: a document with fewer words than ``WIDTH`` has its whole sequence as only element;
 without words, or with a NULL text, its set is empty and it links with nothing. Rows that repeat a
@@ -48,9 +50,10 @@ RUN_HITS = 4
 FREQUENT = 200_000
 # A frequent shingle's list is dealt to parts of about so many postings for the comparison with leaders.
 PART_POSTINGS = 5_000
-LEADER_ROUNDS = 2
-# Bits of the map of nodes whose sets are needed: 8 MB, more nodes only make it pass more.
+# Bits of the map of documents whose sets are needed: 8 MB; more of them only make it pass more.
 MAP_BITS = 1 << 26
+# Bits of the parity bitmap of the smallest sets.
+LEAST_BITS = 64
 BLOCK_RATIO = 1.06
 
 
@@ -78,13 +81,39 @@ def node_of(found: np.ndarray) -> int | None:
     return int(mixed(np.array([mixed(found).sum(dtype=np.uint64) + np.uint64(len(found))]))[0].astype(np.int64))
 
 
+def parity_bitmap(found: np.ndarray) -> bytes:
+    """Bits that each element flips one of; about as many as elements, a power of two.
+
+    Two sets differ in at least as many elements as bits, also after the longer bitmap was folded.
+    """
+    bits = max(LEAST_BITS, 1 << (len(found) - 1).bit_length()) if len(found) else LEAST_BITS
+    flips = np.bincount((found & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(flips.astype(np.uint8), bitorder="little").tobytes()
+
+
+def _flipped(left: pa.Array, right: pa.Array) -> pa.Array:
+    """In how many bits the bitmaps differ."""
+    out = np.zeros(len(left), np.int32)
+    for i, (x, y) in enumerate(zip(left, right, strict=True)):
+        x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
+        if len(x) > len(y):
+            x, y = y, x
+        if len(x) < len(y):
+            y = np.bitwise_xor.reduce(y.reshape(-1, len(x)), axis=0)
+        out[i] = int(np.bitwise_count(x ^ y).sum())
+    return pa.array(out)
+
+
 def _counted(runs: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     values, hits = np.unique(np.concatenate(runs), return_counts=True) if runs else (np.empty(0, np.uint64), np.empty(0, np.int64))
     often = hits >= RUN_HITS
     return values[often].astype(np.int64), hits[often]
 
 
-_SURVEY = pa.schema([("doc_id", pa.int64()), ("n", pa.int32()), ("node", pa.int64()), ("token", pa.int64()), ("hits", pa.int64())])
+_SURVEY = pa.schema([
+    ("doc_id", pa.int64()), ("n", pa.int32()), ("node", pa.int64()), ("bitmap", pa.binary()), ("token", pa.int64()), ("hits", pa.int64()),
+])
+_SURVEY_DDL = "doc_id bigint, n int, node bigint, bitmap binary, token bigint, hits bigint"
 
 
 def _survey(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -95,14 +124,15 @@ def _survey(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         values, hits = _counted(runs)
         empty = pa.nulls(len(values))
         return pa.RecordBatch.from_arrays(
-            [empty.cast(pa.int64()), empty.cast(pa.int32()), empty.cast(pa.int64()), pa.array(values), pa.array(hits)], schema=_SURVEY
+            [*[empty.cast(_SURVEY.field(i).type) for i in range(4)], pa.array(values), pa.array(hits)], schema=_SURVEY
         )
 
     for batch in batches:
-        lengths, nodes = [], []
+        lengths, nodes, bitmaps = [], [], []
         for found in shingle_sets(batch.column(1)):
             lengths.append(len(found))
             nodes.append(node_of(found))
+            bitmaps.append(parity_bitmap(found))
             runs.append(found)
             size += len(found)
             if size >= RUN_SHINGLES:
@@ -110,7 +140,8 @@ def _survey(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 runs, size = [], 0
         empty = pa.nulls(len(batch), pa.int64())
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array(lengths, pa.int32()), pa.array(nodes, pa.int64()), empty, empty], schema=_SURVEY
+            [batch.column(0), pa.array(lengths, pa.int32()), pa.array(nodes, pa.int64()), pa.array(bitmaps, pa.binary()), empty, empty],
+            schema=_SURVEY,
         )
     yield frequent()
 
@@ -130,7 +161,7 @@ def _fresh_sets(batches, seen: set) -> Iterator[tuple[int, np.ndarray]]:
                 yield node, found
 
 
-def _postings(frequent, parts: int):
+def _postings(frequent):
     """A task that gives each set's first elements in the order that all sets share."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -173,29 +204,31 @@ def _postings(frequent, parts: int):
 
 
 def _chosen_sets(needed):
-    """A task that gives the sets of the nodes that the map has."""
+    """A task that gives the sets of the documents that the map has; other texts are not looked at."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        out, size = [], 0
-        for node, found in _fresh_sets(batches, set()):
-            bit = node % MAP_BITS
-            if needed.value[bit >> 3] >> (bit & 7) & 1:
-                out.append((node, found.tobytes()))
-                size += found.nbytes
-                if size >= 4_000_000:
-                    yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in out], pa.int64()), pa.array([x[1] for x in out], pa.binary())], names=["node", "elements"])
-                    out, size = [], 0
-        if out:
-            yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in out], pa.int64()), pa.array([x[1] for x in out], pa.binary())], names=["node", "elements"])
+        seen: set[int] = set()
+        for batch in batches:
+            bit = np.mod(batch.column(0).fill_null(-1).to_numpy(zero_copy_only=False), MAP_BITS)
+            wanted = needed.value[bit >> 3] >> (bit & 7).astype(np.uint8) & 1
+            chosen = batch.filter(pa.array(wanted.astype(bool)))
+            # few texts at a time, so that their sets are no burden
+            for at in range(0, len(chosen), 500):
+                out = list(_fresh_sets([chosen.slice(at, 500)], seen))
+                if out:
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([x[0] for x in out], pa.int64()), pa.array([x[1].tobytes() for x in out], pa.binary())],
+                        names=["node", "elements"],
+                    )
 
     return run
 
 
-def _node_map(nodes: DataFrame) -> np.ndarray:
-    """A bitmap of ``MAP_BITS`` bits in which the nodes' bits are set."""
-    bit = F.pmod(F.col("node"), F.lit(MAP_BITS)) + 1
+def _document_map(ids: DataFrame) -> np.ndarray:
+    """A bitmap of ``MAP_BITS`` bits in which the documents' bits are set; NULL has the bit of -1."""
+    bit = F.pmod(F.coalesce("doc_id", F.lit(-1)), F.lit(MAP_BITS)) + 1
     rows = (
-        nodes.select(bit.alias("bit"))
+        ids.select(bit.alias("bit"))
         .groupBy(F.bitmap_bucket_number("bit").alias("bucket"))
         .agg(F.bitmap_construct_agg(F.bitmap_bit_position("bit")).alias("bits"))
         .collect()
@@ -225,23 +258,44 @@ def _enough(overlap: Column) -> Column:
     return 9 * overlap >= 4 * (F.col("na") + F.col("nb"))
 
 
-def _leader_pairs(lists: DataFrame, order: list[Column]) -> DataFrame:
-    """Each list member with the list's first and with the one before it, if their sizes fit."""
-    member = Window.partitionBy("token", "part").orderBy(*order)
-    ranked = lists.select(
-        "node", "n", *([] if "label" not in lists.columns else ["label"]),
-        F.first(F.struct(*[c for c in ("node", "n", "label") if c in lists.columns])).over(member).alias("leader"),
-        F.lag(F.struct(*[c for c in ("node", "n", "label") if c in lists.columns])).over(member).alias("before"),
-    )
-    return _met(ranked)
+def _places_fit(n: str, pos: str, m: str, at: str) -> Column:
+    """Whether sets of sizes n and m that first meet at these places can still link.
+
+    All they share lies there or behind, and 9 * overlap >= 4 * (n + m) is due.
+    """
+    need = 4 * (F.col(n) + F.col(m))
+    return (9 * (F.col(n) - F.col(pos)) >= need) & (9 * (F.col(m) - F.col(at)) >= need)
+
+
+def _leader_pairs(postings: DataFrame) -> DataFrame:
+    """Each posting's node with the list's leader and with the one before it."""
+    met = postings.withColumn("other", F.explode(F.array("leader", "before"))).where("other is not null and other.node <> node")
+    met = met.select("node", "n", "pos", F.col("other.node").alias("partner"), F.col("other.n").alias("m"), F.col("other.pos").alias("at"))
+    fit = met.where(_sizes_fit("n", "m") & _places_fit("n", "pos", "m", "at"))
+    return fit.select(*_pair("node", "partner", "n", "m")).distinct()
+
+
+def _may_link(pairs: DataFrame, bitmaps: DataFrame) -> DataFrame:
+    """The pairs whose bitmaps do not differ in more bits than linked sets differ in elements."""
+    flipped = F.arrow_udf(_flipped, "int")
+    one = bitmaps.select(F.col("node").alias("a"), F.col("bitmap").alias("left"))
+    two = bitmaps.select(F.col("node").alias("b"), F.col("bitmap").alias("right"))
+    both = pairs.join(one, "a").join(two, "b")
+    return both.where(9 * flipped("left", "right") <= F.col("na") + F.col("nb")).select("a", "b", "na", "nb")
+
+
+def _apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The pairs whose nodes are in different components."""
+    marked = pairs.withColumn("la", F.col("a")).withColumn("lb", F.col("b"))
+    return relabelled(relabelled(marked, labels, "la"), labels, "lb").where("la <> lb").drop("la", "lb")
 
 
-def _met(ranked: DataFrame) -> DataFrame:
-    partners = ranked.withColumn("other", F.explode(F.array("leader", "before"))).where("other is not null and other.node <> node")
-    if "label" in ranked.columns:
-        partners = partners.where("other.label <> label")
-    partners = partners.select("node", "n", F.col("other.node").alias("partner"), F.col("other.n").alias("m"))
-    return partners.where(_sizes_fit("n", "m")).select(*_pair("node", "partner", "n", "m")).distinct()
+def _one_partner(pairs: DataFrame) -> DataFrame:
+    """For each node the pair with its smallest partner: alike nodes mostly choose the same one."""
+    ends = pairs.select(F.col("a").alias("node"), F.col("b").alias("partner"), "a", "b", "na", "nb").unionByName(
+        pairs.select(F.col("b").alias("node"), F.col("a").alias("partner"), "a", "b", "na", "nb")
+    )
+    return ends.groupBy("node").agg(F.min_by(F.struct("a", "b", "na", "nb"), "partner").alias("pair")).select("pair.*").distinct()
 
 
 def _common(left: pa.Array, right: pa.Array) -> pa.Array:
@@ -261,7 +315,12 @@ def _compared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     common = F.arrow_udf(_common, "int")
     one = sets.select(F.col("node").alias("a"), F.col("elements").alias("left"))
     two = sets.select(F.col("node").alias("b"), F.col("elements").alias("right"))
-    return pairs.join(one, "a").join(two, "b").select("a", "b", "na", "nb", common("left", "right").alias("overlap"))
+    both = one.join(broadcast_if_small(pairs), "a").join(two, "b")
+    return staged(both.select("a", "b", "na", "nb", common("left", "right").alias("overlap")).dropDuplicates(["a", "b"]), "compared")
+
+
+def _linked(compared: DataFrame) -> DataFrame:
+    return compared.where(_enough(F.col("overlap"))).select("a", "b")
 
 
 def _open_lists(shared: DataFrame, labels: DataFrame) -> DataFrame:
@@ -293,7 +352,7 @@ def _block_pairs(lists: DataFrame) -> DataFrame:
     return (
         probe.join(index, ["token", "block"])
         .where("other <> label and (m < n or (m = n and y < node)) and 5 * m >= 4 * n")
-        .where("9 * (n - pos) >= 4 * (n + m) and 9 * (m - at) >= 4 * (n + m)")
+        .where(_places_fit("n", "pos", "m", "at"))
         .select(*_pair("node", "y", "n", "m"))
         .distinct()
     )
@@ -321,12 +380,23 @@ def _derived(pairs: DataFrame, compared: DataFrame) -> DataFrame:
     return out
 
 
+def _sets_of(pairs: DataFrame, texts: DataFrame, first_ids: DataFrame) -> DataFrame:
+    """The sets of all nodes of the pairs, each from the documents that bear the node's smallest id."""
+    nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    needed = texts.sparkSession.sparkContext.broadcast(_document_map(first_ids.join(nodes, "node", "left_semi")))
+    return staged(texts.mapInArrow(_chosen_sets(needed), "node bigint, elements binary"), "sets")
+
+
 def near_groups(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles and component_id (the smallest doc_id that links reach) of every row of (doc_id, text)."""
     spark = docs.sparkSession
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    survey = staged(texts.mapInArrow(_survey, "doc_id bigint, n int, node bigint, token bigint, hits bigint"), "shingles")
-    rows = survey.where("n is not null").select("doc_id", "n", "node")
+    survey = staged(texts.mapInArrow(_survey, _SURVEY_DDL), "shingles")
+    rows = survey.where("n is not null").select("doc_id", "n", "node", "bitmap")
+    classes = staged(
+        rows.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.first("bitmap").alias("bitmap")), "nodes"
+    )
+    first_ids, bitmaps = classes.select("node", "doc_id"), classes.select("node", "bitmap")
 
     often = survey.where("token is not null").groupBy("token").agg(F.sum("hits").alias("hits"))
     table = often.orderBy(F.desc("hits"), "token").limit(FREQUENT).toPandas()
@@ -334,39 +404,34 @@ def near_groups(docs: DataFrame) -> DataFrame:
     order = np.argsort(values)
     frequent = spark.sparkContext.broadcast((values[order], table["hits"].to_numpy(np.int64)[order]))
 
-    postings = texts.mapInArrow(_postings(frequent, PART_POSTINGS), "token bigint, node bigint, n int, pos int, part int")
+    postings = texts.mapInArrow(_postings(frequent), "token bigint, node bigint, n int, pos int, part int")
     member = Window.partitionBy("token", "part").orderBy("n", "node")
     ranked = postings.select(
         "token", "node", "n", "pos", "part",
-        F.first(F.struct("node", "n")).over(member).alias("leader"),
-        F.lag(F.struct("node", "n")).over(member).alias("before"),
+        F.first(F.struct("node", "n", "pos")).over(member).alias("leader"),
+        F.lag(F.struct("node", "n", "pos")).over(member).alias("before"),
         F.last("node").over(member.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)).alias("end"),
     )
     ranked = staged(ranked.where("part > 0 or leader.node <> end").drop("end"), "postings")
-    shared = ranked.select("token", "node", "n", "pos", "part").distinct()
-
-    needed = spark.sparkContext.broadcast(_node_map(ranked.select("node")))
-    sets = texts.mapInArrow(_chosen_sets(needed), "node bigint, elements binary")
-    sets = staged(sets.dropDuplicates(["node"]), "sets")
-
-    compared = staged(_compared(_met(ranked), sets), "compared")
-    labels = contracted(compared.where(_enough(F.col("overlap"))))
-    for turn in range(1, LEADER_ROUNDS):
-        lists = _open_lists(shared, labels)
-        pairs = _leader_pairs(lists, [F.xxhash64("node", F.lit(turn))]).join(compared, ["a", "b"], "left_anti")
-        compared = compared.unionByName(staged(_compared(pairs, sets), "compared"))
-        labels = contracted(compared.where(_enough(F.col("overlap"))))
-
-    lists = _open_lists(shared, labels)
-    pairs = staged(_block_pairs(lists).join(compared, ["a", "b"], "left_anti"), "pairs")
+
+    pairs = staged(_may_link(_leader_pairs(ranked), bitmaps), "pairs")
+    sets = _sets_of(pairs, texts, first_ids)
+    compared = _compared(_one_partner(pairs), sets)
+    labels = contracted(_linked(compared))
+    apart = _apart(pairs.join(compared, ["a", "b"], "left_anti"), labels)
+    compared = compared.unionByName(_compared(staged(apart, "apart"), sets))
+    labels = contracted(_linked(compared))
+
+    lists = _open_lists(ranked.select("token", "node", "n", "pos").distinct(), labels)
+    pairs = staged(_may_link(_block_pairs(lists).join(compared, ["a", "b"], "left_anti"), bitmaps), "pairs")
     bounded = staged(_derived(pairs, compared), "bounds")
-    sure = bounded.where(_enough(F.col("least"))).select("a", "b")
+    links = _linked(compared).unionByName(bounded.where(_enough(F.col("least"))).select("a", "b"))
     left_open = bounded.where(~_enough(F.col("least")) & _enough(F.col("most"))).select("a", "b", "na", "nb")
-    last = _compared(left_open, sets).where(_enough(F.col("overlap"))).select("a", "b")
-    links = compared.where(_enough(F.col("overlap"))).select("a", "b").unionByName(sure).unionByName(last)
+    if not left_open.isEmpty():
+        links = links.unionByName(_linked(_compared(left_open, _sets_of(left_open, texts, first_ids))))
     labels = contracted(links)
 
-    smallest = relabelled(rows.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("doc_id")).withColumn("label", F.col("node")), labels, "label")
+    smallest = relabelled(first_ids.withColumn("label", F.col("node")), labels, "label")
     names = smallest.groupBy("label").agg(F.min("doc_id").alias("component_id"))
     named = smallest.select("node", "label").join(names, "label").select("node", "component_id")
     return rows.join(named, "node", "left").select(

@@ -36,7 +36,7 @@ SEQUENCE_TOKENS = 2048
 END_ID = 1
 OPEN_WINDOWS = 64
 MAX_GAP = 8
-MERGE_PARTITIONS = 256
+MERGE_PARTITIONS = 8
 # Words kept with their ids, per Python worker: twice so many at most.
 CACHED_WORDS = 300_000
 

@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from millrace.llm import html_text, jaccard_join, language_id, licenses, mixing, packing, quality_rules, url_filter
+from millrace.llm import chat_trees, hamming_search, html_text, jaccard_join, language_id, licenses, mixing, packing, quality_rules, url_filter
 
 QUERIES = {
     "op1_html_extraction": (html_text.query, None),
+    "op2_hamming_search": (hamming_search.query, hamming_search.SQL),
     "op3_packing": (packing.query, None),
+    "op4_chat_trees": (chat_trees.query, chat_trees.SQL),
     "op5_license_scans": (licenses.query, None),
     "op6_ngram_jaccard_join": (jaccard_join.query, None),
     "op7_mixing": (mixing.query, mixing.SQL),
