@@ -39,7 +39,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from millrace.llm.components import contracted, relabelled
-from millrace.llm.staging import staged
+from millrace.llm.staging import fresh_name, staged
 from millrace.llm.wordhash import mixed, pieces, windows, words
 from millrace.operators.joins import broadcast_if_small
 
@@ -448,10 +448,11 @@ def one_of_each_group(docs: DataFrame) -> DataFrame:
     groups = staged(near_groups(docs), "groups").where("doc_id is not null").groupBy("doc_id").agg(
         F.max(F.col("doc_id") != F.col("component_id")).alias("copy"), F.count("*").alias("rows")
     )
-    gone = broadcast_if_small(groups.where("copy or rows > 1").select(F.col("doc_id").alias("_gone")))
-    again = broadcast_if_small(groups.where("not copy and rows > 1").select(F.col("doc_id").alias("_again")))
-    once = docs.join(gone, F.col("doc_id") == F.col("_gone"), "left_anti")
-    repeated = docs.join(again, F.col("doc_id") == F.col("_again"), "left_semi").dropDuplicates(["doc_id"])
+    name = fresh_name(docs, "other_id")
+    gone = broadcast_if_small(groups.where("copy or rows > 1").select(F.col("doc_id").alias(name)))
+    again = broadcast_if_small(groups.where("not copy and rows > 1").select(F.col("doc_id").alias(name)))
+    once = docs.join(gone, F.col("doc_id") == F.col(name), "left_anti")
+    repeated = docs.join(again, F.col("doc_id") == F.col(name), "left_semi").dropDuplicates(["doc_id"])
     return once.select(*columns).unionByName(repeated.select(*columns))
 
 

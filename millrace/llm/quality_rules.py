@@ -8,7 +8,8 @@ an anomaly (:func:`grow_forest`). Where to draw the line comes from labelled row
 ``max_good_loss`` of the good ones. A text that fails a base rule is rejected in any case.
 
 Each tree grows from about ``TREE_ROWS`` rows, as isolation forests do: the ``TREES * TREE_ROWS`` rows
-with the smallest seeded hash, dealt to the trees. All other figures cover all rows.
+with the smallest seeded hash, dealt to the trees; of a smaller table each row goes to several trees. All
+other figures cover all rows.
 
 Defined results: a NULL text counts as empty and fails a base rule; rows that repeat, or share a
 doc_id, are each judged alone; labels without a document, or with NULL, are left out, and where
@@ -232,7 +233,10 @@ def grow_forest(
     if not columns:
         return Forest(*[np.empty(0, int)] * 6, 0)
     sample = points.withColumn("dealt", F.xxhash64(F.lit(seed), "doc_id")).drop("doc_id").orderBy("dealt").limit(trees * tree_rows)
-    dealt = sample.withColumn("tree", F.pmod(F.hash("dealt"), F.lit(trees)))
+    copies = min(trees, -(-trees * tree_rows // max(points.count(), 1)))
+    dealt = sample.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(copies - 1)))).withColumn(
+        "tree", F.pmod(F.hash("dealt") + F.col("tree"), F.lit(trees))
+    )
 
     def grow(part: pd.DataFrame) -> pd.DataFrame:
         part = part.sort_values(["dealt", *columns])
