@@ -5,37 +5,49 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.staging import staged
+from millrace.llm.staging import broadcast_if_few, staged
+
+
+# Bytes of a (node, label) row in a broadcast.
+LABEL_BYTES = 64
 
 
 def relabelled(rows: DataFrame, labels: DataFrame, column: str) -> DataFrame:
     """The rows with ``column`` replaced by its label; what has none keeps its value.
 
-    A join that Spark may split on a skewed column, as no aggregation stands above it.
+    Labels are broadcast if they are few; else a join that Spark may split on a skewed column, as no
+    aggregation stands above it.
     """
     known = labels.select(F.col("node").alias("_node"), F.col("label").alias("_label"))
     joined = rows.join(known, F.col(column) == F.col("_node"), "left")
     return joined.withColumn(column, F.coalesce("_label", column)).drop("_node", "_label")
 
 
-def contracted(links: DataFrame) -> DataFrame:
+def contracted(links: DataFrame, labels: DataFrame | None = None) -> DataFrame:
     """(node, label) for each node of the links (a, b); a label is one node of the component.
 
-    Every round points each node at its smallest neighbour and merges it there. Nodes have to be
-    spread like random numbers (hashes are), so that a round about halves what is left, whatever the
-    links' shape. The smallest neighbour comes from a partial aggregation, so a node with very many
-    links is no burden. Rounds are staged: a lost executor costs no more than a round.
+    ``labels`` are those that earlier links gave. Every round points each node at its smallest
+    neighbour, and that one's, and merges it there. Nodes have to be spread like random numbers (hashes
+    are), so that a round about halves what is left, whatever the links' shape. The smallest neighbour
+    comes from a partial aggregation, so a node with very many links is no burden. Rounds are staged: a
+    lost executor costs no more than a round.
     """
     spark = links.sparkSession
-    edges = staged(links.where("a <> b").select("a", "b").distinct(), "links")
-    labels = None
+    ends = links.select("a", "b")
+    if labels is not None:
+        ends = relabelled(relabelled(ends, labels, "a"), labels, "b")
+    edges = staged(ends.where("a <> b").distinct(), "links")
     while not edges.isEmpty():
-        ends = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        steps = ends.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("near")).select("node", F.least("node", "near").alias("label"))
-        steps = staged(relabelled(steps, steps, "label"), "steps")
-        labels = steps if labels is None else staged(
-            relabelled(labels, steps, "label").unionByName(steps.join(labels, "node", "left_anti")), "labels"
-        )
-        moved = relabelled(relabelled(edges, steps, "a"), steps, "b").where("a <> b")
-        edges = staged(moved.distinct(), "links")
-    return labels if labels is not None else spark.createDataFrame([], "node bigint, label bigint")
+        both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        near = staged(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("near")).select("node", F.least("node", "near").alias("label")), "near")
+        steps = relabelled(near, broadcast_if_few(near, LABEL_BYTES), "label")
+        steps = broadcast_if_few(staged(steps, "steps"), LABEL_BYTES)
+        if labels is None:
+            labels = steps
+        else:
+            known = broadcast_if_few(labels, LABEL_BYTES)
+            labels = staged(relabelled(labels, steps, "label").unionByName(steps.join(known.select("node"), "node", "left_anti")), "labels")
+        edges = staged(relabelled(relabelled(edges, steps, "a"), steps, "b").where("a <> b").distinct(), "links")
+    if labels is None:
+        return spark.createDataFrame([], "node bigint, label bigint")
+    return broadcast_if_few(labels, LABEL_BYTES)

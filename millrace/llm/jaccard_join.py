@@ -10,10 +10,11 @@ A document's set holds the hashes of its runs of ``WIDTH`` words (lower-cased A-
    every run of ``RUN_SHINGLES`` shingles; which of them are in the table changes the work only.)
 3. Each node of a list meets the list's leader and its predecessor by size. A pair is dropped if
    the places where it meets, or the parity bitmaps of its sets, prove that it has too little in
-   common (:func:`_may_link`); the rest are compared set against set, first each node with one partner,
-   then what is still apart. Nodes found to be alike become one component.
-4. Lists whose nodes are all in one component are done. In the others, nodes of different components
-   meet, by size blocks: a posting's position says how large a partner may still be, so whole blocks
+   common (:func:`_may_link`); the rest are compared set against set, each node with one partner.
+   Nodes found to be alike become one component.
+4. Lists whose nodes are all in one component are done. In the others, nodes outside the list's largest
+   component are compared with a few members of that one, some rounds long (:func:`_hub_pairs`).
+   What is apart then meets, node by node, by size blocks: a posting's position says how large a partner may still be, so whole blocks
    of a list are skipped (:func:`_reachable_blocks`).
 5. Such a pair's overlap is first bounded from a highly similar set's: if x is close to h and the
    overlap of h and y is known, that of x and y differs by at most what x and h do not share
@@ -55,6 +56,11 @@ MAP_BITS = 1 << 26
 # Bits of the parity bitmap of the smallest sets.
 LEAST_BITS = 64
 BLOCK_RATIO = 1.06
+# Rounds of comparisons with members of a list's largest component, and how many of them.
+HUB_ROUNDS = 2
+HUBS = 3
+# Partners of a node that are looked at first; the later steps find what they miss.
+PARTNERS = 6
 
 
 def shingle_sets(texts: pa.Array, width: int = WIDTH) -> Iterator[np.ndarray]:
@@ -280,22 +286,17 @@ def _may_link(pairs: DataFrame, bitmaps: DataFrame) -> DataFrame:
     flipped = F.arrow_udf(_flipped, "int")
     one = bitmaps.select(F.col("node").alias("a"), F.col("bitmap").alias("left"))
     two = bitmaps.select(F.col("node").alias("b"), F.col("bitmap").alias("right"))
-    both = pairs.join(one, "a").join(two, "b")
+    both = one.join(broadcast_if_small(pairs), "a").join(two, "b")
     return both.where(9 * flipped("left", "right") <= F.col("na") + F.col("nb")).select("a", "b", "na", "nb")
 
 
-def _apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The pairs whose nodes are in different components."""
-    marked = pairs.withColumn("la", F.col("a")).withColumn("lb", F.col("b"))
-    return relabelled(relabelled(marked, labels, "la"), labels, "lb").where("la <> lb").drop("la", "lb")
-
-
-def _one_partner(pairs: DataFrame) -> DataFrame:
-    """For each node the pair with its smallest partner: alike nodes mostly choose the same one."""
+def _few_partners(pairs: DataFrame, most: int) -> DataFrame:
+    """For each node the pairs with its smallest partners: alike nodes mostly choose the same ones."""
     ends = pairs.select(F.col("a").alias("node"), F.col("b").alias("partner"), "a", "b", "na", "nb").unionByName(
         pairs.select(F.col("b").alias("node"), F.col("a").alias("partner"), "a", "b", "na", "nb")
     )
-    return ends.groupBy("node").agg(F.min_by(F.struct("a", "b", "na", "nb"), "partner").alias("pair")).select("pair.*").distinct()
+    order = Window.partitionBy("node").orderBy("partner")
+    return ends.withColumn("place", F.row_number().over(order)).where(F.col("place") <= most).select("a", "b", "na", "nb").distinct()
 
 
 def _common(left: pa.Array, right: pa.Array) -> pa.Array:
@@ -330,6 +331,19 @@ def _open_lists(shared: DataFrame, labels: DataFrame) -> DataFrame:
     return staged(known.join(mixed_lists.select("token"), "token", "left_semi"), "lists")
 
 
+def _hub_pairs(lists: DataFrame, labels: DataFrame, turn: int) -> DataFrame:
+    """Nodes outside the largest component of a list, with a few of that component's nodes there."""
+    sizes = labels.groupBy("label").agg(F.count("*").alias("size"))
+    sized = lists.join(sizes, "label", "left").withColumn("rank", F.struct(F.coalesce("size", F.lit(1)).alias("size"), "label"))
+    whole = Window.partitionBy("token")
+    largest = sized.withColumn("largest", F.max("rank").over(whole)).withColumn("outside", F.col("label") != F.col("largest.label"))
+    order = Window.partitionBy("token", "outside").orderBy(F.xxhash64("node", F.lit(turn)))
+    ranked = largest.withColumn("place", F.when(~F.col("outside"), F.row_number().over(order)))
+    hubs = F.collect_list(F.when(F.col("place") <= HUBS, F.struct(F.col("node").alias("hub"), F.col("n").alias("m")))).over(whole)
+    met = ranked.withColumn("hubs", hubs).where("outside").select("node", "n", F.explode("hubs").alias("one")).select("node", "n", "one.*")
+    return met.where(_sizes_fit("n", "m")).select(*_pair("node", "hub", "n", "m")).distinct()
+
+
 def _block(size: Column) -> Column:
     return F.floor(F.log(size) / F.log(F.lit(BLOCK_RATIO))).cast("int")
 
@@ -370,6 +384,8 @@ def _derived(pairs: DataFrame, compared: DataFrame) -> DataFrame:
     nearest = both.groupBy("x").agg(F.max_by(F.struct("h", "nx", "nh", "overlap"), F.struct(F.col("overlap") / (F.col("nx") + F.col("nh") - F.col("overlap")), "h")).alias("near"))
     nearest = nearest.select("x", "near.h", (F.col("near.nx") - F.col("near.overlap")).alias("more"), (F.col("near.nh") - F.col("near.overlap")).alias("less"))
     known = both.select(F.col("x").alias("kx"), F.col("h").alias("kh"), F.col("overlap").alias("known"))
+    known = broadcast_if_small(known)
+    nearest = broadcast_if_small(nearest)
     out = pairs.withColumn("most", F.least("na", "nb")).withColumn("least", F.lit(0))
     for x, y in (("a", "b"), ("b", "a")):
         near = nearest.select(F.col("x").alias("_x"), F.col("h").alias("_h"), F.col("more").alias("_more"), F.col("less").alias("_less"))
@@ -414,22 +430,28 @@ def near_groups(docs: DataFrame) -> DataFrame:
     )
     ranked = staged(ranked.where("part > 0 or leader.node <> end").drop("end"), "postings")
 
-    pairs = staged(_may_link(_leader_pairs(ranked), bitmaps), "pairs")
-    sets = _sets_of(pairs, texts, first_ids)
-    compared = _compared(_one_partner(pairs), sets)
-    labels = contracted(_linked(compared))
-    apart = _apart(pairs.join(compared, ["a", "b"], "left_anti"), labels)
-    compared = compared.unionByName(_compared(staged(apart, "apart"), sets))
+    pairs = staged(_few_partners(_leader_pairs(ranked), PARTNERS), "pairs")
+    pairs = staged(_few_partners(_may_link(pairs, bitmaps), 1), "pairs")
+    compared = _compared(pairs, _sets_of(pairs, texts, first_ids))
     labels = contracted(_linked(compared))
-
-    lists = _open_lists(ranked.select("token", "node", "n", "pos").distinct(), labels)
-    pairs = staged(_may_link(_block_pairs(lists).join(compared, ["a", "b"], "left_anti"), bitmaps), "pairs")
-    bounded = staged(_derived(pairs, compared), "bounds")
-    links = _linked(compared).unionByName(bounded.where(_enough(F.col("least"))).select("a", "b"))
+    shared = ranked.select("token", "node", "n", "pos").distinct()
+    for turn in range(HUB_ROUNDS):
+        shared = _open_lists(shared, labels).drop("label")
+        pairs = _hub_pairs(relabelled(shared.withColumn("label", F.col("node")), labels, "label"), labels, turn)
+        pairs = staged(_may_link(staged(pairs.join(compared, ["a", "b"], "left_anti"), "pairs"), bitmaps), "pairs")
+        if pairs.isEmpty():
+            break
+        fresh = _compared(pairs, _sets_of(pairs, texts, first_ids))
+        compared, labels = compared.unionByName(fresh), contracted(_linked(fresh), labels)
+
+    lists = _open_lists(shared, labels)
+    pairs = staged(_block_pairs(lists).join(compared, ["a", "b"], "left_anti"), "pairs")
+    bounded = staged(_derived(staged(_may_link(pairs, bitmaps), "pairs"), compared), "bounds")
+    links = bounded.where(_enough(F.col("least"))).select("a", "b")
     left_open = bounded.where(~_enough(F.col("least")) & _enough(F.col("most"))).select("a", "b", "na", "nb")
     if not left_open.isEmpty():
         links = links.unionByName(_linked(_compared(left_open, _sets_of(left_open, texts, first_ids))))
-    labels = contracted(links)
+    labels = contracted(links, labels)
 
     smallest = relabelled(first_ids.withColumn("label", F.col("node")), labels, "label")
     names = smallest.groupBy("label").agg(F.min("doc_id").alias("component_id"))

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from millrace.operators.joins import BROADCAST_BYTES
 from millrace.session import scratch_path
 
 
@@ -20,6 +22,12 @@ def staged(df: DataFrame, purpose: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def broadcast_if_few(rows: DataFrame, row_bytes: int) -> DataFrame:
+    """A staged table with a broadcast hint if its counted rows, of at most ``row_bytes`` each, are small; else
+    as it is, so that Spark shuffles both sides of a join and splits skewed keys."""
+    return F.broadcast(rows) if rows.count() * row_bytes <= BROADCAST_BYTES else rows
+
+
 def forget_at_exit(spark: SparkSession, path: str) -> None:
     location = spark._jvm.org.apache.hadoop.fs.Path(path)
     location.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(location)
@@ -32,7 +40,3 @@ def fresh_name(df: DataFrame, wanted: str) -> str:
         wanted = f"_{wanted}"
     return wanted
 
-
-def same(left, right):
-    """Equality of join keys where NULL meets NULL."""
-    return left.eqNullSafe(right)
