@@ -33,3 +33,60 @@ def matches(spark: SparkSession, pattern: str) -> list[str]:
 def remove(spark: SparkSession, location: str) -> None:
     path, fs = _path(spark, location)
     fs.delete(path, True)
+
+
+def names(spark: SparkSession, location: str) -> list[str]:
+    """Names of the files directly in a folder; hidden ones and checksums are left out."""
+    path, fs = _path(spark, location)
+    if not fs.exists(path):
+        return []
+    found = [s.getPath().getName() for s in fs.listStatus(path) if s.isFile()]
+    return sorted(n for n in found if not n.startswith((".", "_")))
+
+
+def text(spark: SparkSession, location: str) -> str:
+    """The content of a small text file."""
+    path, fs = _path(spark, location)
+    stream = fs.open(path)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def texts(spark: SparkSession, location: str) -> dict[str, str]:
+    """Name and content of the small text files in a folder."""
+    return {name: text(spark, f"{location}/{name}") for name in names(spark, location)}
+
+
+def create(spark: SparkSession, location: str, content: str) -> bool:
+    """Create a file that must not exist; whether that succeeded."""
+    from py4j.protocol import Py4JJavaError
+
+    path, fs = _path(spark, location)
+    try:
+        stream = fs.create(path, False)
+    except Py4JJavaError:
+        if fs.exists(path):
+            return False
+        raise
+    try:
+        stream.write(bytearray(content, "utf-8"))
+    finally:
+        stream.close()
+    return True
+
+
+def keep_only(spark: SparkSession, location: str, name: str) -> None:
+    """Remove all files of a folder but one."""
+    path, fs = _path(spark, location)
+    if fs.exists(path):
+        for status in fs.listStatus(path):
+            if status.getPath().getName() != name:
+                fs.delete(status.getPath(), True)
+
+
+def rename(spark: SparkSession, location: str, wanted: str) -> None:
+    path, fs = _path(spark, location)
+    if not fs.rename(path, spark._jvm.org.apache.hadoop.fs.Path(wanted)):
+        raise OSError(f"cannot rename {location} to {wanted}")

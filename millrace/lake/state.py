@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions.types import quoted
 from millrace.lake import files
+from millrace.operators import ledger, lineage
 from millrace.operators.ledger import run_current_state
 from millrace.operators.transform import last_per_key
 from millrace.session import local_frame
@@ -32,6 +33,10 @@ SCHEMAS = {
     ),
     "dead_letters": "run_id string, error string, traceback string, created_at timestamp",
     "watermarks": "pipeline string, value string, kind string, run_id string, recorded_at timestamp",
+    "batches": (
+        "run_id string, started_at timestamp, bronze string, silver string, rows_extracted bigint, hidden array<string>,"
+        " watermark string, new_watermark string, kind string, clean_stats map<string,bigint>, recorded_at timestamp"
+    ),
     "scorecards": (
         "run_id string, pipeline string, completeness double, consistency double, accuracy double,"
         f" overall_score double, passed boolean, checks {CHECKS}, created_at timestamp"
@@ -64,6 +69,11 @@ FOLDERS = {
     "schema_versions": "dataset",
     "column_sightings": "dataset",
     "column_stats": "dataset",
+    "batches": "run_id",
+    "run_events": "pipeline",
+    "scorecards": "pipeline",
+    "lineage": "pipeline",
+    "anomalies": "dataset",
 }
 
 
@@ -131,5 +141,67 @@ class State:
         newest = last_per_key(stats, ["dataset", "column"], ["recorded_at"])
         return newest.select("dataset", "column", "count", "mean", "m2")
 
+    def batch(self, run_id: str):
+        """The batch that an earlier attempt of the run pinned, or None."""
+        folder = f"{self.folder('batches')}/run_id={run_id}"
+        if not files.exists(self.spark, folder):
+            return None
+        schema = SCHEMAS["batches"].removeprefix("run_id string, ")
+        rows = self.spark.read.schema(schema).parquet(folder)
+        return rows.orderBy(F.desc("recorded_at")).first()
+
+    def unpin(self, run_id: str) -> None:
+        files.remove(self.spark, f"{self.folder('batches')}/run_id={run_id}")
+
+    # What the runs wrote, ready to be served.
+
     def runs(self) -> DataFrame:
+        """The present state of every run."""
         return run_current_state(self.read("run_events"))
+
+    def dashboard(self) -> DataFrame:
+        """Counts by state, success rate and mean duration of all runs, as one row."""
+        return ledger.run_dashboard(self.runs(), F.col("metrics")["duration_seconds"])
+
+    def failed_runs(self, n: int = 20) -> DataFrame:
+        """The newest failed runs, newest first, with whether they have a dead letter."""
+        order = [F.desc("event_ts"), F.desc("run_id")]
+        newest = ledger.latest_failed(self.runs(), order, n)
+        return ledger.with_dead_letter_flag(newest, self.read("dead_letters")).orderBy(*order)
+
+    def score_trend(self) -> DataFrame:
+        """Every scorecard with what its overall score differs by from the pipeline's one before."""
+        return ledger.score_trend(self.read("scorecards"), "pipeline", ["created_at", "run_id"])
+
+    def drift_history(self, dataset: str) -> DataFrame:
+        """Schema versions of a dataset, oldest first."""
+        return self.read("schema_versions").filter(F.col("dataset") == dataset).orderBy("version")
+
+    def unusual_columns(self, dataset: str) -> DataFrame:
+        """Columns whose mean left its baseline, newest first."""
+        return self.read("anomalies").filter(F.col("dataset") == dataset).orderBy(F.desc("created_at"), "column")
+
+    def lineage_edges(self) -> DataFrame:
+        """The edges of all pipelines as they were recorded last."""
+        return lineage.latest_edges(self.read("lineage"))
+
+    def lineage_graph(self, dataset: str) -> dict:
+        return lineage.lineage_graph(self.lineage_edges(), dataset)
+
+    def compact(self, table: str) -> None:
+        """Put the many small files of a table into one per folder, for tables of many runs.
+
+        The rows are written to a new folder first, which then takes the old one's place; no run may be
+        under way meanwhile.
+        """
+        fresh, folder = f"{self.root}/.compacted-{table}", self.folder(table)
+        if not files.exists(self.spark, folder):
+            return
+        rows = self.read(table)
+        if table in FOLDERS:
+            rows = rows.repartition(FOLDERS[table])
+            rows.write.mode("overwrite").partitionBy(FOLDERS[table]).parquet(fresh)
+        else:
+            rows.coalesce(1).write.mode("overwrite").parquet(fresh)
+        files.remove(self.spark, folder)
+        files.rename(self.spark, fresh, folder)

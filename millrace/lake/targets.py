@@ -1,10 +1,12 @@
 """Gold targets as numbered snapshots.
 
-``<target>/current/snapshot_seq=N/run_id=R`` holds all current rows after load N, made by run R,
-``<target>/closed/snapshot_seq=N`` only the versions load N closed. A load becomes visible when
-its ``current`` folder has the success marker, which Spark writes last, so readers see all of a
-load or nothing of it, and a run that is started again can tell that its load is already there.
-History is appended, never rewritten. One load at a time may write to a target.
+``<target>/current/run_id=R`` holds all current rows after the load of run R, ``<target>/closed/run_id=R``
+only the versions that load closed, and ``<target>/log/N`` says that load N was made by run R. A load
+becomes visible when its log entry is created, last and by a call that fails if the entry exists. So
+readers see all of a load or nothing of it, what a dead load left is never read, of two loads that started
+from the same snapshot the second fails loudly instead of undoing the first, and a run that is started
+again can tell that its load is there. History is appended, never rewritten; ``vacuum`` removes current
+rows that later loads replaced.
 """
 
 from __future__ import annotations
@@ -15,7 +17,6 @@ from datetime import datetime
 
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, Observation, SparkSession
-from pyspark.sql import functions as F
 
 from millrace.errors import EtlError, LoadError, first_line
 from millrace.lake import files
@@ -25,8 +26,6 @@ from millrace.operators.dimension import (
 )
 from millrace.session import local_frame
 
-SEQ = "snapshot_seq"
-
 
 @dataclass(frozen=True)
 class Dimension:
@@ -36,42 +35,55 @@ class Dimension:
     folder: str
     spec: DimensionSpec
 
-    def _complete(self, run_id: str = "*") -> dict[int, str]:
-        """Number and folder of every complete snapshot, or of those of one run."""
-        marks = files.matches(self.spark, f"{self.folder}/current/{SEQ}=*/run_id={run_id}/_SUCCESS")
-        folders = [m.removesuffix("/_SUCCESS") for m in marks]
-        return {int(f.rsplit(f"{SEQ}=", 1)[1].split("/", 1)[0]): f for f in folders}
+    def log(self) -> dict[int, str]:
+        """Number and run of every complete load."""
+        return {int(n): run for n, run in files.texts(self.spark, f"{self.folder}/log").items()}
 
     def latest_seq(self) -> int:
-        """Number of the newest complete snapshot, 0 before the first load."""
-        return max(self._complete(), default=0)
+        """Number of the newest complete load, 0 before the first one."""
+        return max((int(n) for n in files.names(self.spark, f"{self.folder}/log")), default=0)
 
     def has_load_of(self, run_id: str) -> bool:
-        return bool(self._complete(run_id))
+        written = files.exists(self.spark, f"{self.folder}/current/run_id={run_id}/_SUCCESS")
+        return written and run_id in self.log().values()
 
     def current(self, seq: int | None = None) -> DataFrame:
-        complete = self._complete()
-        seq = max(complete, default=0) if seq is None else seq
+        seq = self.latest_seq() if seq is None else seq
         if not seq:
             return local_frame(self.spark, [], self.spec.schema)
-        return self.spark.read.schema(self.spec.schema).parquet(complete[seq])
+        run_id = files.text(self.spark, f"{self.folder}/log/{seq}")
+        return self.spark.read.schema(self.spec.schema).parquet(f"{self.folder}/current/run_id={run_id}")
 
     def history(self) -> DataFrame:
         """Every version: the closed ones of all complete loads and the current ones."""
-        seq = self.latest_seq()
-        current = self.current(seq)
-        closed = f"{self.folder}/closed"
-        if not files.child_folders(self.spark, closed):
+        complete, closed = self.log(), f"{self.folder}/closed"
+        present = set(files.child_folders(self.spark, closed))
+        folders = [f"{closed}/run_id={r}" for r in complete.values() if f"run_id={r}" in present]
+        current = self.current(max(complete, default=0))
+        if not folders:
             return current
-        older = self.spark.read.schema(f"{self.spec.schema}, {SEQ} bigint").parquet(closed)
-        return older.filter(F.col(SEQ) <= seq).select(*self.spec.columns).unionByName(current)
+        older = self.spark.read.schema(self.spec.schema).option("basePath", closed).parquet(*folders)
+        return older.select(*self.spec.columns).unionByName(current)
 
     def write(
-        self, seq: int, current: DataFrame, closed: DataFrame | None = None, run_id: str = "none"
+        self, base: int, current: DataFrame, closed: DataFrame | None = None, run_id: str = "none"
     ) -> None:
+        """Write the load that follows snapshot ``base`` and make it visible."""
         if closed is not None:
-            closed.write.mode("overwrite").parquet(f"{self.folder}/closed/{SEQ}={seq}")
-        current.write.mode("overwrite").parquet(f"{self.folder}/current/{SEQ}={seq}/run_id={run_id}")
+            closed.write.mode("overwrite").parquet(f"{self.folder}/closed/run_id={run_id}")
+        current.write.mode("overwrite").parquet(f"{self.folder}/current/run_id={run_id}")
+        if not files.create(self.spark, f"{self.folder}/log/{base + 1}", run_id):
+            raise LoadError(f"another load became number {base + 1} of {self.folder} meanwhile; start run {run_id!r} again")
+
+    def vacuum(self, keep: int = 2) -> list[str]:
+        """Remove the current rows of complete loads but the newest ``keep``; versions they closed stay."""
+        complete = self.log()
+        kept = {complete[n] for n in sorted(complete)[-keep:]}
+        gone = [f"{self.folder}/current/run_id={r}" for r in complete.values() if r not in kept]
+        for folder in gone:
+            # The success marker goes with its folder, the log entry stays: the run did load.
+            files.keep_only(self.spark, folder, "_SUCCESS")
+        return gone
 
 
 def load_type1(
@@ -85,7 +97,7 @@ def load_type1(
     merged = upsert_type1(
         current, batch, dim.spec, order_by, now, broadcast_keys=small, created=created
     )
-    dim.write(seq + 1, merged, run_id=run_id)
+    dim.write(seq, merged, run_id=run_id)
     # Every row that did not create its key updated it, as in a row-by-row load.
     return {"created": created.get["keys"], "updated": batch.count() - created.get["keys"]}
 
@@ -98,7 +110,7 @@ def load_type2(
     seq = dim.latest_seq()
     current = dim.current(seq)
     # The versions of the batch's keys are needed three times, so they are written down once.
-    staged = f"{dim.folder}/staged/{SEQ}={seq + 1}"
+    staged = f"{dim.folder}/staged/run_id={run_id}"
     small = keys_fit_broadcast(batch, dim.spec)
     merge_type2(
         current, batch, dim.spec, order_by, now, collapse=collapse, broadcast_keys=small
@@ -108,7 +120,7 @@ def load_type2(
     fresh = versions.filter("is_current").select(*dim.spec.columns)
     closed = versions.filter("NOT is_current").select(*dim.spec.columns)
     kept = untouched_rows(current, batch, dim.spec, broadcast_keys=small)
-    dim.write(seq + 1, kept.unionByName(fresh), closed, run_id)
+    dim.write(seq, kept.unionByName(fresh), closed, run_id)
     files.remove(dim.spark, staged)
     return counts
 

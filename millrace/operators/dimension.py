@@ -66,8 +66,15 @@ def _instant(now: datetime | Column) -> Column:
     return now if isinstance(now, Column) else F.lit(str(now)).cast("timestamp")
 
 
-def incoming(batch: DataFrame, spec: DimensionSpec, keep: tuple[str, ...] = ()) -> DataFrame:
-    """The batch in dimension shape: text key, known attributes only, defaults for absent ones."""
+# The batch's ordering columns travel in one struct: they may have the names of attributes.
+ORDER = "__order"
+
+
+def incoming(batch: DataFrame, spec: DimensionSpec, order_by: tuple[str, ...] = ()) -> DataFrame:
+    """The batch in dimension shape: text key, known attributes only, defaults for absent ones.
+
+    With ``order_by``, a struct of these columns of the batch as well.
+    """
     lacking = [c for c in (spec.source_key, *spec.required) if c not in batch.columns]
     if lacking:
         raise LoadError(f"the batch has no column {', '.join(map(repr, lacking))}")
@@ -86,7 +93,7 @@ def incoming(batch: DataFrame, spec: DimensionSpec, keep: tuple[str, ...] = ())
     return batch.select(
         key.alias(spec.key),
         *[attribute(a).alias(a) for a in spec.attributes],
-        *[F.col(quoted(c)) for c in keep],
+        *([F.struct(*[F.col(quoted(c)) for c in order_by]).alias(ORDER)] if order_by else []),
     )
 
 
@@ -119,7 +126,7 @@ def upsert_type1(
     An overwritten row keeps its ``valid_from``. Both sides meet with at most one row per key.
     ``created`` observes the number of new keys while the result is written.
     """
-    latest = last_per_key(incoming(batch, spec, tuple(order_by)), [spec.key], order_by)
+    latest = last_per_key(incoming(batch, spec, tuple(order_by)), [spec.key], [ORDER])
     # The key set is a plain distinct, the same for both joins, so the ranking runs only once.
     keys = incoming(batch, spec).select(spec.key).distinct()
     known = _known(current, keys, spec, broadcast_keys).select(spec.key, F.col("valid_from").alias("__since"))
@@ -190,7 +197,7 @@ def merge_type2(
     """
     arriving = incoming(batch, spec, tuple(order_by))
     if collapse:
-        arriving = last_per_key(arriving, [spec.key], order_by)
+        arriving = last_per_key(arriving, [spec.key], [ORDER])
     keys = arriving.select(spec.key).distinct()
     seeds = _known(current, keys, spec, broadcast_keys).select(
         spec.key, *spec.attributes, "valid_from", F.lit(0).alias("__step")
@@ -199,7 +206,7 @@ def merge_type2(
     rows = seeds.unionByName(steps, allowMissingColumns=True)
     # A key has at most one seed, so the batch alone tells how many rows a task would get.
     chain = version_chain(
-        rows, [spec.key], list(spec.tracked), list(spec.carried), ["__step", *order_by],
+        rows, [spec.key], list(spec.tracked), list(spec.carried), ["__step", ORDER],
         pieces=pieces_needed(arriving, [spec.key], None if collapse else hot_key_rows),
     )
     return chain.select(*spec.columns, "opens_key", (F.col("__step") == 0).alias("is_seed"))

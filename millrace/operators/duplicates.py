@@ -14,6 +14,11 @@ from millrace.functions.types import is_floating, is_text, quoted
 
 # Longer strings are compared by length and SHA-256 digest, so that whole texts need not travel.
 INLINE_BYTES = 32
+# JSON text of nested values is equal exactly where the values are.
+TO_THE_MICROSECOND = {
+    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+    "ignoreNullFields": "false",
+}
 # Rows of at most this many fixed-size columns are compared as they are.
 INLINE_COLUMNS = 4
 
@@ -21,7 +26,7 @@ INLINE_COLUMNS = 4
 def _group_key(name: str, dtype: T.DataType) -> list[Column]:
     col = F.col(quoted(name))
     if isinstance(dtype, (T.MapType, T.VariantType)):
-        col, dtype = F.to_json(col), T.StringType()
+        col, dtype = F.to_json(col, TO_THE_MICROSECOND), T.StringType()
     if is_floating(dtype):
         return [F.when(~F.isnan(col), col).alias(f"k_{name}")]
     if is_text(dtype) or isinstance(dtype, T.BinaryType):
@@ -52,7 +57,7 @@ def _cell_text(name: str, dtype: T.DataType) -> Column:
     if isinstance(dtype, T.BinaryType):
         return F.hex(col)
     if isinstance(dtype, (T.ArrayType, T.StructType, T.MapType, T.VariantType)):
-        return F.to_json(col)
+        return F.to_json(col, TO_THE_MICROSECOND)
     return col.cast("string")
 
 

@@ -35,14 +35,25 @@ def pipeline_edges(pipelines: DataFrame) -> DataFrame:
             (renames if LAYERS[start] == "BRONZE" else none).alias("column_mapping"),
         )
 
-    return pipelines.select("pipeline", F.inline(F.array(hop(0), hop(1), hop(2))))
+    kept = [c for c in ("pipeline", "recorded_at") if c in pipelines.columns]
+    return pipelines.select(*kept, F.inline(F.array(hop(0), hop(1), hop(2))))
+
+
+ENDS = ("pipeline", "from_layer", "from_name", "to_layer", "to_name")
+
+
+def latest_edges(edges: DataFrame) -> DataFrame:
+    """The edges, unique by pipeline and both ends, with the mapping that was recorded last.
+
+    Edges without ``recorded_at`` have no order; of different mappings the largest one counts.
+    """
+    newest = F.max_by("column_mapping", "recorded_at") if "recorded_at" in edges.columns else F.max("column_mapping")
+    return edges.groupBy(*ENDS).agg(newest.alias("column_mapping"))
 
 
 def lineage_edges(pipelines: DataFrame) -> DataFrame:
-    """The edges of all pipelines, unique by pipeline and both ends."""
-    edges = pipeline_edges(pipelines)
-    ends = ["pipeline", "from_layer", "from_name", "to_layer", "to_name"]
-    return edges.groupBy(*ends).agg(F.max("column_mapping").alias("column_mapping"))
+    """The edges of all pipelines, unique by pipeline and both ends; ``recorded_at`` orders repeated ones."""
+    return latest_edges(pipeline_edges(pipelines))
 
 
 def lineage_nodes(edges: DataFrame) -> DataFrame:
@@ -57,13 +68,15 @@ def lineage_nodes(edges: DataFrame) -> DataFrame:
 def edges_of_dataset(edges: DataFrame, dataset: str | None = None) -> DataFrame:
     """Edges touching a dataset's nodes at either end; without a name, for every dataset at once.
 
-    Source nodes belong to no dataset, so they match through their other end only.
+    Source nodes belong to no dataset, so they match through their other end only. Edges that were
+    recorded several times appear once.
     """
+    edges = latest_edges(edges)
     from_dataset = F.when(F.col("from_layer") != "SOURCE", F.col("from_name"))
     to_dataset = F.when(F.col("to_layer") != "SOURCE", F.col("to_name"))
     if dataset is not None:
         touching = edges.filter((from_dataset == dataset) | (to_dataset == dataset))
-        return touching.withColumn("dataset", F.lit(dataset)).distinct()
+        return touching.withColumn("dataset", F.lit(dataset))
     owners = F.array_distinct(F.array_compact(F.array(from_dataset, to_dataset)))
     return edges.withColumn("dataset", F.explode(owners))
 

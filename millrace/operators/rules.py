@@ -31,6 +31,7 @@ from datetime import datetime
 from functools import reduce
 
 from pyspark.errors import PySparkException
+from pyspark.logger import PySparkLogger
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -67,6 +68,8 @@ class Check:
     side_counts: dict[str, Callable[[], DataFrame]] = field(default_factory=dict)
     row_violation: Column | None = None
     structural: bool = False
+    # A condition of the user's, by the name of the column that will hold it, evaluated leniently.
+    condition: tuple[str, str] | None = None
 
     def passing(self) -> Column:
         return self.violations == 0 if self.passed is None else self.passed
@@ -253,10 +256,24 @@ def _freshness(batch: Batch, rule: dict, slot: str) -> Check:
     )
 
 
+@contextmanager
+def _lenient(spark):
+    """What is analysed in here yields NULL for a value it cannot compute or cast, and no error.
+
+    Spark fixes that when an expression is resolved, so it holds wherever the result is used.
+    """
+    strict = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        yield
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", strict)
+
+
 @contextmanager
 def _quiet_analysis():
     """A rule that does not resolve is a result here, not an error worth a page of log."""
-    logger = logging.getLogger("SQLQueryContextLogger")
+    logger = PySparkLogger.getLogger("SQLQueryContextLogger")
     level = logger.level
     logger.setLevel(logging.CRITICAL)
     try:
@@ -270,7 +287,7 @@ def _business_rule(batch: Batch, rule: dict, slot: str) -> Check:
     severity = rule.get("severity", BLOCKING)
     problem = None
     try:
-        with _quiet_analysis():
+        with _quiet_analysis(), _lenient(batch.df.sparkSession):
             probe = batch.df.select(F.expr(expression)).schema
             batch.df.agg(count_if(~F.coalesce(F.expr(expression), F.lit(False))))
         if len(probe) != 1 or not isinstance(probe[0].dataType, T.BooleanType):
@@ -282,11 +299,13 @@ def _business_rule(batch: Batch, rule: dict, slot: str) -> Check:
             label, "business_rule", severity, F.col(ROWS), _at_least_one(F.col(ROWS)),
             f"cannot evaluate {expression!r}: {problem}", "", passed=F.lit(False),
         )
-    holds = F.coalesce(F.expr(expression), F.lit(False))
+    # A row on which the expression cannot be evaluated breaks the rule, like one where it is NULL.
+    flag = f"__holds_{slot}"
+    holds = F.coalesce(F.col(flag), F.lit(False))
     return Check(
         label, "business_rule", severity, F.col(slot), _at_least_one(F.col(ROWS)),
         f"{{n}} row(s) break {label!r}: {expression}", f"{label!r} holds for every row",
-        aggregates={slot: count_if(~holds)}, row_violation=~holds,
+        aggregates={slot: count_if(~holds)}, row_violation=~holds, condition=(flag, expression),
     )
 
 
@@ -364,6 +383,14 @@ class RuleSet:
             checks.append(compiler(batch, rule, f"check_{position}") if compiler else _unknown(rule))
         return cls(batch, checks)
 
+    def flagged(self) -> DataFrame:
+        """The batch with a column for each condition of the user's, which the checks refer to."""
+        conditions = dict(c.condition for c in self.checks if c.condition)
+        if not conditions:
+            return self.batch.df
+        with _lenient(self.batch.df.sparkSession):
+            return self.batch.df.withColumns({flag: F.expr(e) for flag, e in conditions.items()})
+
     def row_aggregates(self, null_cells: bool = True) -> list[Column]:
         """Everything one scan can answer: rule measures, rows and, for the scores, null cells."""
         measures = {ROWS: F.count(F.lit(1))}
@@ -385,7 +412,7 @@ class RuleSet:
 
         Without the scores only the columns named by rules are read.
         """
-        fused = self.batch.df.agg(*self.row_aggregates(null_cells=for_scores))
+        fused = self.flagged().agg(*self.row_aggregates(null_cells=for_scores))
         sides = self.side_counts()
         if for_scores and DUPLICATE_ROWS not in sides:
             sides[DUPLICATE_ROWS] = repeated_rows(self.batch.df, self.batch.hidden)
@@ -439,13 +466,10 @@ def rule_results(
     return compiled.results(compiled.measures(for_scores=False))
 
 
-def row_passes(df: DataFrame, rules: list[dict]) -> Column:
-    """True where a row satisfies every blocking rule that can be judged on the row alone."""
+def quarantine_split(df: DataFrame, rules: list[dict]) -> DataFrame:
+    """The batch with ``is_quarantined``: whether a row breaks any blocking rule that can be judged on the
+    row alone. Both halves stay in one scan."""
     compiled = RuleSet.compile(df, rules)
     bad = [c.row_violation for c in compiled.checks if c.severity == BLOCKING and c.row_violation is not None]
-    return ~reduce(lambda a, b: a | b, bad, F.lit(False))
-
-
-def quarantine_split(df: DataFrame, rules: list[dict]) -> DataFrame:
-    """The batch with ``is_quarantined``; both halves stay in one scan."""
-    return df.withColumn("is_quarantined", ~row_passes(df, rules))
+    marked = compiled.flagged().withColumn("is_quarantined", reduce(lambda a, b: a | b, bad, F.lit(False)))
+    return marked.select(*[F.col(quoted(c)) for c in df.columns if c != "is_quarantined"], "is_quarantined")

@@ -72,7 +72,7 @@ def assess(
     sides = rules.side_counts()
     sides.pop(DUPLICATE_ROWS, None)
     with ThreadPoolExecutor(max_workers=2) as pool:
-        scanned = pool.submit(lambda: df.agg(*fused, *extra).first())
+        scanned = pool.submit(lambda: rules.flagged().agg(*fused, *extra).first())
         counted = pool.submit(_collect_counts, sides)
     first = scanned.result()
     measures = dict(zip(first.__fields__[: len(fused)], first[: len(fused)]))

@@ -17,8 +17,6 @@ from millrace.session import ensure_checkpoint_dir
 
 # Rows of one key that a single task sorts without trouble.
 HOT_KEY_ROWS = 5_000_000
-# Beyond this many pieces a bigger table gets bigger pieces.
-MOST_PIECES = 20_000
 
 
 def _columns(names: list[str]) -> list[Column]:
@@ -38,7 +36,7 @@ def pieces_needed(df: DataFrame, keys: list[str], hot_key_rows: int | None = HOT
     if not size.largest or size.largest <= hot_key_rows:
         return 0
     partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return min(max(partitions, ceil(size.total / hot_key_rows)), MOST_PIECES)
+    return max(partitions, ceil(size.total / hot_key_rows))
 
 
 def along_key(

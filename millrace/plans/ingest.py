@@ -9,8 +9,9 @@ Passes over the batch:
 4. silver -> next snapshot of the target.
 
 The driver keeps specs, counters and catalog rows only. Everything a run writes lies under its run
-id or its snapshot number and becomes current last, so a run that died is simply started again
-with the same id.
+id and becomes current last, so a run that died is simply started again with the same id. Its first
+attempt pins the batch (where bronze is, its counters, the watermark it leads to); later ones go on from
+there and never read the source again, unless the attempt failed before anything was loaded.
 """
 
 from __future__ import annotations
@@ -43,7 +44,8 @@ from millrace.operators.transform import transform
 from millrace.session import configure, local_frame
 from millrace.sources import POSITION, extract
 
-# Sources whose format cannot skip rows by a filter: counting all their rows costs nothing extra.
+# Sources whose format cannot skip rows by a filter: their rows are counted while they are read. Of the
+# others they are counted by a job of its own, which for Parquet reads footers only.
 UNFILTERED_SOURCES = ("file", "s3", "rest_api")
 
 
@@ -57,7 +59,8 @@ class PipelineSpec:
     ``transform`` may hold ``clean`` besides the reshape steps. ``order_by`` names the columns of
     the reshaped batch that order its rows; CSV and paged sources know their row order themselves.
     Without a ``target`` rows go to the default one. ``keep_raw`` also writes the new rows as they
-    were before cleaning.
+    were before cleaning. ``rows_extracted`` counts the source's rows before the watermark's filter;
+    ``count_source=False`` saves that count.
     """
 
     name: str
@@ -122,6 +125,10 @@ class IngestRun:
         self.watermark = None
         self.hidden: tuple[str, ...] = ()
         self.loaded = False
+        self.pinned = self.state.batch(run_id)
+        if self.pinned is not None:
+            self.now = self.pinned.started_at.replace(tzinfo=timezone.utc)
+            self.bronze, self.silver = self.pinned.bronze, self.pinned.silver
 
     def log(self, text: str) -> None:
         self.result.step_logs.append(text)
@@ -129,14 +136,23 @@ class IngestRun:
     # -- stages ---------------------------------------------------------------------------------
 
     def stage_delta(self) -> DataFrame:
-        """Write the new, cleaned rows to this run's bronze folder and read them back."""
+        """Write the new, cleaned rows to this run's bronze folder and read them back.
+
+        An earlier attempt's batch is taken as it is.
+        """
         spec, result = self.spec, self.result
+        if self.pinned is not None:
+            pin = self.pinned
+            self.hidden, self.watermark, self.kind = tuple(pin.hidden), pin.watermark, pin.kind
+            result.rows_extracted, result.new_watermark = pin.rows_extracted, pin.new_watermark
+            result.clean_stats = dict(pin.clean_stats or {})
+            self.log(f"went on with the batch pinned at {pin.recorded_at}")
+            return self.spark.read.parquet(self.bronze)
         source_type = spec.source.get("type")
         raw = nan_to_null(extract(self.spark, source_type, spec.source))
         self.hidden = (POSITION,) if POSITION in raw.columns else ()
-        count_source = spec.count_source
-        if count_source is None:
-            count_source = (source_type or "").lower() in UNFILTERED_SOURCES
+        wanted = spec.count_source is not False
+        count_source = wanted and (source_type or "").lower() in UNFILTERED_SOURCES
         everything, delta, cleaned = Observation(), Observation(), Observation()
         # The predicate may probe the source, so it is made before anything is observed.
         column, newer = self._newer_rows(raw)
@@ -161,7 +177,8 @@ class IngestRun:
         except PySparkException as exc:
             raise ExtractError(f"reading the source failed: {first_line(exc)}") from exc
         found = delta.get
-        result.rows_extracted = everything.get["rows"] if count_source else found["rows"]
+        if wanted:
+            result.rows_extracted = everything.get["rows"] if count_source else raw.count()
         self.log(f"extracted {result.rows_extracted} row(s) from {source_type}")
         if column:
             dtype = raw.schema[column].dataType
@@ -176,6 +193,13 @@ class IngestRun:
             names = ("cells_trimmed", "cells_lowercased", "cells_filled", "rows_dropped")
             result.clean_stats = {n: int(cleaned.get.get(n) or 0) for n in names}
             self.log(f"cleaned: {result.clean_stats}")
+        self.state.append("batches", [{
+            "run_id": result.run_id, "started_at": self.now, "bronze": self.bronze, "silver": self.silver,
+            "rows_extracted": result.rows_extracted, "hidden": list(self.hidden),
+            "watermark": None if self.watermark is None else str(self.watermark),
+            "new_watermark": result.new_watermark, "kind": self.kind, "clean_stats": result.clean_stats,
+            "recorded_at": datetime.now(timezone.utc),
+        }])
         return self.spark.read.parquet(self.bronze)
 
     def _newer_rows(self, raw: DataFrame) -> tuple[str | None, Column | None]:
@@ -365,6 +389,7 @@ def run_ingest(
     run.event(RUNNING, retry_count=attempt - 1)
     try:
         targets.get_target(run.target)
+        run.loaded = targets.open_dimension(spark, run.root, run.target).has_load_of(run_id)
         run.discard_layers(older_days_only=True)
         batch = run.stage_delta()
         outcome = run.check(batch)
@@ -380,6 +405,7 @@ def run_ingest(
         trace = tb.format_exc()
         if not run.loaded:
             run.discard_layers()
+            run.state.unpin(run_id)
         blocked = isinstance(exc, ValidationFailed)
         if attempt < attempts and not blocked:
             run.event(RETRYING, trace=trace, retry_count=attempt)

@@ -194,12 +194,13 @@ def in_flight(spark, folder):
 @query(
     "failed_top20",
     f"SELECT run_id, c_name AS pipeline_name, metrics AS error, event_ts FROM ({RUNS_SQL})"
-    " JOIN customer ON c_custkey = pipeline WHERE status = 'FAILED' ORDER BY event_ts DESC, seq DESC LIMIT 20",
+    " LEFT JOIN customer ON c_custkey = pipeline WHERE status = 'FAILED' ORDER BY event_ts DESC, seq DESC LIMIT 20",
 )
 def failed_jobs(spark, folder):
     newest = ledger.latest_failed(_runs(spark, folder), [F.desc("event_ts"), F.desc("seq")])
     names = table(spark, folder, "customer").select(F.col("c_custkey").alias("pipeline"), F.col("c_name").alias("pipeline_name"))
-    return newest.join(names, "pipeline").select("run_id", "pipeline_name", F.col("metrics").alias("error"), "event_ts")
+    named = newest.join(names, "pipeline", "left").orderBy(F.desc("event_ts"), F.desc("seq"))
+    return named.select("run_id", "pipeline_name", F.col("metrics").alias("error"), "event_ts")
 
 
 DEAD_SQL = f"SELECT run_id, max(duration) AS worst FROM ({RUN_EVENTS_SQL}) WHERE status = 'FAILED' AND duration > 1 GROUP BY 1"

@@ -55,12 +55,16 @@ def ship_package(spark: SparkSession) -> None:
 def shared_root(spark: SparkSession) -> str:
     """Folder that every executor can reach, as named by the cluster.
 
-    Only a session without the setting (a local test) gets a temporary folder of its own.
+    Only a local session without the setting (a test) gets a temporary folder of its own; on a cluster
+    such a folder would be another one on each machine.
     """
     root = spark.conf.get(CHECKPOINT_SETTING, None) or spark.sparkContext.getConf().get(
         CHECKPOINT_SETTING
     )
     if not root:
+        master = spark.sparkContext.master
+        if not (master == "local" or master.startswith("local[")):
+            raise ValueError(f"set {CHECKPOINT_SETTING} to a folder that all machines share (master is {master})")
         application = spark.sparkContext.applicationId
         if application not in _LOCAL_ROOTS:
             _LOCAL_ROOTS[application] = tempfile.mkdtemp(prefix="millrace-")

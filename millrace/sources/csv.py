@@ -24,6 +24,7 @@ NULL_TOKENS = (
 BOOLEAN_TOKENS = ("True", "TRUE", "true", "False", "FALSE", "false")
 SURPLUS = "_extra"
 OPEN_QUOTE = "_open"
+HEADER = "_header"
 
 
 def resolve_path(path: str, base_dir: str | None) -> str:
@@ -51,21 +52,34 @@ def _header(spark: SparkSession, path: str, options: dict) -> list[str]:
     return names
 
 
+def _surplus(names: list[str]) -> Column:
+    """The raw row, if it has more fields than the header.
+
+    The reader hands over the raw text of any row whose number of fields is not the header's; quoted
+    cells aside, the commas tell which way.
+    """
+    bare = F.regexp_replace(F.col(SURPLUS), '"(?:[^"]|"")*"', "")
+    fields = F.length(bare) - F.length(F.replace(bare, F.lit(","), F.lit(""))) + 1
+    return F.when(fields > len(names), F.col(SURPLUS))
+
+
 def _lines(spark: SparkSession, path: str, names: list[str], options: dict) -> DataFrame:
-    """Cells of every line taken by itself, and whether the line leaves a quote open."""
+    """Cells of every line taken by itself, and whether the line leaves a quote open or reads like the header."""
     schema = ", ".join(f"{quoted(n)} string" for n in [*names, SURPLUS])
     text = spark.read.options(**options).text(path)
     quotes = F.length("value") - F.length(F.replace(F.col("value"), F.lit('"'), F.lit("")))
     parsed = text.select(
-        F.from_csv("value", schema, {"escape": '"'}).alias("r"), (quotes % 2 == 1).alias("open")
+        F.from_csv("value", schema, {"escape": '"', "columnNameOfCorruptRecord": SURPLUS}).alias("r"),
+        (quotes % 2 == 1).alias("open"),
     )
     is_header = reduce(
         lambda a, b: a & b, [F.col(f"r.{quoted(n)}").eqNullSafe(F.lit(n)) for n in names]
     )
-    return parsed.filter(~is_header).select(
-        *[F.col(f"r.{quoted(n)}").alias(n) for n in [*names, SURPLUS]],
-        F.when(F.col("open"), F.lit("open")).alias(OPEN_QUOTE),
+    cells = parsed.select(
+        *[F.when(~is_header, F.col(f"r.{quoted(n)}")).alias(n) for n in [*names, SURPLUS]],
+        F.when(F.col("open"), F.lit("open")).alias(OPEN_QUOTE), F.when(is_header, F.lit("header")).alias(HEADER),
     )
+    return cells.withColumn(SURPLUS, _surplus(names))
 
 
 def read_csv(
@@ -85,10 +99,13 @@ def read_csv(
     if multi_line is None:
         surveyed = _survey(_lines(spark, path, names, options))
         multi_line = OPEN_QUOTE in surveyed
+        if HEADER in surveyed and surveyed[HEADER].n > len(spark.read.options(**options).text(path).inputFiles()):
+            surveyed = None  # a data row reads like the header, so only the reader tells them apart
     text_schema = ", ".join(f"{quoted(n)} string" for n in [*names, SURPLUS])
     raw = spark.read.schema(text_schema).options(
-        header=True, escape='"', multiLine=multi_line, **options
+        header=True, escape='"', multiLine=multi_line, columnNameOfCorruptRecord=SURPLUS, **options
     ).csv(path)
+    raw = raw.withColumn(SURPLUS, _surplus(names))
     cells = {n: F.when(~F.col(quoted(n)).isin(*NULL_TOKENS), F.col(quoted(n))) for n in names}
     if schema is None:
         types = _infer(_survey(raw) if multi_line or surveyed is None else surveyed, names, path)

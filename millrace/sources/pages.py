@@ -1,7 +1,8 @@
 """Paged JSON responses, landed as one file per page.
 
 Fetching pages over HTTP is not Spark's work; the files may come from any downloader. Their names
-end in the page number. Records count up to the first empty page, and never beyond ``max_pages``.
+end in the page number. Records count up to the first empty page, and every page before it has to be
+there. Where ``max_pages`` is given, more pages than that are an error, not a shorter result.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ def read_landed_pages(spark: SparkSession, config: dict) -> DataFrame:
     """Config::
 
         {"path": "<folder or glob>", "results_path": "data" | None, "schema": None,
-         "page_pattern": None, "pagination": {"start_page": 1, "max_pages": 100}}
+         "page_pattern": None, "pagination": {"start_page": 1, "max_pages": None}}
 
     ``schema`` is the DDL of one record; without it Spark infers it from the pages.
     ``page_pattern`` finds the page number in the path where the file name does not end in it.
@@ -32,7 +33,7 @@ def read_landed_pages(spark: SparkSession, config: dict) -> DataFrame:
     paging = config.get("pagination", {})
     start = paging.get("start_page", 1)
     return union_pages(
-        spark, path, config.get("results_path"), start, paging.get("max_pages", 100),
+        spark, path, config.get("results_path"), start, paging.get("max_pages"),
         config.get("schema"), config.get("page_pattern") or PAGE_NUMBER,
     )
 
@@ -51,7 +52,7 @@ def _record_type(spark, path, results_path, schema) -> T.DataType:
 
 def union_pages(
     spark: SparkSession, path: str, results_path: str | None = None, start_page: int = 1,
-    max_pages: int = 100, schema: str | None = None, page_pattern: str = PAGE_NUMBER,
+    max_pages: int | None = None, schema: str | None = None, page_pattern: str = PAGE_NUMBER,
 ) -> DataFrame:
     # One page is one HTTP response, so a whole file per row stays small.
     files = spark.read.text(path, wholetext=True)
@@ -61,16 +62,25 @@ def union_pages(
     pages = files.select(
         F.regexp_extract("_metadata.file_path", page_pattern, 1).cast("bigint").alias("page"),
         listing.alias("listing"),
-    ).filter(F.col("page").between(start_page, start_page + max_pages - 1))
+    ).filter(F.col("page") >= start_page)
     is_list = F.coalesce(F.ltrim(F.col("listing")).startswith("["), F.lit(False))
     size = F.json_array_length("listing")
     seen = pages.agg(
         F.min(F.when(is_list & (size == 0), F.col("page"))).alias("first_empty"),
         F.min(F.when(~is_list | size.isNull(), F.col("page"))).alias("first_bad"),
+        F.max("page").alias("last"),
     ).first()
-    end = seen.first_empty if seen.first_empty is not None else start_page + max_pages
+    end = seen.first_empty if seen.first_empty is not None else (seen.last or start_page - 1) + 1
     if seen.first_bad is not None and seen.first_bad < end:
         raise ExtractError(f"page {seen.first_bad} holds no list of records")
+    if max_pages is not None and end - start_page > max_pages:
+        raise ExtractError(f"there are {end - start_page} pages of records, {max_pages} at most were expected")
+    # Each page that is there vouches for the number behind it; the first one nobody vouches for is a gap.
+    numbers = pages.filter(F.col("page") < end).select("page").distinct()
+    if numbers.count() != end - start_page:
+        wanted = spark.range(start_page, end).select(F.col("id").alias("page"))
+        lacking = wanted.join(numbers, "page", "left_anti").agg(F.min("page").alias("page")).first().page
+        raise ExtractError(f"page {lacking} is missing")
     record = _record_type(spark, path, results_path, schema)
     if not isinstance(record, T.StructType) or not record.fields:
         raise ExtractError("the pages hold no records")

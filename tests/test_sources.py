@@ -151,11 +151,21 @@ def test_pages_stop_at_the_first_empty_one(spark, tmp_path):
 
 def test_pages_limit_and_start(spark, tmp_path):
     path = pages(tmp_path, *[f'{{"data": [{{"id": {i}, "tag": {{"k": [1]}}}}]}}' for i in range(1, 6)])
-    config = {"path": path, "results_path": "data", "pagination": {"max_pages": 3}}
+    config = {"path": path, "results_path": "data"}
     df = extract(spark, "rest_api", config)
-    assert sorted(r.id for r in df.collect()) == [1, 2, 3] and df.first().tag.k == [1]
+    assert sorted(r.id for r in df.collect()) == [1, 2, 3, 4, 5] and df.first().tag.k == [1]
     config["pagination"] = {"start_page": 4, "max_pages": 3}
     assert sorted(r.id for r in extract(spark, "rest_api", config).collect()) == [4, 5]
+    config["pagination"] = {"max_pages": 3}
+    with pytest.raises(ExtractError, match="5 pages"):
+        extract(spark, "rest_api", config)
+
+
+def test_a_missing_page_is_an_error(spark, tmp_path):
+    pages(tmp_path, '[{"id": 1}]', '[{"id": 2}]', '[{"id": 3}]', '[{"id": 4}]', "[]")
+    (tmp_path / "page-003.json").unlink()
+    with pytest.raises(ExtractError, match="page 3 is missing"):
+        extract(spark, "rest_api", {"path": str(tmp_path)})
 
 
 def test_pages_must_hold_lists(spark, tmp_path):
