@@ -17,7 +17,7 @@ from millrace.plans.inputs import DIRTY_CUSTOMER_SQL, dirty_customer, table
 from millrace.session import local_frame, scratch_path
 from millrace.streaming.baseline import stream_baseline
 from millrace.streaming.poll import poll_files
-from millrace.streaming.rates import stream_rate
+from millrace.streaming.rates import collect_rates, stream_rate
 
 QUERIES = {}
 
@@ -30,7 +30,8 @@ def query(name: str, sql: str | None = None):
     return keep
 
 
-# A buyer dimension: customers in credit are known already, every order is a new observation.
+# A buyer dimension: all customers are known already, every order is a new observation; the orders of
+# every seventh customer name a key that nobody knows yet.
 BUYERS = DimensionSpec(
     key="external_id", source_key="o_custkey", tracked=("status", "priority"), carried=("since",),
     required=("status",), types={"since": "date"}, defaults={}, column_order=(),
@@ -42,7 +43,7 @@ PLAIN = ["external_id", "status", "priority", "since", "valid_from", "valid_to",
 
 
 def known_buyers(spark, folder):
-    return table(spark, folder, "customer").filter("c_acctbal >= 0").select(
+    return table(spark, folder, "customer").select(
         F.col("c_custkey").cast("string").alias("external_id"),
         F.lit("N").alias("status"), F.col("c_mktsegment").alias("priority"),
         F.lit(None).cast("date").alias("since"),
@@ -53,7 +54,8 @@ def known_buyers(spark, folder):
 
 def order_batch(spark, folder):
     return table(spark, folder, "orders").select(
-        "o_custkey", F.col("o_orderstatus").alias("status"),
+        F.expr("CASE WHEN o_custkey % 7 = 0 THEN o_custkey + 1000000000 ELSE o_custkey END").alias("o_custkey"),
+        F.col("o_orderstatus").alias("status"),
         F.expr("CASE WHEN o_orderpriority = '5-LOW' THEN NULL ELSE o_orderpriority END").alias("priority"),
         F.col("o_orderdate").cast("date").alias("since"), *ORDER,
     )
@@ -65,8 +67,8 @@ def comparable(df):
 
 
 BATCH_SQL = """known AS (SELECT CAST(c_custkey AS VARCHAR) AS external_id, 'N' AS status, c_mktsegment AS priority,
-        CAST(NULL AS DATE) AS since FROM customer WHERE c_acctbal >= 0),
-    batch AS (SELECT CAST(o_custkey AS VARCHAR) AS external_id, o_orderstatus AS status,
+        CAST(NULL AS DATE) AS since FROM customer),
+    batch AS (SELECT CAST(CASE WHEN o_custkey % 7 = 0 THEN o_custkey + 1000000000 ELSE o_custkey END AS VARCHAR) AS external_id, o_orderstatus AS status,
         CASE WHEN o_orderpriority = '5-LOW' THEN NULL ELSE o_orderpriority END AS priority,
         CAST(o_orderdate AS DATE) AS since, o_orderdate, o_orderkey FROM orders)"""
 TYPE1_SQL = f"""WITH {BATCH_SQL},
@@ -106,6 +108,13 @@ def type1_twice(spark, folder):
     return comparable(upsert_type1(once, batch, BUYERS, ORDER, datetime(2003, 1, 1)))
 
 
+@query("upsert_ordered_by_attribute", TYPE1_SQL)
+def type1_by_attribute(spark, folder):
+    """The rows' order may be told by an attribute of the dimension."""
+    order = ["since", "o_orderkey"]
+    return comparable(upsert_type1(known_buyers(spark, folder), order_batch(spark, folder), BUYERS, order, NOW))
+
+
 CHAIN_SQL = """SELECT external_id, status, priority, first_since AS since, valid_from,
         lead(valid_from) OVER w AS valid_to, lead(step) OVER w IS NULL AS is_current, rn = 1 AS opens_key, step
     FROM (SELECT *, lag(status) OVER w AS s0, lag(priority) OVER w AS p0, row_number() OVER w AS rn,
@@ -175,16 +184,34 @@ def type2_counts(spark, folder):
 def stored_current_rows(spark, folder):
     """The same load through a stored dimension, read back as current rows of its history."""
     dim = targets.Dimension(spark, scratch_path(spark, "dimension"), BUYERS)
-    dim.write(1, known_buyers(spark, folder).select(*BUYERS.columns))
+    dim.write(0, known_buyers(spark, folder).select(*BUYERS.columns), run_id="seed")
     targets.load_type2(dim, order_batch(spark, folder), ORDER, NOW)
     return comparable(current_rows(dim.history(), BUYERS).select(*PLAIN))
 
 
+@query(
+    "scd2_after_dead_load",
+    f"""WITH {MERGE_SQL}
+    SELECT external_id, status, priority, since, valid_from, valid_to, is_current FROM chain
+    UNION ALL SELECT external_id, status, priority, since, TIMESTAMP '1990-01-01', NULL, true FROM known
+        WHERE external_id NOT IN (SELECT external_id FROM batch)""",
+)
+def history_after_dead_load(spark, folder):
+    """What a load wrote that died before its commit is in no history, also after the next load."""
+    dim = targets.Dimension(spark, scratch_path(spark, "dimension"), BUYERS)
+    known = known_buyers(spark, folder).select(*BUYERS.columns)
+    dim.write(0, known, run_id="seed")
+    for part in ("closed", "current"):
+        known.write.parquet(f"{dim.folder}/{part}/run_id=dead")
+    targets.load_type2(dim, order_batch(spark, folder), ORDER, NOW, "alive")
+    return comparable(dim.history().select(*PLAIN))
+
+
 @query("gold_latest_snapshot", TYPE1_SQL)
 def gold_latest_snapshot(spark, folder):
     """Of two stored snapshots only the newest is read."""
     dim = targets.Dimension(spark, scratch_path(spark, "dimension"), BUYERS)
-    dim.write(1, known_buyers(spark, folder).select(*BUYERS.columns))
+    dim.write(0, known_buyers(spark, folder).select(*BUYERS.columns), run_id="seed")
     targets.load_type1(dim, order_batch(spark, folder), ORDER, NOW)
     return comparable(dim.current().select(*PLAIN))
 
@@ -312,18 +339,22 @@ def poll_new_files(spark, folder):
     return spark.read.schema(schema).parquet(f"{root}/out/*")
 
 
+MEASURES = ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax")
+
+
 @query(
     "stream_baseline",
-    "SELECT 'lineitem' AS dataset, 'l_quantity' AS \"column\", count(*) AS count, round(avg(l_quantity), 4) AS mean,"
-    " round(sqrt(var_pop(l_quantity)), 4) AS stddev FROM lineitem"
-    " UNION ALL SELECT 'lineitem', 'l_extendedprice', count(*), round(avg(l_extendedprice), 4),"
-    " round(sqrt(var_pop(l_extendedprice)), 4) FROM lineitem",
+    " UNION ALL ".join(
+        f"SELECT 'lineitem' AS dataset, '{c}' AS \"column\", count(*) AS count, round(avg({c}), 2) AS mean,"
+        f" round(stddev_pop({c}), 2) AS stddev FROM lineitem"
+        for c in MEASURES
+    ),
 )
 def streamed_baseline(spark, folder):
     """The running baseline after all micro-batches equals the moments of all rows."""
     root = scratch_path(spark, "stream")
     # Two landed files, so that there are two micro-batches to merge.
-    lines = table(spark, folder, "lineitem").select("l_returnflag", "l_quantity", "l_extendedprice")
+    lines = table(spark, folder, "lineitem").select("l_returnflag", *MEASURES)
     for name, part in (("a", lines.filter("l_returnflag = 'R'")), ("b", lines.filter("l_returnflag <> 'R'"))):
         part.drop("l_returnflag").write.parquet(f"{root}/landed/{name}")
     schema = lines.drop("l_returnflag").schema
@@ -331,8 +362,8 @@ def streamed_baseline(spark, folder):
         spark, "parquet", schema, f"{root}/landed/*", f"{root}/checkpoint", f"{root}/state", "lineitem"
     )
     return state.select(
-        "dataset", "column", "count", F.round("mean", 4).alias("mean"),
-        F.round(F.sqrt(F.col("m2") / F.col("count")), 4).alias("stddev"),
+        "dataset", "column", "count", F.round("mean", 2).alias("mean"),
+        F.round(F.sqrt(F.col("m2") / F.col("count")), 2).alias("stddev"),
     )
 
 
@@ -341,12 +372,11 @@ def streamed_baseline(spark, folder):
     "SELECT event_type, window_end, round(CAST(sum(n) AS DOUBLE) / 300, 6) AS rate_per_second FROM ("
     "SELECT event_type, minute + to_minutes(CAST(i AS BIGINT)) AS window_end, n FROM ("
     "SELECT event_type, date_trunc('minute', ts) AS minute, count(*) AS n FROM events GROUP BY 1, 2),"
-    " range(1, 6) t(i)) GROUP BY 1, 2"
-    " HAVING window_end <= (SELECT date_trunc('millisecond', max(ts)) - INTERVAL 10 MINUTE FROM events)",
+    " range(1, 6) t(i)) GROUP BY 1, 2",
 )
 def streamed_rate(spark, folder):
-    """Sliding rates of a stream: every window that can no longer change, i.e. that ended ten
-    minutes before the newest event."""
+    """Sliding rates of a stream, those of windows that may still change included: each micro-batch gives
+    the windows it changed, and of a window the newest value counts."""
     root = scratch_path(spark, "rates")
     schema = table(spark, folder, "events").schema
     events = spark.readStream.schema(schema).parquet(f"{folder}/event[s].parquet").select(
@@ -356,9 +386,4 @@ def streamed_rate(spark, folder):
         "event_type", F.col("window_end").cast("timestamp_ntz").alias("window_end"),
         F.round("rate_per_second", 6).alias("rate_per_second"),
     )
-    query = (
-        rates.writeStream.format("parquet").option("checkpointLocation", f"{root}/checkpoint")
-        .option("path", f"{root}/out").outputMode("append").trigger(availableNow=True).start()
-    )
-    query.awaitTermination()
-    return spark.read.schema(rates.schema).parquet(f"{root}/out")
+    return collect_rates(rates, ["event_type", "window_end"], f"{root}/checkpoint", f"{root}/out")

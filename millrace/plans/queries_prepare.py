@@ -61,7 +61,7 @@ def paged_json_union(spark, folder):
     pages.unionByName(ends).write.partitionBy("page").text(path)
     return extract(
         spark, "rest_api",
-        {"path": f"{path}/*/*.txt", "page_pattern": r"page=(\d+)/", "pagination": {"max_pages": 10**12},
+        {"path": f"{path}/*/*.txt", "page_pattern": r"page=(\d+)/",
          "schema": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string"},
     ).drop(POSITION)
 
