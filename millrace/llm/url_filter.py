@@ -9,7 +9,8 @@ error of both classes among decided URLs that the models were not counted from (
 ``HELD_OUT`` sixteenths of them). So all URLs take part in the counts or in the calibration.
 
 Characters are folded to ``SYMBOLS`` kinds, so a model has ``SYMBOLS ** 3`` numbers at any size of the
-input: they go into the scoring expression as one constant array. Only DataFrame functions are used.
+input: they go into the scoring expression as one constant of two bytes a number. Only DataFrame functions
+are used.
 
 Defined results: a NULL URL, or one without ``://``, has an empty host and path and fits no rule; an empty
 or NULL URL has no character, score 0; rows are judged one by one, repeated rows count as often as they
@@ -19,8 +20,9 @@ the line is allowed. Further columns pass through :func:`judged`.
 
 from __future__ import annotations
 
-import json
 import string
+import sys
+from array import array
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -40,6 +42,8 @@ SYMBOLS = 32
 START = SYMBOLS - 1
 OTHER = SYMBOLS - 2
 MARKS = "0./-"  # symbols behind the letters; all digits are "0"
+# A log ratio r is written as round((r + RATIO_REACH) * RATIO_STEPS), in 16 bits.
+RATIO_REACH, RATIO_STEPS = 16.0, 2000
 SCORE_BINS = 400
 SCORE_REACH = 5.0
 HELD_OUT = 3
@@ -80,11 +84,28 @@ def symbols(url: Column) -> Column:
 
 def contexts(numbers: Column) -> Column:
     """Per character the number of it and the two before it."""
-    at = lambda i: F.get(numbers, i)
-    return F.when(
-        F.size(numbers) > 2,
-        F.transform(F.sequence(F.lit(0), F.size(numbers) - 3), lambda i: (at(i) * SYMBOLS + at(i + 1)) * SYMBOLS + at(i + 2)),
-    ).otherwise(F.expr("cast(array() as array<int>)"))
+
+
+    def triples(known):
+        at = lambda i: F.get(known, i)
+        places = F.sequence(F.lit(0), F.size(known) - 3)
+        found = F.transform(places, lambda i: (at(i) * SYMBOLS + at(i + 1)) * SYMBOLS + at(i + 2))
+        return F.when(F.size(known) > 2, found).otherwise(F.expr("cast(array() as array<int>)"))
+
+    return _once(numbers, triples)
+
+
+def _once(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once, however often it is used."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def constant(ratio: Sequence[float]) -> Column:
+    """The model as a binary constant."""
+    steps = array("H", [min(max(round((x + RATIO_REACH) * RATIO_STEPS), 0), 0xFFFF) for x in ratio])
+    if sys.byteorder == "little":
+        steps.byteswap()
+    return F.lit(steps.tobytes())
 
 
 def _log_probability(counts: DataFrame, name: str) -> list[Column]:
@@ -125,9 +146,14 @@ def ratios(rows: DataFrame) -> DataFrame:
 
 
 def score(triples: Column, ratio: Column) -> Column:
-    """Mean log ratio per character; 0 without any."""
-    total = F.aggregate(triples, F.lit(0.0), lambda s, t: s + F.get(ratio, t))
-    return F.when(F.size(triples) > 0, total / F.size(triples)).otherwise(F.lit(0.0))
+    """Mean log ratio per character by the model's constant; 0 without any."""
+    steps = lambda t: F.conv(F.hex(F.substring(ratio, t * 2 + 1, F.lit(2))), 16, 10).cast("bigint")
+
+    def mean(known):
+        total = F.aggregate(known, F.lit(0).cast("bigint"), lambda s, t: s + steps(t))
+        return F.when(F.size(known) > 0, total / F.size(known) / RATIO_STEPS - RATIO_REACH).otherwise(F.lit(0.0))
+
+    return _once(triples, mean)
 
 
 def line_of(rows: DataFrame) -> DataFrame:
@@ -161,7 +187,7 @@ def judged(pages: DataFrame, url: str = "url", rules: Sequence[tuple[str, str]]
     )
     # a subquery may not stand within a lambda function; both results have a fixed size
     model = ratios(decided.where(~F.col("held_out"))).first().ratio
-    ratio = F.from_json(F.lit(json.dumps([round(x, 6) for x in model])), "array<double>")
+    ratio = constant(model)
     line = F.lit(line_of(decided.where("held_out").select("verdict", score(F.col("triples"), ratio).alias("score"))).first().line)
     graded = ruled.withColumn(name, F.struct(F.col(f"`{name}`.*"), score(contexts(symbols(address)), ratio).alias("score")))
     says = F.coalesce(F.col(f"`{name}`.verdict"), F.when(F.col(f"`{name}`.score") >= line, "allow").otherwise("block"))
