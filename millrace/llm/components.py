@@ -27,7 +27,7 @@ def contracted(links: DataFrame, labels: DataFrame | None = None) -> DataFrame:
     """(node, label) for each node of the links (a, b); a label is one node of the component.
 
     ``labels`` are those that earlier links gave. Every round points each node at its smallest
-    neighbour, and that one's, and merges it there. Nodes have to be spread like random numbers (hashes
+    neighbour, follows that pointer a few times, and merges it there. Nodes have to be spread like random numbers (hashes
     are), so that a round about halves what is left, whatever the links' shape. The smallest neighbour
     comes from a partial aggregation, so a node with very many links is no burden. Rounds are staged: a
     lost executor costs no more than a round.
@@ -37,17 +37,20 @@ def contracted(links: DataFrame, labels: DataFrame | None = None) -> DataFrame:
     if labels is not None:
         ends = relabelled(relabelled(ends, labels, "a"), labels, "b")
     edges = staged(ends.where("a <> b").distinct(), "links")
-    while not edges.isEmpty():
+    rounds = []
+    while count := edges.count():
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        near = staged(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("near")).select("node", F.least("node", "near").alias("label")), "near")
-        steps = relabelled(near, broadcast_if_few(near, LABEL_BYTES), "label")
-        steps = broadcast_if_few(staged(steps, "steps"), LABEL_BYTES)
-        if labels is None:
-            labels = steps
-        else:
-            known = broadcast_if_few(labels, LABEL_BYTES)
-            labels = staged(relabelled(labels, steps, "label").unionByName(steps.join(known.select("node"), "node", "left_anti")), "labels")
-        edges = staged(relabelled(relabelled(edges, steps, "a"), steps, "b").where("a <> b").distinct(), "links")
-    if labels is None:
-        return spark.createDataFrame([], "node bigint, label bigint")
-    return broadcast_if_few(labels, LABEL_BYTES)
+        near = both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("near")).select("node", F.least("node", "near").alias("label"))
+        near = broadcast_if_few(staged(near, "near", 2 * count), LABEL_BYTES)
+        twice = relabelled(near, near, "label")
+        steps = broadcast_if_few(staged(relabelled(twice, twice, "label"), "steps", 2 * count), LABEL_BYTES)
+        rounds.append(steps)
+        edges = staged(relabelled(relabelled(edges, steps, "a"), steps, "b").where("a <> b").distinct(), "links", count)
+    if not rounds:
+        return spark.createDataFrame([], "node bigint, label bigint") if labels is None else labels
+    found = rounds[0]
+    if labels is not None:
+        found = relabelled(labels, rounds[0], "label").unionByName(found.join(labels.select("node"), "node", "left_anti"))
+    for steps in rounds[1:]:
+        found = relabelled(found, steps, "label")
+    return broadcast_if_few(staged(found, "labels"), LABEL_BYTES)

@@ -40,7 +40,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from millrace.llm.components import contracted, relabelled
-from millrace.llm.staging import fresh_name, staged
+from millrace.llm.staging import broadcast_if_few, fresh_name, staged
 from millrace.llm.wordhash import mixed, pieces, windows, words
 from millrace.operators.joins import broadcast_if_small
 
@@ -57,8 +57,9 @@ MAP_BITS = 1 << 26
 LEAST_BITS = 64
 BLOCK_RATIO = 1.06
 # Rounds of comparisons with members of a list's largest component, and how many of them.
-HUB_ROUNDS = 2
+HUB_ROUNDS = 1
 HUBS = 3
+PAIR_BYTES = 96
 # Partners of a node that are looked at first; the later steps find what they miss.
 PARTNERS = 6
 
@@ -282,11 +283,11 @@ def _leader_pairs(postings: DataFrame) -> DataFrame:
 
 
 def _may_link(pairs: DataFrame, bitmaps: DataFrame) -> DataFrame:
-    """The pairs whose bitmaps do not differ in more bits than linked sets differ in elements."""
+    """The staged pairs whose bitmaps do not differ in more bits than linked sets differ in elements."""
     flipped = F.arrow_udf(_flipped, "int")
     one = bitmaps.select(F.col("node").alias("a"), F.col("bitmap").alias("left"))
     two = bitmaps.select(F.col("node").alias("b"), F.col("bitmap").alias("right"))
-    both = one.join(broadcast_if_small(pairs), "a").join(two, "b")
+    both = one.join(broadcast_if_few(pairs, PAIR_BYTES), "a").join(two, "b")
     return both.where(9 * flipped("left", "right") <= F.col("na") + F.col("nb")).select("a", "b", "na", "nb")
 
 
@@ -312,12 +313,17 @@ def _common(left: pa.Array, right: pa.Array) -> pa.Array:
 
 
 def _compared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs with the sizes of their intersections, set against set."""
+    """The staged pairs with the sizes of their intersections, set against set."""
     common = F.arrow_udf(_common, "int")
     one = sets.select(F.col("node").alias("a"), F.col("elements").alias("left"))
     two = sets.select(F.col("node").alias("b"), F.col("elements").alias("right"))
-    both = one.join(broadcast_if_small(pairs), "a").join(two, "b")
-    return staged(both.select("a", "b", "na", "nb", common("left", "right").alias("overlap")).dropDuplicates(["a", "b"]), "compared")
+    both = one.join(broadcast_if_few(pairs, PAIR_BYTES), "a").join(two, "b")
+    found = both.select("a", "b", "na", "nb", common("left", "right").alias("overlap")).dropDuplicates(["a", "b"])
+    return staged(found, "compared")
+
+
+def _known(compared: DataFrame) -> DataFrame:
+    return broadcast_if_few(compared.select("a", "b"), PAIR_BYTES)
 
 
 def _linked(compared: DataFrame) -> DataFrame:
@@ -384,8 +390,8 @@ def _derived(pairs: DataFrame, compared: DataFrame) -> DataFrame:
     nearest = both.groupBy("x").agg(F.max_by(F.struct("h", "nx", "nh", "overlap"), F.struct(F.col("overlap") / (F.col("nx") + F.col("nh") - F.col("overlap")), "h")).alias("near"))
     nearest = nearest.select("x", "near.h", (F.col("near.nx") - F.col("near.overlap")).alias("more"), (F.col("near.nh") - F.col("near.overlap")).alias("less"))
     known = both.select(F.col("x").alias("kx"), F.col("h").alias("kh"), F.col("overlap").alias("known"))
-    known = broadcast_if_small(known)
-    nearest = broadcast_if_small(nearest)
+    known = broadcast_if_few(known, PAIR_BYTES)
+    nearest = broadcast_if_few(staged(nearest, "nearest"), PAIR_BYTES)
     out = pairs.withColumn("most", F.least("na", "nb")).withColumn("least", F.lit(0))
     for x, y in (("a", "b"), ("b", "a")):
         near = nearest.select(F.col("x").alias("_x"), F.col("h").alias("_h"), F.col("more").alias("_more"), F.col("less").alias("_less"))
@@ -434,21 +440,22 @@ def near_groups(docs: DataFrame) -> DataFrame:
     pairs = staged(_few_partners(_may_link(pairs, bitmaps), 1), "pairs")
     compared = _compared(pairs, _sets_of(pairs, texts, first_ids))
     labels = contracted(_linked(compared))
-    shared = ranked.select("token", "node", "n", "pos").distinct()
+    lists = ranked.select("token", "node", "n", "pos").distinct()
     for turn in range(HUB_ROUNDS):
-        shared = _open_lists(shared, labels).drop("label")
-        pairs = _hub_pairs(relabelled(shared.withColumn("label", F.col("node")), labels, "label"), labels, turn)
-        pairs = staged(_may_link(staged(pairs.join(compared, ["a", "b"], "left_anti"), "pairs"), bitmaps), "pairs")
-        if pairs.isEmpty():
-            break
+        lists = _open_lists(lists, labels)
+        pairs = staged(_hub_pairs(lists, labels, turn).join(_known(compared), ["a", "b"], "left_anti"), "pairs")
+        pairs = staged(_may_link(pairs, bitmaps), "pairs")
         fresh = _compared(pairs, _sets_of(pairs, texts, first_ids))
         compared, labels = compared.unionByName(fresh), contracted(_linked(fresh), labels)
+        lists = lists.drop("label")
 
-    lists = _open_lists(shared, labels)
-    pairs = staged(_block_pairs(lists).join(compared, ["a", "b"], "left_anti"), "pairs")
-    bounded = staged(_derived(staged(_may_link(pairs, bitmaps), "pairs"), compared), "bounds")
+    lists = _open_lists(lists, labels)
+    pairs = staged(_block_pairs(lists).join(_known(compared), ["a", "b"], "left_anti"), "pairs")
+    pairs = staged(_may_link(pairs, bitmaps), "pairs")
+    bounded = staged(_derived(pairs, compared), "bounds")
     links = bounded.where(_enough(F.col("least"))).select("a", "b")
     left_open = bounded.where(~_enough(F.col("least")) & _enough(F.col("most"))).select("a", "b", "na", "nb")
+    left_open = staged(left_open, "open")
     if not left_open.isEmpty():
         links = links.unionByName(_linked(_compared(left_open, _sets_of(left_open, texts, first_ids))))
     labels = contracted(links, labels)

@@ -9,14 +9,23 @@ from millrace.operators.joins import BROADCAST_BYTES
 from millrace.session import scratch_path
 
 
-def staged(df: DataFrame, purpose: str) -> DataFrame:
+# A partition of a table whose size is known has about so many rows.
+PARTITION_ROWS = 200_000
+LEAST_PARTITIONS = 6
+
+
+def staged(df: DataFrame, purpose: str, most_rows: int | None = None) -> DataFrame:
     """Write the rows as Parquet under the shared folder and read them back.
 
     Cuts the lineage where rows are used more than once, so a lost executor costs a read and not the
-    work before it. The files go when the session ends.
+    work before it. The files go when the session ends. Where the caller knows how many rows there are
+    at most, they are written by as many tasks as that takes, so that small tables make few small files. That is for
+    plans that do not sort: a task keeps the memory of all its partitions' sorters.
     """
     spark = df.sparkSession
     path = scratch_path(spark, purpose)
+    if most_rows is not None:
+        df = df.coalesce(max(LEAST_PARTITIONS, -(-most_rows // PARTITION_ROWS)))
     df.write.parquet(path)
     forget_at_exit(spark, path)
     return spark.read.schema(df.schema).parquet(path)
