@@ -19,8 +19,6 @@ with the smallest code; with fewer than k other rows all of them are found. Furt
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -38,13 +36,11 @@ def codes(vectors: DataFrame, bits: int = BITS) -> DataFrame:
     size = known.agg(F.min(F.size("embedding"))).first()[0] or 0
     known = known.where(F.size("embedding") == size)
     used = min(bits, size)
-    clean = lambda x: F.when(~F.isnan(x), x)
-    means = known.agg(*[F.avg(clean(F.get("embedding", F.lit(i)))).alias(f"m{i}") for i in range(used)]).first() if used else ()
-    ones = [
-        F.when(F.coalesce(clean(F.get("embedding", F.lit(i))) > F.lit(mean or 0.0), F.lit(False)), F.shiftleft(F.lit(1).cast("bigint"), i)).otherwise(F.lit(0).cast("bigint"))
-        for i, mean in enumerate(means)
-    ]
-    code = reduce(lambda a, b: a.bitwiseOR(b), ones, F.lit(0).cast("bigint"))
+    values = known.select(F.posexplode("embedding").alias("at", "x")).where(~F.isnan("x") & (F.col("at") < used))
+    means = {r["at"]: r["mean"] for r in values.groupBy("at").agg(F.avg("x").alias("mean")).collect()}
+    limits = f"array({', '.join(f'{means.get(i, 0.0)!r}D' for i in range(used)) or '0D'})"
+    above = f"coalesce(get(embedding, i) > get({limits}, i) AND NOT isnan(get(embedding, i)), false)"
+    code = F.expr(f"aggregate(sequence(0, {max(used, 1) - 1}), 0L, (bits, i) -> bits | if({above}, shiftleft(1L, i), 0L))")
     return known.select(F.col("vec_id").cast("bigint").alias("vec_id"), code.alias("code")).groupBy("vec_id").agg(F.min("code").alias("code"))
 
 
@@ -77,9 +73,11 @@ def _masks(spark: SparkSession, width: int, radius: int) -> Column:
 
 
 def nearest(rows: DataFrame, queries: DataFrame, k: int = K, bits: int = BITS) -> DataFrame:
-    """query_id, neighbor_id, distance and rank: the k rows of (vec_id, code) nearest to each of the queries."""
+    """query_id, neighbor_id, distance and rank: the k rows of (vec_id, code) nearest to each of the queries.
+
+    Both are read several times: stage them.
+    """
     spark = rows.sparkSession
-    rows = staged(rows, "codes")
     order = Window.partitionBy("code").orderBy("vec_id")
     # one more id than asked for, as a query does not count itself
     firsts = rows.withColumn("place", F.row_number().over(order)).where(F.col("place") <= k + 1)
@@ -119,7 +117,7 @@ def nearest(rows: DataFrame, queries: DataFrame, k: int = K, bits: int = BITS) -
         covered = segments * (radius + 1)
         complete = (F.col("rows") > k) & (F.col("furthest") < covered)
         over = reached.where(complete).select("asked") if radius < width else open_codes.select("asked")
-        ready = found.join(over, "asked", "left_semi")
+        ready = staged(found.join(over, "asked", "left_semi"), "ready")
         done = ready if done is None else done.unionByName(ready)
         bound = F.when(F.col("rows") > k, F.col("furthest")).otherwise(F.lit(bits)).alias("bound")
         still = open_codes.select("asked").join(over, "asked", "left_anti").join(reached, "asked", "left")
