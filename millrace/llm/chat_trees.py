@@ -29,8 +29,11 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from millrace.llm.staging import staged
+from millrace.llm.staging import broadcast_if_few, staged
+from millrace.operators.joins import BROADCAST_BYTES
 
+# Bytes of a node's row in a broadcast.
+NODE_BYTES = 96
 MARK, END, SEPARATOR = "### ", "</turn>", ": "
 LEARNED_ROLE = "assistant"
 REPORT = (
@@ -102,26 +105,28 @@ def _measured(nodes: DataFrame) -> DataFrame:
     Every round joins each node with the one its pointer has reached, which doubles the reach. Nodes
     that never reach a root are left out.
     """
-    known = nodes.select(F.col("tree").alias("kt"), F.col("node").alias("kn"))
+    known = broadcast_if_few(nodes.select(F.col("tree").alias("kt"), F.col("node").alias("kn")), NODE_BYTES)
     linked = nodes.join(known, F.col("tree").eqNullSafe(F.col("kt")) & (F.col("parent") == F.col("kn")), "left")
     reach = linked.select("tree", "node", F.col("kn").alias("parent"), F.col("kn").alias("at"), F.when(F.col("kn").isNotNull(), 1).otherwise(0).alias("depth"), F.col("score").alias("total"))
     reach = staged(reach, "reach")
-    open_rows = reach.where("at is not null").count()
-    while open_rows:
-        further = reach.select(F.col("tree").alias("ft"), F.col("node").alias("fn"), F.col("at").alias("fa"), F.col("depth").alias("fd"), F.col("total").alias("fs"))
-        joined = reach.join(further, F.col("tree").eqNullSafe(F.col("ft")) & (F.col("at") == F.col("fn")), "left")
+    total, turn = reach.count(), 0
+    done, going = reach.where("at is null"), reach.where("at is not null")
+    # a path has fewer nodes than the table: what still goes on after so many rounds is a circle
+    while not going.isEmpty() and total >> turn:
+        every = done.unionByName(going)
+        further = every.select(F.col("tree").alias("ft"), F.col("node").alias("fn"), F.col("at").alias("fa"), F.col("depth").alias("fd"), F.col("total").alias("fs"))
+        further = F.broadcast(further) if total * NODE_BYTES <= BROADCAST_BYTES else further
+        joined = going.join(further, F.col("tree").eqNullSafe(F.col("ft")) & (F.col("at") == F.col("fn")))
         reach = staged(
             joined.select(
-                "tree", "node", "parent", F.col("fa").alias("at"), (F.col("depth") + F.coalesce("fd", F.lit(0))).alias("depth"),
-                (F.col("total") + F.coalesce("fs", F.lit(0.0))).alias("total"),
+                "tree", "node", "parent", F.col("fa").alias("at"), (F.col("depth") + F.col("fd")).alias("depth"),
+                (F.col("total") + F.col("fs")).alias("total"),
             ),
             "reach",
         )
-        still = reach.where("at is not null").count()
-        if still == open_rows and reach.where("at is not null").select(F.min("depth")).first()[0] > nodes.count():
-            break  # only circles are left
-        open_rows = still
-    return reach.where("at is null").drop("at")
+        done, going = done.unionByName(reach.where("at is null")), reach.where("at is not null")
+        turn += 1
+    return done.drop("at")
 
 
 def best_leaves(measured: DataFrame) -> DataFrame:
@@ -140,7 +145,8 @@ def root_paths(measured: DataFrame, leaves: DataFrame) -> DataFrame:
     blocks = measured.select("tree", "node", F.col("parent").alias("above"), "depth", F.array("node").alias("block"))
     size, deepest = 1, measured.agg(F.max("depth")).first()[0] or 0
     while size <= deepest + 1:
-        step = blocks.select(F.col("tree").alias("bt"), F.col("node").alias("bn"), "above", "block")
+        row_bytes = NODE_BYTES + 8 * size
+        step = broadcast_if_few(blocks.select(F.col("tree").alias("bt"), F.col("node").alias("bn"), "above", "block"), row_bytes)
         due = F.col("left").bitwiseAND(F.lit(size)) > 0
         joined = walk.join(step, F.col("tree").eqNullSafe(F.col("bt")) & (F.col("at") == F.col("bn")) & due, "left")
         walk = staged(
@@ -151,6 +157,7 @@ def root_paths(measured: DataFrame, leaves: DataFrame) -> DataFrame:
             "walk",
         )
         upper = blocks.select(F.col("tree").alias("ut"), F.col("node").alias("un"), F.col("above").alias("ua"), F.col("block").alias("ub"))
+        upper = broadcast_if_few(upper, row_bytes)
         aligned = blocks.where((F.col("depth") + 1) % (2 * size) == 0)
         blocks = staged(
             aligned.join(upper, F.col("tree").eqNullSafe(F.col("ut")) & (F.col("above") == F.col("un")))
