@@ -1,6 +1,7 @@
 """The pipeline against the same stages done by hand."""
 
 import corpus_pipeline
+import pytest
 from millrace.llm import queries
 
 from test_corpus_operators import FOLDER, groups_by_brute_force, packing_holds
@@ -30,6 +31,19 @@ def test_empty_and_odd_documents(spark, make_docs):
             assert stage(spark, docs, FOLDER).count() >= 0, name
 
 
+@pytest.mark.parametrize("name", sorted(n for n, (_, sql) in queries.QUERIES.items() if sql))
+def test_query_equals_its_sql(spark, name):
+    import duckdb
+
+    build, sql = queries.QUERIES[name]
+    con = duckdb.connect()
+    for table in ("documents", "conversations", "embeddings"):
+        con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{FOLDER}/{table}.parquet'")
+    found = build(spark, FOLDER)
+    wanted = con.execute(f"SELECT {', '.join(found.columns)} FROM ({sql})").fetchall()
+    assert sorted(map(tuple, found.collect())) == sorted(wanted)
+
+
 def test_registered_names():
     import __spark_entry__ as registered
 
