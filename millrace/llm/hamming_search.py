@@ -23,11 +23,13 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from millrace.llm.staging import staged
+from millrace.operators.joins import BROADCAST_BYTES
 
 BITS = 64
 K = 10
 QUERY_STEP = 20
 LEAST_SEGMENT, MOST_SEGMENT = 8, 20
+INDEX_BYTES = 64
 
 
 def codes(vectors: DataFrame, bits: int = BITS) -> DataFrame:
@@ -85,6 +87,10 @@ def nearest(rows: DataFrame, queries: DataFrame, k: int = K, bits: int = BITS) -
     width = segment_bits(rows.count(), bits)
     segments = -(-bits // width)
     index = staged(entries.select("code", F.explode(_keys(F.col("code"), width, bits)).alias("at")).select("at.segment", "at.key", "code"), "index")
+    # The lookups are exploded rows, whose size Spark underestimates: it may broadcast the index if that was
+    # counted to be small, but never the lookups.
+    few = index.count() * INDEX_BYTES <= BROADCAST_BYTES
+    looked_up = F.broadcast(index) if few else index.hint("merge")
     used_keys = staged(index.select("segment", "key").distinct(), "keys")
     key_count = used_keys.count()
     # queries with the same code have the same entries near them
@@ -102,7 +108,7 @@ def nearest(rows: DataFrame, queries: DataFrame, k: int = K, bits: int = BITS) -
         else:
             near = probes.join(used_keys, "segment").where(F.bit_count(F.col("own").bitwiseXOR(F.col("key"))) == radius).select("asked", "bound", "segment", "key")
         # verified where they meet: nothing beyond the k-th distance so far leaves the join
-        pairs = near.join(index, ["segment", "key"]).where(_distance("asked", "code") <= F.col("bound"))
+        pairs = near.join(looked_up, ["segment", "key"]).where(_distance("asked", "code") <= F.col("bound"))
         met = pairs.select("asked", "code").distinct()
         if found is not None:
             met = met.unionByName(found.select("asked", "code")).distinct()
