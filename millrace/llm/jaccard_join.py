@@ -46,7 +46,7 @@ from millrace.operators.joins import broadcast_if_small
 
 WIDTH = 5
 # What counts as frequent, and how many frequent shingles the order knows.
-RUN_SHINGLES = 4_000_000
+RUN_SHINGLES = 2_000_000
 RUN_HITS = 4
 FREQUENT = 200_000
 # A frequent shingle's list is dealt to parts of about so many postings for the comparison with leaders.
@@ -112,9 +112,13 @@ def _flipped(left: pa.Array, right: pa.Array) -> pa.Array:
 
 
 def _counted(runs: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    values, hits = np.unique(np.concatenate(runs), return_counts=True) if runs else (np.empty(0, np.uint64), np.empty(0, np.int64))
-    often = hits >= RUN_HITS
-    return values[often].astype(np.int64), hits[often]
+    """The shingles that the sets have ``RUN_HITS`` times or more, and how often. Empties the list."""
+    held = np.concatenate(runs) if runs else np.empty(0, np.uint64)
+    runs.clear()
+    held.sort()
+    values = np.unique(held[: 1 - RUN_HITS][held[RUN_HITS - 1 :] == held[: 1 - RUN_HITS]])
+    hits = np.searchsorted(held, values, "right") - np.searchsorted(held, values, "left")
+    return values.astype(np.int64), hits
 
 
 _SURVEY = pa.schema([
@@ -144,7 +148,7 @@ def _survey(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             size += len(found)
             if size >= RUN_SHINGLES:
                 yield frequent()
-                runs, size = [], 0
+                size = 0
         empty = pa.nulls(len(batch), pa.int64())
         yield pa.RecordBatch.from_arrays(
             [batch.column(0), pa.array(lengths, pa.int32()), pa.array(nodes, pa.int64()), pa.array(bitmaps, pa.binary()), empty, empty],
