@@ -2,12 +2,13 @@
 
 Markup is stripped into lines, one per block of the page: where block elements begin and end, lines do.
 Scripts, styles, comments, and elements that name themselves as menus, headers, footers, sidebars,
-notices, adverts, forms or reader comments give no line. Over the rest, the text lengths of ``WINDOW``
-lines are summed from each line on (lengths without link texts, so lists of links weigh little). Where
-the sums rise above a threshold of the page's own the text surges, where they fall below it dives, and
-what lies between is kept. If the page marks its article (``article``, else ``main``), only lines of
-it have a length, and each range that surges there is widened to its first and last line: short
-lines at the article's edges belong to it, long ones outside do not.
+notices, adverts, forms or reader comments give no line. If the page marks its article (``article``, else
+``main``), all lines of it are kept, those of each if there are several, and no others. Else the text
+lengths of ``WINDOW`` lines are summed from each line on and up to each line (lengths without link
+texts, so lists of links weigh little). Where the larger sum first reaches a threshold of the page's
+own the text surges, where it is last reached it dives, and all that lies between is kept: short lines,
+lists and linked lines too. Lines at the two ends that are links only are left out, unless
+they are headings or paragraphs.
 
 A line is its text with character references decoded, white space turned into one space, and trimmed;
 lines are joined by one line feed. Nothing else is dropped or cut.
@@ -56,6 +57,8 @@ LAYOUT_WORDS = frozenset("with has no layout".split())
 HEAD_WORDS = frozenset("article post entry content story title".split())
 # An article or main element goes only for these.
 NO_ARTICLE_WORDS = frozenset("comment comments ad ads advert advertisement sponsored promo related".split())
+# A line of links in one of these is text.
+TEXT_BLOCKS = ("p", "h1", "h2", "h3", "h4", "h5", "h6")
 # An open p ends where one of these begins; li, dt/dd, options and table parts end at the next of their kind.
 CLOSED_BY_SAME = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "option": ("option",), "tr": ("tr",), "td": ("td", "th"), "th": ("td", "th")}
 
@@ -104,6 +107,7 @@ class _Page:
     def __init__(self):
         self.lines: list[str] = []
         self.lengths: list[int] = []
+        self.edges: list[bool] = []  # whether the kept span may begin or end here
         self.owners: list[int] = []  # 0: none, else the number of the article or main around
         self.kinds: list[str] = [""]
         self.open: list[tuple[str, bool, int]] = []  # name, whether skipped, owner outside
@@ -125,7 +129,9 @@ class _Page:
             line = " ".join(html.unescape("".join(self.parts)).split())
             if line:
                 self.lines.append(line)
-                self.lengths.append(max(len(line) - self.linked, 0))
+                length = max(len(line) - self.linked, 0)
+                self.lengths.append(length)
+                self.edges.append(length > 0 or any(self.opened[x] for x in TEXT_BLOCKS))
                 self.owners.append(self.owner)
             self.parts, self.linked = [], 0
 
@@ -221,15 +227,15 @@ def page_lines(source: str) -> _Page:
     return page
 
 
-def surge_and_dive(lengths: np.ndarray, window: int = WINDOW) -> list[tuple[int, int]]:
-    """Line ranges in which the window sums stay at or above the threshold."""
+def surge_and_dive(lengths: np.ndarray, window: int = WINDOW) -> tuple[int, int]:
+    """The lines from the first surge to the last dive, as begin and end."""
     if not len(lengths):
-        return []
-    padded = np.concatenate((lengths, np.zeros(window - 1, lengths.dtype)))
-    sums = np.convolve(padded, np.ones(window, lengths.dtype), "valid")
-    high = sums >= max(SURGE * sums.mean(), 1)
-    edges = np.flatnonzero(np.diff(np.concatenate(([0], high.astype(np.int8), [0]))))
-    return [(int(a), int(b)) for a, b in edges.reshape(-1, 2)]
+        return 0, 0
+    padding = np.zeros(window - 1, lengths.dtype)
+    sums = np.convolve(np.concatenate((padding, lengths, padding)), np.ones(window, lengths.dtype), "valid")
+    up_to, onward = sums[: len(lengths)], sums[window - 1 :]
+    high = np.flatnonzero(np.maximum(up_to, onward) >= max(SURGE * onward.mean(), 1))
+    return (int(high[0]), int(high[-1]) + 1) if len(high) else (0, 0)
 
 
 def main_text(source: str | None) -> str:
@@ -237,20 +243,17 @@ def main_text(source: str | None) -> str:
     if not source:
         return ""
     page = page_lines(source)
-    lengths, owners = np.array(page.lengths, dtype=np.int64), np.array(page.owners, dtype=np.int64)
-    kinds = np.array(page.kinds)
-    marked = "article" if (kinds[owners] == "article").any() else "main"
-    inside = kinds[owners] == marked
-    chosen = np.zeros(len(lengths), dtype=bool)
-    for a, b in surge_and_dive(np.where(inside, lengths, 0) if inside.any() else lengths):
-        chosen[a:b] = True
-    if inside.any():
-        # a part with a surge is kept from its first to its last line; if none surges, all of them are
-        surged = np.unique(owners[chosen & inside])
-        chosen = inside & np.isin(owners, surged) if len(surged) else inside
-    else:
-        chosen &= lengths > 0  # a sum looks ahead: its first lines may be links only
-    return "\n".join(line for line, take in zip(page.lines, chosen, strict=True) if take)
+    owned = {page.kinds[owner] for owner in page.owners}
+    for marked in ("article", "main"):
+        if marked in owned:
+            return "\n".join(line for line, owner in zip(page.lines, page.owners, strict=True) if page.kinds[owner] == marked)
+    begin, end = surge_and_dive(np.array(page.lengths, dtype=np.int64))
+    # the sums look past the text: its first and last lines may be menus
+    while begin < end and not page.edges[begin]:
+        begin += 1
+    while begin < end and not page.edges[end - 1]:
+        end -= 1
+    return "\n".join(page.lines[begin:end])
 
 
 def extracted(pages: DataFrame, source: str = "html", name: str = "main_text") -> tuple[DataFrame, str]:

@@ -218,6 +218,24 @@ def test_html_cases(source, wanted):
     assert html_text.main_text(source) == wanted
 
 
+@pytest.mark.parametrize(
+    "lengths", [[60, *[400] * 8, 50], [400] * 4, [*[600] * 6, *[20] * 12, *[600] * 6], [300, 300], [10]],
+)
+def test_html_without_article_keeps_the_whole_span(lengths):
+    lines = [chr(97 + i % 26) * n for i, n in enumerate(lengths)]
+    assert html_text.main_text("".join(f"<p>{x}</p>" for x in lines)) == "\n".join(lines)
+
+
+def test_html_keeps_linked_headings_and_every_article():
+    text = LONG.strip()
+    menu = "<ul><li><a href=a>Home</a><li><a href=b>News</a></ul>"
+    page = f"{menu}<div><h1><a href=x>Title</a></h1><p>{text}</p><div><a href=y>More</a></div><p>{text}</p></div>{menu}"
+    assert html_text.main_text(page) == f"Title\n{text}\nMore\n{text}"
+    long, short = ["x" * 500] * 20, ["y" * 100] * 2
+    articles = "".join("<article>" + "".join(f"<p>{x}</p>" for x in part) + "</article>" for part in (long, short))
+    assert html_text.main_text(f"<p>{text}</p>{articles}<div class=related><article><p>{text}</p></article></div>") == "\n".join(long + short)
+
+
 def test_long_broken_pages_end_soon():
     import time
 
