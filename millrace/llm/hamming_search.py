@@ -1,6 +1,6 @@
 """Exact top-k search in Hamming space by multi-index hashing.
 
-A vector's code is ``BITS`` signs of its centred dimensions. Codes are cut into segments of about log2(rows)
+A vector's code is the signs of all its centred dimensions, in words of ``BITS``. Codes are cut into segments of about log2(rows)
 bits, and each segment is an index key. A query looks up, segment by segment, all keys within radius
 0, then 1, 2, ... of its own; every code met is verified by its full distance. After radius r in all m
 segments each code at a distance below m * (r + 1) has been met (else every segment would differ in more
@@ -12,8 +12,8 @@ Rows with the same code are one index entry, with its count and its k smallest i
 occurs often is no hot key, and the result is as if all rows had been compared: per query the k rows
 nearest in Hamming distance, ties by smallest id, without the query's own row.
 
-Defined results: rows without id or vector, and vectors of another length than the table's smallest, are neither
-queries nor found; a NULL or NaN dimension counts as not above the mean; ids that repeat count as one row,
+Defined results: rows without id or vector, and vectors of another length than most (of two that are as
+frequent, the larger counts), are neither queries nor found; a NULL or NaN dimension counts as not above the mean; ids that repeat count as one row,
 with the smallest code; with fewer than k other rows all of them are found. Further columns are not looked at.
 """
 
@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from millrace.llm.staging import staged
 from millrace.operators.joins import BROADCAST_BYTES
 
+# Bits of a code's word. The SQL below is for vectors of so many dimensions.
 BITS = 64
 K = 10
 QUERY_STEP = 20
@@ -32,18 +33,33 @@ LEAST_SEGMENT, MOST_SEGMENT = 8, 20
 INDEX_BYTES = 64
 
 
-def codes(vectors: DataFrame, bits: int = BITS) -> DataFrame:
-    """vec_id and code: bit i is set where dimension i lies above its mean over all rows."""
+def codes(vectors: DataFrame) -> DataFrame:
+    """vec_id and code: bit i is set where dimension i lies above its mean over all rows.
+
+    The code is one bigint, or an array of them if the vectors have more than ``BITS`` dimensions; the
+    column's metadata have the number of its bits.
+    """
     known = vectors.where("vec_id is not null and embedding is not null")
-    size = known.agg(F.min(F.size("embedding"))).first()[0] or 0
+    sizes = known.groupBy(F.size("embedding").alias("size")).count()
+    prevailing = sizes.orderBy(F.desc("count"), F.desc("size")).first()
+    size = prevailing["size"] if prevailing else 0
     known = known.where(F.size("embedding") == size)
-    used = min(bits, size)
-    values = known.select(F.posexplode("embedding").alias("at", "x")).where(~F.isnan("x") & (F.col("at") < used))
+    values = known.select(F.posexplode("embedding").alias("at", "x")).where(~F.isnan("x"))
     means = {r["at"]: r["mean"] for r in values.groupBy("at").agg(F.avg("x").alias("mean")).collect()}
-    limits = f"array({', '.join(f'{means.get(i, 0.0)!r}D' for i in range(used)) or '0D'})"
-    above = f"coalesce(get(embedding, i) > get({limits}, i) AND NOT isnan(get(embedding, i)), false)"
-    code = F.expr(f"aggregate(sequence(0, {max(used, 1) - 1}), 0L, (bits, i) -> bits | if({above}, shiftleft(1L, i), 0L))")
-    return known.select(F.col("vec_id").cast("bigint").alias("vec_id"), code.alias("code")).groupBy("vec_id").agg(F.min("code").alias("code"))
+    words = []
+    for low in range(0, max(size, 1), BITS):
+        here = range(low, max(min(low + BITS, size), low + 1))
+        limits = f"array({', '.join(f'{means.get(i, 0.0)!r}D' for i in here)})"
+        value = f"get(embedding, i + {low})"
+        above = f"coalesce({value} > get({limits}, i) AND NOT isnan({value}), false)"
+        words.append(F.expr(f"aggregate(sequence(0, {len(here) - 1}), 0L, (bits, i) -> bits | if({above}, shiftleft(1L, i), 0L))"))
+    code = F.array(*words) if len(words) > 1 else words[0]
+    coded = known.select(F.col("vec_id").cast("bigint").alias("vec_id"), code.alias("code"))
+    return coded.groupBy("vec_id").agg(F.min("code").alias("code", metadata={"bits": max(size, 1)}))
+
+
+def _words(code: Column, bits: int) -> list[Column]:
+    return [F.get(code, F.lit(i)) for i in range(-(-bits // BITS))] if bits > BITS else [code]
 
 
 def segment_bits(rows: int, bits: int = BITS) -> int:
@@ -55,15 +71,20 @@ def segment_bits(rows: int, bits: int = BITS) -> int:
 
 def _keys(code: Column, width: int, bits: int = BITS) -> Column:
     """(segment, key) of all segments of a code."""
-    parts = []
+    parts, words = [], _words(code, bits)
     for i, low in enumerate(range(0, bits, width)):
         mask = (1 << min(width, bits - low)) - 1
-        parts.append(F.struct(F.lit(i).alias("segment"), F.shiftrightunsigned(code, low).bitwiseAND(F.lit(mask)).cast("int").alias("key")))
+        word, shift = divmod(low, BITS)
+        key = F.shiftrightunsigned(words[word], shift)
+        if shift + mask.bit_length() > BITS:  # the segment goes on in the next word
+            key = key.bitwiseOR(F.shiftleft(words[word + 1], BITS - shift))
+        parts.append(F.struct(F.lit(i).alias("segment"), key.bitwiseAND(F.lit(mask)).cast("int").alias("key")))
     return F.array(*parts)
 
 
-def _distance(x: str, y: str) -> Column:
-    return F.bit_count(F.col(x).bitwiseXOR(F.col(y))).cast("int")
+def _distance(x: str, y: str, bits: int = BITS) -> Column:
+    pairs = zip(_words(F.col(x), bits), _words(F.col(y), bits), strict=True)
+    return sum((F.bit_count(a.bitwiseXOR(b)) for a, b in pairs), F.lit(0)).cast("int")
 
 
 def _masks(spark: SparkSession, width: int, radius: int) -> Column:
@@ -74,12 +95,13 @@ def _masks(spark: SparkSession, width: int, radius: int) -> Column:
     return F.from_json(F.lit(str(values)), "array<int>")
 
 
-def nearest(rows: DataFrame, queries: DataFrame, k: int = K, bits: int = BITS) -> DataFrame:
+def nearest(rows: DataFrame, queries: DataFrame, k: int = K, bits: int | None = None) -> DataFrame:
     """query_id, neighbor_id, distance and rank: the k rows of (vec_id, code) nearest to each of the queries.
 
-    Both are read several times: stage them.
+    Both are read several times: stage them. ``bits`` are those of a code, if its column does not say.
     """
     spark = rows.sparkSession
+    bits = bits or rows.schema["code"].metadata.get("bits", BITS)
     order = Window.partitionBy("code").orderBy("vec_id")
     # one more id than asked for, as a query does not count itself
     firsts = rows.withColumn("place", F.row_number().over(order)).where(F.col("place") <= k + 1)
@@ -89,7 +111,7 @@ def nearest(rows: DataFrame, queries: DataFrame, k: int = K, bits: int = BITS) -
     index = staged(entries.select("code", F.explode(_keys(F.col("code"), width, bits)).alias("at")).select("at.segment", "at.key", "code"), "index")
     # The lookups are exploded rows, whose size Spark underestimates: it may broadcast the index if that was
     # counted to be small, but never the lookups.
-    few = index.count() * INDEX_BYTES <= BROADCAST_BYTES
+    few = index.count() * (INDEX_BYTES + (bits - 1) // BITS * 16) <= BROADCAST_BYTES
     looked_up = F.broadcast(index) if few else index.hint("merge")
     used_keys = staged(index.select("segment", "key").distinct(), "keys")
     key_count = used_keys.count()
@@ -108,11 +130,11 @@ def nearest(rows: DataFrame, queries: DataFrame, k: int = K, bits: int = BITS) -
         else:
             near = probes.join(used_keys, "segment").where(F.bit_count(F.col("own").bitwiseXOR(F.col("key"))) == radius).select("asked", "bound", "segment", "key")
         # verified where they meet: nothing beyond the k-th distance so far leaves the join
-        pairs = near.join(looked_up, ["segment", "key"]).where(_distance("asked", "code") <= F.col("bound"))
+        pairs = near.join(looked_up, ["segment", "key"]).where(_distance("asked", "code", bits) <= F.col("bound"))
         met = pairs.select("asked", "code").distinct()
         if found is not None:
             met = met.unionByName(found.select("asked", "code")).distinct()
-        ranked = met.withColumn("distance", _distance("asked", "code")).join(sizes, "code")
+        ranked = met.withColumn("distance", _distance("asked", "code", bits)).join(sizes, "code")
         ahead = Window.partitionBy("asked").orderBy("distance").rangeBetween(Window.unboundedPreceding, -1)
         # an entry is needed while fewer than k + 1 rows lie nearer
         found = staged(

@@ -231,6 +231,32 @@ def test_search_equals_brute_force(spark):
     assert {tuple(r) for r in found} == wanted
 
 
+def test_search_leaves_out_only_vectors_of_odd_length(spark):
+    rng = np.random.default_rng(9)
+    vectors = [(i, [float(x) for x in rng.normal(size=8)]) for i in range(30)]
+    schema = "vec_id bigint, embedding array<float>"
+    rows = hamming_search.codes(spark.createDataFrame([*vectors, (100, []), (101, [1.0, 2.0]), (102, [1.0] * 9)], schema))
+    assert {r.vec_id for r in rows.collect()} == set(range(30))
+    assert {r.vec_id for r in hamming_search.codes(spark.createDataFrame([(1, [1.0]), (2, [1.0, 2.0])], schema)).collect()} == {2}
+
+
+@pytest.mark.parametrize("size", [70, 150])
+def test_search_compares_all_dimensions(spark, size):
+    rng = np.random.default_rng(10)
+    centres = rng.normal(size=(6, size))
+    centres[:, :64] = centres[0, :64]  # the first dimensions say nothing
+    vectors = np.array([centres[i % 6] + 0.3 * rng.normal(size=size) for i in range(240)], np.float32)
+    df = spark.createDataFrame([(i, [float(x) for x in v]) for i, v in enumerate(vectors)], "vec_id bigint, embedding array<float>")
+    rows = hamming_search.staged(hamming_search.codes(df), "test")
+    found = hamming_search.nearest(rows, rows.where("vec_id % 20 = 0")).collect()
+    signs = vectors > vectors.astype(float).mean(axis=0)
+    wanted = set()
+    for q in range(0, 240, 20):
+        near = sorted((int((signs[q] != signs[v]).sum()), v) for v in range(240) if v != q)[:10]
+        wanted |= {(q, v, d, i + 1) for i, (d, v) in enumerate(near)}
+    assert {tuple(r) for r in found} == wanted
+
+
 def test_search_of_small_tables(spark):
     schema = "vec_id bigint, embedding array<float>"
     assert hamming_search.nearest(*[hamming_search.codes(spark.createDataFrame([], schema))] * 2).count() == 0
