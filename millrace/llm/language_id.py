@@ -12,7 +12,13 @@ The posterior of a language is the product of
 The last three come from grouped aggregations of what the texts alone say, over all rows
 (:func:`evidence_tables`); they are partial sums per key, so a key with a third of the rows is no burden.
 
-A row is rejected if its text has no triple, or no language reaches ``LEAST_POSTERIOR``.
+The languages are those that enough rows declare (:func:`languages_of`). Next to them stands ``OTHER``, for which
+all triples are equally likely: noise, and text whose tag is too rare to learn from, come nearer to it.
+
+A row is rejected if its text has no triple, if no language reaches ``LEAST_POSTERIOR``, if that language is
+``OTHER``, or if its text is unlike the language: if its mean per triple is below the middle between the
+median of all rows that declare and resemble the language, and that of ``OTHER``, by more than ``ERRORS``
+standard errors of a text with so many triples (each byte is in three of them).
 
 Defined results: a NULL text is empty; empty texts are identified by their other evidence and
 rejected; NULL or empty declarations and addresses are no evidence; rows that repeat are each judged
@@ -33,7 +39,15 @@ from millrace.llm.staging import fresh_name, staged
 from millrace.llm.wordhash import Piece, pieces
 from millrace.operators.joins import broadcast_if_small
 
-LANGUAGES = ("de", "en", "es", "fr")
+OTHER = "other"
+# A language has so many rows and characters, or that share of a small table's, and of the rows at least a
+# share that bounds the model's size.
+LEAST_ROWS, LEAST_CHARACTERS, SMALL_SHARE, LEAST_SHARE = 5, 10_000, 0.1, 0.005
+# Tags that name no language.
+NO_LANGUAGES = ("und", "mul", "zxx", "mis", OTHER)
+ERRORS = 3.0
+# The part of any text that may be names, numbers or quotations: else unseen triples count the more, the larger the table.
+UNSEEN = 0.1
 BUCKET_BITS = 15
 EVIDENCE_TRIPLES = 200
 SMOOTHING = 0.5
@@ -89,14 +103,24 @@ def _counter(languages: Sequence[str]):
     return run
 
 
-def train(rows: DataFrame, text: str, declared: Column, languages: Sequence[str] = LANGUAGES) -> np.ndarray:
+def languages_of(rows: DataFrame, text: str, declared: Column) -> tuple[str, ...]:
+    """The declared languages with enough text to learn from, and ``OTHER`` for all else."""
+    texts = rows.select(declared.alias("tag"), F.length(f"`{text}`").alias("size")).where("tag is not null and size > 0")
+    tags = staged(texts.groupBy("tag").agg(F.count("*").alias("n"), F.sum("size").alias("size")), "tags")
+    n, size = (x or 0 for x in tags.agg(F.sum("n"), F.sum("size")).first())
+    enough = (F.col("n") >= max(min(LEAST_ROWS, SMALL_SHARE * n), LEAST_SHARE * n)) & (F.col("size") >= min(LEAST_CHARACTERS, SMALL_SHARE * size))
+    found = tags.where(enough & ~F.col("tag").isin(*NO_LANGUAGES)).collect()
+    return (*sorted(r["tag"] for r in found), OTHER)
+
+
+def train(rows: DataFrame, text: str, declared: Column, languages: Sequence[str]) -> np.ndarray:
     """Log likelihoods [language, bucket]: a table of fixed size, whatever the number of rows."""
     texts = rows.select(declared.alias("declared"), F.col(f"`{text}`").alias("text"))
     counted = texts.mapInArrow(_counter(languages), "language int, bucket int, n bigint")
     sums = counted.groupBy("language", "bucket").agg(F.sum("n").alias("n")).toPandas()
     counts = np.full((len(languages), 1 << BUCKET_BITS), SMOOTHING)
     counts[sums["language"].to_numpy(int), sums["bucket"].to_numpy(int)] += sums["n"].to_numpy(float)
-    return np.log(counts / counts.sum(axis=1, keepdims=True))
+    return np.log((1 - UNSEEN) * counts / counts.sum(axis=1, keepdims=True) + UNSEEN / counts.shape[1])
 
 
 def _text_evidence(model):
@@ -166,6 +190,28 @@ def evidence_tables(evidence: DataFrame, languages: Sequence[str]) -> dict[str,
     return tables
 
 
+def _per_triple(scores: Column, triples: Column) -> Column:
+    return scores / F.least(triples, F.lit(EVIDENCE_TRIPLES))
+
+
+def least_likelihoods(evidence: DataFrame, model: np.ndarray, languages: Sequence[str]) -> tuple[list[float], list[float]]:
+    """For each language the least mean log likelihood per triple, and the deviation of one triple."""
+    best = (F.array_position("scores", F.array_max("scores")) - 1).cast("int")
+    names = F.array(*[F.lit(x) for x in languages])
+    rows = evidence.where("triples > 0").select(
+        best.alias("at"), _per_triple(F.array_max("scores"), F.col("triples")).alias("mean"),
+        (F.get(names, best) == F.col("declared")).alias("agreed"),
+    )
+    medians = rows.where("agreed").groupBy("at").agg(F.percentile_approx("mean", 0.5).alias("median")).collect()
+    uniform = -float(np.log(model.shape[1]))
+    least = [uniform] * len(languages)
+    for row in medians:
+        least[row["at"]] = (row["median"] + uniform) / 2
+    shares = np.exp(model)
+    variances = (shares * model**2).sum(axis=1) - (shares * model).sum(axis=1) ** 2
+    return least, np.sqrt(np.maximum(variances, 0)).tolist()
+
+
 def domain_of(host: Column) -> Column:
     """The last two labels of a host; the host itself if it has fewer."""
     return F.regexp_extract(host, r"([^.]*\.)?[^.]*$", 0)
@@ -173,7 +219,7 @@ def domain_of(host: Column) -> Column:
 
 def identified(
     rows: DataFrame, text: str, declared: Column, address: Column, model: np.ndarray,
-    languages: Sequence[str] = LANGUAGES, keep: Sequence[str] | None = None,
+    languages: Sequence[str], keep: Sequence[str] | None = None,
 ) -> tuple[DataFrame, str]:
     """The rows (columns ``keep``, or all) with a struct of language, posterior, text_language and kept, and its name.
 
@@ -208,11 +254,15 @@ def identified(
     names = F.array(*[F.lit(x) for x in languages])
     best = lambda scores: F.get(names, F.array_position(scores, F.array_max(scores)).cast("int") - 1)
     posterior = F.array_max(F.col(f"`{shares}`"))
-    texts = F.col(f"`{name}`.triples") > 0
+    triples = F.col(f"`{name}`.triples")
+    texts = triples > 0
+    chosen = F.array_position(F.col(f"`{shares}`"), posterior).cast("int") - 1
+    least, deviations = (F.array(*[F.lit(float(x)) for x in values]) for values in least_likelihoods(evidence, model, languages))
+    likely = _per_triple(F.get(F.col(f"`{name}`.scores"), chosen), triples) >= F.get(least, chosen) - F.get(deviations, chosen) * ERRORS * F.sqrt(3 / triples)
     verdict = F.struct(
         best(F.col(f"`{shares}`")).alias("language"), posterior.alias("posterior"),
         F.when(texts, best(F.col(f"`{name}`.scores"))).alias("text_language"),
-        (texts & (posterior >= LEAST_POSTERIOR)).alias("kept"),
+        F.when(texts, (posterior >= LEAST_POSTERIOR) & (F.get(names, chosen) != OTHER) & likely).otherwise(False).alias("kept"),
     )
     return out.withColumn(name, verdict).drop(shares, *weights), name
 
@@ -220,7 +270,8 @@ def identified(
 def document_languages(docs: DataFrame, keep: Sequence[str] | None = None) -> tuple[DataFrame, str]:
     """Documents: ``lang`` is what they declare, ``source`` their address; the model learns from all of them."""
     tag = primary_tag(F.col("lang"))
-    return identified(docs, "text", F.col("lang"), F.col("source"), train(docs, "text", tag), keep=keep)
+    languages = languages_of(docs, "text", tag)
+    return identified(docs, "text", F.col("lang"), F.col("source"), train(docs, "text", tag, languages), languages, keep=keep)
 
 
 def keep_identified(docs: DataFrame) -> DataFrame:

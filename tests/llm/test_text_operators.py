@@ -270,6 +270,28 @@ def test_language_evidence_is_fused(spark, make_docs):
     assert empty.count() == 0
 
 
+def test_languages_are_learnt_and_unknown_text_is_rejected(spark):
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet").where("length(trim(text)) > 0")
+    dutch = "De kat zat op de mat en keek naar buiten, waar het al de hele dag regende en de kinderen niet konden spelen. "
+    italian = "Il gatto era seduto sul tappeto e guardava fuori, dove pioveva tutto il giorno e i bambini non potevano giocare. "
+    russian = "Кошка сидела на коврике и смотрела на улицу, где весь день шёл дождь, и дети не могли играть. "
+    rng = np.random.default_rng(4)
+    noise = ["".join(rng.choice(list("bcdfghjklmnpqrstvwxz "), 600)) for _ in range(5)]
+    odd = [(-1, dutch * 4, "nl"), (-2, italian * 4, None), (-3, russian * 4, None), (-4, "他在垫子上坐着看外面下雨。" * 20, "zh"), (-5, italian, "it")]
+    odd += [(-10 - i, text, "en") for i, text in enumerate(noise)]
+    russians = [(10**6 + i, " ".join(rng.permutation(russian.split() * 5)), "ru-RU") for i in range(30)]
+    planted = spark.createDataFrame([(*r, "src1") for r in odd], "doc_id bigint, text string, lang string, source string")
+    known = spark.createDataFrame([(*r, "src1") for r in russians], planted.schema)
+    given = docs.select(planted.columns)
+    assert language_id.languages_of(given.unionByName(known), "text", language_id.primary_tag(F.col("lang"))) == ("de", "en", "es", "fr", "ru", "other")
+    kept = {r.doc_id for r in language_id.keep_identified(given.unionByName(planted)).collect()}
+    assert kept == {r.doc_id for r in given.collect()}
+    rows, verdict = language_id.document_languages(given.unionByName(known).unionByName(planted))
+    found = {r.doc_id: r for r in rows.select("doc_id", f"{verdict}.*").collect()}
+    assert all(found[10**6 + i].language == "ru" and found[10**6 + i].kept for i in range(30)) and found[-3].kept
+    assert not any(r.kept for i, r in found.items() if i < 0 and i != -3)
+
+
 def test_language_keys(spark):
     row = spark.createDataFrame([("en-US", "https://www.News.example.de/x")], "d string, u string").select(
         language_id.primary_tag(F.col("d")).alias("tag"), language_id.host_of(F.col("u")).alias("host"),
