@@ -35,6 +35,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from millrace.llm.html_text import extracted
 from millrace.llm.staging import fresh_name, staged
 from millrace.llm.wordhash import Piece, pieces
 from millrace.operators.joins import broadcast_if_small
@@ -155,6 +156,14 @@ def primary_tag(declared: Column) -> Column:
     return F.when(tag != "", tag)
 
 
+def markup_language(html: Column) -> Column:
+    """What a page's markup declares: the html tag's language, else that of a content-language meta tag."""
+    value = r"""\s*=\s*["']?\s*([A-Za-z][A-Za-z0-9_-]*)"""
+    tag = F.regexp_extract(html, r"(?i)<html\b[^>]*?\s(?:xml:)?lang" + value, 1)
+    meta = F.regexp_extract(html, r"""(?i)<meta\b(?=[^>]*?http-equiv\s*=\s*["']?content-language)[^>]*?\scontent""" + value, 1)
+    return F.when(tag != "", tag).when(meta != "", meta)
+
+
 def host_of(address: Column) -> Column:
     """The host of a URL, or the address itself if it has no scheme; NULL for nothing."""
     host = F.lower(F.regexp_extract(address, r"^(?:[^:/?#]*://)?([^/?#]*)", 1))
@@ -274,6 +283,18 @@ def document_languages(docs: DataFrame, keep: Sequence[str] | None = None) -> tu
     return identified(docs, "text", F.col("lang"), F.col("source"), train(docs, "text", tag, languages), languages, keep=keep)
 
 
+def page_languages(pages: DataFrame, keep: Sequence[str] | None = None) -> tuple[DataFrame, str]:
+    """Pages: their markup declares a language, ``url`` is the address, and the text is the extracted one."""
+    declared, text = fresh_name(pages, "declared"), fresh_name(pages, "main_text")
+    rows, text = extracted(pages.withColumn(declared, markup_language(F.col("html"))), name=text)
+    # read three times
+    rows = staged(rows.select(*[F.col(f"`{c}`") for c in rows.columns if c != "html" or keep is None or "html" in keep]), "pages")
+    tag = primary_tag(F.col(f"`{declared}`"))
+    languages = languages_of(rows, text, tag)
+    keep = [*(pages.columns if keep is None else keep), declared]
+    return identified(rows, text, F.col(f"`{declared}`"), F.col("url"), train(rows, text, tag, languages), languages, keep=keep)
+
+
 def keep_identified(docs: DataFrame) -> DataFrame:
     """The rows that are not rejected, with their columns."""
     rows, verdict = document_languages(docs)
@@ -283,3 +304,8 @@ def keep_identified(docs: DataFrame) -> DataFrame:
 def query(spark: SparkSession, folder: str) -> DataFrame:
     rows, verdict = document_languages(spark.read.parquet(f"{folder}/documents.parquet"), keep=["doc_id", "lang"])
     return rows.select("doc_id", F.col("lang").alias("declared"), f"`{verdict}`.*")
+
+
+def pages_query(spark: SparkSession, folder: str) -> DataFrame:
+    rows, verdict = page_languages(spark.read.parquet(f"{folder}/pages.parquet").select("page_id", "url", "html"), keep=["page_id", "url"])
+    return rows.select("page_id", "url", "declared", f"`{verdict}`.*")

@@ -14,6 +14,7 @@ QUERIES = {
     "op6_ngram_jaccard_join": (jaccard_join.query, None),
     "op7_mixing": (mixing.query, mixing.SQL),
     "op8_language_id": (language_id.query, None),
+    "op8_language_id_pages": (language_id.pages_query, None),
     "op9_quality_rules": (quality_rules.query, None),
     "op10_url_filter": (url_filter.query, None),
     "pipeline": (corpus_pipeline.run, corpus_pipeline.ORACLE_SQL),

@@ -292,6 +292,22 @@ def test_languages_are_learnt_and_unknown_text_is_rejected(spark):
     assert not any(r.kept for i, r in found.items() if i < 0 and i != -3)
 
 
+def test_languages_of_pages_use_markup_and_url(spark):
+    tags = [
+        ('<!DOCTYPE html><HTML class="x" LANG=en-US>', "en-US"), ("<html dir='ltr' xml:lang='de'>", "de"), ("<html data-lang='x'>", None),
+        ("<html><meta content='fr' http-equiv='content-language'>", "fr"), ("<p lang='es'>", None), (None, None),
+    ]
+    df = spark.createDataFrame(tags, "html string, wanted string").select(language_id.markup_language(F.col("html")).alias("found"), "wanted")
+    assert all(r.found == r.wanted for r in df.collect())
+    texts = {"en": "the cat and the dog sat on the mat with them", "fr": "le chat et le chien sont sur le tapis avec eux"}
+    pages = [(i, f"http://{tag}{i % 3}.a.{tag}/x", f"<html lang='{tag}-X'><p>{text}</p></html>") for k, (tag, text) in enumerate(texts.items()) for i in range(40 * k, 40 * k + 40)]
+    pages += [(100, "http://fr9.a.fr/y", "<p>xyz</p>"), (101, "http://new.b.en/y", "<p>xyz</p>"), (102, "http://q.c.org/y", "<html lang='fr'><p>xyz</p>")]
+    rows, verdict = language_id.page_languages(spark.createDataFrame(pages, "page_id bigint, url string, html string"))
+    found = {r.page_id: r for r in rows.select("page_id", "html", f"{verdict}.*").collect()}
+    assert len(found) == 83 and all(found[i].language == ("en" if i < 40 else "fr") and found[i].kept for i in range(80))
+    assert [found[i].language for i in (100, 101, 102)] == ["fr", "en", "fr"]  # domain, suffix and markup decide
+
+
 def test_language_keys(spark):
     row = spark.createDataFrame([("en-US", "https://www.News.example.de/x")], "d string, u string").select(
         language_id.primary_tag(F.col("d")).alias("tag"), language_id.host_of(F.col("u")).alias("host"),
