@@ -2,7 +2,8 @@
 
 A text becomes its words in lower case (A-Z), with one space between. A rule is a regular expression
 over that, a literal keyword without which it cannot match, a label and a priority
-(:func:`signature_rules` writes some hundreds from names, versions and phrasings). Texts without any
+(:func:`signature_rules` writes some hundreds from names, versions and phrasings, short identifiers, and
+the licenses' own notices and texts). Texts without any
 anchor, a few literals of which every keyword holds one, are done; in the others the rules whose
 keyword occurs are searched for at every place. A detection whose words lie within those of another with at least its
 priority is suppressed. The base phrases are rules as well, and their labels stay even if suppressed.
@@ -78,10 +79,42 @@ FAMILIES = (
     ("zlib", ("zlib license", "zlib libpng license"), ()),
 )
 GRANT = "(?:licensed|released|distributed|available|published|provided) under (?:the |a )?(?:terms of (?:the )?)?"
-# Every name holds one of these.
+# Between a GNU license's name and its version in its own notice.
+PUBLISHED = "(?: as published by the free software foundation(?: inc)?)?(?: either)?"
+LATER = "(?: of the licen[sc]e)? or (?:at your option )?(?:any )?later(?: version)?"
+# Label, short name, versions; the version stands apart or, with v, is joined to the name.
+SHORT = (
+    ("afl", "afl", ("3 0", "2 1")), ("agpl", "agpl", ("3", "1")), ("apache", "apache", ("2 0", "1 1", "1 0")), ("apache", "asl", ("2 0", "1 1")),
+    ("artistic", "artistic", ("2 0", "1 0")), ("boost", "bsl", ("1 0",)), ("epl", "epl", ("2 0", "1 0")), ("gfdl", "gfdl", ("1 3", "1 2")), ("gpl", "gpl", ("3", "2", "1")),
+    ("lgpl", "lgpl", ("3", "2 1", "2")), ("mpl", "mpl", ("2 0", "1 1", "1 0")), ("ofl", "ofl", ("1 1", "1 0")), ("osl", "osl", ("3 0", "2 1")), ("python", "psf", ("2",)),
+)
+# Keyword, pattern, label, priority of texts and of short names without a version.
+_BSD = "redistribution and use in source and binary forms with or without modification are permitted"
+_FREELY = "permission to use copy modify and (?:or )?distribute this software for any purpose with or without fee is hereby granted"
+TEXTS = (
+    ("bsd 2 clause", "bsd 2 clause", "bsd-2-clause", 2), ("bsd 3 clause", "bsd 3 clause", "bsd-3-clause", 2), ("2 clause bsd", "2 clause bsd", "bsd-2-clause", 2),
+    ("3 clause bsd", "3 clause bsd", "bsd-3-clause", 2), ("ms pl", "ms pl", "ms-pl", 2), ("ms rl", "ms rl", "ms-rl", 2),
+    ("under mit", GRANT + "mit", "mit", 3), ("under the mit", GRANT + "mit", "mit", 3), ("terms of the mit", GRANT + "mit", "mit", 3),
+    ("permission is hereby granted", "permission is hereby granted free of charge to any person obtaining a copy of this software(?: and associated documentation files)?", "mit", 4),
+    ("permission is hereby granted", "permission is hereby granted free of charge to any person or organi[sz]ation obtaining a copy of the software and accompanying documentation", "boost-1.0", 4),
+    ("without fee is hereby granted", _FREELY, "isc", 3), ("without fee is hereby granted", f"{_FREELY} provided that the above copyright notice", "isc", 4),
+    ("without fee is hereby granted", f"{_FREELY} the software is provided", "0bsd", 4),
+    ("source and binary forms", "redistribution and use in source and binary forms", "bsd", 2), ("source and binary forms", _BSD, "bsd", 3),
+    ("source and binary forms", _BSD + "(?:(?! endorse | advertising ) [^ ]+){0,160}? this software is provided", "bsd-2-clause", 4),
+    ("source and binary forms", _BSD + "(?:(?! advertising ) [^ ]+){0,200}? endorse or promote products", "bsd-3-clause", 4),
+    ("source and binary forms", _BSD + "(?: [^ ]+){0,160}? all advertising materials mentioning features", "bsd-4-clause", 4),
+    ("without any express or implied warranty", "this software is provided as is without any express or implied warranty in no event will the authors? be held liable", "zlib", 4),
+    ("into the public domain", "this is free and unencumbered software released into the public domain", "unlicense", 4),
+    ("what the fuck you want to", "you just do what the fuck you want to", "wtfpl", 3),
+)
+# Every keyword holds one of these.
 ANCHORS = (
     " license", " licence", " unlicense", "agpl ", "gpl ", " cc by ", "creative commons", " cc0 ", " cddl ",
     " eupl ", " gfdl ", " odbl ", " pddl ", "public domain", " wtfpl ",
+    "gplv", "gpl1 ", "gpl2 ", "gpl3 ", " apache ", " asl ", " artistic ", " bsl ", " epl ", " mpl ", " mplv", " eplv", " apachev", " apache1 ", " apache2 ", " ofl ", " afl ", " osl ", " psf ",
+    " aflv", " aslv", " artisticv", " bslv", " gfdlv", " oflv", " oslv", " psfv",
+    " bsd ", " ms pl ", " ms rl ", " under mit ", " under the mit ", " terms of the mit ", " is hereby granted ", " source and binary forms ",
+    " without any express or implied warranty ", " what the fuck you want to ",
 )
 
 
@@ -103,9 +136,29 @@ def signature_rules() -> list[dict]:
                 add(name, f"{name}{number}", numbered, 2)
                 add(name, f"{GRANT}{name}{number}", numbered, 4)
                 add(name, f"{name}{number} or (?:any )?later(?: version)?", f"{numbered}-or-later", 4)
+                published = PUBLISHED if label in ("agpl", "gfdl", "gpl", "lgpl") else ""
+                add(name, f"{name}{published}{number}{LATER}", f"{numbered}-or-later", 4)
+                if published:
+                    add(name, f"{name}{published}{number}", numbered, 3)
+                add(name, f"(?:version|v) {major}(?: 0)? of (?:the )?{name}", numbered, 3)
+                add(name, f"(?:version|v) {major}(?: 0)?{LATER} of (?:the )?{name}", f"{numbered}-or-later", 4)
         for version in versions or ("",):
             identifier = f"{label.replace('-', ' ')} {version}".strip()
             add("spdx license identifier", f"spdx license identifier {identifier}", "-".join(filter(None, [label, version.replace(" ", ".")])), 4)
+    for label, name, versions in SHORT:
+        for version in versions:
+            major, numbered = version.removesuffix(" 0"), f"{label}-{version.replace(' ', '.')}"
+            first = major.split(" ")[0]
+            # a number apart must be whole: "apache 2 4" is no license
+            whole = f"{major}(?: 0)?" if name in ("agpl", "gpl", "lgpl") else version
+            forms = ((name, f"{name} {whole}"), (f"{name}v{first}", f"{name}v{major}(?: 0)?"), (f"{name} v{first}", f"{name} v{major}(?: 0)?"))
+            if name in ("agpl", "gpl", "lgpl", "apache"):
+                forms += ((f"{name}{first}", f"{name}{major}(?: 0)?"),)
+            for keyword, pattern in forms:
+                add(keyword, f"{pattern}(?! [0-9])", numbered, 2)
+                add(keyword, f"{pattern}{LATER}", f"{numbered}-or-later", 4)
+    for rule in TEXTS:
+        add(*rule)
     return rules
 
 

@@ -141,6 +141,30 @@ def test_license_scan_equals_brute_force(spark, make_docs, texts):
     assert licenses.scanned(make_docs([]))[0].count() == 0
 
 
+BSD = "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: 1. Redistributions of source code must retain the above copyright notice. 2. Redistributions in binary form must reproduce it. "
+NOTICES = {
+    "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files": "mit",
+    "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice": "isc",
+    BSD + "THIS SOFTWARE IS PROVIDED BY": "bsd-2-clause",
+    BSD + "3. Neither the name of X nor the names of its contributors may be used to endorse or promote products derived from this software. THIS SOFTWARE IS PROVIDED BY": "bsd-3-clause",
+    "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any damages": "zlib",
+    "the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.": "gpl,gpl-3-or-later",
+    "the GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version.": "lgpl-2.1-or-later",
+    "under the terms of version 2 of the GNU General Public License": "gpl,gpl-2",
+    "GPLv3": "gpl-3", "LGPLv2.1": "lgpl-2.1", "Apache-2.0": "apache-2.0", "MPL-2.0": "mpl-2.0", "BSD-3-Clause": "bsd-3-clause", "GPLv2 or later": "gpl-2-or-later",
+    "released under the MIT": "mit", "Apache 2.4 serves": "", "a permission to use": "", "AGPL-3.0-or-later": "agpl-3-or-later",
+}
+
+
+def test_licenses_of_notices_texts_and_short_identifiers(make_docs):
+    rules = licenses.signature_rules()
+    rows, verdict = licenses.scanned(make_docs(list(enumerate(NOTICES))))
+    names = ["n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score"]
+    for row in rows.select("text", f"{verdict}.*").collect():
+        assert row.labels == NOTICES[row.text], row.text
+        assert tuple(row[n] for n in names) == license_brute_force(row.text, rules), row.text
+
+
 def url_brute_force(url):
     host = path = ""
     if url and "://" in url:
