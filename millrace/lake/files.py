@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import SparkSession
 
 
@@ -54,38 +56,49 @@ def text(spark: SparkSession, location: str) -> str:
         stream.close()
 
 
-def texts(spark: SparkSession, location: str) -> dict[str, str]:
-    """Name and content of the small text files in a folder."""
-    return {name: text(spark, f"{location}/{name}") for name in names(spark, location)}
+def _write(spark: SparkSession, location: str, content: str) -> None:
+    path, fs = _path(spark, location)
+    stream = fs.create(path, True)
+    try:
+        stream.write(bytearray(content, "utf-8"))
+    finally:
+        stream.close()
+
 
+def publish(spark: SparkSession, location: str, content: str) -> bool:
+    """Make a file that must not exist appear with its whole content; whether that succeeded.
 
-def create(spark: SparkSession, location: str, content: str) -> bool:
-    """Create a file that must not exist; whether that succeeded."""
+    The content is written aside under a hidden name first, so nobody ever sees a part of it. It then takes its
+    name by a call that fails if the name is taken: a hard link on a local file system, elsewhere a rename that
+    does not overwrite. HDFS does that in one step; on a store without such a rename, one writer at a time.
+    """
     from py4j.protocol import Py4JJavaError
 
-    path, fs = _path(spark, location)
+    folder, name = location.rsplit("/", 1)
+    aside = f"{folder}/.{name}-{uuid.uuid4().hex}"
+    _write(spark, aside, content)
+    jvm = spark._jvm
+    source, fs = _path(spark, aside)
+    target, _ = _path(spark, location)
     try:
-        stream = fs.create(path, False)
+        if fs.getUri().getScheme() == "file":
+            place = lambda p: jvm.java.io.File(p.toUri().getPath()).toPath()
+            jvm.java.nio.file.Files.createLink(place(target), place(source))
+        else:
+            options = getattr(jvm.org.apache.hadoop.fs, "Options$Rename")
+            wanted = spark.sparkContext._gateway.new_array(options, 1)
+            wanted[0] = options.NONE
+            context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), spark._jsc.hadoopConfiguration())
+            context.rename(source, target, wanted)
     except Py4JJavaError:
-        if fs.exists(path):
+        if fs.exists(target):
             return False
         raise
-    try:
-        stream.write(bytearray(content, "utf-8"))
     finally:
-        stream.close()
+        remove(spark, aside)
     return True
 
 
-def keep_only(spark: SparkSession, location: str, name: str) -> None:
-    """Remove all files of a folder but one."""
-    path, fs = _path(spark, location)
-    if fs.exists(path):
-        for status in fs.listStatus(path):
-            if status.getPath().getName() != name:
-                fs.delete(status.getPath(), True)
-
-
 def rename(spark: SparkSession, location: str, wanted: str) -> None:
     path, fs = _path(spark, location)
     if not fs.rename(path, spark._jvm.org.apache.hadoop.fs.Path(wanted)):

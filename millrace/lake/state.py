@@ -90,6 +90,7 @@ class State:
     def append(self, table: str, rows: list[dict]) -> None:
         if not rows:
             return
+        self.recover(table)
         # Keys that the table does not have are left out, missing ones become NULL.
         frame = local_frame(self.spark, rows, SCHEMAS[table])
         writer = frame.coalesce(1).write.mode("append")
@@ -104,7 +105,7 @@ class State:
                 done.result()
 
     def read(self, table: str) -> DataFrame:
-        if not files.exists(self.spark, self.folder(table)):
+        if not self.recover(table):
             return local_frame(self.spark, [], SCHEMAS[table])
         return self.spark.read.schema(SCHEMAS[table]).parquet(self.folder(table))
 
@@ -143,6 +144,7 @@ class State:
 
     def batch(self, run_id: str):
         """The batch that an earlier attempt of the run pinned, or None."""
+        self.recover("batches")
         folder = f"{self.folder('batches')}/run_id={run_id}"
         if not files.exists(self.spark, folder):
             return None
@@ -188,20 +190,33 @@ class State:
     def lineage_graph(self, dataset: str) -> dict:
         return lineage.lineage_graph(self.lineage_edges(), dataset)
 
+    def recover(self, table: str) -> bool:
+        """Put a table back that a compaction had set aside when it died; whether there is a table."""
+        if files.exists(self.spark, self.folder(table)):
+            return True
+        aside = f"{self.root}/.replaced-{table}"
+        if files.exists(self.spark, aside):
+            files.rename(self.spark, aside, self.folder(table))
+            return True
+        return False
+
     def compact(self, table: str) -> None:
         """Put the many small files of a table into one per folder, for tables of many runs.
 
-        The rows are written to a new folder first, which then takes the old one's place; no run may be
-        under way meanwhile.
+        The rows are written to a new folder first; then the old one is set aside and the new one takes its
+        place. At each moment all rows are in one of these folders, and whoever finds the table missing
+        puts the one set aside back. No run may be under way meanwhile.
         """
-        fresh, folder = f"{self.root}/.compacted-{table}", self.folder(table)
-        if not files.exists(self.spark, folder):
+        fresh, aside, folder = f"{self.root}/.compacted-{table}", f"{self.root}/.replaced-{table}", self.folder(table)
+        if not self.recover(table):
             return
+        files.remove(self.spark, aside)  # of a compaction that died after all was in place
         rows = self.read(table)
         if table in FOLDERS:
             rows = rows.repartition(FOLDERS[table])
             rows.write.mode("overwrite").partitionBy(FOLDERS[table]).parquet(fresh)
         else:
             rows.coalesce(1).write.mode("overwrite").parquet(fresh)
-        files.remove(self.spark, folder)
+        files.rename(self.spark, folder, aside)
         files.rename(self.spark, fresh, folder)
+        files.remove(self.spark, aside)

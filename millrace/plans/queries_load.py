@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from millrace.lake import layers, targets
@@ -201,12 +202,47 @@ def history_after_dead_load(spark, folder):
     dim = targets.Dimension(spark, scratch_path(spark, "dimension"), BUYERS)
     known = known_buyers(spark, folder).select(*BUYERS.columns)
     dim.write(0, known, run_id="seed")
-    for part in ("closed", "current"):
-        known.write.parquet(f"{dim.folder}/{part}/run_id=dead")
+    for part in ("closed/00000002-dead", "data/00000002-dead/key_bucket=0"):
+        known.write.parquet(f"{dim.folder}/{part}")
     targets.load_type2(dim, order_batch(spark, folder), ORDER, NOW, "alive")
     return comparable(dim.history().select(*PLAIN))
 
 
+# So few rows that the given tables fill many buckets.
+SMALL_BUCKETS = 100
+
+
+@query(
+    "scd2_by_buckets",
+    f"""WITH {MERGE_SQL}
+    SELECT external_id, status, priority, since, valid_from, valid_to, is_current FROM chain
+    UNION ALL SELECT external_id, status, priority, since, TIMESTAMP '1990-01-01', NULL, true FROM known
+        WHERE external_id NOT IN (SELECT external_id FROM batch)""",
+)
+def history_by_buckets(spark, folder):
+    """A Type-2 load into a dimension of many key buckets, then one that changes nothing and writes no bucket."""
+    dim = targets.Dimension(spark, scratch_path(spark, "dimension"), BUYERS, bucket_rows=SMALL_BUCKETS)
+    dim.write(0, known_buyers(spark, folder).select(*BUYERS.columns), run_id="seed")
+    targets.load_type2(dim, order_batch(spark, folder), ORDER, NOW, "orders")
+    newest = order_batch(spark, folder).withColumn(
+        "place", F.row_number().over(Window.partitionBy("o_custkey").orderBy(*[F.desc(c) for c in ORDER]))
+    ).filter("place = 1")
+    targets.load_type2(dim, newest, ORDER, datetime(2003, 1, 1), "again")
+    return comparable(dim.history().select(*PLAIN))
+
+
+@query("upsert_by_buckets", TYPE1_SQL)
+def type1_by_buckets(spark, folder):
+    """Two Type-1 loads, one after the other, into a dimension that outgrows its buckets between them."""
+    dim = targets.Dimension(spark, scratch_path(spark, "dimension"), BUYERS, bucket_rows=SMALL_BUCKETS)
+    known, orders = known_buyers(spark, folder).select(*BUYERS.columns), order_batch(spark, folder)
+    dim.commit(None, known, "seed", buckets=1)
+    early = F.col("o_orderdate") < F.lit("1996-01-01")
+    targets.load_type1(dim, orders.filter(early), ORDER, NOW, "early")
+    targets.load_type1(dim, orders.filter(~early), ORDER, NOW, "late")
+    return comparable(dim.current().select(*PLAIN))
+
+
 @query("gold_latest_snapshot", TYPE1_SQL)
 def gold_latest_snapshot(spark, folder):
     """Of two stored snapshots only the newest is read."""
@@ -325,6 +361,23 @@ def ingest_metrics(spark, folder):
     return local_frame(spark, [row], names).withColumns({c: F.round(c, 1) for c in scores})
 
 
+@query(
+    "restart_metrics",
+    f"""SELECT count(*) AS rows_loaded, count(*) AS created, CAST(0 AS BIGINT) AS updated
+        FROM ({CLEAN_SQL}) WHERE email <> ''""",
+)
+def restart_metrics(spark, folder):
+    """A run that is started again after its load reports what that load did."""
+    root, first = _ingest(spark, folder)
+    spec = PipelineSpec(
+        "customers-daily", {"type": "parquet", "path": f"{root}/landed"}, "crm", target="customers",
+        order_by=["customer_id"], **INGEST,
+    )
+    again = run_ingest(spark, root, spec, first.run_id, NOW)
+    row = {"rows_loaded": again.rows_loaded, **again.load_result}
+    return local_frame(spark, [row], "rows_loaded bigint, created bigint, updated bigint")
+
+
 @query("poll_new_files", f"SELECT {EVENT_COLUMNS}, props FROM events")
 def poll_new_files(spark, folder):
     """Two polls of the same folder: the second finds nothing new, so every row arrives once."""

@@ -82,7 +82,7 @@ def test_closed_versions_of_a_dead_load_stay_unseen(spark, lake):
     dim = targets.open_dimension(spark, lake, "customers")
     targets.load(spark, lake, "customers_scd2", batch(spark, [(1, "a@x", None, 1)]), ["seen"], DAY, "r1")
     current = dim.current()
-    current.withColumn("is_current", F.lit(False)).write.parquet(f"{dim.folder}/closed/run_id=dead")
+    current.withColumn("is_current", F.lit(False)).write.parquet(f"{dim.folder}/closed/00000002-dead")
     targets.load(spark, lake, "customers", batch(spark, [(2, "b@x", None, 1)]), ["seen"], DAY, "r2")
     assert sorted((r.external_id, r.is_current) for r in dim.history().collect()) == [("1", True), ("2", True)]
 

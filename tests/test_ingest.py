@@ -140,7 +140,7 @@ def test_half_written_snapshot_is_invisible(spark, lake, tmp_path):
     spec = file_spec(csv(tmp_path, "a.csv", CUSTOMERS))
     run_ingest(spark, lake, spec, "r1", NOW)
     dim = targets.open_dimension(spark, lake, "customers")
-    partial = f"{dim.folder}/current/snapshot_seq=2/run_id=r2"
+    partial = f"{dim.folder}/data/00000002-r2/key_bucket=0"
     dim.current().limit(1).write.option(
         "mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").parquet(partial)
     assert dim.latest_seq() == 1 and dim.current().count() == 2
