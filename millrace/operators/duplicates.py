@@ -61,7 +61,7 @@ def _cell_text(name: str, dtype: T.DataType) -> Column:
     return col.cast("string")
 
 
-def _row_digest(fields: list[T.StructField]) -> Column:
+def row_digest(fields: list[T.StructField]) -> Column:
     """SHA-256 of all cells, each led by its length, so no two different rows read the same."""
     cells = []
     for f in fields:
@@ -80,6 +80,6 @@ def repeated_rows(df: DataFrame, hidden: tuple[str, ...] = ()) -> DataFrame:
     if len(fields) <= INLINE_COLUMNS and all(isinstance(f.dataType, small) for f in fields):
         keys = [k for f in fields for k in _group_key(f.name, f.dataType)]
     else:
-        keys = [_row_digest(fields).alias("row")]
+        keys = [row_digest(fields).alias("row")]
     packed = df.select(*keys)
     return _surplus(packed.groupBy(*[F.col(quoted(k)) for k in packed.columns]).count())

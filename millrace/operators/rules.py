@@ -68,7 +68,7 @@ class Check:
     side_counts: dict[str, Callable[[], DataFrame]] = field(default_factory=dict)
     row_violation: Column | None = None
     structural: bool = False
-    # A condition of the user's, by the name of the column that will hold it, evaluated leniently.
+    # A condition of the user's, by the name of the column that will hold it.
     condition: tuple[str, str] | None = None
 
     def passing(self) -> Column:
@@ -257,17 +257,30 @@ def _freshness(batch: Batch, rule: dict, slot: str) -> Check:
 
 
 @contextmanager
-def _lenient(spark):
-    """What is analysed in here yields NULL for a value it cannot compute or cast, and no error.
+def _strict(spark):
+    """What is analysed in here fails on a value it cannot compute or cast, instead of wrapping round.
 
-    Spark fixes that when an expression is resolved, so it holds wherever the result is used.
+    Spark fixes that when an expression is resolved, so it holds wherever the result is used. Sessions are strict
+    unless the caller made them otherwise; only then is the setting changed for the moment.
     """
-    strict = spark.conf.get("spark.sql.ansi.enabled")
-    spark.conf.set("spark.sql.ansi.enabled", "false")
+    if spark.conf.get("spark.sql.ansi.enabled") == "true":
+        yield
+        return
+    spark.conf.set("spark.sql.ansi.enabled", "true")
     try:
         yield
     finally:
-        spark.conf.set("spark.sql.ansi.enabled", strict)
+        spark.conf.set("spark.sql.ansi.enabled", "false")
+
+
+def _holds(expression: str, column: str) -> Column:
+    """A predicate, or NULL where evaluating it fails (an overflow, a division by zero, a cast).
+
+    ``try_to_binary`` gives NULL for whatever goes wrong below it. The condition around it, which is always
+    true, keeps Spark from computing parts that two predicates share outside of it.
+    """
+    text = F.decode(F.try_to_binary(F.expr(expression).cast("string"), F.lit("utf-8")), "utf-8")
+    return F.when(F.hash(F.col(quoted(column))) >= F.lit(-(2**31)), text == "true")
 
 
 @contextmanager
@@ -287,7 +300,7 @@ def _business_rule(batch: Batch, rule: dict, slot: str) -> Check:
     severity = rule.get("severity", BLOCKING)
     problem = None
     try:
-        with _quiet_analysis(), _lenient(batch.df.sparkSession):
+        with _quiet_analysis(), _strict(batch.df.sparkSession):
             probe = batch.df.select(F.expr(expression)).schema
             batch.df.agg(count_if(~F.coalesce(F.expr(expression), F.lit(False))))
         if len(probe) != 1 or not isinstance(probe[0].dataType, T.BooleanType):
@@ -388,8 +401,9 @@ class RuleSet:
         conditions = dict(c.condition for c in self.checks if c.condition)
         if not conditions:
             return self.batch.df
-        with _lenient(self.batch.df.sparkSession):
-            return self.batch.df.withColumns({flag: F.expr(e) for flag, e in conditions.items()})
+        df = self.batch.df
+        with _strict(df.sparkSession):
+            return df.withColumns({flag: _holds(e, df.columns[0]) for flag, e in conditions.items()})
 
     def row_aggregates(self, null_cells: bool = True) -> list[Column]:
         """Everything one scan can answer: rule measures, rows and, for the scores, null cells."""
@@ -466,10 +480,17 @@ def rule_results(
     return compiled.results(compiled.measures(for_scores=False))
 
 
+def judged_by_row(rules: RuleSet) -> dict[int, Check]:
+    """The blocking rules that can be judged on a row alone, by position."""
+    return {
+        i: c for i, c in enumerate(rules.checks) if c.severity == BLOCKING and c.row_violation is not None
+    }
+
+
 def quarantine_split(df: DataFrame, rules: list[dict]) -> DataFrame:
     """The batch with ``is_quarantined``: whether a row breaks any blocking rule that can be judged on the
     row alone. Both halves stay in one scan."""
     compiled = RuleSet.compile(df, rules)
-    bad = [c.row_violation for c in compiled.checks if c.severity == BLOCKING and c.row_violation is not None]
+    bad = [c.row_violation for c in judged_by_row(compiled).values()]
     marked = compiled.flagged().withColumn("is_quarantined", reduce(lambda a, b: a | b, bad, F.lit(False)))
     return marked.select(*[F.col(quoted(c)) for c in df.columns if c != "is_quarantined"], "is_quarantined")

@@ -95,13 +95,17 @@ def assess(
     )
 
 
-def gate(outcome: ValidationOutcome) -> ValidationOutcome:
-    """Let the outcome through unless a blocking rule failed."""
-    if outcome.blocking_violations:
-        raise ValidationFailed(
-            "blocked by validation: " + "; ".join(outcome.blocking_violations),
-            outcome.blocking_violations, outcome,
-        )
+def gate(outcome: ValidationOutcome, excused: frozenset[int] = frozenset()) -> ValidationOutcome:
+    """Let the outcome through unless a blocking rule failed.
+
+    ``excused`` has positions of rules whose broken rows are set aside instead.
+    """
+    broken = [
+        c.message for c in outcome.checks
+        if not c.passed and c.severity == BLOCKING and c.position not in excused
+    ]
+    if broken:
+        raise ValidationFailed("blocked by validation: " + "; ".join(broken), outcome.blocking_violations, outcome)
     return outcome
 
 

@@ -38,6 +38,7 @@ from millrace.operators.incremental import (
 )
 from millrace.operators.ledger import FAILED, RETRYING, RUNNING, SUCCEEDED
 from millrace.operators.lineage import pipeline_edges
+from millrace.operators.quarantine import ADDED, FLAG, excused, with_broken_rules
 from millrace.operators.scorecard import ValidationOutcome, assess, gate
 from millrace.operators.statistics import STATS_SCHEMA, judge_and_merge, moment_aggregates
 from millrace.operators.transform import transform
@@ -60,7 +61,8 @@ class PipelineSpec:
     the reshaped batch that order its rows; CSV and paged sources know their row order themselves.
     Without a ``target`` rows go to the default one. ``keep_raw`` also writes the new rows as they
     were before cleaning. ``rows_extracted`` counts the source's rows before the watermark's filter;
-    ``count_source=False`` saves that count.
+    ``count_source=False`` saves that count. With ``quarantine`` the rows that break a blocking rule are set
+    aside with the rules they break, and the others are loaded; rules that compare rows still block.
     """
 
     name: str
@@ -73,6 +75,7 @@ class PipelineSpec:
     order_by: list[str] = field(default_factory=list)
     count_source: bool | None = None
     keep_raw: bool = False
+    quarantine: bool = False
 
     @property
     def dataset(self) -> str:
@@ -90,6 +93,7 @@ class RunResult:
     status: str
     rows_extracted: int | None = None
     rows_loaded: int = 0
+    rows_quarantined: int | None = None
     clean_stats: dict = field(default_factory=dict)
     load_result: dict = field(default_factory=dict)
     validation: ValidationOutcome | None = None
@@ -102,7 +106,7 @@ class RunResult:
         """Flat numbers for the ledger."""
         found = {
             "rows_extracted": self.rows_extracted, "rows_loaded": self.rows_loaded,
-            "duration_seconds": self.duration_seconds,
+            "rows_quarantined": self.rows_quarantined, "duration_seconds": self.duration_seconds,
             **{f"clean.{k}": v for k, v in self.clean_stats.items()}, **self.load_result,
         }
         return {k: float(v) for k, v in found.items() if v is not None}
@@ -121,6 +125,7 @@ class IngestRun:
         self.result = RunResult(run_id, RUNNING)
         self.bronze = layers.run_dir(self.root, "bronze", spec.dataset, run_id, now.date())
         self.silver = layers.run_dir(self.root, "silver", spec.dataset, run_id, now.date())
+        self.checked = layers.run_dir(self.root, "checked", spec.dataset, run_id, now.date())
         self.kind = None
         self.watermark = None
         self.hidden: tuple[str, ...] = ()
@@ -129,6 +134,7 @@ class IngestRun:
         if self.pinned is not None:
             self.now = self.pinned.started_at.replace(tzinfo=timezone.utc)
             self.bronze, self.silver = self.pinned.bronze, self.pinned.silver
+            self.checked = layers.run_dir(self.root, "checked", spec.dataset, run_id, self.now.date())
 
     def log(self, text: str) -> None:
         self.result.step_logs.append(text)
@@ -226,10 +232,32 @@ class IngestRun:
             batch, self.spec.validation, self.now, self.hidden, tuple(moment_aggregates(batch, visible))
         )
         self.result.validation = outcome
-        gate(outcome)
+        rules = self.spec.validation.get("rules", [])
+        gate(outcome, excused(batch, rules, self.now, self.hidden) if self.spec.quarantine else frozenset())
         self.log(f"validated: overall score {outcome.overall_score}")
         return outcome
 
+    def set_aside(self, batch: DataFrame, outcome: ValidationOutcome) -> DataFrame:
+        """The rows that go on; those that break a blocking rule stay in the checked layer.
+
+        Both are written by one job, as partitions of the run's folder. Without broken rows nothing is written.
+        """
+        if not self.spec.quarantine:
+            return batch
+        self.result.rows_quarantined = 0
+        if outcome.passed:
+            return batch
+        counted = Observation()
+        rules = self.spec.validation.get("rules", [])
+        marked = with_broken_rules(batch, rules, self.result.run_id, self.now, self.hidden)
+        marked.observe(counted, F.count(F.when(F.col(FLAG), 1)).alias("rows")).write.mode("overwrite").partitionBy(
+            FLAG
+        ).parquet(self.checked)
+        self.result.rows_quarantined = counted.get["rows"]
+        self.log(f"set aside {self.result.rows_quarantined} row(s)")
+        checked = self.spark.read.schema(marked.schema).parquet(self.checked)
+        return checked.filter(~F.col(FLAG)).drop(*ADDED)
+
     def reshape(self, batch: DataFrame) -> DataFrame:
         spec = self.spec
         order = self._order(batch)
@@ -266,7 +294,9 @@ class IngestRun:
     def discard_layers(self, older_days_only: bool = False) -> None:
         """Take this run's rows out of the layers: what an earlier attempt left under another day,
         or, after a failure, everything."""
-        for layer, folder in (("raw", None), ("bronze", self.bronze), ("silver", self.silver)):
+        for layer, folder in (
+            ("raw", None), ("bronze", self.bronze), ("checked", self.checked), ("silver", self.silver)
+        ):
             keep = folder if older_days_only else None
             layers.discard_run(self.spark, self.root, layer, self.spec.dataset, self.result.run_id, keep)
 
@@ -393,7 +423,7 @@ def run_ingest(
         run.discard_layers(older_days_only=True)
         batch = run.stage_delta()
         outcome = run.check(batch)
-        run.load(run.reshape(batch))
+        run.load(run.reshape(run.set_aside(batch, outcome)))
         run.record(batch, outcome)
         run.result.duration_seconds = time.monotonic() - began
         # The watermark moves only after everything else is in place.

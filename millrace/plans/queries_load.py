@@ -12,7 +12,9 @@ from millrace.operators.dimension import (
     DimensionSpec, current_rows, merge_counts, merge_type2, untouched_rows, upsert_counts,
     upsert_type1, version_chain,
 )
+from millrace.operators.quarantine import BROKEN, DIGEST, ORIGIN
 from millrace.operators.sequence import pieces_needed
+from millrace.plans import replay
 from millrace.plans.ingest import PipelineSpec, run_ingest
 from millrace.plans.inputs import DIRTY_CUSTOMER_SQL, dirty_customer, table
 from millrace.session import local_frame, scratch_path
@@ -378,6 +380,62 @@ def restart_metrics(spark, folder):
     return local_frame(spark, [row], "rows_loaded bigint, created bigint, updated bigint")
 
 
+SET_ASIDE = {
+    "transform": {**INGEST["transform"], "clean": {"trim": ["name"], "lowercase": ["segment"], "fill_null": {"nation": -1}}},
+    "validation": {"rules": [
+        {"type": "not_null", "columns": ["name"]},
+        {"type": "range", "column": "balance", "min": 0},
+        {"type": "business_rule", "name": "grown", "expression": "cast(age AS int) >= 18", "severity": "blocking"},
+        {"type": "unique", "columns": ["c_custkey"]},
+        {"type": "allowed_values", "column": "segment", "values": ["building"], "severity": "warning"},
+    ]},
+}
+BROKEN_SQL = """concat_ws(',', CASE WHEN email IS NULL OR email = '' THEN 'not_null' END, CASE WHEN balance < 0 THEN 'range' END,
+    CASE WHEN coalesce(TRY_CAST(age AS INTEGER) < 18, true) THEN 'grown' END)"""
+
+
+@query(
+    "quarantine_replay",
+    f"""WITH c AS (SELECT c_custkey, nullif(email, '') AS email, first_name, {BROKEN_SQL} AS broken FROM ({CLEAN_SQL})),
+    f AS (SELECT *, CASE WHEN c_custkey % 2 = 0 THEN 'fixed ' || c_custkey END AS fixed FROM c)
+    SELECT CAST(c_custkey AS VARCHAR) AS external_id, first_name,
+        CASE WHEN broken <> '' THEN coalesce(fixed, email) ELSE email END AS email,
+        CASE WHEN broken = '' THEN 'loaded' WHEN c_custkey % 3 = 0 THEN 'pending' WHEN c_custkey % 2 = 0 THEN 'replayed'
+            ELSE 'set aside again' END AS state,
+        CASE WHEN broken = '' OR (c_custkey % 3 <> 0 AND c_custkey % 2 = 0) THEN ''
+            WHEN c_custkey % 3 = 0 THEN broken ELSE concat_ws(',', CASE WHEN email IS NULL THEN 'not_null' END, 'range') END AS broken
+    FROM (SELECT f.* REPLACE (CASE WHEN c_custkey % 3 = 0 AND broken <> '' THEN NULL ELSE fixed END AS fixed) FROM f)""",
+)
+def quarantine_replay(spark, folder):
+    """Rows that break rules are set aside; corrections for two thirds of them are replayed, of which half
+    still break a rule."""
+    root = scratch_path(spark, "lake")
+    landed = f"{root}/landed"
+    dirty_customer(spark, folder).write.parquet(landed)
+    spec = PipelineSpec(
+        "customers-daily", {"type": "parquet", "path": landed}, "crm", target="customers", order_by=["customer_id"],
+        quarantine=True, **SET_ASIDE,
+    )
+    run_ingest(spark, root, spec, "run-1", NOW)
+    even = F.col("c_custkey") % 2 == 0
+    corrections = replay.pending(spark, root, "customers").filter("c_custkey % 3 <> 0").select(
+        DIGEST, F.when(even, F.concat(F.lit("fixed "), "c_custkey")).otherwise(F.col("name")).alias("name"),
+        F.when(even, F.lit(1.0)).otherwise(F.lit(-1.0)).alias("balance"), F.lit("44").alias("age"),
+    )
+    replay.replay(spark, root, spec, corrections, "run-2", datetime(2003, 1, 1))
+    gold = targets.open_dimension(spark, root, "customers").current().select(
+        "external_id", "first_name", "email",
+        F.when(F.col("valid_from") == F.lit(str(NOW)).cast("timestamp"), "loaded").otherwise("replayed").alias("state"),
+        F.lit("").alias("broken"),
+    )
+    left = replay.pending(spark, root, "customers").select(
+        F.col("c_custkey").cast("string").alias("external_id"), F.col("segment").alias("first_name"), F.col("name").alias("email"),
+        F.when(F.col(ORIGIN) == "run-1", "pending").otherwise("set aside again").alias("state"),
+        F.array_join(BROKEN, ",").alias("broken"),
+    )
+    return gold.unionByName(left)
+
+
 @query("poll_new_files", f"SELECT {EVENT_COLUMNS}, props FROM events")
 def poll_new_files(spark, folder):
     """Two polls of the same folder: the second finds nothing new, so every row arrives once."""

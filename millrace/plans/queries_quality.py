@@ -173,6 +173,37 @@ def rule_business(spark, folder):
     )
 
 
+# Numbers at the edge of their type, and divisors that are sometimes zero.
+EDGE = "CASE WHEN l_linenumber = 1 THEN 9223372036854775807 - l_orderkey % 3 ELSE l_orderkey END"
+
+
+@query(
+    "rule_business_uncomputable",
+    _checks_sql(
+        [
+            ("next_is_positive", "blocking", "count(*) FILTER (edge >= 9223372036854775807)", "count(*)"),
+            ("two_more", "blocking", "count(*) FILTER (edge >= 9223372036854775806)", "count(*)"),
+            ("narrow", "warning", "count(*) FILTER (edge > 127)", "count(*)"),
+            ("ratio", "warning", "count(*) FILTER (l_linenumber = 3 OR l_quantity / CAST(l_linenumber - 3 AS DOUBLE) <= 1)", "count(*)"),
+            ("flag_is_number", "warning", "count(*)", "count(*)"),
+        ],
+        f"SELECT *, {EDGE} AS edge FROM lineitem",
+    ),
+)
+def rule_business_uncomputable(spark, folder):
+    """Rows on which a rule overflows, divides by zero or does not cast break it."""
+    return rule_results(
+        table(spark, folder, "lineitem").withColumn("edge", F.expr(EDGE).cast("bigint")),
+        [
+            {"type": "business_rule", "name": "next_is_positive", "expression": "edge + 1 > 0"},
+            {"type": "business_rule", "name": "two_more", "expression": "edge + 1 + 1 <> 0"},
+            {"type": "business_rule", "name": "narrow", "severity": "warning", "expression": "cast(edge AS tinyint) >= 0"},
+            {"type": "business_rule", "name": "ratio", "severity": "warning", "expression": "l_quantity / (l_linenumber - 3) > 1"},
+            {"type": "business_rule", "name": "flag_is_number", "severity": "warning", "expression": "cast(l_returnflag AS int) IS NULL"},
+        ],
+    )
+
+
 BAD_KEY = "CASE WHEN o_orderpriority = '5-LOW' THEN -o_custkey - 1 WHEN o_orderstatus = 'P' THEN NULL ELSE o_custkey END"
 
 
