@@ -21,6 +21,10 @@ def layer_dir(root: str, layer: str, dataset: str) -> str:
     return f"{root}/layers/{layer.lower()}/{dataset}"
 
 
+def index_dir(root: str, layer: str, dataset: str) -> str:
+    return f"{root}/index/{layer.lower()}/{dataset}"
+
+
 def run_dir(root: str, layer: str, dataset: str, run_id: str, partition_date: date) -> str:
     return f"{layer_dir(root, layer, dataset)}/dt={partition_date.isoformat()}/run_id={run_id}"
 
@@ -33,6 +37,13 @@ def discard_run(
     for folder in files.matches(spark, f"{layer_dir(root, layer, dataset)}/dt=*/run_id={run_id}"):
         if folder.rsplit("/dt=", 1)[1] != kept:
             files.remove(spark, folder)
+            files.remove(spark, f"{index_dir(root, layer, dataset)}/dt={folder.rsplit('/dt=', 1)[1]}")
+
+
+def forget_index(spark: SparkSession, root: str, layer: str, dataset: str, run_id: str) -> None:
+    """Take a run out of the index of file ranges, before it writes."""
+    for folder in files.matches(spark, f"{index_dir(root, layer, dataset)}/dt=*/run_id={run_id}"):
+        files.remove(spark, folder)
 
 
 def write_layer(
@@ -40,6 +51,7 @@ def write_layer(
 ) -> str:
     """Write one run's batch; returns its folder. No shuffle: tasks write what they computed."""
     folder = run_dir(root, layer, dataset, run_id, partition_date)
+    forget_index(df.sparkSession, root, layer, dataset, run_id)
     df.write.mode("overwrite").parquet(folder)
     return folder
 
@@ -51,6 +63,7 @@ def write_layer_by_date(df: DataFrame, root: str, layer: str, dataset: str, run_
     than the others.
     """
     folder = layer_dir(root, layer, dataset)
+    forget_index(df.sparkSession, root, layer, dataset, run_id)
     placed = df.withColumns({"dt": dt.cast("date"), "run_id": F.lit(run_id)})
     placed.hint("rebalance", "dt").write.mode("overwrite").option(
         "partitionOverwriteMode", "dynamic"

@@ -18,7 +18,7 @@ from millrace.functions.times import parse_time
 from millrace.functions.types import is_floating, quoted
 
 
-def _watermark_time(spark, watermark: str) -> datetime | None:
+def watermark_time(spark, watermark: str) -> datetime | None:
     """The watermark as session-zone wall-clock time, or None if it is no time."""
     row = spark.range(1).select(
         F.lit(str(watermark)).try_cast("timestamp").cast("timestamp_ntz").alias("t")
@@ -33,7 +33,7 @@ def watermark_kind(df: DataFrame, column: str, watermark: str | None) -> str:
         return "time"
     if isinstance(dtype, T.NumericType):
         return "number"
-    if watermark is None or _watermark_time(df.sparkSession, watermark) is None:
+    if watermark is None or watermark_time(df.sparkSession, watermark) is None:
         return "text"
     # Stops at the first value that reads as a time; only an all-text column is read to its end.
     some_time = df.filter(parse_time(F.col(quoted(column)), dtype).isNotNull()).limit(1)
@@ -48,7 +48,7 @@ def newer_than(
     col = F.col(quoted(column))
     kind = kind or watermark_kind(df, column, watermark)
     if kind == "time":
-        bound = _watermark_time(df.sparkSession, watermark)
+        bound = watermark_time(df.sparkSession, watermark)
         if bound is None:
             raise ValueError(f"watermark {watermark!r} does not read as a time")
         bound -= timedelta(seconds=grace_seconds)
@@ -110,6 +110,6 @@ def advance_watermark(
     if kind == "number":
         return new if Decimal(new) > Decimal(old) else old
     if kind == "time":
-        was, now = _watermark_time(spark, old), _watermark_time(spark, new)
+        was, now = watermark_time(spark, old), watermark_time(spark, new)
         return new if was is None or (now is not None and now > was) else old
     return max(old, new)

@@ -29,7 +29,8 @@ from pyspark.sql.types import MapType, VariantType
 
 from millrace.errors import EtlError, ExtractError, TransformError, ValidationFailed, first_line
 from millrace.functions.types import measurable_columns, nan_to_null, quoted
-from millrace.lake import layers, targets
+from millrace.lake import files, layers, targets
+from millrace.lake.skipping import PLACES, IndexedLayer, default_columns, index_run, indexed_source
 from millrace.lake.state import State
 from millrace.operators.clean import clean_observed
 from millrace.operators.drift import columns_of, diff_schema
@@ -160,10 +161,16 @@ class IngestRun:
         wanted = spec.count_source is not False
         count_source = wanted and (source_type or "").lower() in UNFILTERED_SOURCES
         everything, delta, cleaned = Observation(), Observation(), Observation()
+        layer = indexed_source(self.spark, spec.source) if (source_type or "").lower() == "layer" else None
         # The predicate may probe the source, so it is made before anything is observed.
-        column, newer = self._newer_rows(raw)
+        column, newer = self._newer_rows(raw, layer)
         batch = raw.observe(everything, F.count(F.lit(1)).alias("rows")) if count_source else raw
-        batch = batch if newer is None else batch.filter(newer)
+        if newer is not None and layer is not None:
+            # Of a layer only the files are opened that can have new rows.
+            grace = (spec.incremental or {}).get("grace_seconds", 0)
+            batch = layer.newer(column, self.watermark, grace, self.kind).drop(*PLACES)
+        elif newer is not None:
+            batch = batch.filter(newer)
         newest = (
             watermark_max(batch, column) if column else F.max(F.lit(None).cast("string"))
         ).alias("newest")
@@ -178,13 +185,15 @@ class IngestRun:
         clean_spec = spec.transform.get("clean")
         if clean_spec:
             batch = clean_observed(batch, clean_spec, cleaned, hidden=self.hidden)
+        layers.forget_index(self.spark, self.root, "bronze", spec.dataset, result.run_id)
         try:
             batch.write.mode("overwrite").parquet(self.bronze)
         except PySparkException as exc:
             raise ExtractError(f"reading the source failed: {first_line(exc)}") from exc
         found = delta.get
         if wanted:
-            result.rows_extracted = everything.get["rows"] if count_source else raw.count()
+            counted = layer.count if layer is not None else raw.count
+            result.rows_extracted = everything.get["rows"] if count_source else counted()
         self.log(f"extracted {result.rows_extracted} row(s) from {source_type}")
         if column:
             dtype = raw.schema[column].dataType
@@ -208,7 +217,7 @@ class IngestRun:
         }])
         return self.spark.read.parquet(self.bronze)
 
-    def _newer_rows(self, raw: DataFrame) -> tuple[str | None, Column | None]:
+    def _newer_rows(self, raw: DataFrame, layer: IndexedLayer | None) -> tuple[str | None, Column | None]:
         """The watermark column, if the batch has one, and the predicate for new rows."""
         config = self.spec.incremental or {}
         column = config.get("column")
@@ -221,7 +230,10 @@ class IngestRun:
             self.kind = self.kind or watermark_kind(raw, column, None)
             return column, None
         self.watermark = str(self.watermark)
-        self.kind = watermark_kind(raw, column, self.watermark)
+        if layer is not None:
+            self.kind = layer.kind(column, self.watermark, raw.schema[column].dataType)
+        else:
+            self.kind = watermark_kind(raw, column, self.watermark)
         grace = config.get("grace_seconds", 0)
         return column, newer_than(raw, column, self.watermark, grace, self.kind)
 
@@ -263,6 +275,7 @@ class IngestRun:
         order = self._order(batch)
         reshaped = transform(batch, spec.transform, order or None, self.hidden)
         loaded = Observation()
+        layers.forget_index(self.spark, self.root, "silver", spec.dataset, self.result.run_id)
         try:
             reshaped.observe(loaded, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(
                 self.silver
@@ -332,6 +345,9 @@ class IngestRun:
             statistics = pool.submit(self.statistics_rows, dataset, run_id, at, outcome.extras)
             lineage = pool.submit(self.lineage_rows, dataset, at)
             known = pool.submit(self.state.has_dataset, dataset)
+            indexes = [pool.submit(self.index_layer, layer) for layer in ("bronze", "silver")]
+            for done in indexes:
+                done.result()
         self.state.append_all([
             self.scorecard_rows(),
             ("column_sightings", [
@@ -343,6 +359,22 @@ class IngestRun:
             ("datasets", [] if known.result() else [{"name": dataset, "created_at": at}]),
         ])
 
+    def index_layer(self, layer: str) -> None:
+        """Let incremental readers of this run's layers skip files; what a pipeline that reads whole tables
+        writes is hardly read by time, so that has no index."""
+        if not self.spec.incremental:
+            return
+        folder = self.bronze if layer == "bronze" else self.silver
+        if not files.names(self.spark, folder):
+            return
+        column = self.spec.incremental.get("column")
+        column = self.spec.renames.get(column, column) if layer == "silver" else column
+        schema = self.spark.read.parquet(folder).schema
+        columns = default_columns(schema)
+        if column in schema.names and column not in columns:
+            columns.append(column)
+        index_run(self.spark, self.root, layer, self.spec.dataset, self.result.run_id, columns)
+
     def schema_rows(self, dataset: str, run_id: str, at: datetime, columns: list[dict]) -> list[dict]:
         row = {"dataset": dataset, "run_id": run_id, "columns": columns, "created_at": at}
         last = self.state.schema_version(dataset)

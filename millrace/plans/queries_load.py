@@ -8,6 +8,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from millrace.lake import layers, targets
+from millrace.lake.skipping import IndexedLayer, index_run
 from millrace.operators.dimension import (
     DimensionSpec, current_rows, merge_counts, merge_type2, untouched_rows, upsert_counts,
     upsert_type1, version_chain,
@@ -380,6 +381,23 @@ def restart_metrics(spark, folder):
     return local_frame(spark, [row], "rows_loaded bigint, created bigint, updated bigint")
 
 
+SINCE = "2024-01-20 06:30:00"
+
+
+@query(
+    "incremental_layer_skips_files",
+    f"""SELECT {EVENT_COLUMNS}, CAST(ts AS DATE) AS dt, 'r1' AS run_id FROM events
+        WHERE ts > TIMESTAMP '{SINCE}' - INTERVAL 1 HOUR""",
+)
+def incremental_layer(spark, folder):
+    """Rows past a watermark, less an hour of grace, from a layer whose index names the files that have any."""
+    root = scratch_path(spark, "lake")
+    events = table(spark, folder, "events").drop("props")
+    layers.write_layer_by_date(events, root, "bronze", "events", "r1", F.col("ts"))
+    index_run(spark, root, "bronze", "events", "r1")
+    return IndexedLayer(spark, root, "bronze", "events").newer("ts", SINCE, 3600)
+
+
 SET_ASIDE = {
     "transform": {**INGEST["transform"], "clean": {"trim": ["name"], "lowercase": ["segment"], "fill_null": {"nation": -1}}},
     "validation": {"rules": [
