@@ -15,6 +15,7 @@ from millrace.functions.types import quoted
 from millrace.lake import files
 from millrace.operators import ledger, lineage
 from millrace.operators.ledger import run_current_state
+from millrace.operators.relations import Model
 from millrace.operators.transform import last_per_key
 from millrace.session import local_frame
 
@@ -157,6 +158,24 @@ class State:
 
     # What the runs wrote, ready to be served.
 
+    def model(self) -> Model:
+        """The state tables with what refers to what, for filters such as ``dataset__name`` and
+        ``run__pipeline``; runs are in their present state."""
+        tables: dict = {name: (lambda name=name: self.read(name)) for name in SCHEMAS}
+        model = Model({**tables, "runs": self.runs})
+        for table in ("schema_versions", "column_sightings", "column_stats", "anomalies", "runs"):
+            model.refers(table, "dataset", "dataset", "datasets", "name", reverse=table)
+        for table, reverse in (
+            ("scorecards", "scorecard"), ("dead_letters", "dead_letter"), ("anomalies", "anomalies"),
+            ("schema_versions", "schema_versions"), ("run_events", "events"),
+        ):
+            model.refers(table, "run", "run_id", "runs", "run_id", reverse=reverse)
+        return model
+
+    def served(self, table: str, **conditions) -> DataFrame:
+        """The rows of a state table that fit conditions on its columns and along its relations."""
+        return self.model().filtered(table, **conditions)
+
     def runs(self) -> DataFrame:
         """The present state of every run."""
         return run_current_state(self.read("run_events"))

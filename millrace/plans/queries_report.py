@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from millrace.operators import ledger
 from millrace.operators.drift import column_catalog, latest_version, schema_drift, schema_profile
 from millrace.operators.lineage import edges_of_dataset, layer_rank, lineage_edges, lineage_nodes
+from millrace.operators.relations import Model
 from millrace.operators.serve import matching, page, page_after, visible_to
 from millrace.plans.inputs import RUN_EVENTS_SQL, RUNS_SQL, run_events, table
 
@@ -338,6 +339,76 @@ def filter_page(spark, folder):
     )
 
 
+def shop(spark, folder) -> Model:
+    """The given tables as a model: whose order, whose customer, which part."""
+    names = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem")
+    model = Model({name: (lambda name=name: table(spark, folder, name)) for name in names})
+    return (
+        model.refers("nation", "region", "n_regionkey", "region", "r_regionkey", reverse="nations")
+        .refers("customer", "nation", "c_nationkey", "nation", "n_nationkey")
+        .refers("supplier", "nation", "s_nationkey", "nation", "n_nationkey")
+        .refers("orders", "customer", "o_custkey", "customer", "c_custkey", reverse="orders")
+        .refers("lineitem", "order", "l_orderkey", "orders", "o_orderkey", reverse="lines")
+        .refers("lineitem", "part", "l_partkey", "part", "p_partkey")
+        .refers("lineitem", "supplier", "l_suppkey", "supplier", "s_suppkey")
+    )
+
+
+@query(
+    "filter_by_customer",
+    "SELECT o_orderkey, o_custkey, o_totalprice FROM orders WHERE o_orderstatus = 'F' AND o_custkey IN"
+    " (SELECT c_custkey FROM customer WHERE c_mktsegment = 'BUILDING')",
+)
+def filter_by_customer(spark, folder):
+    """One step: orders by their customer's segment."""
+    found = shop(spark, folder).filtered("orders", o_orderstatus="F", customer__c_mktsegment="BUILDING")
+    return found.select("o_orderkey", "o_custkey", "o_totalprice")
+
+
+@query(
+    "filter_along_relations",
+    """SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem
+    WHERE l_quantity >= 10 AND l_orderkey IN (SELECT o_orderkey FROM orders WHERE o_orderstatus IN ('F', 'P') AND o_custkey IN
+            (SELECT c_custkey FROM customer WHERE c_mktsegment = 'BUILDING' AND c_nationkey IN (SELECT n_nationkey FROM nation
+                WHERE n_regionkey IN (SELECT r_regionkey FROM region WHERE r_name = 'ASIA'))))
+        AND l_suppkey IN (SELECT s_suppkey FROM supplier WHERE s_nationkey IN (SELECT n_nationkey FROM nation WHERE n_nationkey < 15))""",
+)
+def filter_along_relations(spark, folder):
+    """Up to four steps; conditions on one path hold for the same order and customer."""
+    return shop(spark, folder).filtered(
+        "lineitem", l_quantity__gte=10, order__o_orderstatus__in=["F", "P"], order__customer__c_mktsegment="BUILDING",
+        order__customer__nation__region__r_name="ASIA", supplier__nation__n_nationkey__lt=15,
+    ).select("l_orderkey", "l_linenumber", "l_quantity")
+
+
+@query(
+    "filter_by_referring_rows",
+    """SELECT c_custkey, c_name FROM customer WHERE EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_orderstatus = 'P'
+        AND EXISTS (SELECT 1 FROM lineitem WHERE l_orderkey = o_orderkey AND l_quantity > 45))""",
+)
+def filter_by_referring_rows(spark, folder):
+    """Backwards: customers with an order of some status that has a large line; each once."""
+    found = shop(spark, folder).filtered("customer", orders__o_orderstatus="P", orders__lines__l_quantity__gt=45)
+    return found.select("c_custkey", "c_name")
+
+
+@query(
+    "related_columns",
+    """SELECT o_orderkey, c_mktsegment AS segment, n_name AS nation, r_name AS region FROM orders
+    LEFT JOIN customer ON c_custkey = o_custkey AND o_custkey % 5 <> 0 LEFT JOIN nation ON n_nationkey = c_nationkey
+    LEFT JOIN region ON r_regionkey = n_regionkey""",
+)
+def related_columns(spark, folder):
+    """Orders with what their customers refer to; every fifth customer is unknown."""
+    model = shop(spark, folder)
+    model.tables["customer"] = lambda: table(spark, folder, "customer").filter("c_custkey % 5 <> 0")
+    found = model.with_related(
+        model.table("orders"), "orders", segment="customer__c_mktsegment", nation="customer__nation__n_name",
+        region="customer__nation__region__r_name",
+    )
+    return found.select("o_orderkey", "segment", "nation", "region")
+
+
 @query(
     "served_page_after",
     "SELECT o_orderdate, o_orderkey, o_totalprice FROM orders"
