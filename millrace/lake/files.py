@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+
+from millrace.session import scratch_path
 
 
 def _path(spark: SparkSession, location: str):
@@ -103,3 +105,14 @@ def rename(spark: SparkSession, location: str, wanted: str) -> None:
     path, fs = _path(spark, location)
     if not fs.rename(path, spark._jvm.org.apache.hadoop.fs.Path(wanted)):
         raise OSError(f"cannot rename {location} to {wanted}")
+
+
+def staged(df: DataFrame, purpose: str) -> DataFrame:
+    """Write rows that are needed several times under the shared folder and read them back; the files go
+    when the session ends."""
+    spark = df.sparkSession
+    location = scratch_path(spark, purpose)
+    df.write.parquet(location)
+    path, fs = _path(spark, location)
+    fs.deleteOnExit(path)
+    return spark.read.schema(df.schema).parquet(location)

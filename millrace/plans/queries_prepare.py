@@ -12,6 +12,7 @@ from millrace.plans.inputs import DIRTY_CUSTOMER_SQL, dirty_customer, table
 from millrace.session import scratch_path
 from millrace.sources import POSITION, extract
 from millrace.sources.csv import read_csv
+from millrace.sources.pages import landed_pages, page_columns, page_drift
 
 QUERIES = {}
 
@@ -66,6 +67,59 @@ def paged_json_union(spark, folder):
     ).drop(POSITION)
 
 
+def _differing_pages(spark, folder) -> dict:
+    """Landed pages whose records differ: even pages lack the balance, each third one has nations as text, and
+    from the fifth page on there is a segment."""
+    path = scratch_path(spark, "pages")
+    page = F.floor(F.col("c_custkey") / PAGE_ROWS) + 1
+    customers = table(spark, folder, "customer").withColumn("page", page)
+    record = F.to_json(F.struct(
+        "c_custkey", F.when(F.col("page") % 2 != 0, F.col("c_acctbal")).alias("c_acctbal"),
+        F.when(F.col("page") % 3 != 0, F.col("c_nationkey")).alias("c_nationkey"),
+        F.when(F.col("page") % 3 == 0, F.concat(F.lit("n"), "c_nationkey")).alias("nation_text"),
+        F.when(F.col("page") >= 5, F.col("c_mktsegment")).alias("segment"),
+    ))
+    record = F.replace(record, F.lit('"nation_text"'), F.lit('"c_nationkey"'))
+    pages = customers.groupBy("page").agg(
+        F.concat(F.lit('{"data": ['), F.array_join(F.collect_list(record), ","), F.lit("]}")).alias("value")
+    )
+    pages.write.partitionBy("page").text(path)
+    return {"path": f"{path}/*/*.txt", "page_pattern": r"page=(\d+)/", "results_path": "data"}
+
+
+PAGED_SQL = f"(SELECT *, c_custkey // {PAGE_ROWS} + 1 AS page FROM customer)"
+
+
+@query(
+    "pages_that_differ",
+    f"""SELECT c_custkey, CASE WHEN page % 2 <> 0 THEN c_acctbal END AS c_acctbal,
+        CASE WHEN page % 3 = 0 THEN 'n' ELSE '' END || CAST(c_nationkey AS VARCHAR) AS c_nationkey,
+        CASE WHEN page >= 5 THEN c_mktsegment END AS segment FROM {PAGED_SQL}""",
+)
+def pages_that_differ(spark, folder):
+    """Columns and types come from the pages: what some lack is NULL, what differs in type is text."""
+    config = _differing_pages(spark, folder)
+    return extract(spark, "rest_api", config).drop(POSITION).select("c_custkey", "c_acctbal", "c_nationkey", "segment")
+
+
+@query(
+    "page_drift",
+    f"""WITH p AS (SELECT DISTINCT page FROM {PAGED_SQL}),
+    c AS (SELECT page, 'c_custkey' AS name, 'BIGINT' AS dtype FROM p
+        UNION ALL SELECT page, 'c_acctbal', 'number' FROM p WHERE page % 2 <> 0
+        UNION ALL SELECT page, 'c_nationkey', CASE WHEN page % 3 = 0 THEN 'STRING' ELSE 'BIGINT' END FROM p
+        UNION ALL SELECT page, 'segment', 'STRING' FROM p WHERE page >= 5)
+    SELECT coalesce(a.page, b.page + 1) AS page, coalesce(a.name, b.name) AS name,
+        CASE WHEN b.name IS NULL THEN 'added' WHEN a.name IS NULL THEN 'removed' ELSE 'type' END AS change
+    FROM c a FULL JOIN c b ON a.page = b.page + 1 AND a.name = b.name
+    WHERE a.dtype IS DISTINCT FROM b.dtype AND coalesce(a.page, b.page + 1) BETWEEN 2 AND (SELECT max(page) FROM p)""",
+)
+def drift_of_pages(spark, folder):
+    """What each page's records have otherwise than those of the page before."""
+    columns = page_columns(landed_pages(spark, _differing_pages(spark, folder)))
+    return page_drift(columns).select("page", "name", "change")
+
+
 @query(
     "clean_trim_lower",
     f"SELECT c_custkey, nullif(trim(name), '') AS name, lower(segment) AS segment FROM ({DIRTY_CUSTOMER_SQL})",

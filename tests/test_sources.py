@@ -17,6 +17,7 @@ from millrace.sources import POSITION, extract, register_source, source_types
 from millrace.sources.csv import read_csv, resolve_path
 from millrace.sources.jdbc import bind, connection_options, reader_options
 from millrace.sources.objects import object_options, object_uri
+from millrace.sources.pages import landed_pages, page_columns, page_drift
 from millrace.streaming.baseline import stream_baseline
 from millrace.streaming.poll import poll_files
 from millrace.streaming.rates import stream_rate
@@ -177,6 +178,45 @@ def test_pages_must_hold_lists(spark, tmp_path):
         extract(spark, "rest_api", {})
 
 
+def test_pages_that_differ(spark, tmp_path):
+    path = pages(
+        tmp_path, '{"data": [{"id": 1, "b": 1.5, "t": {"k": [1]}}, {"id": "x", "c": null, "a b": true}]}',
+        '{"data": [{"id": 7, "d": "2024-01-01", "t": 5}, 3, {}]}', '{"data": [{"id": 12345678901234567890}]}', '{"data": []}', "broken",
+    )
+    config = {"path": path, "results_path": "data"}
+    df = extract(spark, "rest_api", config)
+    assert dict(df.drop(POSITION).dtypes) == {"a b": "boolean", "b": "double", "c": "string", "d": "string", "id": "string", "t": "string"}
+    found = [tuple(r)[:-1] for r in df.orderBy(POSITION).collect()]
+    none = (None,) * 6
+    assert found == [
+        (None, 1.5, None, None, "1", '{"k":[1]}'), (True, None, None, None, "x", None), (None, None, None, "2024-01-01", "7", "5"),
+        none, none, (None, None, None, None, "12345678901234567890", None),
+    ]
+    typed = extract(spark, "rest_api", {**config, "schema": "id bigint, d date, t struct<k: array<int>>"}).orderBy(POSITION).collect()
+    assert [(r.id, str(r.d), r.t and r.t.k) for r in typed[:3]] == [(1, "None", [1]), (None, "None", None), (7, "2024-01-01", None)]
+    drift = page_drift(page_columns(landed_pages(spark, config)))
+    assert sorted((r.page, r.name, r.change) for r in drift.collect()) == [
+        (2, "a b", "removed"), (2, "b", "removed"), (2, "c", "removed"), (2, "d", "added"), (2, "id", "type"), (2, "t", "type"),
+        (3, "d", "removed"), (3, "id", "type"), (3, "t", "removed"),
+    ]
+
+
+def test_names_that_look_like_types(spark, tmp_path):
+    path = pages(tmp_path, '[{"VOID": 1, "DECIMAL(1,0)": {"VARIANT": 2.5, "e": {}, "n": null}, "l": [null, {"VOID": null}]}]')
+    df = extract(spark, "rest_api", {"path": path}).drop(POSITION)
+    assert df.dtypes == [("DECIMAL(1,0)", "struct<VARIANT:double,e:string,n:string>"), ("VOID", "bigint"), ("l", "array<struct<VOID:string>>")]
+    assert df.first()["DECIMAL(1,0)"].VARIANT == 2.5
+
+
+def test_page_files_are_read_once(spark, tmp_path, monkeypatch):
+    path = pages(tmp_path, '[{"id": 1}]', '[{"id": 2}]')
+    df = extract(spark, "rest_api", {"path": path})
+    for file in tmp_path.glob("page-*.json"):
+        file.unlink()
+    assert sorted(r.id for r in df.collect()) == [1, 2]
+    assert "Scan text" not in df._jdf.queryExecution().toString() and "Scan json" not in df._jdf.queryExecution().toString()
+
+
 # SQL and object stores: the options only, as neither a database nor a store is at hand
 
 def test_jdbc_options():
