@@ -43,18 +43,19 @@ def along_key(
     df: DataFrame, keys: list[str], order_by: list[str], *, pieces: int,
     previous: dict[str, Column] | None = None, following: dict[str, Column] | None = None,
     first: dict[str, Column] | None = None, sums_before: dict[str, Column] | None = None,
+    latest: dict[str, Column] | None = None,
 ) -> DataFrame:
     """Add columns that look along the ordered rows of a key.
 
     ``previous``/``following`` take a struct from the neighbouring row (NULL where there is none),
     ``first`` a struct from the key's first row, ``sums_before`` a sum over all earlier rows (NULL
-    on the first). ``order_by`` must be unique within a key. ``pieces`` comes from
-    :func:`pieces_needed`.
+    on the first), ``latest`` a struct from the last earlier row where it is not NULL. ``order_by`` must
+    be unique within a key. ``pieces`` comes from :func:`pieces_needed`.
     """
     previous, following = previous or {}, following or {}
-    first, sums_before = first or {}, sums_before or {}
+    first, sums_before, latest = first or {}, sums_before or {}, latest or {}
     if not pieces:
-        return df.withColumns(_windows(keys, order_by, previous, following, first, sums_before))
+        return df.withColumns(_windows(keys, order_by, previous, following, first, sums_before, latest))
 
     # The range bounds come from sampling, so the assignment is written to reliable storage once:
     # summaries and rows must see the same pieces, also after an executor is lost.
@@ -70,6 +71,7 @@ def along_key(
         *[F.max_by(c, position).alias(f"last:{n}") for n, c in previous.items()],
         *[F.min_by(c, position).alias(f"head:{n}") for n, c in (following | first).items()],
         *[F.sum(c).alias(f"part:{n}") for n, c in sums_before.items()],
+        *[F.max_by(c, F.when(c.isNotNull(), position)).alias(f"late:{n}") for n, c in latest.items()],
     )
     across = Window.partitionBy(*_columns(keys)).orderBy("__piece")
     earlier = across.rowsBetween(Window.unboundedPreceding, -1)
@@ -78,6 +80,7 @@ def along_key(
         **{n: F.lead(quoted(f"head:{n}")).over(across) for n in following},
         **{n: F.first(quoted(f"head:{n}")).over(across) for n in first},
         **{n: F.sum(quoted(f"part:{n}")).over(earlier) for n in sums_before},
+        **{n: F.last(quoted(f"late:{n}"), ignorenulls=True).over(earlier) for n in latest},
     }
     # Only keys that span pieces need anything carried: at most two rows per piece are left.
     borders = (
@@ -92,10 +95,10 @@ def along_key(
     match = F.col("__piece") == F.col("__at")
     for i, k in enumerate(keys):
         match = match & F.col(quoted(k)).eqNullSafe(F.col(f"__key_{i}"))
-    within = _windows(["__piece", *keys], order_by, previous, following, first, sums_before)
+    within = _windows(["__piece", *keys], order_by, previous, following, first, sums_before, latest)
     joined = rows.withColumns(within).join(borders, match, "left")
     merged = {}
-    for n in [*previous, *following]:
+    for n in [*previous, *following, *latest]:
         merged[n] = F.coalesce(F.col(quoted(n)), F.col(quoted(f"carried:{n}")))
     for n in first:
         merged[n] = F.coalesce(F.col(quoted(f"carried:{n}")), F.col(quoted(n)))
@@ -105,7 +108,7 @@ def along_key(
     return joined.withColumns(merged).select(*_columns(df.columns), *_columns(list(merged)))
 
 
-def _windows(keys, order_by, previous, following, first, sums_before) -> dict[str, Column]:
+def _windows(keys, order_by, previous, following, first, sums_before, latest) -> dict[str, Column]:
     window = Window.partitionBy(*_columns(keys)).orderBy(*_columns(order_by))
     earlier = window.rowsBetween(Window.unboundedPreceding, -1)
     return {
@@ -113,4 +116,5 @@ def _windows(keys, order_by, previous, following, first, sums_before) -> dict[st
         **{n: F.lead(c).over(window) for n, c in following.items()},
         **{n: F.first(c).over(window) for n, c in first.items()},
         **{n: F.sum(c).over(earlier) for n, c in sums_before.items()},
+        **{n: F.last(c, ignorenulls=True).over(earlier) for n, c in latest.items()},
     }

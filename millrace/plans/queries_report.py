@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from millrace.operators import ledger
+from millrace.operators.asof import asof_join
 from millrace.operators.drift import column_catalog, latest_version, schema_drift, schema_profile
 from millrace.operators.lineage import edges_of_dataset, layer_rank, lineage_edges, lineage_nodes
 from millrace.operators.relations import Model
@@ -339,6 +340,40 @@ def filter_page(spark, folder):
     )
 
 
+# A third of all events belongs to one user.
+ONE_USER = "CASE WHEN event_id % 3 = 0 THEN -1 ELSE user_id END"
+
+
+def _asof_sql(comparison: str, within: str) -> str:
+    return f"""WITH e AS (SELECT event_id, {ONE_USER} AS person, ts, event_type, value FROM events),
+    p AS (SELECT person, ts, max(event_id) AS event_id FROM e WHERE event_type = 'purchase' GROUP BY 1, 2),
+    l AS (SELECT * FROM e WHERE event_type <> 'purchase'),
+    found AS (SELECT l.event_id, max(p.ts) AS bought_at FROM l JOIN p
+        ON p.person = l.person AND p.ts {comparison} l.ts AND p.ts >= l.ts - {within} GROUP BY 1)
+    SELECT l.event_id, l.person, l.ts, f.bought_at, p.event_id AS bought FROM l LEFT JOIN found f USING (event_id)
+    LEFT JOIN p ON p.person = l.person AND p.ts = f.bought_at"""
+
+
+def _with_purchase(spark, folder, **options):
+    events = table(spark, folder, "events").withColumn("person", F.expr(ONE_USER))
+    bought = events.filter("event_type = 'purchase'").select("person", F.col("ts").alias("bought_at"), F.col("event_id").alias("bought"))
+    others = events.filter("event_type <> 'purchase'").select("event_id", "person", "ts")
+    return asof_join(others, bought, ["person"], "ts", "bought_at", **options)
+
+
+@query("asof_join", _asof_sql("<", "INTERVAL 1000 DAY"))
+def asof_purchase(spark, folder):
+    """Every event with its user's latest earlier purchase."""
+    return _with_purchase(spark, folder)
+
+
+@query("asof_join_hot_key", _asof_sql("<=", "INTERVAL 6 HOUR"))
+def asof_purchase_of_a_hot_user(spark, folder):
+    """The same with purchases of the same moment, up to six hours old, in range pieces: a third of all rows
+    are one user's."""
+    return _with_purchase(spark, folder, exact=True, most_seconds=6 * 3600, hot_key_rows=1000)
+
+
 def shop(spark, folder) -> Model:
     """The given tables as a model: whose order, whose customer, which part."""
     names = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem")
