@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions.types import quoted
 from millrace.lake import files
-from millrace.operators import ledger, lineage
+from millrace.operators import ledger, lineage, sketches
 from millrace.operators.ledger import run_current_state
 from millrace.operators.relations import Model
 from millrace.operators.transform import last_per_key
@@ -53,6 +53,9 @@ SCHEMAS = {
         "dataset string, column string, count bigint, mean double, m2 double, run_id string,"
         " recorded_at timestamp"
     ),
+    "column_sketches": (
+        "dataset string, run_id string, recorded_at timestamp, column string, n bigint, quantiles binary, distinct binary"
+    ),
     "anomalies": (
         "dataset string, run_id string, column string, value double, baseline_mean double,"
         " baseline_stddev double, z_score double, created_at timestamp"
@@ -70,6 +73,7 @@ FOLDERS = {
     "schema_versions": "dataset",
     "column_sightings": "dataset",
     "column_stats": "dataset",
+    "column_sketches": "dataset",
     "batches": "run_id",
     "run_events": "pipeline",
     "scorecards": "pipeline",
@@ -194,6 +198,26 @@ class State:
         """Every scorecard with what its overall score differs by from the pipeline's one before."""
         return ledger.score_trend(self.read("scorecards"), "pipeline", ["created_at", "run_id"])
 
+    def sketches(self, dataset: str, since=None, until=None) -> DataFrame:
+        """The column sketches of a dataset's runs, recorded from ``since`` to before ``until``; a run that was
+        recorded twice counts once."""
+        rows = self.read("column_sketches").filter(F.col("dataset") == dataset)
+        if since is not None:
+            rows = rows.filter(F.col("recorded_at") >= F.lit(since))
+        if until is not None:
+            rows = rows.filter(F.col("recorded_at") < F.lit(until))
+        return last_per_key(rows, ["run_id", "column"], ["recorded_at"])
+
+    def column_quantiles(self, dataset: str, ranks: list[float], since=None, until=None) -> DataFrame:
+        """(column, n, p..) over all rows of the runs in the range."""
+        return sketches.quantiles(self.sketches(dataset, since, until), ["column"], ranks)
+
+    def values_new_in(self, dataset: str, run_id: str) -> DataFrame:
+        """(column, distinct_values, new_values) of a run: how many values no other run had."""
+        rows = self.sketches(dataset)
+        mine = F.col("run_id") == run_id
+        return sketches.new_values(rows.filter(~mine), rows.filter(mine), ["column"])
+
     def drift_history(self, dataset: str) -> DataFrame:
         """Schema versions of a dataset, oldest first."""
         return self.read("schema_versions").filter(F.col("dataset") == dataset).orderBy("version")

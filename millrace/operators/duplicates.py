@@ -49,7 +49,7 @@ def repeated_values(df: DataFrame, column: str) -> DataFrame:
     return _surplus(packed.groupBy(*[F.col(quoted(k)) for k in packed.columns]).count())
 
 
-def _cell_text(name: str, dtype: T.DataType) -> Column:
+def cell_text(name: str, dtype: T.DataType) -> Column:
     """A cell as text that is equal exactly where the values are equal."""
     col = F.col(quoted(name))
     if is_floating(dtype):
@@ -65,7 +65,7 @@ def row_digest(fields: list[T.StructField]) -> Column:
     """SHA-256 of all cells, each led by its length, so no two different rows read the same."""
     cells = []
     for f in fields:
-        text = _cell_text(f.name, f.dataType)
+        text = cell_text(f.name, f.dataType)
         cells.append(F.coalesce(F.concat(F.length(text).cast("string"), F.lit(":"), text), F.lit("-")))
     return F.unhex(F.sha2(F.concat(*cells), 256))
 

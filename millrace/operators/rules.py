@@ -9,7 +9,7 @@ Rule dictionaries::
 
     {"type": "required_columns", "columns": [...]}
     {"type": "not_null", "columns": [...]}
-    {"type": "unique", "columns": [...]}
+    {"type": "unique", "columns": [...], "approx": False}
     {"type": "no_duplicate_rows"}
     {"type": "column_type", "column": c, "expected_type": "int" | "float", "strict": False}
     {"type": "range", "column": c, "min": a, "max": b}
@@ -18,7 +18,8 @@ Rule dictionaries::
     {"type": "business_rule", "name": label, "expression": "<Spark SQL predicate>"}
     {"type": "foreign_key", "column": c, "parent": DataFrame, "parent_column": p}
 
-``severity`` is ``blocking`` unless given (``warning`` for freshness).
+``severity`` is ``blocking`` unless given (``warning`` for freshness). With ``approx`` the different values of a
+column are counted by a sketch in the same scan, and not by a shuffle of the values.
 """
 
 from __future__ import annotations
@@ -41,6 +42,7 @@ from millrace.functions.numbers import INTEGER_PATTERN, parse_number, score
 from millrace.functions.times import parse_time, whole_days
 from millrace.functions.types import is_floating, is_text, quoted
 from millrace.operators.duplicates import repeated_rows, repeated_values
+from millrace.operators.sketches import value_hash
 
 BLOCKING = "blocking"
 WARNING = "warning"
@@ -147,8 +149,29 @@ def _not_null(batch: Batch, rule: dict, slot: str) -> Check:
     )
 
 
+# Entries of the sketch behind an approximate ``unique``: exact up to as many different values, and beyond it
+# a column counts as unique if it is within three standard errors of being so.
+APPROX_LG = 16
+
+
+def _repeats_estimate(batch: Batch, name: str) -> Column:
+    """How many values repeat an earlier one, from the rows' aggregate alone (NULLs are equal)."""
+    known = value_hash(name, batch.dtype(name))
+    n = F.count(known)
+    different = F.theta_sketch_estimate(F.theta_sketch_agg(known, F.lit(APPROX_LG)))
+    error = F.when(different > 2**APPROX_LG, 3.0 * 2 ** (-APPROX_LG / 2) * n).otherwise(F.lit(0.0))
+    repeats = F.when(n - different > error, n - different).otherwise(F.lit(0))
+    return (repeats + F.greatest(F.count(F.lit(1)) - n - 1, F.lit(0))).cast("bigint")
+
+
 def _unique(batch: Batch, rule: dict, slot: str) -> Check:
     columns = [c for c in rule.get("columns", []) if c in batch.columns]
+    if rule.get("approx"):
+        return Check(
+            "unique", "unique", rule.get("severity", BLOCKING), F.col(slot), _at_least_one(F.col(ROWS) * len(columns)),
+            f"about {{n}} repeated value(s) across {columns}", f"{columns} hold no repeated value, as far as a sketch tells",
+            aggregates={slot: _sum([_repeats_estimate(batch, c) for c in columns])}, structural=True,
+        )
     return Check(
         "unique", "unique", rule.get("severity", BLOCKING),
         _sum([F.col(quoted(f"repeats:{c}")) for c in columns]),

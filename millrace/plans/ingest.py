@@ -41,6 +41,7 @@ from millrace.operators.ledger import FAILED, RETRYING, RUNNING, SUCCEEDED
 from millrace.operators.lineage import pipeline_edges
 from millrace.operators.quarantine import ADDED, FLAG, excused, with_broken_rules
 from millrace.operators.scorecard import ValidationOutcome, assess, gate
+from millrace.operators.sketches import sketch_aggregates
 from millrace.operators.statistics import STATS_SCHEMA, judge_and_merge, moment_aggregates
 from millrace.operators.transform import transform
 from millrace.session import configure, local_frame
@@ -63,7 +64,8 @@ class PipelineSpec:
     Without a ``target`` rows go to the default one. ``keep_raw`` also writes the new rows as they
     were before cleaning. ``rows_extracted`` counts the source's rows before the watermark's filter;
     ``count_source=False`` saves that count. With ``quarantine`` the rows that break a blocking rule are set
-    aside with the rules they break, and the others are loaded; rules that compare rows still block.
+    aside with the rules they break, and the others are loaded; rules that compare rows still block. ``sketches`` keeps mergeable
+    quantiles and distinct counts of every column, from the scan that judges the rules.
     """
 
     name: str
@@ -77,6 +79,7 @@ class PipelineSpec:
     count_source: bool | None = None
     keep_raw: bool = False
     quarantine: bool = False
+    sketches: bool = False
 
     @property
     def dataset(self) -> str:
@@ -240,9 +243,10 @@ class IngestRun:
     def check(self, batch: DataFrame) -> ValidationOutcome:
         """Rules, scores and column statistics of the staged rows; the gate comes after."""
         visible = [c for c in measurable_columns(batch) if c not in self.hidden]
-        outcome = assess(
-            batch, self.spec.validation, self.now, self.hidden, tuple(moment_aggregates(batch, visible))
-        )
+        extra = moment_aggregates(batch, visible)
+        if self.spec.sketches:
+            extra += sketch_aggregates(batch, [c for c in batch.columns if c not in self.hidden])
+        outcome = assess(batch, self.spec.validation, self.now, self.hidden, tuple(extra))
         self.result.validation = outcome
         rules = self.spec.validation.get("rules", [])
         gate(outcome, excused(batch, rules, self.now, self.hidden) if self.spec.quarantine else frozenset())
@@ -355,6 +359,7 @@ class IngestRun:
             ]),
             ("schema_versions", schema.result()),
             *statistics.result(),
+            self.sketch_rows(dataset, run_id, at, outcome.extras),
             ("lineage", lineage.result()),
             ("datasets", [] if known.result() else [{"name": dataset, "created_at": at}]),
         ])
@@ -427,6 +432,15 @@ class IngestRun:
             ("column_stats", [{**r, "run_id": run_id, "recorded_at": at} for r in judged]),
         ]
 
+    def sketch_rows(self, dataset: str, run_id: str, at: datetime, extras: dict) -> tuple[str, list[dict]]:
+        columns = [n.split(":", 1)[1] for n in extras if n.startswith("distinct:")]
+        kept = lambda kind, c: bytes(extras[f"{kind}:{c}"]) if extras.get(f"{kind}:{c}") is not None else None
+        return "column_sketches", [
+            {"dataset": dataset, "run_id": run_id, "recorded_at": at, "column": c, "n": extras[f"n:{c}"],
+             "quantiles": kept("quantiles", c), "distinct": kept("distinct", c)}
+            for c in columns
+        ]
+
     def record_watermark(self) -> None:
         if self.result.new_watermark is not None and self.result.new_watermark != self.watermark:
             self.state.append("watermarks", [{

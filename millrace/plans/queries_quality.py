@@ -6,11 +6,12 @@ from datetime import datetime
 
 from pyspark.sql import functions as F
 
-from millrace.operators import rules
+from millrace.operators import rules, sketches
 from millrace.operators.rules import quarantine_split
 from millrace.operators.scorecard import scorecard
 from millrace.operators.statistics import backtest, column_moments, merge_baseline, z_scores
 from millrace.plans.inputs import DIRTY_CUSTOMER_SQL, dirty_customer, table
+from millrace.session import scratch_path
 
 QUERIES = {}
 
@@ -98,6 +99,66 @@ def rule_unique(spark, folder):
     )
 
 
+@query("rule_unique_approx", QUERIES["rule_unique"][1])
+def rule_unique_approx(spark, folder):
+    """By sketch; exact up to 65,536 different values."""
+    orders = table(spark, folder, "orders").withColumn(
+        "clerk", F.expr("CASE WHEN o_orderstatus = 'P' THEN NULL ELSE o_orderpriority || o_custkey END")
+    )
+    return rule_results(
+        orders,
+        [
+            {"type": "unique", "columns": ["o_orderkey"], "approx": True},
+            {"type": "unique", "columns": ["o_custkey", "clerk"], "severity": "warning", "approx": True},
+        ],
+    )
+
+
+RANKS = (0.05, 0.5, 0.95)
+
+
+@query(
+    "sketched_quantiles",
+    """SELECT event_type, CAST(rank AS DOUBLE) AS rank, count(*) AS n, true AS within FROM events, (VALUES (0.05), (0.5), (0.95)) r(rank)
+    WHERE ts >= TIMESTAMP '2024-01-08' AND ts < TIMESTAMP '2024-01-22' GROUP BY 1, 2""",
+)
+def sketched_quantiles(spark, folder):
+    """Quantiles over two weeks from one sketch a day: whether the exact rank of each is within the stated error."""
+    root = scratch_path(spark, "sketches")
+    events = table(spark, folder, "events").withColumn("day", F.to_date("ts"))
+    sketches.sketch_columns(events, ["value"], ["event_type", "day"]).write.parquet(root)
+    weeks = (F.col("day") >= F.lit("2024-01-08").cast("date")) & (F.col("day") < F.lit("2024-01-22").cast("date"))
+    stored = spark.read.parquet(root).filter(weeks)
+    wide = sketches.quantiles(stored, ["event_type"], list(RANKS))
+    found = wide.unpivot(["event_type", "n"], [c for c in wide.columns if c.startswith("p")], "name", "estimate")
+    found = found.withColumn("rank", F.expr("round(try_cast(substr(name, 2) AS double) / 100, 4)"))
+    # The exact ranks, by the few estimates against all rows of their type.
+    below, upto = F.count(F.when(F.col("value") < F.col("estimate"), 1)), F.count(F.when(F.col("value") <= F.col("estimate"), 1))
+    total = F.count("value")
+    close = (below / total - F.lit(sketches.RANK_ERROR) <= F.col("rank")) & (F.col("rank") <= upto / total + F.lit(sketches.RANK_ERROR))
+    judged = events.filter(weeks).join(F.broadcast(found), "event_type").groupBy("event_type", "rank", "n")
+    return judged.agg(close.alias("within")).select("event_type", "rank", F.col("n").cast("bigint").alias("n"), "within")
+
+
+@query(
+    "sketched_new_values",
+    """WITH v AS (SELECT 'o_custkey' AS "column", CAST(o_custkey AS VARCHAR) AS value, o_orderdate FROM orders
+        UNION ALL SELECT 'o_clerk', o_orderpriority || (o_custkey % 100), o_orderdate FROM orders),
+    late AS (SELECT DISTINCT "column", value FROM v WHERE o_orderdate >= TIMESTAMP '1998-01-01'),
+    early AS (SELECT DISTINCT "column", value FROM v WHERE o_orderdate < TIMESTAMP '1998-01-01')
+    SELECT "column", count(*) AS distinct_values, count(*) FILTER (value NOT IN (SELECT value FROM early e WHERE e."column" = late."column")) AS new_values
+    FROM late GROUP BY 1""",
+)
+def sketched_new_values(spark, folder):
+    """How many customers and clerks of the last year no year before had; exact, as there are few."""
+    orders = table(spark, folder, "orders").withColumns({
+        "o_clerk": F.concat("o_orderpriority", (F.col("o_custkey") % 100).cast("string")), "year": F.year("o_orderdate"),
+    })
+    by_year = sketches.sketch_columns(orders, ["o_custkey", "o_clerk"], ["year"])
+    found = sketches.new_values(by_year.filter("year < 1998"), by_year.filter("year >= 1998"), ["column"])
+    return found.select("column", *[F.round(c).cast("bigint").alias(c) for c in ("distinct_values", "new_values")])
+
+
 @query(
     "rule_duplicate_rows",
     _checks_sql(
