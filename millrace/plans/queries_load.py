@@ -19,7 +19,9 @@ from millrace.plans import replay
 from millrace.plans.ingest import PipelineSpec, run_ingest
 from millrace.plans.inputs import DIRTY_CUSTOMER_SQL, dirty_customer, table
 from millrace.session import local_frame, scratch_path
+from millrace.streaming.admission import admit_once
 from millrace.streaming.baseline import stream_baseline
+from millrace.streaming.keyed import collect_baselines, keyed_baselines
 from millrace.streaming.poll import poll_files
 from millrace.streaming.rates import collect_rates, stream_rate
 
@@ -471,14 +473,24 @@ def poll_new_files(spark, folder):
 MEASURES = ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax")
 
 
-@query(
-    "stream_baseline",
-    " UNION ALL ".join(
-        f"SELECT 'lineitem' AS dataset, '{c}' AS \"column\", count(*) AS count, round(avg({c}), 2) AS mean,"
-        f" round(stddev_pop({c}), 2) AS stddev FROM lineitem"
-        for c in MEASURES
-    ),
+def _digits_sql(value: str, name: str) -> str:
+    """A positive number by its first four digits and its magnitude."""
+    return f"CAST(round({value} / pow(10, floor(log10({value})) - 3)) AS BIGINT) AS {name}, CAST(floor(log10({value})) AS BIGINT) AS {name}_power"
+
+
+def _digits(value, name: str) -> list:
+    power = F.floor(F.log10(value))
+    return [F.round(value / F.pow(F.lit(10.0), power - 3)).cast("bigint").alias(name), power.cast("bigint").alias(f"{name}_power")]
+
+
+BASELINES_SQL = " UNION ALL ".join(
+    f"SELECT 'lineitem' AS dataset, '{c}' AS \"column\", count(*) AS count, {_digits_sql(f'avg({c})', 'mean')},"
+    f" {_digits_sql(f'stddev_pop({c})', 'stddev')} FROM lineitem"
+    for c in MEASURES
 )
+
+
+@query("stream_baseline", BASELINES_SQL)
 def streamed_baseline(spark, folder):
     """The running baseline after all micro-batches equals the moments of all rows."""
     root = scratch_path(spark, "stream")
@@ -490,10 +502,45 @@ def streamed_baseline(spark, folder):
     state = stream_baseline(
         spark, "parquet", schema, f"{root}/landed/*", f"{root}/checkpoint", f"{root}/state", "lineitem"
     )
-    return state.select(
-        "dataset", "column", "count", F.round("mean", 2).alias("mean"),
-        F.round(F.sqrt(F.col("m2") / F.col("count")), 2).alias("stddev"),
+    spread = F.sqrt(F.col("m2") / F.col("count"))
+    return state.select("dataset", "column", "count", *_digits(F.col("mean"), "mean"), *_digits(spread, "stddev"))
+
+
+@query(
+    "stream_keyed_baseline",
+    " UNION ALL ".join(
+        f"SELECT CASE WHEN l_orderkey % 3 = 0 THEN 'hot' ELSE l_returnflag || l_linestatus END AS dataset, '{c}' AS \"column\", count(*) AS count,"
+        f" {_digits_sql(f'avg({c})', 'mean')}, {_digits_sql(f'stddev_pop({c})', 'stddev')} FROM lineitem GROUP BY 1"
+        for c in MEASURES
+    ),
+)
+def streamed_keyed_baseline(spark, folder):
+    """One state per dataset and column, from eight files in two triggers; a third of the rows are of one dataset."""
+    root = scratch_path(spark, "stream")
+    lines = table(spark, folder, "lineitem").select(
+        F.expr("CASE WHEN l_orderkey % 3 = 0 THEN 'hot' ELSE l_returnflag || l_linestatus END").alias("dataset"), *MEASURES
     )
+    for half in range(2):
+        part = lines.filter(F.col("l_linenumber") % 2 == half)
+        part.repartition(4, "l_orderkey").write.mode("append").parquet(f"{root}/landed")
+        stream = spark.readStream.schema(lines.schema).parquet(f"{root}/landed")
+        state = collect_baselines(keyed_baselines(stream, "dataset"), f"{root}/checkpoint", f"{root}/told")
+    spread = F.sqrt(F.col("m2") / F.col("count"))
+    return state.select("dataset", "column", "count", *_digits(F.col("mean"), "mean"), *_digits(spread, "stddev"))
+
+
+@query("stream_admitted_once", f"SELECT {EVENT_COLUMNS} FROM events")
+def streamed_admission(spark, folder):
+    """Files that come late or twice: the table is that of one clean pass."""
+    root = scratch_path(spark, "admission")
+    events = table(spark, folder, "events").drop("props").withColumn("ts", F.col("ts").cast("timestamp"))
+    parts = [events.filter(F.floor(F.dayofmonth("ts") / 8) == i) for i in range(4)]
+    # The second week comes after the third, and the first one again at the end.
+    for i in (0, 2, 1, 3, 0):
+        parts[i].coalesce(1).write.mode("append").parquet(f"{root}/landed")
+        stream = spark.readStream.schema(events.schema).parquet(f"{root}/landed")
+        admitted = admit_once(stream, ["event_id"], "ts", "1 hour", f"{root}/checkpoint", f"{root}/table")
+    return admitted.withColumn("ts", F.col("ts").cast("timestamp_ntz"))
 
 
 @query(
