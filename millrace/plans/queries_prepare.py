@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from millrace.functions.text import mask_email
+from millrace.lake import files
 from millrace.operators.clean import clean, clean_stats
 from millrace.operators.incremental import filter_incremental, watermark_max
 from millrace.operators.transform import dedupe_keep_first, transform
@@ -120,6 +121,28 @@ def drift_of_pages(spark, folder):
     return page_drift(columns).select("page", "name", "change")
 
 
+@query(
+    "pages_as_a_source",
+    f"""SELECT page, c_custkey - CASE WHEN page = 1 THEN (SELECT min(c_custkey) FROM customer) ELSE (page - 1) * {PAGE_ROWS} END AS at,
+        c_custkey, c_name FROM {PAGED_SQL} WHERE page >= 2 AND page <= 4""",
+)
+def pages_as_a_source(spark, folder):
+    """The format ``landed_pages``: one partition per page, and only the pages asked for are opened."""
+    path = scratch_path(spark, "pages")
+    page = F.floor(F.col("c_custkey") / PAGE_ROWS) + 1
+    records = table(spark, folder, "customer").select("c_custkey", "c_name").withColumn("page", page)
+    listed = F.array_sort(F.collect_list(F.struct("c_custkey", "c_name")))
+    records.groupBy("page").agg(F.to_json(listed).alias("value")).repartition("page").sortWithinPartitions("page").write.partitionBy(
+        "page"
+    ).text(path)
+    # The writer names files by task, so each is given its folder's number.
+    for folder_name in files.child_folders(spark, path):
+        (name,) = files.names(spark, f"{path}/{folder_name}")
+        files.rename(spark, f"{path}/{folder_name}/{name}", f"{path}/{folder_name}/page-{folder_name.split('=')[1]}.json")
+    found = extract(spark, "landed_pages", {"path": path, "schema": "c_custkey bigint, c_name string"})
+    return found.filter("page >= 2 AND page <= 4").select("page", "at", "c_custkey", "c_name")
+
+
 @query(
     "clean_trim_lower",
     f"SELECT c_custkey, nullif(trim(name), '') AS name, lower(segment) AS segment FROM ({DIRTY_CUSTOMER_SQL})",

@@ -47,7 +47,7 @@ def extract(spark: SparkSession, source_type: str | None, config: dict) -> DataF
 def _install() -> None:
     if "file" in _READERS:
         return
-    from millrace.sources import csv, jdbc, objects, pages, parquet
+    from millrace.sources import csv, jdbc, landed, objects, pages, parquet
 
     _READERS.setdefault("file", csv.read_file)
     _READERS.setdefault("parquet", parquet.read_parquet)
@@ -55,3 +55,4 @@ def _install() -> None:
     _READERS.setdefault("jdbc", jdbc.read_jdbc)
     _READERS.setdefault("s3", objects.read_object)
     _READERS.setdefault("rest_api", pages.read_landed_pages)
+    _READERS.setdefault(landed.NAME, landed.read_landed)
