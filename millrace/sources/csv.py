@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import os
+import re
 from functools import reduce
-from urllib.parse import urlparse
+from urllib.parse import unquote, urlparse
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -25,6 +26,7 @@ BOOLEAN_TOKENS = ("True", "TRUE", "true", "False", "FALSE", "false")
 SURPLUS = "_extra"
 OPEN_QUOTE = "_open"
 HEADER = "_header"
+PLACE = "_place"
 
 
 def resolve_path(path: str, base_dir: str | None) -> str:
@@ -82,33 +84,62 @@ def _lines(spark: SparkSession, path: str, names: list[str], options: dict) -> D
     return cells.withColumn(SURPLUS, _surplus(names))
 
 
+# So many files at most are read by their own when some of them cannot be split.
+MOST_FILES = 1000
+
+
+def _unsplittable(spark: SparkSession, path: str, options: dict) -> tuple[list[str], list[str]]:
+    """The files with a line that leaves a quote open, and the others; empty lists where there are too many
+    files to name."""
+    text = spark.read.options(**options).text(path)
+    everything = [unquote(f) for f in text.inputFiles()]
+    if len(everything) > MOST_FILES:
+        return [], []
+    quotes = F.length("value") - F.length(F.replace(F.col("value"), F.lit('"'), F.lit("")))
+    found = text.filter(quotes % 2 == 1).select(F.col("_metadata.file_path").alias("f")).distinct()
+    place = lambda f: re.sub("^([a-z0-9]+:)?/+", "/", f)
+    whole = {place(unquote(r.f)) for r in found.collect()}
+    return [f for f in everything if place(f) in whole], [f for f in everything if place(f) not in whole]
+
+
 def read_csv(
     spark: SparkSession, path: str, schema: str | None = None, multi_line: bool | None = None,
     options: dict | None = None,
 ) -> DataFrame:
     """Typed rows plus the hidden position struct.
 
-    One pass over the whole file finds the types, checks the field counts and looks for cells that
-    hold line breaks; such files cannot be split and are read once more as a whole. With ``schema``
-    (a DDL string) and ``multi_line`` given, there is no such pass. Short rows are padded with NULL,
-    long rows are an error.
+    One pass over the whole input finds the types, checks the field counts and looks for cells that
+    hold line breaks; files with such cells cannot be split and are read once more as a whole, the others
+    in splits all the same. With ``schema`` (a DDL string) and ``multi_line`` given, there is no such pass.
+    Short rows are padded with NULL, long rows are an error.
     """
     options = options or {}
     names = _header(spark, path, options)
-    surveyed = None
+    surveyed, apart = None, None
     if multi_line is None:
         surveyed = _survey(_lines(spark, path, names, options))
         multi_line = OPEN_QUOTE in surveyed
+        if multi_line:
+            apart = _unsplittable(spark, path, options)
         if HEADER in surveyed and surveyed[HEADER].n > len(spark.read.options(**options).text(path).inputFiles()):
             surveyed = None  # a data row reads like the header, so only the reader tells them apart
     text_schema = ", ".join(f"{quoted(n)} string" for n in [*names, SURPLUS])
-    raw = spark.read.schema(text_schema).options(
-        header=True, escape='"', multiLine=multi_line, columnNameOfCorruptRecord=SURPLUS, **options
-    ).csv(path)
+
+    def cells_of(paths, whole: bool) -> DataFrame:
+        return spark.read.schema(text_schema).options(
+            header=True, escape='"', multiLine=whole, columnNameOfCorruptRecord=SURPLUS, **options
+        ).csv(paths).withColumns({
+            PLACE: F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"))
+        })
+
+    if apart and all(apart):
+        raw = cells_of(apart[0], True).unionByName(cells_of(apart[1], False))
+    else:
+        raw = cells_of(path, multi_line)
     raw = raw.withColumn(SURPLUS, _surplus(names))
     cells = {n: F.when(~F.col(quoted(n)).isin(*NULL_TOKENS), F.col(quoted(n))) for n in names}
     if schema is None:
-        types = _infer(_survey(raw) if multi_line or surveyed is None else surveyed, names, path)
+        types = _infer(_survey(raw.drop(PLACE)) if multi_line or surveyed is None else surveyed, names, path)
     else:
         from pyspark.sql.types import StructType
 
@@ -118,8 +149,7 @@ def read_csv(
             raise ExtractError(f"{path} has no column {lacking}")
         names = [n for n in names if n in types]
     position = F.struct(
-        F.col("_metadata.file_path").alias("file"),
-        F.col("_metadata.file_block_start").alias("block"),
+        F.col(f"{PLACE}.file").alias("file"), F.col(f"{PLACE}.block").alias("block"),
         F.monotonically_increasing_id().alias("row"),
     )
     placed = raw.select(

@@ -136,6 +136,23 @@ def test_custom_format_as_a_source(spark):
     assert rows(extract(spark, "squares", {"upto": "3"})) == [(0, 0), (1, 1), (2, 4)]
 
 
+def test_one_odd_quote_makes_one_file_unsplittable(spark, tmp_path):
+    big = tmp_path / "in" / "a b.csv"
+    put(tmp_path, "in/a b.csv", "id,note\n" + "".join(f"{i},n{i}\n" for i in range(40_000)))
+    put(tmp_path, "in/odd.csv", 'id,note\n90001,"two\nlines"\n90002,x\n')
+    size = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(big.stat().st_size // 3))
+    try:
+        df = extract(spark, "file", {"path": str(tmp_path / "in")})
+        assert df.rdd.getNumPartitions() >= 4
+        assert df.agg(F.count("id"), F.countDistinct(POSITION), F.sum("id")).first() == (40_002, 40_002, 40_000 * 39_999 // 2 + 180_003)
+        assert [r.note for r in df.filter("id > 90000").orderBy(POSITION).collect()] == ["two\nlines", "x"]
+        first = df.orderBy(POSITION).limit(3).collect()
+        assert [r.id for r in first] == [0, 1, 2] and dict(df.dtypes)["id"] == "bigint"
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+
+
 # paged JSON
 
 def pages(tmp_path, *texts):
