@@ -42,7 +42,6 @@ from pyspark.sql import functions as F
 from millrace.llm.components import contracted, relabelled
 from millrace.llm.staging import broadcast_if_few, fresh_name, staged
 from millrace.llm.wordhash import mixed, pieces, windows, words
-from millrace.operators.joins import broadcast_if_small
 
 WIDTH = 5
 # What counts as frequent, and how many frequent shingles the order knows.
@@ -415,6 +414,15 @@ def _sets_of(pairs: DataFrame, texts: DataFrame, first_ids: DataFrame) -> DataFr
 
 def near_groups(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles and component_id (the smallest doc_id that links reach) of every row of (doc_id, text)."""
+    rows, named = _grouped(docs)
+    return rows.join(named.select("node", "component_id"), "node", "left").select(
+        "doc_id", F.col("n").cast("bigint").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id")
+    )
+
+
+def _grouped(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """A row (doc_id, n, node) of every document, and for every node its component (label) and that one's
+    smallest doc_id."""
     spark = docs.sparkSession
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
     survey = staged(texts.mapInArrow(_survey, _SURVEY_DDL), "shingles")
@@ -466,27 +474,38 @@ def near_groups(docs: DataFrame) -> DataFrame:
 
     smallest = relabelled(first_ids.withColumn("label", F.col("node")), labels, "label")
     names = smallest.groupBy("label").agg(F.min("doc_id").alias("component_id"))
-    named = smallest.select("node", "label").join(names, "label").select("node", "component_id")
-    return rows.join(named, "node", "left").select(
-        "doc_id", F.col("n").cast("bigint").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id")
-    )
+    return rows.select("doc_id", "n", "node"), smallest.select("node", "label").join(names, "label")
+
+
+def _nodes(texts: pa.Array) -> pa.Array:
+    return pa.array([node_of(found) for found in shingle_sets(texts)], pa.int64())
 
 
 def one_of_each_group(docs: DataFrame) -> DataFrame:
-    """One row of each group, that with the group's smallest doc_id; rows without doc_id stay.
+    """One row of each group of near copies; all rows without words stay.
 
-    Rows that repeat a doc_id count as one document: one of them stays.
+    Rows are judged by their texts: of a group that row stays whose doc_id is smallest (NULL last), of several
+    such rows that with the smallest text. So rows with one doc_id but texts that are no copies all stay,
+    and copies go whether they have an id or not.
     """
     columns = [F.col(f"`{c}`") for c in docs.columns]
-    groups = staged(near_groups(docs), "groups").where("doc_id is not null").groupBy("doc_id").agg(
-        F.max(F.col("doc_id") != F.col("component_id")).alias("copy"), F.count("*").alias("rows")
-    )
-    name = fresh_name(docs, "other_id")
-    gone = broadcast_if_small(groups.where("copy or rows > 1").select(F.col("doc_id").alias(name)))
-    again = broadcast_if_small(groups.where("not copy and rows > 1").select(F.col("doc_id").alias(name)))
-    once = docs.join(gone, F.col("doc_id") == F.col(name), "left_anti")
-    repeated = docs.join(again, F.col("doc_id") == F.col(name), "left_semi").dropDuplicates(["doc_id"])
-    return once.select(*columns).unionByName(repeated.select(*columns))
+    node, row = fresh_name(docs, "set_node"), fresh_name(docs, "row_digest")
+    # What names a row: its id and its whole text; equal rows are one row that came twice.
+    digest = F.sha2(F.col("text").cast("binary"), 256)
+    placed = docs.withColumns({node: F.arrow_udf(_nodes, "bigint")("text"), row: digest})
+    placed = staged(placed, "placed")
+    _, components = _grouped(docs)
+    labels = components.select(F.col("node").alias("known"), "label")
+    rank = F.struct(F.col("doc_id").isNull().alias("no_id"), F.col("doc_id"), F.col(f"`{row}`").alias("digest"))
+    first = placed.where(F.col(f"`{node}`").isNotNull()).groupBy(F.col(f"`{node}`").alias("known")).agg(F.min(rank).alias("rank"))
+    best = first.join(labels, "known").groupBy("label").agg(F.min(F.struct("rank", "known")).alias("best"))
+    # One row per group: the set that stays, and which of the rows that have it.
+    stays = staged(best.select(F.col("best.known").alias("stays"), F.col("best.rank").alias("rank")), "stays")
+    chosen = placed.join(
+        stays, (F.col(f"`{node}`") == F.col("stays")) & (F.col(f"`{row}`") == F.col("rank.digest"))
+        & F.col("doc_id").eqNullSafe(F.col("rank.doc_id")), "left_semi",
+    ).dropDuplicates([node])
+    return placed.where(F.col(f"`{node}`").isNull()).select(*columns).unionByName(chosen.select(*columns))
 
 
 def query(spark: SparkSession, folder: str) -> DataFrame:

@@ -15,7 +15,8 @@ The last three come from grouped aggregations of what the texts alone say, over
 The languages are those that enough rows declare (:func:`languages_of`). Next to them stands ``OTHER``, for which
 all triples are equally likely: noise, and text whose tag is too rare to learn from, come nearer to it.
 
-A row is rejected if its text has no triple, if no language reaches ``LEAST_POSTERIOR``, if that language is
+A row that declares a language too rare to learn has that language, unless its text is found to be in a learnt
+one; with any text it is kept. Of the others a row is rejected if its text has no triple, if no language reaches ``LEAST_POSTERIOR``, if that language is
 ``OTHER``, or if its text is unlike the language: if its mean per triple is below the middle between the
 median of all rows that declare and resemble the language, and that of ``OTHER``, by more than ``ERRORS``
 standard errors of a text with so many triples (each byte is in three of them).
@@ -41,9 +42,9 @@ from millrace.llm.wordhash import Piece, pieces
 from millrace.operators.joins import broadcast_if_small
 
 OTHER = "other"
-# A language has so many rows and characters, or that share of a small table's, and of the rows at least a
-# share that bounds the model's size.
-LEAST_ROWS, LEAST_CHARACTERS, SMALL_SHARE, LEAST_SHARE = 5, 10_000, 0.1, 0.005
+# A language has so many rows and characters, or that share of a small table's. Of more languages than the model
+# takes (256 KB each) those with most text are learnt; rows of the others pass with their tag.
+LEAST_ROWS, LEAST_CHARACTERS, SMALL_SHARE, MOST_LANGUAGES = 5, 10_000, 0.1, 250
 # Tags that name no language.
 NO_LANGUAGES = ("und", "mul", "zxx", "mis", OTHER)
 ERRORS = 3.0
@@ -109,8 +110,9 @@ def languages_of(rows: DataFrame, text: str, declared: Column) -> tuple[str, ...
     texts = rows.select(declared.alias("tag"), F.length(f"`{text}`").alias("size")).where("tag is not null and size > 0")
     tags = staged(texts.groupBy("tag").agg(F.count("*").alias("n"), F.sum("size").alias("size")), "tags")
     n, size = (x or 0 for x in tags.agg(F.sum("n"), F.sum("size")).first())
-    enough = (F.col("n") >= max(min(LEAST_ROWS, SMALL_SHARE * n), LEAST_SHARE * n)) & (F.col("size") >= min(LEAST_CHARACTERS, SMALL_SHARE * size))
-    found = tags.where(enough & ~F.col("tag").isin(*NO_LANGUAGES)).collect()
+    enough = (F.col("n") >= min(LEAST_ROWS, SMALL_SHARE * n)) & (F.col("size") >= min(LEAST_CHARACTERS, SMALL_SHARE * size))
+    known = tags.where(enough & ~F.col("tag").isin(*NO_LANGUAGES))
+    found = known.orderBy(F.desc("size"), "tag").limit(MOST_LANGUAGES).collect()
     return (*sorted(r["tag"] for r in found), OTHER)
 
 
@@ -268,10 +270,13 @@ def identified(
     chosen = F.array_position(F.col(f"`{shares}`"), posterior).cast("int") - 1
     least, deviations = (F.array(*[F.lit(float(x)) for x in values]) for values in least_likelihoods(evidence, model, languages))
     likely = _per_triple(F.get(F.col(f"`{name}`.scores"), chosen), triples) >= F.get(least, chosen) - F.get(deviations, chosen) * ERRORS * F.sqrt(3 / triples)
+    certain = texts & (posterior >= LEAST_POSTERIOR) & (F.get(names, chosen) != OTHER) & likely
+    tag = F.col(f"`{name}`.declared")
+    unlearnt = texts & tag.isNotNull() & ~tag.isin(*languages, *NO_LANGUAGES)
     verdict = F.struct(
-        best(F.col(f"`{shares}`")).alias("language"), posterior.alias("posterior"),
+        F.when(unlearnt & ~certain, tag).otherwise(best(F.col(f"`{shares}`"))).alias("language"), posterior.alias("posterior"),
         F.when(texts, best(F.col(f"`{name}`.scores"))).alias("text_language"),
-        F.when(texts, (posterior >= LEAST_POSTERIOR) & (F.get(names, chosen) != OTHER) & likely).otherwise(False).alias("kept"),
+        F.coalesce(certain | unlearnt, F.lit(False)).alias("kept"),
     )
     return out.withColumn(name, verdict).drop(shares, *weights), name
 

@@ -309,11 +309,26 @@ def test_languages_are_learnt_and_unknown_text_is_rejected(spark):
     given = docs.select(planted.columns)
     assert language_id.languages_of(given.unionByName(known), "text", language_id.primary_tag(F.col("lang"))) == ("de", "en", "es", "fr", "ru", "other")
     kept = {r.doc_id for r in language_id.keep_identified(given.unionByName(planted)).collect()}
-    assert kept == {r.doc_id for r in given.collect()}
+    # what declares a language too rare to learn passes with its tag; what declares none, or a learnt one, does not
+    assert kept == {r.doc_id for r in given.collect()} | {-1, -4, -5}
     rows, verdict = language_id.document_languages(given.unionByName(known).unionByName(planted))
     found = {r.doc_id: r for r in rows.select("doc_id", f"{verdict}.*").collect()}
     assert all(found[10**6 + i].language == "ru" and found[10**6 + i].kept for i in range(30)) and found[-3].kept
-    assert not any(r.kept for i, r in found.items() if i < 0 and i != -3)
+    assert {i: found[i].language for i in (-1, -4, -5)} == {-1: "nl", -4: "zh", -5: "it"}
+    assert not any(r.kept for i, r in found.items() if i < 0 and i not in (-1, -3, -4, -5))
+
+
+def test_a_rare_language_is_learnt_or_passes(spark):
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet").where("length(trim(text)) > 0").select("doc_id", "text", "lang", "source")
+    many = docs.unionByName(docs).unionByName(docs).unionByName(docs).unionByName(docs)
+    icelandic = "Kötturinn sat á mottunni og horfði út um gluggann þar sem það hafði rignt allan daginn og börnin gátu ekki leikið sér. "
+    for copies, size, learnt in ((6, 20, True), (4, 20, False), (6, 2, False)):
+        rows = [(-1 - i, icelandic * size, "is", "src1") for i in range(copies)]
+        planted = many.unionByName(spark.createDataFrame(rows, docs.schema))
+        assert ("is" in language_id.languages_of(planted, "text", language_id.primary_tag(F.col("lang")))) is learnt
+        found, verdict = language_id.document_languages(planted, keep=["doc_id"])
+        told = [(r.language, r.kept) for r in found.where("doc_id < 0").select(f"{verdict}.*").collect()]
+        assert told == [("is", True)] * copies
 
 
 def test_languages_of_pages_use_markup_and_url(spark):
