@@ -40,7 +40,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from millrace.llm.components import contracted, relabelled
-from millrace.llm.staging import broadcast_if_few, fresh_name, staged
+from millrace.llm.staging import broadcast_if_few, fresh_name, small_batches, staged
 from millrace.llm.wordhash import mixed, pieces, windows, words
 
 WIDTH = 5
@@ -59,6 +59,7 @@ BLOCK_RATIO = 1.06
 HUB_ROUNDS = 1
 HUBS = 3
 PAIR_BYTES = 96
+KEY_BYTES = 128
 # Partners of a node that are looked at first; the later steps find what they miss.
 PARTNERS = 6
 
@@ -121,20 +122,20 @@ def _counted(runs: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
 
 
 _SURVEY = pa.schema([
-    ("doc_id", pa.int64()), ("n", pa.int32()), ("node", pa.int64()), ("bitmap", pa.binary()), ("token", pa.int64()), ("hits", pa.int64()),
+    ("doc_id", pa.int64()), ("digest", pa.binary()), ("n", pa.int32()), ("node", pa.int64()), ("bitmap", pa.binary()), ("token", pa.int64()), ("hits", pa.int64()),
 ])
-_SURVEY_DDL = "doc_id bigint, n int, node bigint, bitmap binary, token bigint, hits bigint"
+_SURVEY_DDL = "doc_id bigint, digest binary, n int, node bigint, bitmap binary, token bigint, hits bigint"
 
 
 def _survey(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A row for each document, and one for each shingle that a run of them has often."""
+    """A row for each document with its digest, and one for each shingle that a run of them has often."""
     runs, size = [], 0
 
     def frequent():
         values, hits = _counted(runs)
         empty = pa.nulls(len(values))
         return pa.RecordBatch.from_arrays(
-            [*[empty.cast(_SURVEY.field(i).type) for i in range(4)], pa.array(values), pa.array(hits)], schema=_SURVEY
+            [*[empty.cast(_SURVEY.field(i).type) for i in range(5)], pa.array(values), pa.array(hits)], schema=_SURVEY
         )
 
     for batch in batches:
@@ -150,7 +151,7 @@ def _survey(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 size = 0
         empty = pa.nulls(len(batch), pa.int64())
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array(lengths, pa.int32()), pa.array(nodes, pa.int64()), pa.array(bitmaps, pa.binary()), empty, empty],
+            [batch.column(0), batch.column(2), pa.array(lengths, pa.int32()), pa.array(nodes, pa.int64()), pa.array(bitmaps, pa.binary()), empty, empty],
             schema=_SURVEY,
         )
     yield frequent()
@@ -322,7 +323,8 @@ def _compared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     two = sets.select(F.col("node").alias("b"), F.col("elements").alias("right"))
     both = one.join(broadcast_if_few(pairs, PAIR_BYTES), "a").join(two, "b")
     found = both.select("a", "b", "na", "nb", common("left", "right").alias("overlap")).dropDuplicates(["a", "b"])
-    return staged(found, "compared")
+    with small_batches(pairs.sparkSession):
+        return staged(found, "compared")
 
 
 def _known(compared: DataFrame) -> DataFrame:
@@ -420,13 +422,14 @@ def near_groups(docs: DataFrame) -> DataFrame:
     )
 
 
-def _grouped(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """A row (doc_id, n, node) of every document, and for every node its component (label) and that one's
-    smallest doc_id."""
+def _grouped(docs: DataFrame, digest: Column | None = None) -> tuple[DataFrame, DataFrame]:
+    """A row (doc_id, n, node, digest) of every document, and for every node its component (label) and that
+    one's smallest doc_id."""
     spark = docs.sparkSession
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    survey = staged(texts.mapInArrow(_survey, _SURVEY_DDL), "shingles")
-    rows = survey.where("n is not null").select("doc_id", "n", "node", "bitmap")
+    digest = F.lit(None).cast("binary") if digest is None else digest
+    survey = staged(texts.select("doc_id", "text", digest.alias("digest")).mapInArrow(_survey, _SURVEY_DDL), "shingles")
+    rows = survey.where("n is not null").select("doc_id", "n", "node", "bitmap", "digest")
     classes = staged(
         rows.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.first("bitmap").alias("bitmap")), "nodes"
     )
@@ -474,11 +477,7 @@ def _grouped(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
 
     smallest = relabelled(first_ids.withColumn("label", F.col("node")), labels, "label")
     names = smallest.groupBy("label").agg(F.min("doc_id").alias("component_id"))
-    return rows.select("doc_id", "n", "node"), smallest.select("node", "label").join(names, "label")
-
-
-def _nodes(texts: pa.Array) -> pa.Array:
-    return pa.array([node_of(found) for found in shingle_sets(texts)], pa.int64())
+    return rows.select("doc_id", "n", "node", "digest"), smallest.select("node", "label").join(names, "label")
 
 
 def one_of_each_group(docs: DataFrame) -> DataFrame:
@@ -488,24 +487,26 @@ def one_of_each_group(docs: DataFrame) -> DataFrame:
     such rows that with the smallest text. So rows with one doc_id but texts that are no copies all stay,
     and copies go whether they have an id or not.
     """
-    columns = [F.col(f"`{c}`") for c in docs.columns]
-    node, row = fresh_name(docs, "set_node"), fresh_name(docs, "row_digest")
     # What names a row: its id and its whole text; equal rows are one row that came twice.
-    digest = F.sha2(F.col("text").cast("binary"), 256)
-    placed = docs.withColumns({node: F.arrow_udf(_nodes, "bigint")("text"), row: digest})
-    placed = staged(placed, "placed")
-    _, components = _grouped(docs)
-    labels = components.select(F.col("node").alias("known"), "label")
-    rank = F.struct(F.col("doc_id").isNull().alias("no_id"), F.col("doc_id"), F.col(f"`{row}`").alias("digest"))
-    first = placed.where(F.col(f"`{node}`").isNotNull()).groupBy(F.col(f"`{node}`").alias("known")).agg(F.min(rank).alias("rank"))
-    best = first.join(labels, "known").groupBy("label").agg(F.min(F.struct("rank", "known")).alias("best"))
-    # One row per group: the set that stays, and which of the rows that have it.
-    stays = staged(best.select(F.col("best.known").alias("stays"), F.col("best.rank").alias("rank")), "stays")
-    chosen = placed.join(
-        stays, (F.col(f"`{node}`") == F.col("stays")) & (F.col(f"`{row}`") == F.col("rank.digest"))
-        & F.col("doc_id").eqNullSafe(F.col("rank.doc_id")), "left_semi",
-    ).dropDuplicates([node])
-    return placed.where(F.col(f"`{node}`").isNull()).select(*columns).unionByName(chosen.select(*columns))
+    digest = F.unhex(F.sha2(F.col("text").cast("binary"), 256))
+    rows, components = _grouped(docs, digest)
+    keys = rows.where("node is not null").select(F.col("doc_id").alias("id"), "digest", "node")
+    rank = F.struct(F.col("id").isNull().alias("no_id"), "id", "digest")
+    first = keys.groupBy("node").agg(F.min(rank).alias("rank"))
+    best = first.join(components.select("node", "label"), "node").groupBy("label").agg(F.min("rank").alias("rank"))
+    best = staged(best.select(F.col("rank.id").alias("best_id"), F.col("rank.digest").alias("best_digest")), "stays")
+    counted = keys.groupBy("id", "digest").agg(F.count("*").alias("rows"))
+    same = (F.col("digest") == F.col("best_digest")) & F.col("id").eqNullSafe(F.col("best_id"))
+    judged = counted.join(best.withColumn("stays", F.lit(True)), same, "left")
+    judged = staged(judged.where("stays is null or rows > 1").select("id", "digest", "stays"), "judged")
+
+    name = fresh_name(docs, "row_digest")
+    rows, columns = docs.withColumn(name, digest), [F.col(f"`{c}`") for c in docs.columns]
+    here = (F.col(f"`{name}`") == F.col("known_digest")) & F.col("doc_id").eqNullSafe(F.col("known_id"))
+    known = lambda part: broadcast_if_few(part.select(F.col("id").alias("known_id"), F.col("digest").alias("known_digest")), KEY_BYTES)
+    once = rows.join(known(judged), here, "left_anti")
+    repeated = rows.join(known(judged.where("stays")), here, "left_semi").dropDuplicates([name, "doc_id"])
+    return once.select(*columns).unionByName(repeated.select(*columns))
 
 
 def query(spark: SparkSession, folder: str) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -31,6 +33,22 @@ def staged(df: DataFrame, purpose: str, most_rows: int | None = None) -> DataFra
     return spark.read.schema(df.schema).parquet(path)
 
 
+# Rows of whole sets or texts that go to a Python worker at once.
+WIDE_ROWS = 256
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+@contextmanager
+def small_batches(spark: SparkSession):
+    """What is run in here hands wide rows to Python workers few at a time."""
+    before = spark.conf.get(_BATCH)
+    spark.conf.set(_BATCH, str(WIDE_ROWS))
+    try:
+        yield
+    finally:
+        spark.conf.set(_BATCH, before)
+
+
 def broadcast_if_few(rows: DataFrame, row_bytes: int) -> DataFrame:
     """A staged table with a broadcast hint if its counted rows, of at most ``row_bytes`` each, are small; else
     as it is, so that Spark shuffles both sides of a join and splits skewed keys."""
