@@ -70,7 +70,7 @@ def paged_json_union(spark, folder):
 
 def _differing_pages(spark, folder) -> dict:
     """Landed pages whose records differ: even pages lack the balance, each third one has nations as text, and
-    from the fifth page on there is a segment."""
+    the first page and those from the fifth on have a segment."""
     path = scratch_path(spark, "pages")
     page = F.floor(F.col("c_custkey") / PAGE_ROWS) + 1
     customers = table(spark, folder, "customer").withColumn("page", page)
@@ -78,7 +78,7 @@ def _differing_pages(spark, folder) -> dict:
         "c_custkey", F.when(F.col("page") % 2 != 0, F.col("c_acctbal")).alias("c_acctbal"),
         F.when(F.col("page") % 3 != 0, F.col("c_nationkey")).alias("c_nationkey"),
         F.when(F.col("page") % 3 == 0, F.concat(F.lit("n"), "c_nationkey")).alias("nation_text"),
-        F.when(F.col("page") >= 5, F.col("c_mktsegment")).alias("segment"),
+        F.when((F.col("page") >= 5) | (F.col("page") == 1), F.col("c_mktsegment")).alias("segment"),
     ))
     record = F.replace(record, F.lit('"nation_text"'), F.lit('"c_nationkey"'))
     pages = customers.groupBy("page").agg(
@@ -95,12 +95,14 @@ PAGED_SQL = f"(SELECT *, c_custkey // {PAGE_ROWS} + 1 AS page FROM customer)"
     "pages_that_differ",
     f"""SELECT c_custkey, CASE WHEN page % 2 <> 0 THEN c_acctbal END AS c_acctbal,
         CASE WHEN page % 3 = 0 THEN 'n' ELSE '' END || CAST(c_nationkey AS VARCHAR) AS c_nationkey,
-        CASE WHEN page >= 5 THEN c_mktsegment END AS segment FROM {PAGED_SQL}""",
+        CASE WHEN page >= 5 OR page = 1 THEN c_mktsegment END AS segment FROM {PAGED_SQL}""",
 )
 def pages_that_differ(spark, folder):
     """Columns and types come from the pages: what some lack is NULL, what differs in type is text."""
     config = _differing_pages(spark, folder)
-    return extract(spark, "rest_api", config).drop(POSITION).select("c_custkey", "c_acctbal", "c_nationkey", "segment")
+    return extract(spark, "rest_api", config).drop(POSITION).select(
+        "c_custkey", "c_acctbal", F.col("c_nationkey").cast("string").alias("c_nationkey"), "segment"
+    )
 
 
 @query(
@@ -109,7 +111,7 @@ def pages_that_differ(spark, folder):
     c AS (SELECT page, 'c_custkey' AS name, 'BIGINT' AS dtype FROM p
         UNION ALL SELECT page, 'c_acctbal', 'number' FROM p WHERE page % 2 <> 0
         UNION ALL SELECT page, 'c_nationkey', CASE WHEN page % 3 = 0 THEN 'STRING' ELSE 'BIGINT' END FROM p
-        UNION ALL SELECT page, 'segment', 'STRING' FROM p WHERE page >= 5)
+        UNION ALL SELECT page, 'segment', 'STRING' FROM p WHERE page >= 5 OR page = 1)
     SELECT coalesce(a.page, b.page + 1) AS page, coalesce(a.name, b.name) AS name,
         CASE WHEN b.name IS NULL THEN 'added' WHEN a.name IS NULL THEN 'removed' ELSE 'type' END AS change
     FROM c a FULL JOIN c b ON a.page = b.page + 1 AND a.name = b.name
