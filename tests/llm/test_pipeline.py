@@ -49,5 +49,5 @@ def test_registered_names():
 
     names = set(registered.queries())
     assert set(queries.QUERIES) <= names
-    assert {n.split("_")[0] for n in names if n.startswith("op")} == {f"op{i}" for i in range(1, 11)}
+    assert {n.split("_")[0] for n in names if n.startswith("op")} == {f"op{i}" for i in range(1, 14)}
     assert set(registered.oracle_sql()) >= {"op2_hamming_search", "op4_chat_trees", "op7_mixing"}
