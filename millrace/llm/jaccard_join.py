@@ -15,14 +15,17 @@ A document's set holds the hashes of its runs of ``WIDTH`` words (lower-cased A-
 4. Lists whose nodes are all in one component are done. In the others, nodes outside the list's largest
    component are compared with a few members of that one, some rounds long (:func:`_hub_pairs`).
    What is apart then meets, node by node, by size blocks: a posting's position says how large a partner may still be, so whole blocks
-   of a list are skipped (:func:`_reachable_blocks`).
+   of a list are skipped (:func:`_reachable_blocks`), and a pair whose bitmaps differ in too many bits
+   is dropped where it meets.
 5. Such a pair's overlap is first bounded from a highly similar set's: if x is close to h and the
    overlap of h and y is known, that of x and y differs by at most what x and h do not share
    (:func:`_derived`). Only pairs left open by the bounds are compared set against set.
 
-What crosses the network per document is a fifth of its set, its bitmap (an eighth of a byte per
-shingle), and the sets of documents that are in a pair the bounds leave. Nothing grows with the square of a
-group: copies fall together, near copies are compared with leaders until they are one component.
+What crosses the network per document is a fifth of its set, its bitmap (a quarter to half a byte per
+shingle, also with each posting of an open list), and the sets of documents that are in a pair the bounds leave.
+Copies fall together, and near copies are compared with leaders until they are one component. Texts that are
+nearly alike but link with nothing stay apart: within such a family each pair has its bitmaps compared inside
+the join, so that work does grow with the square of the family; few of the pairs leave the join.
 
 Defined results: a document with fewer words than ``WIDTH`` has its whole sequence as only element;
 without words, or with a NULL text, its set is empty and it links with nothing. Rows that repeat a
@@ -88,21 +91,21 @@ def node_of(found: np.ndarray) -> int | None:
     return int(mixed(np.array([mixed(found).sum(dtype=np.uint64) + np.uint64(len(found))]))[0].astype(np.int64))
 
 
-def parity_bitmap(found: np.ndarray) -> bytes:
-    """Bits that each element flips one of; about as many as elements, a power of two.
+def parity_bitmap(found: np.ndarray) -> np.ndarray:
+    """Bits, in words of 64, that each element flips one of; two to four for an element, a power of two.
 
     Two sets differ in at least as many elements as bits, also after the longer bitmap was folded.
     """
-    bits = max(LEAST_BITS, 1 << (len(found) - 1).bit_length()) if len(found) else LEAST_BITS
+    bits = max(LEAST_BITS, 2 << (len(found) - 1).bit_length()) if len(found) else LEAST_BITS
     flips = np.bincount((found & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
-    return np.packbits(flips.astype(np.uint8), bitorder="little").tobytes()
+    return np.packbits(flips.astype(np.uint8), bitorder="little").view(np.int64)
 
 
 def _flipped(left: pa.Array, right: pa.Array) -> pa.Array:
     """In how many bits the bitmaps differ."""
     out = np.zeros(len(left), np.int32)
     for i, (x, y) in enumerate(zip(left, right, strict=True)):
-        x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
+        x, y = x.values.to_numpy().view(np.uint64), y.values.to_numpy().view(np.uint64)
         if len(x) > len(y):
             x, y = y, x
         if len(x) < len(y):
@@ -122,9 +125,9 @@ def _counted(runs: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
 
 
 _SURVEY = pa.schema([
-    ("doc_id", pa.int64()), ("digest", pa.binary()), ("n", pa.int32()), ("node", pa.int64()), ("bitmap", pa.binary()), ("token", pa.int64()), ("hits", pa.int64()),
+    ("doc_id", pa.int64()), ("digest", pa.binary()), ("n", pa.int32()), ("node", pa.int64()), ("bitmap", pa.list_(pa.int64())), ("token", pa.int64()), ("hits", pa.int64()),
 ])
-_SURVEY_DDL = "doc_id bigint, digest binary, n int, node bigint, bitmap binary, token bigint, hits bigint"
+_SURVEY_DDL = "doc_id bigint, digest binary, n int, node bigint, bitmap array<bigint>, token bigint, hits bigint"
 
 
 def _survey(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -151,7 +154,7 @@ def _survey(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 size = 0
         empty = pa.nulls(len(batch), pa.int64())
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0), batch.column(2), pa.array(lengths, pa.int32()), pa.array(nodes, pa.int64()), pa.array(bitmaps, pa.binary()), empty, empty],
+            [batch.column(0), batch.column(2), pa.array(lengths, pa.int32()), pa.array(nodes, pa.int64()), pa.array(bitmaps, pa.list_(pa.int64())), empty, empty],
             schema=_SURVEY,
         )
     yield frequent()
@@ -370,14 +373,25 @@ def _reachable_blocks(n: str, pos: str) -> Column:
     return F.when(most >= least, F.sequence(_block(least), _block(most)))
 
 
-def _block_pairs(lists: DataFrame) -> DataFrame:
-    """Pairs of different components that meet in a list at places and with sizes that allow a link."""
-    index = lists.select("token", _block(F.col("n")).alias("block"), F.col("node").alias("y"), F.col("n").alias("m"), F.col("pos").alias("at"), F.col("label").alias("other"))
-    probe = lists.select("token", F.explode(_reachable_blocks("n", "pos")).alias("block"), "node", "n", "pos", "label")
+def _bits_fit() -> Column:
+    """Whether the bitmaps of two sets allow a link; those of unlike lengths are left to :func:`_may_link`."""
+    apart = F.zip_with("bits", "bits_y", lambda x, y: F.bit_count(x.bitwiseXOR(y)))
+    return (F.size("bits") != F.size("bits_y")) | (9 * F.aggregate(apart, F.lit(0), lambda total, x: total + x) <= F.col("n") + F.col("m"))
+
+
+def _block_pairs(lists: DataFrame, bitmaps: DataFrame) -> DataFrame:
+    """Pairs of different components that meet in a list at places, with sizes and bitmaps that allow a link."""
+    lists = lists.join(bitmaps.withColumnRenamed("bitmap", "bits"), "node")
+    index = lists.select(
+        "token", _block(F.col("n")).alias("block"), F.col("node").alias("y"), F.col("n").alias("m"), F.col("pos").alias("at"),
+        F.col("label").alias("other"), F.col("bits").alias("bits_y"),
+    )
+    probe = lists.select("token", F.explode(_reachable_blocks("n", "pos")).alias("block"), "node", "n", "pos", "label", "bits")
     return (
         probe.join(index, ["token", "block"])
         .where("other <> label and (m < n or (m = n and y < node)) and 5 * m >= 4 * n")
         .where(_places_fit("n", "pos", "m", "at"))
+        .where(_bits_fit())
         .select(*_pair("node", "y", "n", "m"))
         .distinct()
     )
@@ -465,7 +479,7 @@ def _grouped(docs: DataFrame, digest: Column | None = None) -> tuple[DataFrame,
         lists = lists.drop("label")
 
     lists = _open_lists(lists, labels)
-    pairs = staged(_block_pairs(lists).join(_known(compared), ["a", "b"], "left_anti"), "pairs")
+    pairs = staged(_block_pairs(lists, bitmaps).join(_known(compared), ["a", "b"], "left_anti"), "pairs")
     pairs = staged(_may_link(pairs, bitmaps), "pairs")
     bounded = staged(_derived(pairs, compared), "bounds")
     links = bounded.where(_enough(F.col("least"))).select("a", "b")

@@ -88,6 +88,22 @@ def test_groups_of_near_copies_chains_and_shared_passages(spark, make_docs, monk
     assert groups_found(make_docs(rows).repartition(7)) == groups_by_brute_force(rows)
 
 
+def test_near_copies_below_the_threshold_do_not_leave_the_join(spark, make_docs, monkeypatch):
+    rng = random.Random(8)
+    base, made = " ".join(f"w{rng.randrange(5000)}" for _ in range(200)), []
+    plain = jaccard_join._block_pairs
+
+    def counted(lists, bitmaps):
+        pairs = plain(lists, bitmaps)
+        made.append(pairs.count())
+        return pairs
+
+    monkeypatch.setattr(jaccard_join, "_block_pairs", counted)
+    rows = [(i, varied(rng, base, 3)) for i in range(400)]
+    assert groups_found(make_docs(rows)) == groups_by_brute_force(rows)
+    assert made[0] < 400 * 399 / 2 / 10
+
+
 def test_groups_of_random_small_sets(spark, make_docs):
     rng = random.Random(11)
     rows = [(i, " ".join(rng.choice("abcd") for _ in range(rng.randrange(12)))) for i in range(300)]
@@ -101,7 +117,7 @@ def test_bounds_never_drop_a_link():
         y = np.unique(np.concatenate([x[rng.random(len(x)) < rng.uniform(0.7, 1)], rng.integers(0, 2**63, rng.integers(0, 40), dtype=np.uint64)]))
         import pyarrow as pa
 
-        flipped = jaccard_join._flipped(pa.array([jaccard_join.parity_bitmap(x)], pa.binary()), pa.array([jaccard_join.parity_bitmap(y)], pa.binary()))
+        flipped = jaccard_join._flipped(pa.array([jaccard_join.parity_bitmap(x)]), pa.array([jaccard_join.parity_bitmap(y)]))
         assert flipped[0].as_py() <= len(np.setxor1d(x, y))
         common = len(np.intersect1d(x, y))
         if 100 * common >= 80 * (len(x) + len(y) - common) and len(y):
