@@ -1,14 +1,24 @@
 """HTML extraction by line-block distribution.
 
-Markup is stripped into lines, one per block of the page: where block elements begin and end, lines do.
-Scripts, styles, comments, and elements that name themselves as menus, headers, footers, sidebars,
-notices, adverts, forms or reader comments give no line. If the page marks its article (``article``, else
-``main``), all lines of it are kept, those of each if there are several, and no others. Else the text
-lengths of ``WINDOW`` lines are summed from each line on and up to each line (lengths without link
-texts, so lists of links weigh little). Where the larger sum first reaches a threshold of the page's
-own the text surges, where it is last reached it dives, and all that lies between is kept: short lines,
-lists and linked lines too. Lines at the two ends that are links only are left out, unless
-they are headings or paragraphs.
+Markup is stripped into lines, one per block of the page: where block elements begin and end, lines do. Every
+page is then judged by the distribution of its text over the lines; what its tags and classes say goes into
+the weights (:func:`line_weights`):
+
+* Scripts, styles, comments, hidden elements, menus, headers, footers and sidebars by their tags or roles give
+  no line. Elements that by class or id are notices, adverts, forms or reader comments weigh nothing, and so
+  does all below a last heading "Comments" that has half of the text above it. A word that may mean something else counts only if it makes up half
+  of its name, and not beside words of state ("comments-open"). If a form, or an element so named, holds nearly
+  all the text in paragraphs, it is the text.
+* If ``article`` or ``main`` elements hold a title or a part of the text (``TRUSTED``), their lines weigh enough
+  to surge by themselves and lines outside weigh nothing; what stands in ``main`` beside its articles
+  counts if it is a heading or paragraph. Else these tags say nothing (a teaser).
+* Any other line weighs the length of its text less that of its links.
+
+The weights of ``WINDOW`` lines are summed from each line on and up to each line. Where the larger sum first
+reaches a threshold of the page's own the text surges, where it is last reached it dives, and all lines between
+that weigh something or are short, listed or linked there are kept. A list or table that the dive cuts is kept
+whole. At the two ends, lines that are links only, are short and no sentence, heading or paragraph, or are
+notices of rights and cookies are left out.
 
 A line is its text with character references decoded, white space turned into one space, and trimmed;
 lines are joined by one line feed. Nothing else is dropped or cut.
@@ -35,6 +45,11 @@ from millrace.llm.staging import fresh_name
 WINDOW = 3
 # The threshold is this part of the page's mean window sum.
 SURGE = 0.5
+# Article and main elements are believed if they hold this part of the page's text, or a title.
+TRUSTED = 0.1
+# A marked element is the text if it holds so many characters, and so many times those of the rest.
+LEAST_TEXT = 200
+MOST_OF_TEXT = 4
 
 # Elements by what becomes of them.
 BLOCKS = frozenset(
@@ -44,21 +59,33 @@ BLOCKS = frozenset(
 )
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = ("script", "style", "noscript", "template", "svg", "math", "iframe", "textarea", "select", "button", "object", "canvas", "audio", "video", "head", "title")
-SKIPPED = frozenset("nav footer aside form header menu dialog".split())
+SKIPPED = frozenset("nav footer aside header menu dialog".split())
 SKIPPED_ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog menu menubar form".split())
-SKIPPED_WORDS = frozenset(
-    "ad ads advert adverts advertisement advertising advertorial sponsor sponsored promo promotion banner nav navbar navigation menu"
-    " breadcrumb breadcrumbs sidebar footer header masthead cookie cookies consent gdpr notice notices notification alert popup"
-    " modal overlay newsletter subscribe subscription signup login comment comments commentlist disqus reply replies respond share"
-    " sharing social related recommended pagination pager toolbar widget skip".split()
+# Words in a class or id that mark an element wherever they stand, and those that mark it if they are half of its words.
+MARKS = frozenset(
+    "ad ads advert adverts advertisement advertising advertorial sponsor sponsored promo nav navbar navigation menu breadcrumb"
+    " breadcrumbs sidebar footer masthead cookie cookies consent gdpr popup modal overlay newsletter subscribe disqus pagination"
+    " pager toolbar commentlist".split()
 )
-# A class that speaks of a layout, as "with-sidebar", or of an article's own head, is no such element.
-LAYOUT_WORDS = frozenset("with has no layout".split())
+WEAK_MARKS = frozenset(
+    "banner header notice notices notification alert promotion subscription signup login comment comments reply replies respond"
+    " share sharing social related recommended widget skip".split()
+)
+# Words of a name that say nothing of its kind.
+NEUTRAL_WORDS = frozenset(
+    "article block area box container content entry inner item js list main outer page post section single site wp wrap wrapper".split()
+)
+# Beside these a word speaks of a layout or a state, as "with-sidebar"; or of an article's own head.
+LAYOUT_WORDS = frozenset("with has no layout open closed enabled disabled allowed on off".split())
 HEAD_WORDS = frozenset("article post entry content story title".split())
-# An article or main element goes only for these.
-NO_ARTICLE_WORDS = frozenset("comment comments ad ads advert advertisement sponsored promo related".split())
+# An article or main element is marked only by these; text so marked is never the page's text.
+NO_ARTICLE_WORDS = frozenset("comment comments ad ads advert advertisement sponsor promo related".split())
+NEVER_TEXT = NO_ARTICLE_WORDS | frozenset("adverts advertising sponsored commentlist disqus reply replies respond cookie cookies consent gdpr".split())
+# Text that the dive may not cut in two.
+WHOLE_BLOCKS = ("ul", "ol", "dl", "table", "pre")
+HEADINGS = ("h1", "h2", "h3", "h4", "h5", "h6")
 # A line of links in one of these is text.
-TEXT_BLOCKS = ("p", "h1", "h2", "h3", "h4", "h5", "h6")
+TEXT_BLOCKS = ("p", *HEADINGS)
 # An open p ends where one of these begins; li, dt/dd, options and table parts end at the next of their kind.
 CLOSED_BY_SAME = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "option": ("option",), "tr": ("tr",), "td": ("td", "th"), "th": ("td", "th")}
 
@@ -73,32 +100,42 @@ _RAW_END = {name: re.compile(rf"</{name}(?=[\s/>])[^>]*+>", re.IGNORECASE) for n
 _BODY = re.compile(r"</head\s*>|<body\b", re.IGNORECASE)
 _ATTRIBUTE = re.compile(r"([^\s\"'>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 _WORD = re.compile(r"[a-z0-9]+")
+_SENTENCE = re.compile(r"[.!?:;…。！？][\"'”’»)\]]*$")
+_RIGHTS = re.compile(r"^(?:©|\(c\) |copyright\b)|\ball rights reserved\b|\b(?:use|uses|using) cookies\b|^accept(?: all)?(?: cookies)?$", re.IGNORECASE)
+_COMMENTS = re.compile(r"(?:\d+ )?(?:(?:reader|user) )?comments?(?: \(\d+\))?:?|\d+ (?:replies|responses)", re.IGNORECASE)
+
+
+def _words_mark(name: str, value: str) -> set[str]:
+    """The words of a class or id that mark an element as no part of the main text."""
+    marks = NO_ARTICLE_WORDS if name in ("article", "main") else MARKS | WEAK_MARKS
+    for part in value.split():
+        words = _WORD.findall(part)
+        found = marks.intersection(words)
+        if not found or LAYOUT_WORDS.intersection(words) or found == {"header"} and HEAD_WORDS.intersection(words):
+            continue
+        telling = [w for w in words if w in found or not (w in NEUTRAL_WORDS or w.isdigit())]
+        if found & MARKS or 2 * sum(w in found for w in telling) >= len(telling):
+            return found
+    return set()
 
 
-def _marked_as_other(name: str, attributes: str) -> bool:
-    """Whether an element says that it is no part of the main text."""
+def _marked_as_other(name: str, attributes: str) -> tuple[bool, bool, bool]:
+    """Whether an element gives no lines, is marked as no part of the main text, and cannot be it for all that."""
     if name in ("body", "html"):
-        return False
-    words = NO_ARTICLE_WORDS if name in ("article", "main") else SKIPPED_WORDS
+        return False, False, False
     if name in SKIPPED:
-        return True
-    if not attributes.strip():
-        return False
-    for key, *values in _ATTRIBUTE.findall(attributes):
+        return True, False, False
+    marked, never = name == "form", False
+    for key, *values in _ATTRIBUTE.findall(attributes) if attributes.strip() else ():
         key, value = key.lower(), next((v for v in values if v), "").lower()
-        if key == "hidden" or (key == "aria-hidden" and value == "true"):
-            return True
-        if key == "role" and value in SKIPPED_ROLES:
-            return True
+        if key == "hidden" or (key == "aria-hidden" and value == "true") or (key == "role" and value in SKIPPED_ROLES):
+            return True, False, False
         if key == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value):
-            return True
+            return True, False, False
         if key in ("class", "id"):
-            for part in value.split():
-                found = set(_WORD.findall(part))
-                other = found & words
-                if other and not found & LAYOUT_WORDS and not (other == {"header"} and found & HEAD_WORDS):
-                    return True
-    return False
+            found = _words_mark(name, value)
+            marked, never = marked or bool(found), never or bool(found & NEVER_TEXT)
+    return False, marked, never
 
 
 class _Page:
@@ -106,14 +143,20 @@ class _Page:
 
     def __init__(self):
         self.lines: list[str] = []
-        self.lengths: list[int] = []
-        self.edges: list[bool] = []  # whether the kept span may begin or end here
+        self.lengths: list[int] = []  # without links
+        self.blocks: list[str] = []  # p or heading around, else empty
         self.owners: list[int] = []  # 0: none, else the number of the article or main around
+        self.within: list[tuple[int, ...]] = []  # marked elements around
+        self.wholes: list[int] = []  # 0: none, else the number of the outermost list or table around
         self.kinds: list[str] = [""]
-        self.open: list[tuple[str, bool, int]] = []  # name, whether skipped, owner outside
+        self.mains: list[int] = [0]  # of each article or main the main around
+        self.never: list[bool] = []  # of each marked element whether it cannot be the text
+        self.open: list[tuple[str, bool, bool, int]] = []  # name, whether skipped, whether marked, owner outside
         self.opened: Counter[str] = Counter()
+        self.marks: tuple[int, ...] = ()
         self.skipping = 0
         self.owner = 0
+        self.whole = self.whole_depth = 0
         self.parts: list[str] = []
         self.linked = 0
         self.links = 0
@@ -129,18 +172,22 @@ class _Page:
             line = " ".join(html.unescape("".join(self.parts)).split())
             if line:
                 self.lines.append(line)
-                length = max(len(line) - self.linked, 0)
-                self.lengths.append(length)
-                self.edges.append(length > 0 or any(self.opened[x] for x in TEXT_BLOCKS))
+                self.lengths.append(max(len(line) - self.linked, 0))
+                self.blocks.append(next((x for x in TEXT_BLOCKS if self.opened[x]), ""))
                 self.owners.append(self.owner)
+                self.within.append(self.marks)
+                self.wholes.append(self.whole if self.whole_depth else 0)
             self.parts, self.linked = [], 0
 
     def _pop(self) -> None:
-        name, skipped, owner = self.open.pop()
+        name, skipped, marked, owner = self.open.pop()
         self.opened[name] -= 1
         self.skipping -= skipped
+        if marked:
+            self.marks = self.marks[:-1]
         self.owner = owner
         self.links -= name == "a"
+        self.whole_depth -= name in WHOLE_BLOCKS
 
     def begin(self, name: str, attributes: str) -> None:
         if name == "br":
@@ -158,15 +205,27 @@ class _Page:
                     self._close_open(other, ("ul", "ol", "dl", "table", "select"))
         if name in ("article", "main") and len(self.kinds) == 1:
             # an unclosed menu or advert ends where the page's first article begins
-            while self.skipping:
+            while self.skipping or self.marks:
                 self._pop()
-        skipped = _marked_as_other(name, attributes) and not (name == "header" and self.kinds[self.owner] == "article")
-        self.open.append((name, skipped, self.owner))
+        skipped, marked, never = _marked_as_other(name, attributes)
+        if skipped and name == "header" and self.kinds[self.owner] == "article":
+            skipped = False
+        # elements nested without end are not told apart
+        marked = marked and len(self.marks) < 50
+        self.open.append((name, skipped, marked, self.owner))
         self.opened[name] += 1
         self.skipping += skipped
+        if marked:
+            self.marks = (*self.marks, len(self.never))
+            self.never.append(never)
         self.links += name == "a"
-        if name in ("article", "main") and not self.skipping and (not self.owner or self.kinds[self.owner] == "main" and name == "article"):
+        if name in WHOLE_BLOCKS:
+            self.whole += not self.whole_depth
+            self.whole_depth += 1
+        inside = self.kinds[self.owner]
+        if name in ("article", "main") and not self.skipping and (not inside or inside == "main" and name == "article"):
             self.kinds.append(name)
+            self.mains.append(self.owner if inside == "main" else 0)
             self.owner = len(self.kinds) - 1
 
     def _close_open(self, name: str, barriers: tuple[str, ...]) -> None:
@@ -227,15 +286,75 @@ def page_lines(source: str) -> _Page:
     return page
 
 
-def surge_and_dive(lengths: np.ndarray, window: int = WINDOW) -> tuple[int, int]:
-    """The lines from the first surge to the last dive, as begin and end."""
-    if not len(lengths):
-        return 0, 0
-    padding = np.zeros(window - 1, lengths.dtype)
-    sums = np.convolve(np.concatenate((padding, lengths, padding)), np.ones(window, lengths.dtype), "valid")
-    up_to, onward = sums[: len(lengths)], sums[window - 1 :]
-    high = np.flatnonzero(np.maximum(up_to, onward) >= max(SURGE * onward.mean(), 1))
-    return (int(high[0]), int(high[-1]) + 1) if len(high) else (0, 0)
+def surge_and_dive(weights: np.ndarray, sure: np.ndarray | None = None, window: int = WINDOW) -> tuple[int, int, float]:
+    """The lines from the first surge to the last dive, as begin and end, and the threshold; lines that are sure surge."""
+    if not len(weights):
+        return 0, 0, 1.0
+    padding = np.zeros(window - 1)
+
+    def sums(of):
+        return np.convolve(np.concatenate((padding, of, padding)), np.ones(window), "valid")
+
+    threshold = max(SURGE * sums(weights)[window - 1 :].mean(), 1)
+    raised = sums(weights if sure is None else np.where(sure, np.maximum(weights, threshold), weights))
+    high = np.flatnonzero(np.maximum(raised[: len(weights)], raised[window - 1 :]) >= threshold - 1e-9)
+    return (int(high[0]), int(high[-1]) + 1, threshold) if len(high) else (0, 0, threshold)
+
+
+def _void_marks(page: _Page) -> set[int]:
+    """Marked elements that hold nearly all of the page's text, in paragraphs; outer ones first."""
+    void: set[int] = set()
+    if all(page.never):
+        return void
+    lines_of: list[list[int]] = [[] for _ in page.never]
+    rest = 0
+    for i, marks in enumerate(page.within):
+        rest += 0 if marks else page.lengths[i]
+        for mark in marks:
+            lines_of[mark].append(i)
+    for mark, never in enumerate(page.never):
+        inside = [] if never else [i for i in lines_of[mark] if void.issuperset(m for m in page.within[i] if m != mark)]
+        text = sum(page.lengths[i] for i in inside)
+        if text >= max(LEAST_TEXT, MOST_OF_TEXT * rest) and sum(page.blocks[i] == "p" for i in inside) >= 2:
+            void.add(mark)
+            rest += text
+    return void
+
+
+def line_weights(page: _Page) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The lines' weights, which of them may be text at all, and which surely are."""
+    size = len(page.lines)
+    lengths = np.array(page.lengths, dtype=np.float64)
+    void = _void_marks(page)
+    may = np.array([not marks or void.issuperset(marks) for marks in page.within], bool)
+    # reader comments below their heading
+    before = np.concatenate(([0], np.cumsum(np.where(may, lengths, 0))))
+    for i in reversed(range(size)):
+        if may[i] and page.blocks[i] in HEADINGS and _COMMENTS.fullmatch(page.lines[i]):
+            if 2 * before[i] >= before[-1]:
+                may[i:] = False
+            break
+    total = lengths[may].sum()
+    owners = np.array(page.owners, dtype=np.int64)
+    kinds, mains = np.array(page.kinds), np.array(page.mains, dtype=np.int64)
+    titled = np.array([block == "h1" for block in page.blocks], bool)
+
+    def trusted(lines):
+        lines = lines & may
+        return bool(lines.any() and (titled[lines].any() or lengths[lines].sum() >= TRUSTED * total))
+
+    articles = kinds[owners] == "article"
+    in_main = (kinds[owners] == "main") | (mains[owners] > 0)
+    sure = np.zeros(size, bool)
+    if trusted(articles):
+        beside = in_main & ~articles & (lengths > 0) & np.array([bool(block) for block in page.blocks], bool)
+        beside &= np.array([not _RIGHTS.search(line) for line in page.lines], bool)
+        sure = (articles | beside) & may
+    elif trusted(in_main):
+        sure = in_main & may
+    if sure.any():
+        may = sure
+    return np.where(may, lengths, 0.0), may, sure
 
 
 def main_text(source: str | None) -> str:
@@ -243,17 +362,35 @@ def main_text(source: str | None) -> str:
     if not source:
         return ""
     page = page_lines(source)
-    owned = {page.kinds[owner] for owner in page.owners}
-    for marked in ("article", "main"):
-        if marked in owned:
-            return "\n".join(line for line, owner in zip(page.lines, page.owners, strict=True) if page.kinds[owner] == marked)
-    begin, end = surge_and_dive(np.array(page.lengths, dtype=np.int64))
-    # the sums look past the text: its first and last lines may be menus
-    while begin < end and not page.edges[begin]:
+    if not page.lines:
+        return ""
+    weights, may, sure = line_weights(page)
+    begin, end, threshold = surge_and_dive(weights, sure)
+    if begin < end:
+        whole = {w for w in (page.wholes[begin], page.wholes[end - 1]) if w}
+        text = {w: sum(page.lengths[i] for i in range(len(page.lines)) if page.wholes[i] == w and may[i]) for w in whole}
+        full = {w: sum(len(page.lines[i]) for i in range(len(page.lines)) if page.wholes[i] == w and may[i]) for w in whole}
+        while begin and page.wholes[begin - 1] == page.wholes[begin] and 2 * text.get(page.wholes[begin], 0) > full.get(page.wholes[begin], 0):
+            begin -= 1
+        while end < len(page.lines) and page.wholes[end] == page.wholes[end - 1] and 2 * text.get(page.wholes[end], 0) > full.get(page.wholes[end], 0):
+            end += 1
+
+    def stays(i: int) -> bool:
+        """Whether a line may be the text's first or last: the sums look past the text."""
+        line = page.lines[i]
+        if sure[i]:
+            return True
+        if not may[i] or len(line) < 200 and _RIGHTS.search(line):
+            return False
+        if page.blocks[i]:
+            return True
+        return page.lengths[i] > 0 and (page.wholes[i] > 0 or page.lengths[i] >= threshold / WINDOW or bool(_SENTENCE.search(line)))
+
+    while begin < end and not stays(begin):
         begin += 1
-    while begin < end and not page.edges[end - 1]:
+    while begin < end and not stays(end - 1):
         end -= 1
-    return "\n".join(page.lines[begin:end])
+    return "\n".join(page.lines[i] for i in range(begin, end) if may[i])
 
 
 def extracted(pages: DataFrame, source: str = "html", name: str = "main_text") -> tuple[DataFrame, str]:
