@@ -79,6 +79,7 @@ FAMILIES = (
     ("zlib", ("zlib license", "zlib libpng license"), ()),
 )
 GRANT = "(?:licensed|released|distributed|available|published|provided) under (?:the |a )?(?:terms of (?:the )?)?"
+GNU = ("agpl", "gfdl", "gpl", "lgpl")
 # Between a GNU license's name and its version in its own notice.
 PUBLISHED = "(?: as published by the free software foundation(?: inc)?)?(?: either)?"
 LATER = "(?: of the licen[sc]e)? or (?:at your option )?(?:any )?later(?: version)?"
@@ -92,6 +93,7 @@ SHORT = (
 _BSD = "redistribution and use in source and binary forms with or without modification are permitted"
 _FREELY = "permission to use copy modify and (?:or )?distribute this software for any purpose with or without fee is hereby granted"
 TEXTS = (
+    ("spdx license identifier mit 0", "spdx license identifier mit 0", "mit-0", 4),
     ("bsd 2 clause", "bsd 2 clause", "bsd-2-clause", 2), ("bsd 3 clause", "bsd 3 clause", "bsd-3-clause", 2), ("2 clause bsd", "2 clause bsd", "bsd-2-clause", 2),
     ("3 clause bsd", "3 clause bsd", "bsd-3-clause", 2), ("ms pl", "ms pl", "ms-pl", 2), ("ms rl", "ms rl", "ms-rl", 2),
     ("under mit", GRANT + "mit", "mit", 3), ("under the mit", GRANT + "mit", "mit", 3), ("terms of the mit", GRANT + "mit", "mit", 3),
@@ -136,7 +138,7 @@ def signature_rules() -> list[dict]:
                 add(name, f"{name}{number}", numbered, 2)
                 add(name, f"{GRANT}{name}{number}", numbered, 4)
                 add(name, f"{name}{number} or (?:any )?later(?: version)?", f"{numbered}-or-later", 4)
-                published = PUBLISHED if label in ("agpl", "gfdl", "gpl", "lgpl") else ""
+                published = PUBLISHED if label in GNU else ""
                 add(name, f"{name}{published}{number}{LATER}", f"{numbered}-or-later", 4)
                 if published:
                     add(name, f"{name}{published}{number}", numbered, 3)
@@ -144,7 +146,10 @@ def signature_rules() -> list[dict]:
                 add(name, f"(?:version|v) {major}(?: 0)?{LATER} of (?:the )?{name}", f"{numbered}-or-later", 4)
         for version in versions or ("",):
             identifier = f"{label.replace('-', ' ')} {version}".strip()
-            add("spdx license identifier", f"spdx license identifier {identifier}", "-".join(filter(None, [label, version.replace(" ", ".")])), 4)
+            tagged = "-".join(filter(None, [label, version.replace(" ", ".")]))
+            add("spdx license identifier", f"spdx license identifier {identifier}", tagged, 4)
+            if label in GNU:
+                add("spdx license identifier", f"spdx license identifier {identifier}(?: 0)? or later", f"{tagged}-or-later", 4)
     for label, name, versions in SHORT:
         for version in versions:
             major, numbered = version.removesuffix(" 0"), f"{label}-{version.replace(' ', '.')}"

@@ -260,6 +260,62 @@ def test_html_keeps_linked_headings_and_every_article():
     assert html_text.main_text(f"<p>{text}</p>{articles}<div class=related><article><p>{text}</p></article></div>") == "\n".join(long + short)
 
 
+PARAGRAPHS = "".join(f"<p>{LONG * 6}</p>" for _ in range(6))
+STORY = "\n".join([(LONG * 6).strip()] * 6)
+
+
+@pytest.mark.parametrize(
+    ("source", "wanted"),
+    [
+        ('<article class="post comments-open"><p>one</p></article>', "one"), ('<div class="content comment-enabled"><p>one</p></div>', "one"),
+        (f'<div>{PARAGRAPHS}</div><article class="teaser"><p>Read on.</p><p>More.</p></article>', f"{STORY}\nRead on.\nMore."),
+        (f"<main><h1>The Title</h1><article>{PARAGRAPHS}</article><p>Closing text.</p></main>", f"The Title\n{STORY}\nClosing text."),
+        (f'<article><p class="notice-board-history">Boards.</p>{PARAGRAPHS}</article>', f"Boards.\n{STORY}"),
+        (f'<article>{PARAGRAPHS}<p class="site-notice">No.</p><div class="user-comments"><p>{LONG * 9}</p></div></article>', STORY),
+        (f"<div>Acme Daily</div><div>Search</div><div>{PARAGRAPHS}</div><div>Copyright 2024 Acme</div><div>All rights reserved</div>", STORY),
+        (f"<div>{PARAGRAPHS}</div><p>We use cookies. Accept all</p>", STORY), (f"<p>{PARAGRAPHS}<h3>2 Comments</h3><ul><li>Nice!<li>No.</ul>", STORY),
+        (f'<form id="aspnetForm"><div class="cookie-bar"><p>Cookies</p></div>{PARAGRAPHS}</form><div>Home</div>', STORY),
+        (f'<div class="widget-page">{PARAGRAPHS}</div><div>Home</div>', STORY), (f'<div class="comments">{PARAGRAPHS}</div>', ""),
+        (f"<div>{PARAGRAPHS}<ul>{''.join(f'<li>item {i}</li>' for i in range(9))}</ul></div>", STORY + "".join(f"\nitem {i}" for i in range(9))),
+        (f"<article><h1>T</h1><p>short</p></article><div>{PARAGRAPHS}</div>", "T\nshort"), ("<footer>all</footer><div class=cookie>c</div>", ""),
+    ],
+)
+def test_html_tags_and_classes_are_evidence(source, wanted):
+    assert html_text.main_text(source) == wanted
+
+
+def test_html_distribution_against_brute_force():
+    rng = np.random.default_rng(2)
+    for _ in range(300):
+        weights = rng.integers(0, 200, rng.integers(1, 30)) * (rng.random() < 0.7)
+        weights[rng.random(len(weights)) < 0.5] = 0
+        sure = rng.random(len(weights)) < 0.2
+        threshold = max(html_text.SURGE * np.mean([sum(weights[i : i + 3]) for i in range(len(weights))]), 1)
+        raised = [max(w, threshold) if s else w for w, s in zip(weights, sure, strict=True)]
+        high = [i for i in range(len(weights)) if max(sum(raised[i : i + 3]), sum(raised[max(i - 2, 0) : i + 1])) >= threshold - 1e-9]
+        assert html_text.surge_and_dive(weights.astype(float), sure)[:2] == ((high[0], high[-1] + 1) if high else (0, 0))
+
+
+def test_html_of_an_empty_table_and_repeated_rows(spark):
+    page = "<article><p>x</p></article>"
+    rows = [(1, "u", page), (1, "u", page), (None, None, None), (2, "v", "")]
+    for given in (rows, []):
+        found, text = html_text.extracted(spark.createDataFrame(given, "page_id bigint, MAIN_TEXT string, html string"))
+        assert sorted((str(r.page_id), r[text]) for r in found.collect()) == ([("1", "x"), ("1", "x"), ("2", ""), ("None", "")] if given else [])
+
+
+@pytest.mark.parametrize(
+    ("line", "labels"),
+    [
+        ("SPDX-License-Identifier: GPL-2.0-or-later", "gpl-2-or-later"), ("SPDX-License-Identifier: LGPL-2.1-or-later", "lgpl-2.1-or-later"),
+        ("SPDX-License-Identifier: GPL-3.0-only", "gpl-3"), ("SPDX-License-Identifier: MIT-0", "mit-0"), ("SPDX-License-Identifier: MIT", "mit"),
+    ],
+)
+def test_license_tags(spark, line, labels):
+    rows, name = licenses.scanned(spark.createDataFrame([(1, line)], "doc_id bigint, text string"))
+    assert rows.select(f"`{name}`.labels").first()[0] == labels
+
+
 def test_long_broken_pages_end_soon():
     import time
 
