@@ -22,10 +22,10 @@ A document's set holds the hashes of its runs of ``WIDTH`` words (lower-cased A-
    (:func:`_derived`). Only pairs left open by the bounds are compared set against set.
 
 What crosses the network per document is a fifth of its set, its bitmap (a quarter to half a byte per
-shingle, also with each posting of an open list), and the sets of documents that are in a pair the bounds leave.
+shingle, also with each posting of a long open list), and the sets of documents that are in a pair the bounds leave.
 Copies fall together, and near copies are compared with leaders until they are one component. Texts that are
-nearly alike but link with nothing stay apart: within such a family each pair has its bitmaps compared inside
-the join, so that work does grow with the square of the family; few of the pairs leave the join.
+nearly alike but link with nothing stay apart: within such a family each pair has its bitmaps compared where it
+meets in a long list, so that work does grow with the square of the family; few of the pairs leave the join.
 
 Defined results: a document with fewer words than ``WIDTH`` has its whole sequence as only element;
 without words, or with a NULL text, its set is empty and it links with nothing. Rows that repeat a
@@ -58,6 +58,10 @@ MAP_BITS = 1 << 26
 # Bits of the parity bitmap of the smallest sets.
 LEAST_BITS = 64
 BLOCK_RATIO = 1.06
+# In lists of so many nodes their bitmaps are compared where they meet, as they are then lighter than the pairs;
+# pairs of shorter lists are tested later. Blocks are wider there, so that a bitmap travels to few of them.
+LARGE_LIST = 40
+LARGE_RATIO = 1.25
 # Rounds of comparisons with members of a list's largest component, and how many of them.
 HUB_ROUNDS = 1
 HUBS = 3
@@ -339,10 +343,10 @@ def _linked(compared: DataFrame) -> DataFrame:
 
 
 def _open_lists(shared: DataFrame, labels: DataFrame) -> DataFrame:
-    """The postings of lists that still have nodes of several components, with their labels."""
+    """The postings of lists that still have nodes of several components, with their labels and the list's length."""
     known = relabelled(shared.withColumn("label", F.col("node")), labels, "label")
-    mixed_lists = known.groupBy("token").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high")
-    return staged(known.join(mixed_lists.select("token"), "token", "left_semi"), "lists")
+    mixed_lists = known.groupBy("token").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("length")).where("low <> high")
+    return staged(known.join(mixed_lists.select("token", "length"), "token"), "lists")
 
 
 def _hub_pairs(lists: DataFrame, labels: DataFrame, turn: int) -> DataFrame:
@@ -359,7 +363,8 @@ def _hub_pairs(lists: DataFrame, labels: DataFrame, turn: int) -> DataFrame:
 
 
 def _block(size: Column) -> Column:
-    return F.floor(F.log(size) / F.log(F.lit(BLOCK_RATIO))).cast("int")
+    ratio = F.when(F.col("length") >= LARGE_LIST, LARGE_RATIO).otherwise(BLOCK_RATIO)
+    return F.floor(F.log(size) / F.log(ratio)).cast("int")
 
 
 def _reachable_blocks(n: str, pos: str) -> Column:
@@ -374,14 +379,17 @@ def _reachable_blocks(n: str, pos: str) -> Column:
 
 
 def _bits_fit() -> Column:
-    """Whether the bitmaps of two sets allow a link; those of unlike lengths are left to :func:`_may_link`."""
+    """Whether the bitmaps of two sets allow a link; those missing or of unlike lengths are left to :func:`_may_link`."""
     apart = F.zip_with("bits", "bits_y", lambda x, y: F.bit_count(x.bitwiseXOR(y)))
-    return (F.size("bits") != F.size("bits_y")) | (9 * F.aggregate(apart, F.lit(0), lambda total, x: total + x) <= F.col("n") + F.col("m"))
+    return F.col("bits").isNull() | (F.size("bits") != F.size("bits_y")) | (9 * F.aggregate(apart, F.lit(0), lambda total, x: total + x) <= F.col("n") + F.col("m"))
 
 
 def _block_pairs(lists: DataFrame, bitmaps: DataFrame) -> DataFrame:
     """Pairs of different components that meet in a list at places, with sizes and bitmaps that allow a link."""
-    lists = lists.join(bitmaps.withColumnRenamed("bitmap", "bits"), "node")
+    large = F.col("length") >= LARGE_LIST
+    lists = lists.where(large).join(bitmaps.withColumnRenamed("bitmap", "bits"), "node").unionByName(
+        lists.where(~large).withColumn("bits", F.lit(None).cast("array<bigint>"))
+    )
     index = lists.select(
         "token", _block(F.col("n")).alias("block"), F.col("node").alias("y"), F.col("n").alias("m"), F.col("pos").alias("at"),
         F.col("label").alias("other"), F.col("bits").alias("bits_y"),
@@ -476,7 +484,7 @@ def _grouped(docs: DataFrame, digest: Column | None = None) -> tuple[DataFrame,
         pairs = staged(_may_link(pairs, bitmaps), "pairs")
         fresh = _compared(pairs, _sets_of(pairs, texts, first_ids))
         compared, labels = compared.unionByName(fresh), contracted(_linked(fresh), labels)
-        lists = lists.drop("label")
+        lists = lists.drop("label", "length")
 
     lists = _open_lists(lists, labels)
     pairs = staged(_block_pairs(lists, bitmaps).join(_known(compared), ["a", "b"], "left_anti"), "pairs")
