@@ -60,7 +60,7 @@ LEAST_BITS = 64
 BLOCK_RATIO = 1.06
 # In lists of so many nodes their bitmaps are compared where they meet, as they are then lighter than the pairs;
 # pairs of shorter lists are tested later. Blocks are wider there, so that a bitmap travels to few of them.
-LARGE_LIST = 40
+LARGE_LIST = 16
 LARGE_RATIO = 1.25
 # Rounds of comparisons with members of a list's largest component, and how many of them.
 HUB_ROUNDS = 1
