@@ -37,6 +37,10 @@ from millrace.session import local_frame
 # the number of buckets, which MOST_BUCKETS bounds: beyond it buckets get larger, of several files each.
 BUCKET_ROWS = 500_000
 MOST_BUCKETS = 1 << 16
+# A bucket is a folder and a file in each load that hits it. Once there are MANY_BUCKETS, there are more only if
+# each of them is worth a file, so that the number of files does not run away from small ``bucket_rows``.
+MANY_BUCKETS = 256
+FILE_ROWS = 50_000
 # Snapshots whose rows stay readable.
 KEEP = 10
 BUCKET = "key_bucket"
@@ -102,14 +106,16 @@ class Dimension:
     def buckets_for(self, rows: int) -> int:
         """A power of two, so that more buckets split the ones there are."""
         wanted = max(1, -(-rows // self.bucket_rows))
+        if wanted > MANY_BUCKETS:
+            wanted = min(wanted, max(MANY_BUCKETS, -(-rows // FILE_ROWS)))
         return min(1 << (wanted - 1).bit_length(), MOST_BUCKETS)
 
     def layout(self, base: Snapshot | None, batch: DataFrame) -> int:
         """How many buckets the load after ``base`` deals rows to."""
         if base is None:
             return self.buckets_for(batch.count())
-        outgrown = base.rows > 2 * base.buckets * self.bucket_rows
-        return max(base.buckets, self.buckets_for(base.rows)) if outgrown else base.buckets
+        wanted = self.buckets_for(base.rows)
+        return wanted if wanted > 2 * base.buckets else base.buckets
 
     def hit(self, keys: DataFrame, buckets: int) -> set[int]:
         """The buckets of some keys; at most as many numbers as there are buckets."""

@@ -68,6 +68,23 @@ def test_an_outgrown_dimension_gets_more_buckets(spark, lake):
     assert dim.current().filter("valid_from < '2024-05-15'").count() == 10
 
 
+def test_small_buckets_are_many_but_not_a_file_for_every_few_rows(spark, lake):
+    load(spark, lake, "customers", people(spark, range(1500)), "first", bucket_rows=1)
+    dim = open_small(spark, lake, bucket_rows=1)
+    assert dim.snapshot().buckets == 256 and len({Path(f).parent for f in data_files(dim)}) <= 256
+    before = data_files(dim)
+    assert load(spark, lake, "customers", people(spark, [7, 2000], "new"), "second", LATER, bucket_rows=1) == {"created": 1, "updated": 1}
+    # it has not outgrown its buckets, so only those of the two keys are written
+    assert dim.snapshot().buckets == 256 and 1 <= len({Path(f).parent for f in data_files(dim) if f not in before}) <= 2
+    assert dim.current().count() == 1501 and dim.current().filter("email = 'new7'").count() == 1
+
+
+def test_buckets_grow_with_the_rows(spark, lake):
+    small, usual = open_small(spark, lake, bucket_rows=100), open_small(spark, lake, bucket_rows=500_000)
+    assert [small.buckets_for(n) for n in (0, 1, 101, 25_600, 5_400_000, 10**8)] == [1, 1, 2, 256, 256, 2048]
+    assert [usual.buckets_for(n) for n in (1, 10**6, 10**9, 10**12)] == [1, 2, 2048, targets.MOST_BUCKETS]
+
+
 def test_loads_in_buckets_equal_loads_in_one(spark, tmp_path):
     found = {}
     for rows in (3, 10_000):
