@@ -14,36 +14,43 @@ from millrace.llm.staging import staged
 from millrace.session import ship_package
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+# Rows go to Python workers by their bytes: 10,000 whole texts at once stay in the memory of both sides.
+BATCH_BYTES = 4 * 1024 * 1024
+
+
+def _prepare(spark: SparkSession) -> None:
+    ship_package(spark)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that fail a rule, or whose rule statistics are anomalous, go."""
-    ship_package(spark)
+    _prepare(spark)
     return quality_rules.keep_good(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language cannot be told go."""
-    ship_package(spark)
+    _prepare(spark)
     return language_id.keep_identified(docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near copies the document with the smallest id stays."""
-    ship_package(spark)
+    _prepare(spark)
     return jaccard_join.one_of_each_group(docs)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents that fill the mixture's token budget, each at most once."""
-    ship_package(spark)
+    _prepare(spark)
     rows, chosen = mixing.mixed_rows(docs, mixing.document_keys(), max_epochs=1)
     return rows.select(*[f"`{c}`" for c in docs.columns])
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of sequences of 2048 tokens."""
-    ship_package(spark)
+    _prepare(spark)
     return packing.packed(docs, TOKENIZER)
 
 

@@ -51,3 +51,14 @@ def test_registered_names():
     assert set(queries.QUERIES) <= names
     assert {n.split("_")[0] for n in names if n.startswith("op")} == {f"op{i}" for i in range(1, 14)}
     assert set(registered.oracle_sql()) >= {"op2_hamming_search", "op4_chat_trees", "op7_mixing"}
+
+
+def test_stages_hand_texts_to_workers_by_their_bytes(spark):
+    setting = "spark.sql.execution.arrow.maxBytesPerBatch"
+    spark.conf.unset(setting)
+    docs = spark.createDataFrame([(1, "a b c " * 200_000), (2, None), (3, "d")], "doc_id bigint, text string")
+    for name, stage in corpus_pipeline.STAGES:
+        if name == "pack":
+            found = {r.doc_id: r.doc_tokens for r in stage(spark, docs, "").select("doc_id", "doc_tokens").distinct().collect()}
+            assert set(found) == {1, 2, 3} and found[2] == 1
+    assert int(spark.conf.get(setting)) == corpus_pipeline.BATCH_BYTES
