@@ -29,7 +29,7 @@ through.
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -37,7 +37,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.llm.html_text import extracted
-from millrace.llm.staging import fresh_name, staged
+from millrace.llm.staging import fresh_name, staged, text_batches
 from millrace.llm.wordhash import Piece, pieces
 from millrace.operators.joins import broadcast_if_small
 
@@ -87,20 +87,23 @@ def _counter(languages: Sequence[str]):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         size = 1 << BUCKET_BITS
-        totals = np.zeros((len(languages), size), np.int64)
+        totals: dict[int, np.ndarray] = {}
         numbers = {name: i for i, name in enumerate(languages)}
         for batch in batches:
             declared = np.array([numbers.get(x, -1) for x in batch.column(0).to_pylist()])
             for piece in pieces(batch.column(1)):
                 buckets, firsts = _triples(piece)
-                owner = np.repeat(declared[piece.first : piece.first + piece.texts], np.diff(firsts))
-                known = owner >= 0
-                totals += np.bincount(owner[known] * size + buckets[known], minlength=totals.size).reshape(totals.shape)
-        language, bucket = np.nonzero(totals)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(language.astype(np.int32)), pa.array(bucket.astype(np.int32)), pa.array(totals[language, bucket])],
-            names=["language", "bucket", "n"],
-        )
+                of = declared[piece.first : piece.first + piece.texts]
+                owner = np.repeat(of, np.diff(firsts))
+                for language in np.unique(of[of >= 0]).tolist():  # only those of the piece, however many there are
+                    counts = np.bincount(buckets[owner == language], minlength=size)
+                    totals[language] = totals[language] + counts if language in totals else counts
+        for language, counts in totals.items():
+            bucket = np.flatnonzero(counts)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.full(len(bucket), language, np.int32)), pa.array(bucket.astype(np.int32)), pa.array(counts[bucket])],
+                names=["language", "bucket", "n"],
+            )
 
     return run
 
@@ -120,7 +123,8 @@ def train(rows: DataFrame, text: str, declared: Column, languages: Sequence[str]
     """Log likelihoods [language, bucket]: a table of fixed size, whatever the number of rows."""
     texts = rows.select(declared.alias("declared"), F.col(f"`{text}`").alias("text"))
     counted = texts.mapInArrow(_counter(languages), "language int, bucket int, n bigint")
-    sums = counted.groupBy("language", "bucket").agg(F.sum("n").alias("n")).toPandas()
+    with text_batches(rows.sparkSession):
+        sums = counted.groupBy("language", "bucket").agg(F.sum("n").alias("n")).toPandas()
     counts = np.full((len(languages), 1 << BUCKET_BITS), SMOOTHING)
     counts[sums["language"].to_numpy(int), sums["bucket"].to_numpy(int)] += sums["n"].to_numpy(float)
     return np.log((1 - UNSEEN) * counts / counts.sum(axis=1, keepdims=True) + UNSEEN / counts.shape[1])
@@ -146,10 +150,16 @@ def _text_evidence(model):
     return run
 
 
+def _once(value: Column, of: Callable[[Column], Column]) -> Column:
+    """``of(value)``, where a lambda in ``of`` gets the value and does not compute it for each of its elements."""
+    return F.get(F.transform(F.array(value), of), F.lit(0))
+
+
 def normalised(scores: Column) -> Column:
-    """Probabilities from log scores."""
-    powers = F.transform(scores, lambda x: F.exp(x - F.array_max(scores)))
-    return F.transform(powers, lambda x: x / F.aggregate(powers, F.lit(0.0), lambda a, b: a + b))
+    """Probabilities from log scores, in time that grows with their number."""
+    powers = _once(F.array_max(scores), lambda top: F.transform(scores, lambda x: F.exp(x - top)))
+    total = lambda values: F.aggregate(values, F.lit(0.0), lambda a, b: a + b)
+    return _once(powers, lambda values: _once(total(values), lambda n: F.transform(values, lambda x: x / n)))
 
 
 def primary_tag(declared: Column) -> Column:
@@ -191,12 +201,13 @@ def evidence_tables(evidence: DataFrame, languages: Sequence[str]) -> dict[str,
         kinds = _sums(evidence, key, languages)
         weights = [F.log((F.col(f"s{i}") + SMOOTHING) / float(total[i] + 1)) for i in range(count)]
         tables[key] = kinds.select(F.col(key), F.array(*weights).alias("weight"))
-    hosts = staged(_sums(evidence, "host", languages).withColumn("domain", domain_of(F.col("host"))), "hosts")
-    domains = hosts.groupBy("domain").agg(*[F.sum(f"s{i}").alias(f"d{i}") for i in range(count)])
-    rows = sum((F.col(f"d{i}") for i in range(count)), F.lit(0.0))
-    above = domains.select("domain", *[((F.col(f"d{i}") + PRIOR_ROWS * float(overall[i])) / (rows + PRIOR_ROWS)).alias(f"p{i}") for i in range(count)])
-    rows = sum((F.col(f"s{i}") for i in range(count)), F.lit(0.0))
-    prior = [F.log((F.col(f"s{i}") + PRIOR_ROWS * F.col(f"p{i}")) / (rows + PRIOR_ROWS)) for i in range(count)]
+    hosts = _sums(evidence, "host", languages).withColumn("domain", domain_of(F.col("host")))
+    # what all languages of a host or domain share is summed over an array: an expression of so many terms in each of them would be their square
+    of_all = lambda name: F.aggregate(F.array(*[f"{name}{i}" for i in range(count)]), F.lit(0.0), lambda a, b: a + b)
+    hosts = staged(hosts.withColumn("host_rows", of_all("s")), "hosts")
+    domains = staged(hosts.groupBy("domain").agg(*[F.sum(f"s{i}").alias(f"d{i}") for i in range(count)]).withColumn("domain_rows", of_all("d")), "domains")
+    above = domains.select("domain", *[((F.col(f"d{i}") + PRIOR_ROWS * float(overall[i])) / (F.col("domain_rows") + PRIOR_ROWS)).alias(f"p{i}") for i in range(count)])
+    prior = [F.log((F.col(f"s{i}") + PRIOR_ROWS * F.col(f"p{i}")) / (F.col("host_rows") + PRIOR_ROWS)) for i in range(count)]
     tables["host"] = hosts.join(above, "domain").select("host", F.array(*prior).alias("weight"))
     return tables
 
@@ -248,10 +259,11 @@ def identified(
         F.when(host.contains("."), F.regexp_extract(host, r"\.([^.]*)$", 1)).alias("suffix"),
     )
     kept_columns = [F.col(f"`{c}`") for c in (rows.columns if keep is None else keep)]
-    measured_rows = staged(rows.withColumn(name, measured(F.col(f"`{text}`"))).select(*kept_columns, found.alias(name)), "evidence")
+    with text_batches(spark):
+        measured_rows = staged(rows.withColumn(name, measured(F.col(f"`{text}`"))).select(*kept_columns, found.alias(name)), "evidence")
     evidence = measured_rows.select(f"`{name}`.*").withColumn("shares", F.when(F.col("triples") > 0, normalised(F.col("scores"))))
     out, weights = measured_rows, []
-    for key, table in evidence_tables(evidence.where("shares is not null"), languages).items():
+    for key, table in evidence_tables(evidence.where("triples > 0"), languages).items():
         weight = fresh_name(out, f"{name}_{key}")
         weights.append(weight)
         table = broadcast_if_small(staged(table, key).select(F.col(key).alias(f"{weight}_key"), F.col("weight").alias(weight)))

@@ -49,6 +49,22 @@ def small_batches(spark: SparkSession):
         spark.conf.set(_BATCH, before)
 
 
+# Bytes of whole texts that go to a Python worker at once.
+TEXT_BYTES = 4 * 1024 * 1024
+_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+@contextmanager
+def text_batches(spark: SparkSession):
+    """What is run in here hands texts to Python workers by their bytes, however long they are."""
+    before = spark.conf.get(_BYTES)
+    spark.conf.set(_BYTES, str(TEXT_BYTES))
+    try:
+        yield
+    finally:
+        spark.conf.set(_BYTES, before)
+
+
 def broadcast_if_few(rows: DataFrame, row_bytes: int) -> DataFrame:
     """A staged table with a broadcast hint if its counted rows, of at most ``row_bytes`` each, are small; else
     as it is, so that Spark shuffles both sides of a join and splits skewed keys."""

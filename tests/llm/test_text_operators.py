@@ -387,6 +387,66 @@ def test_a_rare_language_is_learnt_or_passes(spark):
         assert told == [("is", True)] * copies
 
 
+def test_long_texts_reach_python_workers_few_at_a_time(spark, make_docs, monkeypatch):
+    most = 2 * 4 * 1024 * 1024
+    counter, evidence = language_id._counter, language_id._text_evidence
+
+    def checked(size):
+        if size > most:
+            raise ValueError(f"{size} bytes at once")
+
+    def counted(languages):
+        def run(batches):
+            def few():
+                for batch in batches:
+                    checked(batch.nbytes)
+                    yield batch
+
+            yield from counter(languages)(few())
+
+        return run
+
+    def measured(model):
+        def run(texts):
+            checked(texts.nbytes)
+            return evidence(model)(texts)
+
+        return run
+
+    monkeypatch.setattr(language_id, "_counter", counted)
+    monkeypatch.setattr(language_id, "_text_evidence", measured)
+    texts = {"en": "the cat and the dog sat on the mat with them ", "fr": "le chat et le chien sont sur le tapis avec eux "}
+    docs = make_docs([(i, texts[tag] * 12_000, tag, "src1") for i, tag in enumerate(["en", "fr"] * 20)]).coalesce(1)
+    before = spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch")
+    rows, verdict = language_id.document_languages(docs, keep=["doc_id", "lang"])
+    assert all(r.language == r.lang and r.kept for r in rows.select("lang", f"{verdict}.*").collect()) and rows.count() == 40
+    assert spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch") == before
+
+
+def test_probabilities_of_many_languages_end_soon(spark):
+    import time
+
+    scores = np.random.default_rng(5).normal(0, 20, (60, 600))
+    df = spark.createDataFrame([(i, row.tolist()) for i, row in enumerate(scores)] + [(60, None)], "i int, scores array<double>")
+    began = time.time()
+    found = {r.i: r.p for r in df.select("i", language_id.normalised(F.col("scores")).alias("p")).collect()}
+    assert time.time() - began < 20 and found.pop(60) is None
+    powers = np.exp(scores - scores.max(axis=1, keepdims=True))
+    assert np.allclose([found[i] for i in range(60)], powers / powers.sum(axis=1, keepdims=True), rtol=1e-12)
+
+
+def test_triples_of_many_languages_are_counted(spark, make_docs):
+    tags = [f"{a}{b}" for a in "abcdefghij" for b in "pqrst"]
+    docs = make_docs([(i, f"{tag} {tag * 3} abc", tag, "src1") for i, tag in enumerate(tags * 2)] + [(200, "zzz", "zz", "src1"), (201, None, None, None)])
+    model = language_id.train(docs, "text", F.col("lang"), tags)
+    for k, tag in enumerate(tags):
+        codes = [c for c in zip(*(f"{tag} {tag * 3} abc".encode()[j:] for j in range(3))) if c[1] != 0x20]
+        counts = np.full(1 << language_id.BUCKET_BITS, language_id.SMOOTHING)
+        for a, b, c in codes * 2:
+            counts[((a << 16 | b << 8 | c) * 0x9E3779B1 & 0xFFFFFFFF) >> (32 - language_id.BUCKET_BITS)] += 1
+        assert np.allclose(model[k], np.log((1 - language_id.UNSEEN) * counts / counts.sum() + language_id.UNSEEN / len(counts)))
+
+
 def test_languages_of_pages_use_markup_and_url(spark):
     tags = [
         ('<!DOCTYPE html><HTML class="x" LANG=en-US>', "en-US"), ("<html dir='ltr' xml:lang='de'>", "de"), ("<html data-lang='x'>", None),
