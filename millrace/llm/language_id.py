@@ -212,8 +212,13 @@ def evidence_tables(evidence: DataFrame, languages: Sequence[str]) -> dict[str,
     return tables
 
 
+def _divisor(triples: Column) -> Column:
+    """Never zero: what stands behind a condition is computed on all rows where Spark shares it between expressions."""
+    return F.greatest(triples, F.lit(1))
+
+
 def _per_triple(scores: Column, triples: Column) -> Column:
-    return scores / F.least(triples, F.lit(EVIDENCE_TRIPLES))
+    return scores / F.least(_divisor(triples), F.lit(EVIDENCE_TRIPLES))
 
 
 def least_likelihoods(evidence: DataFrame, model: np.ndarray, languages: Sequence[str]) -> tuple[list[float], list[float]]:
@@ -281,7 +286,7 @@ def identified(
     texts = triples > 0
     chosen = F.array_position(F.col(f"`{shares}`"), posterior).cast("int") - 1
     least, deviations = (F.array(*[F.lit(float(x)) for x in values]) for values in least_likelihoods(evidence, model, languages))
-    likely = _per_triple(F.get(F.col(f"`{name}`.scores"), chosen), triples) >= F.get(least, chosen) - F.get(deviations, chosen) * ERRORS * F.sqrt(3 / triples)
+    likely = _per_triple(F.get(F.col(f"`{name}`.scores"), chosen), triples) >= F.get(least, chosen) - F.get(deviations, chosen) * ERRORS * F.sqrt(3 / _divisor(triples))
     certain = texts & (posterior >= LEAST_POSTERIOR) & (F.get(names, chosen) != OTHER) & likely
     tag = F.col(f"`{name}`.declared")
     unlearnt = texts & tag.isNotNull() & ~tag.isin(*languages, *NO_LANGUAGES)
